@@ -23,7 +23,12 @@ from strata.operators.nest import document_json, nest_events, nest_paged, nest_t
 from strata.operators.split import balanced_split, hash_split, random_split
 from strata.operators.tagging import reconcile_counts, tagged_union
 from strata.plans import standin
-from strata.plans.job import clean, select_events, transform
+from strata.plans.job import clean, select_events, split_parts, transform
+from strata.session import scratch_path
+from strata.sinks.json_lines import write_parts
+from strata.sinks.records_csv import write_records_csv
+from strata.sources.records import list_files, read_tagged
+from strata.sources.zip_members import read_zip_members, tag_by_member
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -160,6 +165,64 @@ def q_random_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.unionByName(b)
 
 
+def _round_trip_columns(df: DataFrame) -> DataFrame:
+    """The columns the round-trip queries compare: text as read, plus the decoded date."""
+    return df.select(
+        "city", F.col("編號").alias("number"), F.col("鄉鎮市區").alias("district"),
+        F.col("總樓層數").alias("total_floor"), F.col("主要用途").alias("main_use"),
+        roc_to_date("交易年月日").alias("date"))
+
+
+def q_csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records written as per-city BOM CSV files with alias rows, read back and tagged by path."""
+    out = scratch_path(spark, "csv")
+    write_records_csv(standin.records(spark, sf_dir), out, tag_col="city")
+    files = [r["path"] for r in list_files(spark, [out]).collect()]  # the written file list
+    sources = {f: _tag_from_folder(f, "city") for f in files if f.endswith(".csv")}
+    return _round_trip_columns(read_tagged(spark, sources, col="city"))
+
+
+def _tag_from_folder(path: str, col: str) -> str:
+    from urllib.parse import unquote
+
+    for part in path.split("/"):
+        if part.startswith(col + "="):
+            return unquote(part[len(col) + 1:])
+    raise ValueError(f"no {col}= folder in {path}")
+
+
+def q_zip_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records zipped as per-city members (alias row first), ingested from the archives."""
+    out = scratch_path(spark, "zip")
+    archives = standin.write_city_archives(standin.records(spark, sf_dir), out)
+    rows = read_zip_members(spark, archives, member_pattern="*.csv", alias_row="positional")
+    cities = [r[0] for r in standin.table(spark, sf_dir, "region").select("r_name").collect()]
+    return _round_trip_columns(tag_by_member(rows, {f"{c}.csv": c for c in cities}))
+
+
+def q_json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flagship documents split by city hash, written in one pass, read back as text lines."""
+    out = scratch_path(spark, "json")
+    parts = split_parts(_transform(spark, sf_dir), "hash", 2, 42)
+    write_parts(parts, out, part_col="part")
+    back = spark.read.text(out)
+    return back.select(F.col("part").cast("bigint").alias("part"), F.col("value").alias("line"))
+
+
+def q_stream_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records land as CSV files; a file stream (availableNow) cleans, filters and appends events."""
+    from strata.streaming.arrivals import ingest_arrivals, tag_by_folder
+
+    landing = scratch_path(spark, "landing")
+    write_records_csv(standin.records(spark, sf_dir), landing, tag_col="city")
+    events_dir = scratch_path(spark, "events")
+    q = ingest_arrivals(spark, landing, events_dir, checkpoint=scratch_path(spark, "stream-ckpt"),
+                        n_fields=2, use_value=standin.STANDIN_USE,
+                        type_part=standin.STANDIN_TYPE_PART, tagger=tag_by_folder("city"))
+    q.awaitTermination()
+    return spark.read.parquet(events_dir).select("city", "date", "district", "type")
+
+
 def queries() -> dict[str, Query]:
     return {
         "q_flagship": q_flagship,
@@ -182,6 +245,10 @@ def queries() -> dict[str, Query]:
         "q_hash_split": q_hash_split,
         "q_balanced_split": q_balanced_split,
         "q_random_split": q_random_split,
+        "q_csv_round_trip": q_csv_round_trip,
+        "q_zip_members": q_zip_members,
+        "q_json_round_trip": q_json_round_trip,
+        "q_stream_arrivals": q_stream_arrivals,
     }
 
 
@@ -241,6 +308,11 @@ pg AS (
   FROM ranked GROUP BY city, page, date)
 SELECT city, page, to_json(list({{'date': date, 'events': events}} ORDER BY date DESC NULLS LAST)) AS line
 FROM pg GROUP BY city, page"""
+    round_trip = f"""
+WITH {_REC}
+SELECT city, {_NUMBER} AS number, district,
+       (SELECT {_FLOOR_TEXT} FROM (SELECT floors AS p_size)) AS total_floor, main_use, date
+FROM rec"""
     floors_q = f"""
 SELECT {_NUMBER} AS number, p.p_size AS floors
 FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey"""
@@ -309,4 +381,16 @@ GROUP BY ROLLUP (c_mktsegment)""",
 SELECT c_custkey, CAST(ntile(2) OVER (ORDER BY {_MD5_ORDER}, c_custkey) - 1 AS BIGINT) AS part
 FROM (SELECT DISTINCT c_custkey FROM customer)""",
         "q_random_split": "SELECT c_custkey, c_name FROM customer",
+        "q_csv_round_trip": round_trip,
+        "q_stream_arrivals": f"WITH {_REC} SELECT city, date, district, type FROM kept",
+        "q_zip_members": round_trip,
+        "q_json_round_trip": f"""
+WITH {_REC},
+slots AS (SELECT city, date, {_EVENTS_2} AS events FROM kept GROUP BY city, date),
+docs AS (
+  SELECT city, list({{'date': date, 'events': events}} ORDER BY date DESC NULLS LAST) AS time_slots
+  FROM slots GROUP BY city)
+SELECT CAST(('0x' || substr(md5('42|' || city), 1, 8)) AS BIGINT) % 2 AS part,
+       to_json({{'city': city, 'time_slots': time_slots}}) AS line
+FROM docs""",
     }

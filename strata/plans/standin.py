@@ -115,3 +115,72 @@ def segment_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """One customer frame per segment, without the segment column (it becomes the tag)."""
     cust = table(spark, sf_dir, "customer")
     return {seg: cust.filter(F.col("c_mktsegment") == seg).drop("c_mktsegment") for seg in SEGMENTS}
+
+
+def write_city_archives(records_df: DataFrame, out_dir: str, *, tag_col: str = "city") -> list[str]:
+    """Write stand-in records as zip archives of per-city CSV members, in executors.
+
+    Each task writes one archive ``part-<partition>.zip`` holding one member
+    ``<city>.csv`` per city present in its partition: UTF-8 with BOM, the
+    header, the English alias row, then the rows.  Names depend only on the
+    partition, so a retried task overwrites its own archive.  Returns the
+    archive paths (one per task).
+    """
+    import csv
+    import io
+    import zipfile
+
+    import pandas as pd
+    from pyspark import TaskContext
+
+    from strata import schema
+
+    cols = [c for c in records_df.columns if c != tag_col]
+    base = out_dir.rstrip("/")
+
+    def write(batches):
+        pid = TaskContext.get().partitionId()
+        members: dict[str, io.StringIO] = {}
+        writers = {}
+        n = 0
+        for pdf in batches:
+            for rec in pdf.itertuples(index=False):
+                tag = rec[0]
+                if tag not in writers:
+                    buf = io.StringIO()
+                    w = csv.writer(buf, lineterminator="\n")
+                    w.writerow(cols)
+                    w.writerow([schema.ALIAS_BY_SOURCE.get(c, c) for c in cols])
+                    members[tag], writers[tag] = buf, w
+                writers[tag].writerow(["" if v is None or v != v else v for v in rec[1:]])
+                n += 1
+        path = f"{base}/part-{pid:05d}.zip"
+        if members:
+            payload = io.BytesIO()
+            with zipfile.ZipFile(payload, "w", zipfile.ZIP_DEFLATED) as zf:
+                for tag, buf in members.items():
+                    zf.writestr(f"{tag}.csv", buf.getvalue().encode("utf-8-sig"))
+            _write_bytes(path, payload.getvalue())
+            yield pd.DataFrame({"path": [path], "rows": [n]})
+
+    flat = records_df.select(F.col(tag_col).alias("_0"), *[F.col(c).alias(f"_{i + 1}") for i, c in enumerate(cols)])
+    done = flat.mapInPandas(write, "path string, rows bigint")
+    return [r["path"] for r in done.collect()]  # one path per task
+
+
+def _write_bytes(path: str, data: bytes) -> None:
+    """Write a whole file from an executor (local path or any pyarrow filesystem URI)."""
+    import os
+
+    if path.startswith("file:"):
+        path = path[len("file:"):]
+    if "://" not in path:
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        with open(path, "wb") as fh:
+            fh.write(data)
+        return
+    from pyarrow import fs as pafs
+
+    filesystem, inner = pafs.FileSystem.from_uri(path)
+    with filesystem.open_output_stream(inner) as fh:
+        fh.write(data)

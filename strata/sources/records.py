@@ -173,10 +173,19 @@ def _scan(spark: SparkSession, files: list[str], columns: list[str], multiline:
     reader = spark.read.options(**CSV_OPTIONS).option("multiLine", str(multiline).lower())
     reader = reader.option("enforceSchema", "false").schema(schema.text_schema(columns))
     df = reader.csv(files)
-    return df.select("*", F.col("_metadata.file_path").alias(FILE_COL),
+    return df.select("*", scan_file_path().alias(FILE_COL),
                      F.col("_metadata.file_block_start").alias("_block"))
 
 
+def scan_file_path() -> Column:
+    """The scanned file's path in listing form.
+
+    ``_metadata.file_path`` is URI-encoded (a space reads ``%20``) while file
+    listings give the plain path; decode it, keeping a literal ``+``.
+    """
+    return F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), "\\+", "%2B"))
+
+
 def read_records(
     spark: SparkSession,
     paths: Iterable[str],
