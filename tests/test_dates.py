@@ -1,0 +1,27 @@
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from strata.functions.dates import date_to_roc, roc_to_date
+
+
+def test_roc_table(spark):
+    rows = [("1080415", dt.date(2019, 4, 15)), ("990101", dt.date(2010, 1, 1)),
+            ("1080231", None), ("1080000", None), (None, None), ("abc", None), ("", None),
+            ("transaction year month and day", None)]
+    df = spark.createDataFrame([(r[0],) for r in rows], "s string")
+    got = [r.d for r in df.select(roc_to_date("s").alias("d")).collect()]
+    assert got == [r[1] for r in rows]
+
+
+def test_roc_accepts_int(spark):
+    df = spark.createDataFrame([(1080415,)], "n int")
+    assert df.select(roc_to_date("n").alias("d")).first().d == dt.date(2019, 4, 15)
+
+
+def test_round_trip_1912_2100(spark):
+    start, end = dt.date(1912, 1, 1), dt.date(2100, 12, 31)
+    days = spark.range((end - start).days + 1).select(
+        F.date_add(F.lit(start), F.col("id").cast("int")).alias("d"))
+    bad = days.filter(roc_to_date(date_to_roc("d")) != F.col("d")).count()
+    assert bad == 0
