@@ -17,13 +17,12 @@ from pyspark.sql import functions as F
 from strata import schema
 from strata.functions.dates import roc_to_date
 from strata.functions.numerals import floor_text, floors, floors_pandas_udf, floors_udf
-from strata.operators.filters import high_rise
 from strata.operators.inspect import distinct_values, top_n
 from strata.operators.nest import document_json, nest_events, nest_paged, nest_two_levels
 from strata.operators.split import balanced_split, hash_split, random_split
 from strata.operators.tagging import reconcile_counts, tagged_union
 from strata.plans import standin
-from strata.plans.job import clean, select_events, split_parts, transform
+from strata.plans.job import clean, filter_records, select_events, split_parts, transform
 from strata.session import scratch_path
 from strata.sinks.json_lines import write_parts
 from strata.sinks.records_csv import write_records_csv
@@ -39,8 +38,8 @@ PAGE_EVENTS = 50  # page size of the paged-document query
 
 def _kept(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stand-in records, cleaned and filtered (use 'R', type contains 'ECON', >= 13 floors)."""
-    cleaned = clean(standin.records(spark, sf_dir))
-    return high_rise(cleaned, use_value=standin.STANDIN_USE, type_part=standin.STANDIN_TYPE_PART)
+    return filter_records(standin.records(spark, sf_dir), use_value=standin.STANDIN_USE,
+                          type_part=standin.STANDIN_TYPE_PART)
 
 
 def _transform(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:

@@ -18,17 +18,42 @@ from strata.functions.dates import roc_to_date
 from strata.functions.numerals import floors
 from strata.operators.filters import high_rise
 from strata.operators.nest import nest_paged, nest_two_levels
-from strata.operators.project import cast_columns, to_english
+from strata.operators.project import cast_columns, null_tokens, to_english
 from strata.operators.split import balanced_split, hash_split, random_split
 
 
-def clean(df: DataFrame, *, floors_mode: str = "compat") -> DataFrame:
-    """Type the text columns, add ``Floors`` (decoded) and ``date`` (from ROC)."""
-    typed = cast_columns(df)
+def clean(df: DataFrame, *, floors_mode: str = "compat",
+          na_tokens: list[str] | None = schema.NA_TOKENS) -> DataFrame:
+    """Null the missing-value tokens, type the text columns, add ``Floors`` and ``date``."""
+    text = df if na_tokens is None else null_tokens(
+        df, [c for c in df.columns if c in schema.TYPE_BY_SOURCE], na_tokens)
+    typed = cast_columns(text)
     return (typed.withColumn("Floors", floors(F.col(schema.COL_FLOORS_TEXT), floors_mode))
                  .withColumn("date", roc_to_date(F.col(schema.COL_DATE))))
 
 
+def filter_records(
+    records: DataFrame,
+    *,
+    floors_mode: str = "compat",
+    use_value: str = schema.RESIDENTIAL,
+    type_part: str = schema.TOWER,
+    min_floors: int = schema.MIN_FLOORS,
+) -> DataFrame:
+    """Text records -> cleaned rows that pass the high-rise filter.
+
+    Cleaning only turns values into null, so a kept row's raw use already
+    equals ``use_value`` and its raw type already contains ``type_part``.
+    Those two necessary tests run first, on the raw columns, where Catalyst
+    pushes them into the scan (``EqualTo`` / ``StringContains``); the exact
+    filter runs after cleaning.
+    """
+    pre = records.filter((F.col(schema.COL_USE) == F.lit(use_value))
+                         & F.col(schema.COL_TYPE).contains(type_part))
+    return high_rise(clean(pre, floors_mode=floors_mode),
+                     use_value=use_value, type_part=type_part, min_floors=min_floors)
+
+
 def select_events(df: DataFrame, n_fields: int = 2, key: str = "city") -> DataFrame:
     """``key, date`` and the event fields, renamed to their output names."""
     return to_english(df, schema.event_fields(n_fields), keep=(key, "date"))
@@ -51,8 +76,8 @@ def transform(
     With ``max_events_per_line`` the bounded paged form is returned instead
     (``key, page, time_slots``).
     """
-    cleaned = clean(records, floors_mode=floors_mode)
-    kept = high_rise(cleaned, use_value=use_value, type_part=type_part, min_floors=min_floors)
+    kept = filter_records(records, floors_mode=floors_mode, use_value=use_value,
+                          type_part=type_part, min_floors=min_floors)
     events = select_events(kept, n_fields, key)
     fields = schema.event_fields(n_fields)
     if max_events_per_line:

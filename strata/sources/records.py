@@ -20,7 +20,9 @@ Design (nothing is inferred, nothing goes through the driver but file names):
    narrow, no shuffle, and it keeps genuine rows whose date is missing.
    ``positional`` drops exactly the first data row of each file (parity),
    at the cost of a second pass over the first split of every file.
-6. **Missing-value tokens** (``NA``, ``None``, ...) become null.
+6. **Missing-value tokens** (``NA``, ``None``, ...) become null when
+   ``na_tokens`` is given; the job does it in its cleaning step instead, after
+   the filters that must reach the scan.
 
 CSV options: ``multiLine`` and ``escape='"'`` keep quoted commas, doubled
 quotes and line breaks inside a field; ``multiLine`` makes every file one
@@ -192,7 +194,7 @@ def read_records(
     *,
     require: Iterable[str] | None = schema.SOURCE_COLUMNS,
     alias_row: str = "typed",
-    na_tokens: Iterable[str] | None = schema.NA_TOKENS,
+    na_tokens: Iterable[str] | None = None,
     multiline: bool = True,
     groups: Mapping[str, list[str]] | None = None,
 ) -> DataFrame:

@@ -65,7 +65,7 @@ def read_zip_members(
     member_pattern: str = "*.csv",
     columns: list[str] | None = None,
     alias_row: str = "positional",
-    na_tokens: Iterable[str] | None = schema.NA_TOKENS,
+    na_tokens: Iterable[str] | None = None,
     batch_rows: int = 10_000,
 ) -> DataFrame:
     """Record rows from every CSV member matching ``member_pattern`` in ``archives``.

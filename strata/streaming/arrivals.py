@@ -21,9 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from strata import schema
-from strata.operators.filters import high_rise
 from strata.operators.nest import nest_two_levels
-from strata.plans.job import clean, select_events
+from strata.plans.job import filter_records, select_events
 from strata.session import checkpoint_dir
 from strata.sources.records import CSV_OPTIONS, scan_file_path
 
@@ -94,7 +93,7 @@ def ingest_arrivals(
     lets a restarted (or executor-lost) run resume where it stopped.
     """
     records = arrivals(spark, landing_dir, **arrival_args)
-    kept = high_rise(clean(records), use_value=use_value, type_part=type_part, min_floors=min_floors)
+    kept = filter_records(records, use_value=use_value, type_part=type_part, min_floors=min_floors)
     events = select_events(kept, n_fields)
     ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/strata-arrivals"
     writer = (events.writeStream.format("parquet").outputMode("append")

@@ -70,7 +70,9 @@ def test_missing_column_raises(spark, tmp_dir):
 def test_na_tokens_become_null(spark, tmp_dir):
     rows = [["甲區", "1080415", "十三層", "NA", "None", "null"]]
     p = write_city(tmp_dir, rows=rows)
-    r = read_records(spark, [p], require=COLS).first()
+    from strata import schema
+
+    r = read_records(spark, [p], require=COLS, na_tokens=schema.NA_TOKENS).first()
     assert r["建物型態"] is None and r["主要用途"] is None and r["備註"] is None
 
 
