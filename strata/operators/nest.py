@@ -10,14 +10,13 @@ whole struct (ascending, nulls first), ``time_slots`` by date descending
 with the null date last.  Both sorts are ``sort_array`` inside the
 aggregate, so no global sort or range exchange is planned.
 
-Scale.  Level 1 can be salted: events of one (key, slot) are first collected
-and sorted in ``salt_buckets`` parts spread over tasks (a hot slot, or a hot
-group of identical copies, is cut by a per-row id), then the sorted parts are
-merged.  The document itself is one row per key by definition, so a key's
-whole content ends in one row; :func:`nest_paged` is the bounded form for
-data where that does not fit: every output row holds at most ``max_events``
-events, no row is dropped, and concatenating a key's pages in page order
-gives its document.
+Scale.  ``combine_copies`` first counts identical events per slot, which
+Spark does map-side, so a group of copies - however large - travels as one
+(event, count) row and is expanded only in the final array.  The document
+itself is one row per key by definition, so a key's whole content ends in
+one row; :func:`nest_paged` is the bounded form for data where that does not
+fit: every output row holds at most ``max_events`` events, no row is
+dropped, and concatenating a key's pages in page order gives its document.
 """
 
 from __future__ import annotations
@@ -27,7 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators.rank import row_number_by_range
+from strata.operators.rank import cumulative_by_range
 
 
 def event_struct(fields: Sequence[str]) -> Column:
@@ -35,23 +34,32 @@ def event_struct(fields: Sequence[str]) -> Column:
     return F.struct(*[F.col(f) for f in fields])
 
 
+def _expand(runs: Column) -> Column:
+    """``array<struct<_ev, _n>>`` -> the events, each repeated ``_n`` times, in order."""
+    return F.flatten(F.transform(runs, lambda r: F.array_repeat(r["_ev"], r["_n"].cast("int"))))
+
+
 def nest_events(
     df: DataFrame,
     keys: Sequence[str] = ("city", "date"),
     fields: Sequence[str] = ("district", "type"),
     *,
     events_col: str = "events",
-    salt_buckets: int = 1,
+    combine_copies: bool = False,
 ) -> DataFrame:
-    """Level 1: one row per ``keys`` with the sorted array of event structs."""
+    """Level 1: one row per ``keys`` with the sorted array of event structs.
+
+    ``combine_copies``: count identical events first (partial aggregation
+    before the shuffle), then collect one (event, count) run per distinct
+    event; a hot group of copies never crosses the network row by row.
+    """
     ev = event_struct(fields).alias("_ev")
-    if salt_buckets <= 1:
+    if not combine_copies:
         return df.groupBy(*keys).agg(F.sort_array(F.collect_list(ev)).alias(events_col))
-    salted = df.select(*keys, ev).withColumn(
-        "_salt", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(salt_buckets)))
-    parts = salted.groupBy(*keys, "_salt").agg(F.sort_array(F.collect_list("_ev")).alias("_part"))
-    return parts.groupBy(*keys).agg(
-        F.sort_array(F.flatten(F.collect_list("_part"))).alias(events_col))
+    runs = df.groupBy(*[F.col(k) for k in keys], ev).agg(F.count(F.lit(1)).alias("_n"))
+    nested = runs.groupBy(*keys).agg(
+        F.sort_array(F.collect_list(F.struct("_ev", "_n"))).alias("_runs"))
+    return nested.select(*keys, _expand(F.col("_runs")).alias(events_col))
 
 
 def nest_slots(
@@ -74,10 +82,10 @@ def nest_two_levels(
     slot: str = "date",
     fields: Sequence[str] = ("district", "type"),
     *,
-    salt_buckets: int = 1,
+    combine_copies: bool = False,
 ) -> DataFrame:
     """Full document: ``key, time_slots[slot desc] -> events[sorted]``."""
-    level1 = nest_events(df.select(key, slot, *fields), (key, slot), fields, salt_buckets=salt_buckets)
+    level1 = nest_events(df.select(key, slot, *fields), (key, slot), fields, combine_copies=combine_copies)
     return nest_slots(level1, key, slot)
 
 
@@ -93,20 +101,35 @@ def nest_paged(
     """Bounded document pages: ``key, page, time_slots``.
 
     Events of a key are numbered in document order (slot descending with null
-    last, then the event struct) by a range-partitioned row number, and page
-    ``p`` holds numbers ``[p * max_events, (p + 1) * max_events)``.  A slot cut
-    by a page boundary appears at the end of one page and the start of the
-    next.  Every group in the plan is bounded by ``max_events`` rows.
+    last, then the event struct); page ``p`` holds numbers
+    ``[p * max_events, (p + 1) * max_events)``.  A slot cut by a page boundary
+    appears at the end of one page and the start of the next.
+
+    Plan: identical events are counted first (map-side), the distinct
+    (key, slot, event) rows get weighted cumulative positions by range
+    (:func:`~strata.operators.rank.cumulative_by_range`), a run of copies that
+    crosses page boundaries is cut into per-page pieces, and every group
+    after that holds at most ``max_events`` events.
     """
     if max_events < 1:
         raise ValueError("max_events must be positive")
-    ev = event_struct(fields)
-    flat = df.select(F.col(key), F.col(slot), ev.alias("_ev"))
-    numbered = row_number_by_range(
-        flat, [F.col(slot).desc_nulls_last(), F.col("_ev").asc_nulls_first()], [key],
-        out_col="_rn", num_partitions=num_partitions)
-    paged = numbered.withColumn("page", F.floor(F.col("_rn") / F.lit(max_events)).cast("bigint"))
-    level1 = paged.groupBy(key, "page", slot).agg(F.sort_array(F.collect_list("_ev")).alias("events"))
+    m = F.lit(max_events).cast("bigint")
+    runs = df.groupBy(F.col(key), F.col(slot), event_struct(fields).alias("_ev")).agg(
+        F.count(F.lit(1)).alias("_n"))
+    placed = cumulative_by_range(
+        runs, [F.col(slot).desc_nulls_last(), F.col("_ev").asc_nulls_first()], [key],
+        weight="_n", out_col="_start", num_partitions=num_partitions)
+    first_page = F.floor(F.col("_start") / m)
+    last_page = F.floor((F.col("_start") + F.col("_n") - 1) / m)
+    pieces = placed.select(key, slot, "_ev", "_start", "_n",
+                           F.explode(F.sequence(first_page, last_page)).alias("page"))
+    lo = F.greatest(F.col("_start"), F.col("page") * m)
+    hi = F.least(F.col("_start") + F.col("_n"), (F.col("page") + 1) * m)
+    pieces = pieces.select(key, slot, F.col("page").cast("bigint").alias("page"), "_ev",
+                           (hi - lo).alias("_n"))
+    level1 = pieces.groupBy(key, "page", slot).agg(
+        F.sort_array(F.collect_list(F.struct("_ev", "_n"))).alias("_runs"))
+    level1 = level1.select(key, "page", slot, _expand(F.col("_runs")).alias("events"))
     return nest_slots(level1, key, slot, extra_keys=("page",))
 
 

@@ -68,7 +68,7 @@ def transform(
     use_value: str = schema.RESIDENTIAL,
     type_part: str = schema.TOWER,
     min_floors: int = schema.MIN_FLOORS,
-    salt_buckets: int = 1,
+    combine_copies: bool = False,
     max_events_per_line: int | None = None,
 ) -> DataFrame:
     """Tagged text records -> nested document (``key, time_slots``).
@@ -82,7 +82,7 @@ def transform(
     fields = schema.event_fields(n_fields)
     if max_events_per_line:
         return nest_paged(events, key, "date", fields, max_events=max_events_per_line)
-    return nest_two_levels(events, key, "date", fields, salt_buckets=salt_buckets)
+    return nest_two_levels(events, key, "date", fields, combine_copies=combine_copies)
 
 
 def split_parts(doc: DataFrame, how: str = "hash", n: int = 2, seed: int | None = 42,

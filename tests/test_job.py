@@ -24,11 +24,11 @@ def test_full_mode_keeps_101_floors(spark, tmp_dir):
     assert any(d is not None and d.isoformat() == "2019-04-17" for d in dates)
 
 
-def test_salted_equals_plain(spark, tmp_dir):
+def test_combined_equals_plain(spark, tmp_dir):
     p = write_city(tmp_dir)
     recs = read_tagged(spark, {p: "台北市"}, require=COLS)
     a = transform(recs).select(F.to_json("time_slots")).first()[0]
-    b = transform(recs, salt_buckets=4).select(F.to_json("time_slots")).first()[0]
+    b = transform(recs, combine_copies=True).select(F.to_json("time_slots")).first()[0]
     assert a == b
 
 

@@ -81,3 +81,23 @@ def test_random_split_disjoint_cover(spark):
     ka = {r.k for r in a.collect()}
     kb = {r.k for r in b.collect()}
     assert not (ka & kb) and len(ka | kb) == 2000
+
+
+def test_weighted_cumulative_matches_window(spark):
+    from strata.operators.rank import cumulative_by_range
+
+    df = spark.range(2000).select(
+        F.when(F.col("id") < 1400, F.lit("hot")).otherwise((F.col("id") % 9).cast("string")).alias("k"),
+        F.col("id").alias("o"), ((F.col("id") * 7) % 5 + 1).alias("w"))
+    ours = cumulative_by_range(df, [F.col("o").asc()], ["k"], weight="w", out_col="c", num_partitions=5)
+    win = Window.partitionBy("k").orderBy("o").rowsBetween(Window.unboundedPreceding, -1)
+    ref = df.withColumn("c", F.coalesce(F.sum("w").over(win), F.lit(0)).cast("bigint"))
+    assert sorted(tuple(r) for r in ours.select("k", "o", "c").collect()) == \
+        sorted(tuple(r) for r in ref.select("k", "o", "c").collect())
+
+
+def test_combined_copies_same_document(spark):
+    ev = skewed_events(spark)
+    a = nest_two_levels(ev).select("city", F.to_json("time_slots").alias("j")).collect()
+    b = nest_two_levels(ev, combine_copies=True).select("city", F.to_json("time_slots").alias("j")).collect()
+    assert sorted(map(tuple, a)) == sorted(map(tuple, b))
