@@ -112,7 +112,7 @@ def run(
     seed: int | None = 42,
     files_per_part: int | None = 1,
     alias_row: str = "typed",
-    require: list[str] | None = schema.SOURCE_COLUMNS,
+    require: list[str] | None = None,
     **transform_args,
 ) -> dict[str, str]:
     """Read ``{path: city}`` files, build the document, write one JSON-lines folder per part.
@@ -123,7 +123,8 @@ def run(
     from strata.sinks.json_lines import write_parts
     from strata.sources.records import read_tagged
 
-    records = read_tagged(spark, sources, alias_row=alias_row, require=require).drop("_file")
+    cols = schema.required_columns(n_fields) if require is None else require
+    records = read_tagged(spark, sources, alias_row=alias_row, require=cols).drop("_file")
     doc = transform(records, n_fields=n_fields, **transform_args)
     parts = split_parts(doc, split, n_parts, seed)
     return write_parts(parts, out_dir, part_col="part", files_per_part=files_per_part)

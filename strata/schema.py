@@ -95,6 +95,16 @@ def event_fields(n_fields: int) -> list[str]:
     raise ValueError(f"documents have 2 or 28 event fields, not {n_fields}")
 
 
+def required_columns(n_fields: int) -> list[str]:
+    """Source columns the job reads for a 2- or 28-field document."""
+    if n_fields == 28:
+        return list(SOURCE_COLUMNS)
+    need = {COL_DISTRICT, COL_DATE, COL_FLOORS_TEXT, COL_TYPE, COL_USE}
+    by_alias = {dst: src for src, dst, _ in RECORD_FIELDS}
+    need |= {by_alias[f] for f in event_fields(n_fields)}
+    return [c for c in SOURCE_COLUMNS if c in need]
+
+
 def text_schema(columns: list[str] | None = None) -> T.StructType:
     """All-string schema, the shape of a CSV read before typing."""
     cols = SOURCE_COLUMNS if columns is None else columns
