@@ -110,7 +110,7 @@ def run(
     split: str = "hash",
     n_parts: int = 2,
     seed: int | None = 42,
-    files_per_part: int | None = 1,
+    files_per_part: int | None = None,
     alias_row: str = "typed",
     require: list[str] | None = None,
     **transform_args,

@@ -122,49 +122,49 @@ def write_city_archives(records_df: DataFrame, out_dir: str, *, tag_col: str = "
 
     Each task writes one archive ``part-<partition>.zip`` holding one member
     ``<city>.csv`` per city present in its partition: UTF-8 with BOM, the
-    header, the English alias row, then the rows.  Names depend only on the
-    partition, so a retried task overwrites its own archive.  Returns the
-    archive paths (one per task).
+    header, the English alias row, then the rows (Arrow's CSV writer quotes
+    what needs quoting).  Names depend only on the partition, so a retried
+    task overwrites its own archive.  Returns the archive paths (one per task).
     """
-    import csv
     import io
     import zipfile
 
-    import pandas as pd
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    from pyarrow import csv as pacsv
     from pyspark import TaskContext
 
     from strata import schema
 
     cols = [c for c in records_df.columns if c != tag_col]
     base = out_dir.rstrip("/")
+    alias = pa.table({c: pa.array([schema.ALIAS_BY_SOURCE.get(c, c)], pa.string()) for c in cols})
 
     def write(batches):
         pid = TaskContext.get().partitionId()
-        members: dict[str, io.StringIO] = {}
-        writers = {}
+        parts: dict[str, list] = {}
         n = 0
-        for pdf in batches:
-            for rec in pdf.itertuples(index=False):
-                tag = rec[0]
-                if tag not in writers:
-                    buf = io.StringIO()
-                    w = csv.writer(buf, lineterminator="\n")
-                    w.writerow(cols)
-                    w.writerow([schema.ALIAS_BY_SOURCE.get(c, c) for c in cols])
-                    members[tag], writers[tag] = buf, w
-                writers[tag].writerow(["" if v is None or v != v else v for v in rec[1:]])
-                n += 1
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            n += table.num_rows
+            for tag in pc.unique(table.column(tag_col)).to_pylist():
+                rows = table.filter(pc.equal(table.column(tag_col), tag)).select(cols)
+                parts.setdefault(tag, []).append(rows.cast(alias.schema))
+        if not parts:
+            return
+        payload = io.BytesIO()
+        with zipfile.ZipFile(payload, "w", zipfile.ZIP_DEFLATED) as zf:
+            for tag, tables in parts.items():
+                text = io.BytesIO()
+                text.write("\ufeff".encode("utf-8"))
+                pacsv.write_csv(pa.concat_tables([alias] + tables), text)
+                zf.writestr(f"{tag}.csv", text.getvalue())
         path = f"{base}/part-{pid:05d}.zip"
-        if members:
-            payload = io.BytesIO()
-            with zipfile.ZipFile(payload, "w", zipfile.ZIP_DEFLATED) as zf:
-                for tag, buf in members.items():
-                    zf.writestr(f"{tag}.csv", buf.getvalue().encode("utf-8-sig"))
-            _write_bytes(path, payload.getvalue())
-            yield pd.DataFrame({"path": [path], "rows": [n]})
-
-    flat = records_df.select(F.col(tag_col).alias("_0"), *[F.col(c).alias(f"_{i + 1}") for i, c in enumerate(cols)])
-    done = flat.mapInPandas(write, "path string, rows bigint")
+        _write_bytes(path, payload.getvalue())
+        yield pa.RecordBatch.from_pylist([{"path": path, "rows": n}],
+                                         schema=pa.schema([("path", pa.string()), ("rows", pa.int64())]))
+
+    done = records_df.select(tag_col, *cols).mapInArrow(write, "path string, rows bigint")
     return [r["path"] for r in done.collect()]  # one path per task
 
 

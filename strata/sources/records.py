@@ -107,25 +107,30 @@ def list_files(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
 
 
 def file_headers(spark: SparkSession, paths: Iterable[str]) -> dict[str, list[str]]:
-    """``{header -> [files]}`` for every file under ``paths`` (one distributed job)."""
+    """``{header -> [files]}`` for every file under ``paths`` (one distributed job).
+
+    Headers are grouped in Spark, so each distinct header comes back once
+    with its file list (the driver holds the file list anyway: Spark's file
+    sources plan from it).
+    """
     files = list_files(spark, paths)
     heads = files.mapInPandas(_peek_headers, "path string, header string")
-    groups: dict[str, list[str]] = {}
-    for row in heads.collect():  # one small row per file: the file list itself
-        groups.setdefault(row["header"], []).append(row["path"])
-    return groups
+    grouped = heads.groupBy("header").agg(F.collect_list("path").alias("files"))
+    return {row["header"]: sorted(row["files"]) for row in grouped.collect()}
 
 
 # --- tagging ----------------------------------------------------------------
 
-def _tag_for(path: str, keys: list[tuple[str, str]]) -> str | None:
-    """Tag of the longest key equal to, or a folder containing, ``path``."""
-    best = None
-    for key, tag in keys:
-        if path == key or path.startswith(key.rstrip("/") + "/"):
-            if best is None or len(key) > len(best[0]):
-                best = (key, tag)
-    return None if best is None else best[1]
+def _tag_for(path: str, keys: Mapping[str, str]) -> str | None:
+    """Tag of the longest key equal to ``path`` or naming a folder that contains it."""
+    cur = path.rstrip("/")
+    while cur:
+        if cur in keys:
+            return keys[cur]
+        if "/" not in cur:
+            return None
+        cur = cur.rsplit("/", 1)[0]
+    return None
 
 
 def tag_by_file(df: DataFrame, file_tags: Mapping[str, str], col: str = "city",
@@ -135,7 +140,7 @@ def tag_by_file(df: DataFrame, file_tags: Mapping[str, str], col: str = "city",
         kv: list[Column] = []
         for path, t in file_tags.items():
             kv += [F.lit(path), F.lit(t)]
-        return df.withColumn(col, F.element_at(F.create_map(*kv), F.col(file_col)))
+        return df.withColumn(col, F.try_element_at(F.create_map(*kv), F.col(file_col)))
     spark = df.sparkSession
     lookup = spark.createDataFrame(list(file_tags.items()), f"{file_col}_ string, {col} string")
     # one row per input file: bounded by the file list the caller passed in
@@ -246,8 +251,8 @@ def read_tagged(
     One header pass and one scan for all files (per distinct header); the
     tag comes from each row's file path.
     """
-    keys = [(spark_path(p), t) for p, t in sources.items()]
-    groups = file_headers(spark, [p for p, _ in keys])
+    keys = {spark_path(p).rstrip("/"): t for p, t in sources.items()}
+    groups = file_headers(spark, list(keys))
     file_tags = {}
     for files in groups.values():
         for f in files:
@@ -255,7 +260,7 @@ def read_tagged(
             if t is None:
                 raise ValueError(f"file {f} matches no source path")
             file_tags[f] = t
-    df = read_records(spark, [p for p, _ in keys], groups=groups, **read_args)
+    df = read_records(spark, list(keys), groups=groups, **read_args)
     return tag_by_file(df, file_tags, col)
 
 

@@ -1,9 +1,9 @@
 """Zip archives of record CSV files.
 
 Spark has no zip codec, so archives are read as ``binaryFile`` rows (one row
-per archive, spread over tasks) and a ``mapInPandas`` step opens each archive
-in its executor, parses the CSV members whose names match, and yields record
-rows: the same text columns as :func:`strata.sources.records.read_records`,
+per archive, spread over tasks) and a ``mapInArrow`` step opens each archive
+in its executor, parses the CSV members whose names match with Arrow's CSV
+reader, and yields record rows: the same text columns as :func:`strata.sources.records.read_records`,
 plus the archive and member names.  Nothing passes through the driver.
 
 Limits: an archive is one row, so one archive is read by one task (and must
@@ -12,50 +12,62 @@ be below Spark's 2 GiB binary-row limit); many archives parallelise.
 
 from __future__ import annotations
 
-import csv
 import fnmatch
 import io
 import zipfile
 from collections.abc import Iterable, Iterator
 
-import pandas as pd
+import pyarrow as pa
+from pyarrow import csv as pacsv
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata import schema
 from strata.operators.project import null_tokens
 from strata.operators.tagging import ColumnMismatch
+from strata.sources.records import HEADER_PEEK_BYTES, parse_header
 
 ARCHIVE_COL = "_archive"
 MEMBER_COL = "_member"
 ROW_COL = "_row"
 
 
-def _member_rows(archive: str, content: bytes, pattern: str, columns: list[str],
-                 drop_first: bool) -> Iterator[dict]:
+def _read_member(raw: bytes, name: str, archive: str, columns: list[str]) -> pa.Table | None:
+    """One CSV member -> Arrow table of the requested columns (all text), or None if empty."""
+    header = parse_header(raw[:HEADER_PEEK_BYTES])
+    if not header:
+        return None
+    missing = [c for c in columns if c not in header]
+    if missing:
+        raise ColumnMismatch(f"{archive}!{name} lacks columns {missing}")
+    return pacsv.read_csv(
+        io.BytesIO(raw),
+        read_options=pacsv.ReadOptions(use_threads=False, column_names=header, skip_rows=1),
+        parse_options=pacsv.ParseOptions(newlines_in_values=True),
+        convert_options=pacsv.ConvertOptions(
+            include_columns=columns, column_types={c: pa.string() for c in columns},
+            strings_can_be_null=True, null_values=[""], quoted_strings_can_be_null=True),
+    )
+
+
+def _archive_batches(path: str, content: bytes, pattern: str, columns: list[str],
+                     drop_first: bool, out_schema: pa.Schema, batch_rows: int) -> Iterator[pa.RecordBatch]:
     with zipfile.ZipFile(io.BytesIO(content)) as zf:
         for info in zf.infolist():
             name = info.filename
             if info.is_dir() or not fnmatch.fnmatch(name.rsplit("/", 1)[-1], pattern):
                 continue
-            with zf.open(info) as raw:
-                text = io.TextIOWrapper(raw, encoding="utf-8-sig", newline="")
-                reader = csv.reader(text)
-                header = next(reader, None)
-                if header is None:
-                    continue
-                header = [h.strip() for h in header]
-                missing = [c for c in columns if c not in header]
-                if missing:
-                    raise ColumnMismatch(f"{archive}!{name} lacks columns {missing}")
-                where = [header.index(c) for c in columns]
-                for i, rec in enumerate(reader):
-                    if drop_first and i == 0:
-                        continue
-                    row = {c: (rec[j] if j < len(rec) and rec[j] != "" else None)
-                           for c, j in zip(columns, where)}
-                    row.update({ARCHIVE_COL: archive, MEMBER_COL: name, ROW_COL: i})
-                    yield row
+            table = _read_member(zf.read(info), name, path, columns)
+            if table is None:
+                continue
+            first = 1 if drop_first else 0
+            table = table.slice(first)
+            n = table.num_rows
+            table = table.append_column(ARCHIVE_COL, pa.array([path] * n, pa.string()))
+            table = table.append_column(MEMBER_COL, pa.array([name] * n, pa.string()))
+            table = table.append_column(ROW_COL, pa.array(range(first, first + n), pa.int64()))
+            yield from table.select(out_schema.names).cast(out_schema).to_batches(max_chunksize=batch_rows)
 
 
 def read_zip_members(
@@ -70,31 +82,31 @@ def read_zip_members(
 ) -> DataFrame:
     """Record rows from every CSV member matching ``member_pattern`` in ``archives``.
 
-    ``alias_row``: ``positional`` drops each member's first data row while
-    parsing (exact, free here since a member is read in order); ``typed``
-    drops rows whose date is not an integer; ``none`` keeps all rows.
+    Members are parsed by Arrow's CSV reader (quoted commas, doubled quotes
+    and line breaks in fields, BOM) in the executor that holds the archive.
+    ``alias_row``: ``positional`` drops each member's first data row (exact,
+    free here since a member is read in order); ``typed`` drops rows whose
+    date is not an integer; ``none`` keeps all rows.
     """
     cols = list(schema.SOURCE_COLUMNS if columns is None else columns)
     paths = [archives] if isinstance(archives, str) else list(archives)
-    out_schema = ", ".join([f"`{c}` string" for c in cols]
-                           + [f"{ARCHIVE_COL} string", f"{MEMBER_COL} string", f"{ROW_COL} bigint"])
+    spark_schema = T.StructType(
+        [T.StructField(c, T.StringType()) for c in cols]
+        + [T.StructField(ARCHIVE_COL, T.StringType()), T.StructField(MEMBER_COL, T.StringType()),
+           T.StructField(ROW_COL, T.LongType())])
+    arrow_schema = pa.schema([(c, pa.string()) for c in cols]
+                             + [(ARCHIVE_COL, pa.string()), (MEMBER_COL, pa.string()), (ROW_COL, pa.int64())])
     drop_first = alias_row == "positional"
 
-    def explode_archives(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            buf: list[dict] = []
-            for path, content in zip(pdf["path"], pdf["content"]):
-                for row in _member_rows(path, bytes(content), member_pattern, cols, drop_first):
-                    buf.append(row)
-                    if len(buf) >= batch_rows:
-                        yield pd.DataFrame(buf, columns=cols + [ARCHIVE_COL, MEMBER_COL, ROW_COL])
-                        buf = []
-            if buf:
-                yield pd.DataFrame(buf, columns=cols + [ARCHIVE_COL, MEMBER_COL, ROW_COL])
+    def explode_archives(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):
+                yield from _archive_batches(path, content.as_py(), member_pattern, cols, drop_first,
+                                            arrow_schema, batch_rows)
 
     raw = spark.read.format("binaryFile").load(paths).select("path", "content")
     # a task holds one input split of archives (spark.sql.files.maxPartitionBytes)
-    rows = raw.mapInPandas(explode_archives, out_schema)
+    rows = raw.mapInArrow(explode_archives, spark_schema)
     if alias_row == "typed":
         d = F.trim(F.col(schema.COL_DATE))
         rows = rows.filter(F.col(schema.COL_DATE).isNull() | (d == "") | d.try_cast("bigint").isNotNull())
@@ -111,4 +123,4 @@ def tag_by_member(df: DataFrame, tags: dict[str, str], col: str = "city") -> Dat
     for name, t in tags.items():
         kv += [F.lit(name), F.lit(t)]
     base = F.element_at(F.split(F.col(MEMBER_COL), "/"), -1)
-    return df.withColumn(col, F.element_at(F.create_map(*kv), base))
+    return df.withColumn(col, F.try_element_at(F.create_map(*kv), base))
