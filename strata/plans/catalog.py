@@ -164,6 +164,11 @@ def q_random_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.unionByName(b)
 
 
+def _regions(spark: SparkSession, sf_dir: str) -> list[str]:
+    """The city tags of the stand-in: the region names (a five-row table)."""
+    return sorted(r[0] for r in standin.table(spark, sf_dir, "region").select("r_name").collect())
+
+
 def _round_trip_columns(df: DataFrame) -> DataFrame:
     """The columns the round-trip queries compare: text as read, plus the decoded date."""
     return df.select(
@@ -175,7 +180,7 @@ def _round_trip_columns(df: DataFrame) -> DataFrame:
 def q_csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records written as per-city BOM CSV files with alias rows, read back and tagged by path."""
     out = scratch_path(spark, "csv")
-    write_records_csv(standin.records(spark, sf_dir), out, tag_col="city")
+    write_records_csv(standin.records(spark, sf_dir), out, tag_col="city", tags=_regions(spark, sf_dir))
     files = [r["path"] for r in list_files(spark, [out]).collect()]  # the written file list
     sources = {f: _tag_from_folder(f, "city") for f in files if f.endswith(".csv")}
     return _round_trip_columns(read_tagged(spark, sources, col="city"))
@@ -195,8 +200,7 @@ def q_zip_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "zip")
     archives = standin.write_city_archives(standin.records(spark, sf_dir), out)
     rows = read_zip_members(spark, archives, member_pattern="*.csv", alias_row="positional")
-    cities = [r[0] for r in standin.table(spark, sf_dir, "region").select("r_name").collect()]
-    return _round_trip_columns(tag_by_member(rows, {f"{c}.csv": c for c in cities}))
+    return _round_trip_columns(tag_by_member(rows, {f"{c}.csv": c for c in _regions(spark, sf_dir)}))
 
 
 def q_json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -213,7 +217,7 @@ def q_stream_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.streaming.arrivals import ingest_arrivals, tag_by_folder
 
     landing = scratch_path(spark, "landing")
-    write_records_csv(standin.records(spark, sf_dir), landing, tag_col="city")
+    write_records_csv(standin.records(spark, sf_dir), landing, tag_col="city", tags=_regions(spark, sf_dir))
     events_dir = scratch_path(spark, "events")
     q = ingest_arrivals(spark, landing, events_dir, checkpoint=scratch_path(spark, "stream-ckpt"),
                         n_fields=2, use_value=standin.STANDIN_USE,

@@ -7,7 +7,7 @@ names, then an English alias row, then data.  One folder per tag
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,18 +19,23 @@ BOM = "\ufeff"
 
 def write_records_csv(df: DataFrame, out_dir: str, *, tag_col: str = "city",
                       alias: Mapping[str, str] | None = None, bom: bool = True,
-                      mode: str = "overwrite") -> str:
+                      tags: Iterable[str] | None = None, mode: str = "overwrite") -> str:
     """Write text record columns as CSV under ``out_dir/<tag_col>=<tag>/``.
 
     ``alias`` maps source column -> alias text for the alias row (default:
     the English output names); one alias row per tag is written before that
     tag's data rows in the same task.  ``bom`` prefixes the first header name
-    with U+FEFF, so the file starts with the UTF-8 byte-order mark.
+    with U+FEFF, so the file starts with the UTF-8 byte-order mark.  ``tags``
+    (when the caller knows them) saves the pass that finds the distinct tags.
     """
     cols = [c for c in df.columns if c != tag_col]
     alias = schema.ALIAS_BY_SOURCE if alias is None else alias
     data = df.select(tag_col, *cols).withColumn("_ord", F.lit(1))
-    alias_rows = (df.select(tag_col).distinct()
+    if tags is None:
+        tag_rows = df.select(tag_col).distinct()
+    else:
+        tag_rows = df.sparkSession.createDataFrame([(t,) for t in tags], f"`{tag_col}` string")
+    alias_rows = (tag_rows
                   .select(tag_col, *[F.lit(alias.get(c, c)).alias(c) for c in cols])
                   .withColumn("_ord", F.lit(0)))
     rows = alias_rows.unionByName(data).sortWithinPartitions(tag_col, "_ord").drop("_ord")
