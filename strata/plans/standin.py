@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.dates import date_to_roc
 from strata.functions.numerals import floor_text
+from strata.session import default_parallelism
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,8 +44,12 @@ def fact_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     - any large input - is returned untouched, with no added shuffle.
     """
     li = table(spark, sf_dir, "lineitem")
-    cores = spark.sparkContext.defaultParallelism
-    if li.rdd.getNumPartitions() < cores:
+    cores = default_parallelism(spark)
+    try:
+        splits = li.rdd.getNumPartitions()  # planning only: file splits of the scan
+    except Exception:  # no RDD access (Spark Connect): leave the scan as it is
+        return li
+    if splits < cores:
         li = li.repartition(cores, "l_orderkey", "l_linenumber")
     return li
 

@@ -14,15 +14,32 @@ def checkpoint_dir(spark: SparkSession) -> str:
     It is read from the session.  Only when the session names none (a local
     test) is a folder of our own created and set.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    conf = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session has no SparkContext
+        sc = None
+    if sc is not None:
+        current = sc.getCheckpointDir()
+        if current:
+            return current
+        conf = conf or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
         conf = tempfile.mkdtemp(prefix="strata-ckpt-")
-    sc.setCheckpointDir(conf)
-    return sc.getCheckpointDir() or conf
+        if sc is None:
+            spark.conf.set("spark.checkpoint.dir", conf)
+    if sc is not None:
+        sc.setCheckpointDir(conf)
+        return sc.getCheckpointDir() or conf
+    return conf
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    """Cores the session schedules on (falls back to the shuffle partition count)."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

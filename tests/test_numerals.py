@@ -63,3 +63,21 @@ def test_written_forms(spark):
 def test_native_plan_has_no_python(spark, texts):
     plan = texts.select(floors("t")).select("*")._jdf.queryExecution().executedPlan().toString()
     assert "EvalPython" not in plan
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+ALPHABET = "一二三四五六七八九十百零層地下以上a1 "
+
+
+@settings(max_examples=1, deadline=None)
+@given(st.lists(st.text(alphabet=ALPHABET, max_size=8), min_size=300, max_size=300))
+def test_native_python_pandas_agree_on_any_text(spark, texts):
+    rows = [(i, t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "i int, t string")
+    for mode in ("compat", "full"):
+        native = {r.i: r.v for r in df.select("i", floors("t", mode).alias("v")).collect()}
+        assert native == {i: decode_floor_text(t, mode) for i, t in rows}
+        assert decode_floor_series(pd.Series(texts, dtype=object), mode).tolist() == \
+            [decode_floor_text(t, mode) for t in texts]
