@@ -180,7 +180,8 @@ def _round_trip_columns(df: DataFrame) -> DataFrame:
 def q_csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records written as per-city BOM CSV files with alias rows, read back and tagged by path."""
     out = scratch_path(spark, "csv")
-    write_records_csv(standin.records(spark, sf_dir), out, tag_col="city", tags=_regions(spark, sf_dir))
+    write_records_csv(standin.records(spark, sf_dir, spread=True), out, tag_col="city",
+                      tags=_regions(spark, sf_dir))
     files = [r["path"] for r in list_files(spark, [out]).collect()]  # the written file list
     sources = {f: _tag_from_folder(f, "city") for f in files if f.endswith(".csv")}
     return _round_trip_columns(read_tagged(spark, sources, col="city"))
@@ -198,7 +199,7 @@ def _tag_from_folder(path: str, col: str) -> str:
 def q_zip_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records zipped as per-city members (alias row first), ingested from the archives."""
     out = scratch_path(spark, "zip")
-    archives = standin.write_city_archives(standin.records(spark, sf_dir), out)
+    archives = standin.write_city_archives(standin.records(spark, sf_dir, spread=True), out)
     rows = read_zip_members(spark, archives, member_pattern="*.csv", alias_row="positional")
     return _round_trip_columns(tag_by_member(rows, {f"{c}.csv": c for c in _regions(spark, sf_dir)}))
 
@@ -217,7 +218,8 @@ def q_stream_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.streaming.arrivals import ingest_arrivals, tag_by_folder
 
     landing = scratch_path(spark, "landing")
-    write_records_csv(standin.records(spark, sf_dir), landing, tag_col="city", tags=_regions(spark, sf_dir))
+    write_records_csv(standin.records(spark, sf_dir, spread=True), landing, tag_col="city",
+                      tags=_regions(spark, sf_dir))
     events_dir = scratch_path(spark, "events")
     q = ingest_arrivals(spark, landing, events_dir, checkpoint=scratch_path(spark, "stream-ckpt"),
                         n_fields=2, use_value=standin.STANDIN_USE,

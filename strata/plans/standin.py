@@ -35,15 +35,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def fact_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``lineitem``, spread over the session's cores when its scan has fewer splits.
+def fact_table(spark: SparkSession, sf_dir: str, *, spread: bool = False) -> DataFrame:
+    """``lineitem``; with ``spread``, spread over the session's cores when its scan has fewer splits.
 
-    A table stored as one row group scans as one task; in that case (small
-    test data only) the rows are hash-partitioned on their key so the rest of
-    the plan runs in parallel.  A scan with at least as many splits as cores
-    - any large input - is returned untouched, with no added shuffle.
+    A table stored as one row group scans as one task; the stand-in writers
+    (which write whole record files) then hash-partition the rows on their
+    key so the writes run in parallel.  A scan with at least as many splits
+    as cores - any large input - is returned untouched, with no added shuffle.
     """
     li = table(spark, sf_dir, "lineitem")
+    if not spread:
+        return li
     cores = default_parallelism(spark)
     try:
         splits = li.rdd.getNumPartitions()  # planning only: file splits of the scan
@@ -58,9 +60,10 @@ def _txt(c) -> F.Column:
     return c.cast("string")
 
 
-def records(spark: SparkSession, sf_dir: str, *, with_city: bool = True) -> DataFrame:
+def records(spark: SparkSession, sf_dir: str, *, with_city: bool = True,
+            spread: bool = False) -> DataFrame:
     """Record rows (all text, source column names) plus ``city`` when asked."""
-    li = fact_table(spark, sf_dir)
+    li = fact_table(spark, sf_dir, spread=spread)
     part = table(spark, sf_dir, "part")
     supp = table(spark, sf_dir, "supplier")
     nation = table(spark, sf_dir, "nation")
