@@ -81,6 +81,12 @@ def q_nest_full_unnest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select("city", "date", "e.*")
 
 
+def q_flagship_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 28-field document, one JSON line per city (null fields written out)."""
+    doc = _transform(spark, sf_dir, n_fields=28)
+    return doc.select("city", F.to_json("time_slots", {"ignoreNullFields": "false"}).alias("line"))
+
+
 def q_floors_native(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Floor text -> int with the native column expression."""
     return standin.floor_texts(spark, sf_dir).select("number", floors("總樓層數").alias("floors"))
@@ -232,6 +238,7 @@ def queries() -> dict[str, Query]:
     return {
         "q_flagship": q_flagship,
         "q_flagship_combined": q_flagship_combined,
+        "q_flagship_full": q_flagship_full,
         "q_nest_paged": q_nest_paged,
         "q_nest_events": q_nest_events,
         "q_nest_full_unnest": q_nest_full_unnest,
@@ -321,8 +328,26 @@ FROM rec"""
     floors_q = f"""
 SELECT {_NUMBER} AS number, p.p_size AS floors
 FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey"""
+    full_event = f"""{{'district': district, 'transaction_sign': p_name, 'number_plate': s_name,
+  'square_meter': l_quantity, 'use_zoning': p_brand, 'non_metropolis_district': l_linestatus,
+  'non_metropolis_land_use': CAST(NULL AS VARCHAR), 'transaction_date': {_ROC_INT},
+  'transaction_number': CAST(l_linenumber AS VARCHAR), 'shifting': CAST(NULL AS VARCHAR),
+  'total_floor': (SELECT {_FLOOR_TEXT} FROM (SELECT floors AS p_size)), 'type': type,
+  'main_use': main_use, 'main_materials': CAST(NULL AS VARCHAR), 'complete_date': CAST(NULL AS VARCHAR),
+  'total_area': l_extendedprice, 'room': CAST(l_linenumber AS INTEGER), 'hall': CAST(NULL AS INTEGER),
+  'health': CAST(NULL AS INTEGER), 'compartmented': CAST(NULL AS VARCHAR),
+  'organization': CAST(NULL AS VARCHAR), 'price': CAST(l_orderkey AS BIGINT), 'unit_price': l_discount,
+  'berth': CAST(NULL AS VARCHAR), 'berth_area': l_tax, 'berth_price': CAST(NULL AS BIGINT),
+  'note': CAST(NULL AS VARCHAR), 'number': {_NUMBER}}}"""
+    flagship_full = f"""
+WITH {_REC},
+ev AS (SELECT city, date, {full_event} AS e FROM kept),
+slots AS (SELECT city, date, list(e ORDER BY e NULLS FIRST) AS events FROM ev GROUP BY city, date)
+SELECT city, to_json(list({{'date': date, 'events': events}} ORDER BY date DESC NULLS LAST)) AS line
+FROM slots GROUP BY city"""
     return {
         "q_flagship": flagship,
+        "q_flagship_full": flagship_full,
         "q_flagship_combined": flagship,
         "q_nest_paged": paged,
         "q_nest_events": f"""
