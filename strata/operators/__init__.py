@@ -23,6 +23,7 @@ from strata.operators.tagging import (
     ColumnMismatch,
     assert_same_columns,
     reconcile_counts,
+    source_counts,
     tag,
     tagged_union,
     union_all,
@@ -33,6 +34,6 @@ __all__ = [
     "distinct_sorted", "distinct_values", "document_json", "event_struct",
     "hash_bucket", "hash_split", "high_rise", "high_rise_condition", "md5_order",
     "nest_events", "nest_paged", "nest_slots", "nest_two_levels", "null_tokens",
-    "random_split", "reconcile_counts", "row_number_by_range", "tag",
+    "random_split", "reconcile_counts", "row_number_by_range", "source_counts", "tag",
     "tagged_union", "to_english", "top_n", "union_all",
 ]

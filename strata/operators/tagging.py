@@ -57,13 +57,19 @@ def tagged_union(frames: Mapping[str, DataFrame], col: str = "city") -> DataFram
     return union_all(tag(df, t, col) for t, df in frames.items())
 
 
+def source_counts(frames: Mapping[str, DataFrame], tag_col: str = "city") -> DataFrame:
+    """``(tag_col, n_expected)``: row count of every source frame, before any union."""
+    return union_all(df.agg(F.count(F.lit(1)).alias("n_expected"))
+                     .select(F.lit(t).alias(tag_col), "n_expected") for t, df in frames.items())
+
+
 def reconcile_counts(df: DataFrame, tag_col: str = "city",
                      expected: DataFrame | None = None) -> DataFrame:
     """Per-tag row counts plus a grand total, in one aggregation pass.
 
     Returns ``(tag_col, n_rows)`` rows and one row with a null tag holding the
     total (``rollup``).  With ``expected`` (``tag_col, n_expected``) the
-    result also has ``n_expected`` and ``ok``.
+    result also has ``n_expected`` and ``ok`` (see :func:`source_counts`).
     """
     counts = df.rollup(tag_col).agg(F.count(F.lit(1)).alias("n_rows"))
     if expected is None:

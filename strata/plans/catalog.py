@@ -20,7 +20,7 @@ from strata.functions.numerals import floor_text, floors, floors_pandas_udf, flo
 from strata.operators.inspect import distinct_values, top_n
 from strata.operators.nest import document_json, nest_events, nest_paged, nest_two_levels
 from strata.operators.split import balanced_split, hash_split, random_split
-from strata.operators.tagging import reconcile_counts, tagged_union
+from strata.operators.tagging import reconcile_counts, source_counts, tagged_union
 from strata.plans import standin
 from strata.plans.job import clean, filter_records, select_events, split_parts, transform
 from strata.session import scratch_path
@@ -147,8 +147,10 @@ def q_tagged_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per-tag row counts and the grand total (null tag) in one pass."""
-    return reconcile_counts(tagged_union(standin.segment_frames(spark, sf_dir), col="city"), "city")
+    """Union counts per tag and in total (one rollup pass) against the source counts before the union."""
+    frames = standin.segment_frames(spark, sf_dir)
+    union = tagged_union(frames, col="city")
+    return reconcile_counts(union, "city", source_counts(frames, "city"))
 
 
 def q_hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -403,7 +405,7 @@ ORDER BY total_floor DESC LIMIT 100""",
 SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment AS city FROM customer
 WHERE c_mktsegment IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY')""",
         "q_reconcile": """
-SELECT c_mktsegment AS city, count(*) AS n_rows FROM customer
+SELECT c_mktsegment AS city, count(*) AS n_rows, count(*) AS n_expected, true AS ok FROM customer
 WHERE c_mktsegment IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY')
 GROUP BY ROLLUP (c_mktsegment)""",
         "q_hash_split": f"SELECT c_custkey, {_MD5_ORDER} % 2 AS part FROM customer",

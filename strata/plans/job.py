@@ -1,9 +1,10 @@
 """The batch job: tagged records -> clean -> filter -> nest -> split -> JSON lines.
 
 ``transform`` is the lazy plan from tagged text records to the nested
-document; ``run`` adds reading the city files and writing the parts.  Both
-are plain DataFrame code: two hash aggregations (slot, then city) and no
-Python in the plan.
+document; ``run`` adds reading the city files and writing the parts.  The
+document plan is plain DataFrame code: two hash aggregations (slot, then
+city) and no Python; the bounded paged form adds a range-partitioned
+numbering step (see ``operators.rank``).
 """
 
 from __future__ import annotations
@@ -117,8 +118,10 @@ def run(
 ) -> dict[str, str]:
     """Read ``{path: city}`` files, build the document, write one JSON-lines folder per part.
 
-    Returns ``{part: folder}``.  One pass over the input: the parts are
-    written by a single ``partitionBy`` write.
+    Returns ``{part: folder}``.  All parts are written by a single
+    ``partitionBy`` write; with the default hash split that write is the only
+    pass over the input (the balanced split first ranks the keys, which
+    computes the document once more).
     """
     from strata.sinks.json_lines import write_parts
     from strata.sources.records import read_tagged
