@@ -11,11 +11,13 @@ import argparse
 import json
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from strata import schema
 from strata.plans.job import split_parts, transform
 from strata.sinks.json_lines import write_parts
-from strata.sources.records import city_sources, read_tagged
+from strata.session import size_for_input
+from strata.sources.records import city_sources, list_files, read_tagged
 from strata.sources.zip_members import read_zip_members, tag_by_member
 
 
@@ -36,9 +38,14 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
                     help="write bounded pages (city, page, time_slots) instead of one line per city")
     ap.add_argument("--combine-copies", action="store_true",
                     help="count identical events map-side before nesting")
+    ap.add_argument("--no-sizing", action="store_true",
+                    help="keep the session's shuffle and split sizes (default: size them from the input bytes)")
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("strata").getOrCreate()
+    if not args.no_sizing:
+        total = list_files(spark, [args.input]).agg(F.sum("length")).first()[0] or 0  # metadata only
+        size_for_input(spark, total)
     if args.zip:
         rows = read_zip_members(spark, args.input, member_pattern="?_lvr_land_A.csv",
                                 columns=schema.required_columns(args.fields), alias_row=args.alias_row)

@@ -11,9 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# --- fixed values -----------------------------------------------------------
-ROC_OFFSET = 19110000  # (1911 years) x 10000, added to yyyMMdd
-# --- end of fixed values ----------------------------------------------------
+from strata.schema import ROC_OFFSET
 
 
 def _col(c: Column | str) -> Column:
@@ -29,4 +27,4 @@ def roc_to_date(roc: Column | str) -> Column:
 def date_to_roc(d: Column | str) -> Column:
     """Inverse of :func:`roc_to_date` for dates from 1912 on: ``date`` -> int."""
     c = _col(d)
-    return ((F.year(c) - 1911) * 10000 + F.month(c) * 100 + F.dayofmonth(c)).cast("int")
+    return ((F.year(c) - ROC_OFFSET // 10000) * 10000 + F.month(c) * 100 + F.dayofmonth(c)).cast("int")

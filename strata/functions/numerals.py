@@ -29,12 +29,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# --- fixed values -----------------------------------------------------------
-DIGITS = "一二三四五六七八九"  # 1..9, position in the string = value
-TEN = "十"
-HUNDRED = "百"
-FLOOR_SUFFIX = "層"
-# --- end of fixed values ----------------------------------------------------
+from strata.schema import FLOOR_SUFFIX, NUMERAL_DIGITS, NUMERAL_HUNDRED, NUMERAL_TEN, NUMERAL_ZERO
 
 MODES = ("compat", "full")
 
@@ -46,7 +41,7 @@ def _col(c: Column | str) -> Column:
 def _digit_map() -> Column:
     """Literal map 一..九 -> 1..9 (constant-folded by Catalyst)."""
     kv = []
-    for i, ch in enumerate(DIGITS):
+    for i, ch in enumerate(NUMERAL_DIGITS):
         kv += [F.lit(ch), F.lit(i + 1)]
     return F.create_map(*kv)
 
@@ -75,16 +70,16 @@ def floors(text: Column | str, mode: str = "compat") -> Column:
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
     s = F.regexp_replace(_col(text), f"{FLOOR_SUFFIX}\\z", "")
-    value = _weighted_digit_before(s, TEN, 10) + _digit_or(F.substring(s, -1, 1), 0)
+    value = _weighted_digit_before(s, NUMERAL_TEN, 10) + _digit_or(F.substring(s, -1, 1), 0)
     if mode == "full":
-        value = value + _weighted_digit_before(s, HUNDRED, 100)
+        value = value + _weighted_digit_before(s, NUMERAL_HUNDRED, 100)
     # null text: every term above is null-safe except the sum, which coalesces to 0
     return F.coalesce(value, F.lit(0)).cast(T.IntegerType())
 
 
 # --- Python helpers for the UDF surfaces -----------------------------------
 
-_DIGIT_VALUE = {ch: i + 1 for i, ch in enumerate(DIGITS)}
+_DIGIT_VALUE = {ch: i + 1 for i, ch in enumerate(NUMERAL_DIGITS)}
 
 
 def decode_floor_text(text: str | None, mode: str = "compat") -> int:
@@ -93,7 +88,7 @@ def decode_floor_text(text: str | None, mode: str = "compat") -> int:
         return 0
     s = text[:-1] if text.endswith(FLOOR_SUFFIX) else text
     value = _DIGIT_VALUE.get(s[-1:], 0)
-    for marker, weight, enabled in ((TEN, 10, True), (HUNDRED, 100, mode == "full")):
+    for marker, weight, enabled in ((NUMERAL_TEN, 10, True), (NUMERAL_HUNDRED, 100, mode == "full")):
         at = s.find(marker)
         if enabled and at >= 0:
             value += weight * _DIGIT_VALUE.get(s[at - 1:at] if at > 0 else "", 1)
@@ -106,7 +101,7 @@ def decode_floor_series(texts: pd.Series, mode: str = "compat") -> pd.Series:
     s = s.where(~s.str.endswith(FLOOR_SUFFIX, na=False), s.str.slice(0, -1))
     digit_map = pd.Series(_DIGIT_VALUE, dtype="Int64")
     value = s.str.slice(-1).map(digit_map).fillna(0).astype("Int64")
-    for marker, weight, enabled in ((TEN, 10, True), (HUNDRED, 100, mode == "full")):
+    for marker, weight, enabled in ((NUMERAL_TEN, 10, True), (NUMERAL_HUNDRED, 100, mode == "full")):
         if not enabled:
             continue
         # text before the first marker (NaN when the marker is absent)
@@ -144,11 +139,11 @@ def floor_text(n: Column | str) -> Column:
     o = F.pmod(v, F.lit(10)).cast("int")
 
     def d(x: Column) -> Column:
-        return F.substring(F.lit(DIGITS), x, 1)
+        return F.substring(F.lit(NUMERAL_DIGITS), x, 1)
 
-    hundreds = F.when(h > 0, F.concat(d(h), F.lit(HUNDRED))).otherwise(F.lit(""))
-    tens = (F.when(t > 0, F.concat(F.when((t == 1) & (h == 0), F.lit("")).otherwise(d(t)), F.lit(TEN)))
-            .when((h > 0) & (o > 0), F.lit("零")).otherwise(F.lit("")))
+    hundreds = F.when(h > 0, F.concat(d(h), F.lit(NUMERAL_HUNDRED))).otherwise(F.lit(""))
+    tens = (F.when(t > 0, F.concat(F.when((t == 1) & (h == 0), F.lit("")).otherwise(d(t)), F.lit(NUMERAL_TEN)))
+            .when((h > 0) & (o > 0), F.lit(NUMERAL_ZERO)).otherwise(F.lit("")))
     ones = F.when(o > 0, d(o)).otherwise(F.lit(""))
     text = F.concat(hundreds, tens, ones, F.lit(FLOOR_SUFFIX))
     return F.when((v >= 0) & (v <= 999), text)

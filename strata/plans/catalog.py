@@ -190,7 +190,7 @@ def q_csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "csv")
     write_records_csv(standin.records(spark, sf_dir, spread=True), out, tag_col="city",
                       tags=_regions(spark, sf_dir))
-    files = [r["path"] for r in list_files(spark, [out]).collect()]  # the written file list
+    files = [r["path"] for r in list_files(spark, [out]).select("path").collect()]  # the written file list
     sources = {f: _tag_from_folder(f, "city") for f in files if f.endswith(".csv")}
     return _round_trip_columns(read_tagged(spark, sources, col="city"))
 

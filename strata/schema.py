@@ -71,6 +71,17 @@ COL_FLOORS_TEXT = "總樓層數"
 COL_TYPE = "建物型態"
 COL_USE = "主要用途"
 
+# Chinese numerals in floor texts: the digits 1..9 in order (position =
+# value), ten, hundred, zero, and the floor suffix.
+NUMERAL_DIGITS = "一二三四五六七八九"
+NUMERAL_TEN = "十"
+NUMERAL_HUNDRED = "百"
+NUMERAL_ZERO = "零"
+FLOOR_SUFFIX = "層"
+
+# ROC calendar: year 1 is 1912, so yyyMMdd + 19110000 is the Gregorian yyyyMMdd.
+ROC_OFFSET = 19110000
+
 # Text tokens pandas reads as missing by default; the source files were
 # rewritten through pandas, so these arrived as empty (null) values.
 NA_TOKENS: list[str] = [

@@ -43,6 +43,33 @@ def default_parallelism(spark: SparkSession) -> int:
         return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+DEFAULT_SHUFFLE_PARTITIONS = "200"
+
+
+def size_for_input(spark: SparkSession, input_bytes: int, *,
+                   target_partition_bytes: int = 256 << 20, max_partitions: int = 100_000) -> int:
+    """Size shuffles and splits for an input of ``input_bytes``.
+
+    Sets the shuffle partition count to about one per ``target_partition_bytes``
+    of input (at least two per core, at most ``max_partitions``) unless the
+    session already chose one, and makes the same size AQE's coalescing
+    target and the scan split size.  Returns the shuffle partition count in
+    effect.  The filter and projection shrink the data before the first
+    shuffle, so AQE coalesces the post-shuffle partitions further.
+    """
+    current = spark.conf.get("spark.sql.shuffle.partitions")
+    if current != DEFAULT_SHUFFLE_PARTITIONS:
+        return int(current)
+    n = -(-int(input_bytes) // target_partition_bytes)
+    n = max(2 * default_parallelism(spark), min(max_partitions, n))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_partition_bytes))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(target_partition_bytes))
+    return n
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark).rstrip("/")

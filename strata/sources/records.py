@@ -35,6 +35,7 @@ from __future__ import annotations
 import csv
 import io
 import posixpath
+import warnings
 from collections.abc import Iterable, Iterator, Mapping
 from functools import reduce
 
@@ -95,28 +96,50 @@ def _peek_headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             # the header record ends at the first line break outside quotes;
             # reading a bounded prefix is enough for any real header
             headers.append("\x1f".join(parse_header(head)))
-        yield pd.DataFrame({"path": pdf["path"], "header": headers})
+        yield pd.DataFrame({"path": pdf["path"], "length": pdf["length"], "header": headers})
 
 
 def list_files(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
-    """Files under ``paths`` (files, folders or globs) as ``path`` rows; no content is read."""
+    """Files under ``paths`` (files, folders or globs) as ``path, length`` rows; no content is read."""
     return (spark.read.format("binaryFile")
             .option("recursiveFileLookup", "true")
             .load(list(paths))
-            .select("path"))
+            .select("path", "length"))
 
 
-def file_headers(spark: SparkSession, paths: Iterable[str]) -> dict[str, list[str]]:
-    """``{header -> [files]}`` for every file under ``paths`` (one distributed job).
+def discover(spark: SparkSession, paths: Iterable[str]) -> dict[str, list[tuple[str, int]]]:
+    """``{header -> [(file, bytes)]}`` for every file under ``paths`` (one distributed job).
 
     Headers are grouped in Spark, so each distinct header comes back once
     with its file list (the driver holds the file list anyway: Spark's file
     sources plan from it).
     """
-    files = list_files(spark, paths)
-    heads = files.mapInPandas(_peek_headers, "path string, header string")
-    grouped = heads.groupBy("header").agg(F.collect_list("path").alias("files"))
-    return {row["header"]: sorted(row["files"]) for row in grouped.collect()}
+    heads = list_files(spark, paths).mapInPandas(_peek_headers, "path string, length bigint, header string")
+    grouped = heads.groupBy("header").agg(
+        F.sort_array(F.collect_list(F.struct("path", "length"))).alias("files"))
+    return {row["header"]: [(f["path"], f["length"]) for f in row["files"]] for row in grouped.collect()}
+
+
+def file_headers(spark: SparkSession, paths: Iterable[str]) -> dict[str, list[str]]:
+    """``{header -> [files]}`` for every file under ``paths``."""
+    return {h: [p for p, _ in files] for h, files in discover(spark, paths).items()}
+
+
+def _warn_unsplittable(spark: SparkSession, files: list[tuple[str, int | None]]) -> None:
+    split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
+    big = [(p, n) for p, n in files if n is not None and n > 4 * split]
+    if big:
+        warnings.warn(
+            f"{len(big)} file(s) (largest {max(n for _, n in big)} bytes) are read with multiLine=True, "
+            "one task per file; pass multiline=False for large files without line breaks in quoted fields",
+            stacklevel=3)
+
+
+def _bytes(text: str) -> int:
+    t = str(text).strip().lower()
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    t = t[:-1] if t.endswith("b") else t
+    return int(float(t[:-1]) * units[t[-1]]) if t and t[-1] in units else int(t)
 
 
 # --- tagging ----------------------------------------------------------------
@@ -201,15 +224,20 @@ def read_records(
     alias_row: str = "typed",
     na_tokens: Iterable[str] | None = None,
     multiline: bool = True,
-    groups: Mapping[str, list[str]] | None = None,
+    groups: Mapping[str, list] | None = None,
 ) -> DataFrame:
     """Read record CSV files (any header order) into text columns plus ``_file``.
 
     ``require``: columns every file must have (they are the output columns);
     ``None`` keeps the columns of the files, which must then agree as a set.
-    ``groups`` (``{header: files}``) skips discovery when already known.
+    ``groups`` (``{header: files}`` or ``{header: [(file, bytes)]}``) skips
+    discovery when already known.
     """
-    groups = file_headers(spark, paths) if groups is None else groups
+    found = discover(spark, paths) if groups is None else groups
+    sized = {h: [f if isinstance(f, tuple) else (f, None) for f in fs] for h, fs in found.items()}
+    if multiline:
+        _warn_unsplittable(spark, [f for fs in sized.values() for f in fs])
+    groups = {h: [p for p, _ in fs] for h, fs in sized.items()}
     if not groups:
         raise FileNotFoundError(f"no files under {list(paths)}")
     required = None if require is None else list(require)
@@ -252,10 +280,10 @@ def read_tagged(
     tag comes from each row's file path.
     """
     keys = {spark_path(p).rstrip("/"): t for p, t in sources.items()}
-    groups = file_headers(spark, list(keys))
+    groups = discover(spark, list(keys))
     file_tags = {}
     for files in groups.values():
-        for f in files:
+        for f, _ in files:
             t = _tag_for(f, keys)
             if t is None:
                 raise ValueError(f"file {f} matches no source path")

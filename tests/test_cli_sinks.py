@@ -57,3 +57,33 @@ def test_json_lines_single_file_and_parts(spark, tmp_dir):
             if f.endswith(".json"):
                 total += sum(1 for _ in open(os.path.join(folder, f)))
     assert total == 50
+
+
+def test_size_for_input(spark):
+    from strata.session import size_for_input
+
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "200")
+        n = size_for_input(spark, 100 * (256 << 20))
+        assert n == 100 and spark.conf.get("spark.sql.shuffle.partitions") == "100"
+        assert size_for_input(spark, 10) == 100  # a session that chose already keeps its choice
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_big_multiline_file_warns(spark, tmp_dir):
+    import warnings
+
+    from strata.sources.records import read_records
+
+    p = write_city(tmp_dir)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
+        with warnings.catch_warnings(record=True) as caught:
+            warnings.simplefilter("always")
+            read_records(spark, [p], require=COLS)
+        assert any("multiLine" in str(w.message) for w in caught)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
