@@ -18,6 +18,8 @@ def test_flagship_plan(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "EvalPython" not in plan
     assert "rangepartitioning" not in plan.lower()
+    # exactly the two nest levels shuffle; dimensions are broadcast
+    assert plan.count("Exchange hashpartitioning") == 2
     # parquet scans read only the columns used
     opt = df._jdf.queryExecution().optimizedPlan().toString()
     assert "l_comment" not in opt
@@ -29,3 +31,10 @@ def test_csv_filters_pushed(spark, tmp_dir):
     plan = _plan(df)
     assert "PushedFilters" in plan and "StringContains" in plan
     assert "EvalPython" not in plan
+
+
+def test_paged_plan_broadcasts_offsets(spark):
+    df = catalog.q_nest_paged(spark, SF)
+    df.collect()
+    plan = _plan(df)
+    assert "BroadcastHashJoin" in plan and "EvalPython" not in plan
