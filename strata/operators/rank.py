@@ -9,9 +9,10 @@ rows is cut across many tasks.  Each row's number is then
 
 The first term comes from a small table with one row per (partition, k),
 which a window over ``k`` turns into prefix sums; it has at most
-``partitions + distinct k`` rows and is broadcast only below a checked row
-count.  The sorted, numbered rows are checkpointed to the shared checkpoint
-folder, so both reads see the same numbering and lineage is cut.
+``partitions + distinct k`` rows and is broadcast only below a checked size
+(bytes, measured first).  The sorted, numbered rows are checkpointed to the
+shared checkpoint folder, so both reads see the same numbering and lineage
+is cut.
 
 Rows should be distinct on ``(k, o)``: equal rows fall in one partition and
 are numbered in an arbitrary order.  Callers with repeated rows combine them
@@ -27,9 +28,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.operators.sizing import broadcast_if_small, broadcast_threshold
 from strata.session import checkpoint_dir
 
-BROADCAST_ROW_LIMIT = 2_000_000
+# The offsets table has about (range partitions + keys) rows.  Its only
+# alternative to a broadcast is a join that shuffles the big side, so it is
+# broadcast up to this many bytes (or the session threshold, if higher).
+OFFSETS_BROADCAST_BYTES = 256 << 20
 
 
 def _weighted_positions(weight_col: str):
@@ -62,7 +67,7 @@ def cumulative_by_range(
     weight: str | None = None,
     out_col: str = "rn",
     num_partitions: int | None = None,
-    broadcast_row_limit: int = BROADCAST_ROW_LIMIT,
+    broadcast_bytes: int = OFFSETS_BROADCAST_BYTES,
 ) -> DataFrame:
     """Add ``out_col`` (bigint): total ``weight`` of the rows before this one within
     ``partition_by`` in ``order``.  Without ``weight`` every row weighs 1, so
@@ -93,8 +98,7 @@ def cumulative_by_range(
         F.min("_pos").alias("_first"), F.sum(weight_expr).alias("_n"))
     w = Window.partitionBy(*renamed.values()).orderBy("_opid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
-    if offsets.count() <= broadcast_row_limit:
-        offsets = F.broadcast(offsets)
+    offsets, _ = broadcast_if_small(offsets, max(broadcast_bytes, broadcast_threshold(offsets)))
     cond = F.col("_pid") == F.col("_opid")
     for k, v in renamed.items():
         cond = cond & F.col(k).eqNullSafe(F.col(v))
@@ -111,8 +115,8 @@ def row_number_by_range(
     *,
     out_col: str = "rn",
     num_partitions: int | None = None,
-    broadcast_row_limit: int = BROADCAST_ROW_LIMIT,
+    broadcast_bytes: int = OFFSETS_BROADCAST_BYTES,
 ) -> DataFrame:
     """0-based ``row_number`` within ``partition_by`` in ``order``, computed by range."""
     return cumulative_by_range(df, order, partition_by, out_col=out_col, num_partitions=num_partitions,
-                               broadcast_row_limit=broadcast_row_limit)
+                               broadcast_bytes=broadcast_bytes)

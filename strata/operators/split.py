@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.rank import row_number_by_range
+from strata.operators.sizing import broadcast_if_small
 
-BROADCAST_KEY_LIMIT = 2_000_000
 
 
 def random_split(df: DataFrame, weights=(0.5, 0.5), seed: int | None = None) -> list[DataFrame]:
@@ -56,6 +56,7 @@ def balanced_split(df: DataFrame, key: str, n: int = 2, seed: int = 42, col: str
     ranked = row_number_by_range(keys, [F.col("_h").asc(), F.col(key).asc_nulls_first()], out_col="_rk")
     total = ranked.count()  # a scalar: the number of distinct keys
     parts = ranked.select(key, ntile_of(F.col("_rk"), F.lit(total), n).alias(col))
-    if total <= BROADCAST_KEY_LIMIT:
-        parts = F.broadcast(parts)
+    # broadcast the key table only when its measured size is under the
+    # session's threshold; otherwise Spark joins by shuffle
+    parts, _ = broadcast_if_small(parts)
     return df.join(parts, df[key].eqNullSafe(parts[key]), "inner").drop(parts[key])

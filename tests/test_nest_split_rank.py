@@ -101,3 +101,13 @@ def test_combined_copies_same_document(spark):
     a = nest_two_levels(ev).select("city", F.to_json("time_slots").alias("j")).collect()
     b = nest_two_levels(ev, combine_copies=True).select("city", F.to_json("time_slots").alias("j")).collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+
+def test_measure_and_broadcast_gate(spark):
+    from strata.operators.sizing import broadcast_if_small, measure
+
+    df = spark.createDataFrame([("abc", 1), ("de", 2)], "s string, i int")
+    rows, size = measure(df)
+    assert rows == 2 and size == 2 * 16 + 5 + 2 * 4
+    assert broadcast_if_small(df, 1000)[1] is True
+    assert broadcast_if_small(df, 10)[1] is False
