@@ -36,7 +36,8 @@ def write_parts(df: DataFrame, out_dir: str, *, part_col: str = "part",
     if files_per_part == 1:
         out = df.repartition(part_col)
     elif files_per_part:
-        salt = F.pmod(F.xxhash64(F.to_json(F.struct(*[F.col(c) for c in df.columns]))), F.lit(files_per_part))
+        # deterministic spread: a hash of the row itself (nested columns hash directly)
+        salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_part))
         out = df.repartition(F.col(part_col), salt)
     out.write.mode(mode).partitionBy(part_col).json(out_dir)
     # list the written folders (file metadata only, no data is re-read or recomputed)
