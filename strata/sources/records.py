@@ -77,14 +77,15 @@ def _open_binary(path: str):
     return filesystem.open_input_stream(inner)
 
 
-def parse_header(first_bytes: bytes) -> list[str]:
+def parse_header(first_bytes: bytes, *, strip: bool = True) -> list[str]:
     """Column names from the first CSV record of a file (BOM and quotes handled)."""
     text = first_bytes.decode("utf-8-sig", errors="replace")
     rows = csv.reader(io.StringIO(text))
     try:
-        return [c.strip() for c in next(rows)]
+        names = next(rows)
     except StopIteration:
         return []
+    return [c.strip() for c in names] if strip else names
 
 
 def _peek_headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -95,7 +96,7 @@ def _peek_headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 head = fh.read(HEADER_PEEK_BYTES)
             # the header record ends at the first line break outside quotes;
             # reading a bounded prefix is enough for any real header
-            headers.append("\x1f".join(parse_header(head)))
+            headers.append("\x1f".join(parse_header(head, strip=False)))
         yield pd.DataFrame({"path": pdf["path"], "length": pdf["length"], "header": headers})
 
 
@@ -244,13 +245,15 @@ def read_records(
     frames = []
     col_sets = []
     for header, files in groups.items():
-        cols = header.split("\x1f") if header else []
+        raw_cols = header.split("\x1f") if header else []
+        cols = [c.strip() for c in raw_cols]  # names as written may carry stray spaces
         if required is not None:
             missing = [c for c in required if c not in cols]
             if missing:
                 raise ColumnMismatch(f"{len(files)} file(s), e.g. {files[0]}, lack columns {missing}")
         col_sets.append(frozenset(cols))
-        df = _scan(spark, files, cols, multiline)
+        df = _scan(spark, files, raw_cols, multiline)
+        df = df.select(*[F.col(f"`{r}`").alias(c) for r, c in zip(raw_cols, cols)], FILE_COL, "_block")
         if alias_row == "positional":
             df = drop_alias_row(df, "positional")
         keep = required if required is not None else cols

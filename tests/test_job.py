@@ -40,12 +40,16 @@ def test_run_writes_disjoint_parts_of_valid_json(spark, tmp_dir):
     out = os.path.join(tmp_dir, "out")
     parts = run(spark, paths, out, require=COLS, files_per_part=1)
     seen = []
+    lines = {}
     for folder in parts.values():
         files = [f for f in os.listdir(folder) if f.endswith(".json")]
         assert len(files) == 1
         for line in open(os.path.join(folder, files[0]), encoding="utf-8"):
-            seen.append(json.loads(line)["city"])
+            city = json.loads(line)["city"]
+            seen.append(city)
+            lines[city] = line.rstrip("\n")
     assert sorted(seen) == sorted(paths.values())  # every city once, across the parts
+    assert lines["台北市"] == EXPECTED_TAIPEI  # the written bytes, order inside arrays included
 
 
 def test_28_field_document(spark, tmp_dir):

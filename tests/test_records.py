@@ -92,3 +92,10 @@ def test_spark_path_forms():
     assert spark_path("/a/b.csv") == "file:/a/b.csv"
     assert spark_path("file:///a/b.csv") == "file:/a/b.csv"
     assert spark_path("hdfs://nn/a") == "hdfs://nn/a"
+
+
+def test_header_names_with_spaces(spark, tmp_dir):
+    cols = [" " + COLS[0]] + COLS[1:-1] + [COLS[-1] + " "]
+    p = write_city(tmp_dir, cols=cols)
+    df = read_records(spark, [p], require=COLS)
+    assert df.columns[:len(COLS)] == COLS and df.count() == len(ROWS)
