@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from strata.operators.project import integral
 from strata.schema import ROC_OFFSET
 
 
@@ -19,8 +20,8 @@ def _col(c: Column | str) -> Column:
 
 
 def roc_to_date(roc: Column | str) -> Column:
-    """ROC ``yyyMMdd`` (int or text) -> ``date``; null when not a valid day."""
-    gregorian = _col(roc).try_cast("bigint") + F.lit(ROC_OFFSET)
+    """ROC ``yyyMMdd`` (int or text, ``1080415.0`` too) -> ``date``; null when not a valid day."""
+    gregorian = integral(_col(roc), "bigint") + F.lit(ROC_OFFSET)
     return F.try_to_date(gregorian.cast("string"), "yyyyMMdd")
 
 

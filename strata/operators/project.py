@@ -4,12 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata import schema
 
 
+def integral(c: Column, typ: str = "bigint") -> Column:
+    """Text (or number) -> integer when it is a whole number, else null.
+
+    Accepts ``1080415`` and the float form ``1080415.0`` that a pandas
+    rewrite leaves in columns with missing values; ``3.5`` and words give
+    null.  Parsed through ``decimal(38,10)``, so long integers stay exact.
+    """
+    d = F.trim(c.cast("string")).try_cast("decimal(38,10)")
+    return F.when(d == F.floor(d), d.try_cast(typ))
+
+
 def null_tokens(df: DataFrame, columns: Iterable[str] | None = None,
                 tokens: Iterable[str] = schema.NA_TOKENS) -> DataFrame:
     """Turn missing-value tokens (``NA``, ``None``, ...) into null.
@@ -29,7 +40,8 @@ def null_tokens(df: DataFrame, columns: Iterable[str] | None = None,
 def cast_columns(df: DataFrame, types: Mapping[str, str] | None = None) -> DataFrame:
     """``try_cast`` text columns to declared types; a bad value becomes null.
 
-    Columns missing from ``types`` keep their type.
+    Integer types go through :func:`integral` (``3.0`` -> 3).  Columns
+    missing from ``types`` keep their type.
     """
     types = schema.TYPE_BY_SOURCE if types is None else types
     out = []
@@ -37,6 +49,8 @@ def cast_columns(df: DataFrame, types: Mapping[str, str] | None = None) -> DataF
         typ = types.get(c)
         if typ is None or typ == "string":
             out.append(F.col(c))
+        elif typ in ("int", "bigint", "smallint", "tinyint"):
+            out.append(integral(F.col(c), typ).alias(c))
         else:
             out.append(F.trim(F.col(c).cast("string")).try_cast(typ).alias(c))
     return df.select(*out)

@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata import schema
-from strata.operators.project import null_tokens
+from strata.operators.project import integral, null_tokens
 from strata.operators.tagging import ColumnMismatch
 
 FILE_COL = "_file"
@@ -184,7 +184,7 @@ def drop_alias_row(df: DataFrame, mode: str = "typed", date_col: str = schema.CO
     """
     if mode == "typed":
         d = F.trim(F.col(date_col))
-        return df.filter(F.col(date_col).isNull() | (d == "") | d.try_cast("bigint").isNotNull())
+        return df.filter(F.col(date_col).isNull() | (d == "") | integral(d).isNotNull())
     if mode == "positional":
         rows = df.withColumn("_rowid", F.monotonically_increasing_id())
         first = (rows.filter(F.col("_block") == 0)

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata import schema
-from strata.operators.project import null_tokens
+from strata.operators.project import integral, null_tokens
 from strata.operators.tagging import ColumnMismatch
 from strata.sources.records import HEADER_PEEK_BYTES, parse_header
 
@@ -109,7 +109,7 @@ def read_zip_members(
     rows = raw.mapInArrow(explode_archives, spark_schema)
     if alias_row == "typed":
         d = F.trim(F.col(schema.COL_DATE))
-        rows = rows.filter(F.col(schema.COL_DATE).isNull() | (d == "") | d.try_cast("bigint").isNotNull())
+        rows = rows.filter(F.col(schema.COL_DATE).isNull() | (d == "") | integral(d).isNotNull())
     elif alias_row not in ("positional", "none"):
         raise ValueError(f"alias row mode must be typed, positional or none, not {alias_row!r}")
     if na_tokens is not None:

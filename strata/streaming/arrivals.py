@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from strata import schema
+from strata.operators.project import integral
 from strata.operators.nest import nest_two_levels
 from strata.plans.job import filter_records, select_events
 from strata.session import checkpoint_dir
@@ -69,7 +70,7 @@ def arrivals(
     raw = reader.csv(landing_dir)
     tagged = raw.withColumn("city", tag_by_letter() if tagger is None else tagger)
     d = F.trim(F.col(schema.COL_DATE))
-    return tagged.filter(F.col(schema.COL_DATE).isNull() | (d == "") | d.try_cast("bigint").isNotNull())
+    return tagged.filter(F.col(schema.COL_DATE).isNull() | (d == "") | integral(d).isNotNull())
 
 
 def ingest_arrivals(

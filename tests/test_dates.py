@@ -8,7 +8,8 @@ from strata.functions.dates import date_to_roc, roc_to_date
 def test_roc_table(spark):
     rows = [("1080415", dt.date(2019, 4, 15)), ("990101", dt.date(2010, 1, 1)),
             ("1080231", None), ("1080000", None), (None, None), ("abc", None), ("", None),
-            ("transaction year month and day", None)]
+            ("transaction year month and day", None), ("1080415.0", dt.date(2019, 4, 15)),
+            (" 990101 ", dt.date(2010, 1, 1)), ("1080415.5", None)]
     df = spark.createDataFrame([(r[0],) for r in rows], "s string")
     got = [r.d for r in df.select(roc_to_date("s").alias("d")).collect()]
     assert got == [r[1] for r in rows]

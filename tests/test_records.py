@@ -99,3 +99,15 @@ def test_header_names_with_spaces(spark, tmp_dir):
     p = write_city(tmp_dir, cols=cols)
     df = read_records(spark, [p], require=COLS)
     assert df.columns[:len(COLS)] == COLS and df.count() == len(ROWS)
+
+
+def test_float_artifacts_from_a_pandas_rewrite(spark, tmp_dir):
+    from strata.operators.project import cast_columns
+
+    rows = [["甲區", "1080415.0", "十三層", "T", "住家用", ""]]
+    p = write_city(tmp_dir, rows=rows)
+    df = read_records(spark, [p], require=COLS, alias_row="typed")
+    assert df.count() == 1  # a float-form date is a date, not an alias row
+    typed = cast_columns(spark.createDataFrame([("3.0", "3.5", "12000000.0")], "a string, b string, c string"),
+                         {"a": "int", "b": "int", "c": "bigint"}).first()
+    assert (typed.a, typed.b, typed.c) == (3, None, 12000000)
