@@ -1,8 +1,7 @@
-"""Writing record rows back as per-tag CSV files (UTF-8 with BOM, header, alias row).
+"""Writing record rows back as per-tag CSV files (UTF-8 with BOM, header, alias rows).
 
-This is the shape of the source files: a header row of source column
-names, then an English alias row, then data.  One folder per tag
-(``partitionBy``), written in one pass.
+The shape of the source files: a header row of source column names, an
+English alias row, data.  One folder per tag (``partitionBy``), one pass.
 """
 
 from __future__ import annotations
@@ -22,11 +21,12 @@ def write_records_csv(df: DataFrame, out_dir: str, *, tag_col: str = "city",
                       tags: Iterable[str] | None = None, mode: str = "overwrite") -> str:
     """Write text record columns as CSV under ``out_dir/<tag_col>=<tag>/``.
 
-    ``alias`` maps source column -> alias text for the alias row (default:
-    the English output names); one alias row per tag is written before that
-    tag's data rows in the same task.  ``bom`` prefixes the first header name
-    with U+FEFF, so the file starts with the UTF-8 byte-order mark.  ``tags``
-    (when the caller knows them) saves the pass that finds the distinct tags.
+    Every file starts with the byte-order mark (``bom``: the first header name
+    is prefixed with U+FEFF) and the header.  ``alias`` maps source column ->
+    alias text (default: the English output names); exactly one alias row per
+    tag is written, among that tag's files - enough for readers that drop the
+    alias row by type (the default).  ``tags`` (when the caller knows them)
+    saves the pass that finds the distinct tags.  One write job.
     """
     cols = [c for c in df.columns if c != tag_col]
     alias = schema.ALIAS_BY_SOURCE if alias is None else alias

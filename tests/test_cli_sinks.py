@@ -87,3 +87,21 @@ def test_big_multiline_file_warns(spark, tmp_dir):
         assert any("multiLine" in str(w.message) for w in caught)
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_records_csv_has_bom_header_and_alias_row(spark, tmp_dir):
+    from strata.sinks.records_csv import write_records_csv
+
+    df = spark.createDataFrame([("台北市", "甲區", "1080415"), ("台北市", "乙區", "990101")],
+                               "city string, `鄉鎮市區` string, `交易年月日` string")
+    out = write_records_csv(df, os.path.join(tmp_dir, "csv"), tags=["台北市"])
+    folder = os.path.join(out, "city=台北市")
+    rows = []
+    for f in sorted(os.listdir(folder)):
+        if f.endswith(".csv"):
+            raw = open(os.path.join(folder, f), "rb").read()
+            assert raw.startswith(b"\xef\xbb\xbf")
+            lines = raw.decode("utf-8-sig").splitlines()
+            assert lines[0] == "鄉鎮市區,交易年月日"
+            rows += lines[1:]
+    assert sorted(rows) == sorted(["district,transaction_date", "甲區,1080415", "乙區,990101"])
