@@ -3,8 +3,8 @@
 Design (nothing is inferred, nothing goes through the driver but file names):
 
 1. **Header discovery** - one distributed pass over the file list
-   (``binaryFile`` without its content column) reads only the first line of
-   every file, in executors.
+   (``binaryFile`` without its content column) reads only a bounded prefix
+   (the header record) of every file, in executors.
 2. **Group by header** - files with the same header are read by one CSV scan
    with an all-string schema and ``enforceSchema=False`` (a file whose header
    changed since discovery fails loudly instead of being misread).  Usually
@@ -19,7 +19,8 @@ Design (nothing is inferred, nothing goes through the driver but file names):
    ``typed`` (default) drops rows whose date is present but not an integer:
    narrow, no shuffle, and it keeps genuine rows whose date is missing.
    ``positional`` drops exactly the first data row of each file (parity),
-   at the cost of a second pass over the first split of every file.
+   at the cost of a second scan of the files (a small aggregate finds the
+   first row of each file, then a broadcast anti-join drops it).
 6. **Missing-value tokens** (``NA``, ``None``, ...) become null when
    ``na_tokens`` is given; the job does it in its cleaning step instead, after
    the filters that must reach the scan.
