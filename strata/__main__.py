@@ -17,7 +17,7 @@ from strata import schema
 from strata.plans.job import split_parts, transform
 from strata.sinks.json_lines import write_parts
 from strata.session import size_for_input
-from strata.sources.records import city_sources, list_files, read_tagged
+from strata.sources.records import city_files, list_files, read_tagged
 from strata.sources.zip_members import read_zip_members, tag_by_member
 
 
@@ -52,7 +52,7 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
         names = {schema.CITY_FILE_PATTERN.format(letter=k): v for k, v in schema.CITY_BY_LETTER.items()}
         records = tag_by_member(rows, names)
     else:
-        records = read_tagged(spark, city_sources(args.input), alias_row=args.alias_row,
+        records = read_tagged(spark, city_files(spark, args.input), alias_row=args.alias_row,
                               require=schema.required_columns(args.fields))
     doc = transform(records, n_fields=args.fields, floors_mode=args.floors,
                     combine_copies=args.combine_copies,

@@ -1,6 +1,7 @@
 """Sources: record CSV files (tagged, header-checked) and zip archives of them."""
 
 from strata.sources.records import (
+    city_files,
     city_sources,
     discover,
     drop_alias_row,
@@ -14,6 +15,6 @@ from strata.sources.records import (
 from strata.sources.zip_members import read_zip_members, tag_by_member
 
 __all__ = [
-    "city_sources", "discover", "drop_alias_row", "file_headers", "list_files", "read_records",
+    "city_files", "city_sources", "discover", "drop_alias_row", "file_headers", "list_files", "read_records",
     "read_tagged", "read_zip_members", "spark_path", "tag_by_file", "tag_by_member",
 ]

@@ -301,3 +301,22 @@ def city_sources(folder: str, letters: Mapping[str, str] | None = None) -> dict[
     letters = schema.CITY_BY_LETTER if letters is None else letters
     base = folder.rstrip("/")
     return {f"{base}/{schema.CITY_FILE_PATTERN.format(letter=k)}": v for k, v in letters.items()}
+
+
+def city_files(spark: SparkSession, folder: str, letters: Mapping[str, str] | None = None) -> dict[str, str]:
+    """``{file: city}`` for the city files actually present under ``folder``.
+
+    Lists the folder (file metadata only) and keeps names of the form
+    ``<letter>_lvr_land_A.csv`` whose letter has a city.
+    """
+    letters = schema.CITY_BY_LETTER if letters is None else letters
+    names = {schema.CITY_FILE_PATTERN.format(letter=k): v for k, v in letters.items()}
+    found = {}
+    for row in list_files(spark, [folder]).select("path").collect():  # the folder's file list
+        city = names.get(row["path"].rsplit("/", 1)[-1])
+        if city is not None:
+            found[row["path"]] = city
+    if not found:
+        raise FileNotFoundError(f"no city files ({', '.join(sorted(names))}) under {folder}")
+    return found
+

@@ -105,3 +105,31 @@ def test_records_csv_has_bom_header_and_alias_row(spark, tmp_dir):
             assert lines[0] == "鄉鎮市區,交易年月日"
             rows += lines[1:]
     assert sorted(rows) == sorted(["district,transaction_date", "甲區,1080415", "乙區,990101"])
+
+
+def test_cli_paged_pages_concatenate_to_document(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "in")
+    os.makedirs(src)
+    write_city(src, "A")
+    full = main([src, os.path.join(tmp_dir, "full")])
+    paged = main([src, os.path.join(tmp_dir, "paged"), "--max-events-per-line", "2"])
+
+    def lines(parts):
+        out = []
+        for folder in parts.values():
+            for f in sorted(os.listdir(folder)):
+                if f.endswith(".json"):
+                    out += [json.loads(x) for x in open(os.path.join(folder, f), encoding="utf-8")]
+        return out
+
+    doc = lines(full)[0]
+    pages = sorted(lines(paged), key=lambda d: d["page"])
+    assert all(sum(len(s["events"]) for s in p["time_slots"]) <= 2 for p in pages)
+    merged = []
+    for p in pages:
+        for s in p["time_slots"]:
+            if merged and merged[-1].get("date") == s.get("date"):
+                merged[-1]["events"] += s["events"]
+            else:
+                merged.append({k: (list(v) if k == "events" else v) for k, v in s.items()})
+    assert merged == doc["time_slots"]
