@@ -43,6 +43,21 @@ def assert_same_columns(frames: Mapping[str, DataFrame] | Iterable[DataFrame],
     return list(ref)
 
 
+def same_columns_by_source(headers: DataFrame, expected: Iterable[str], source_col: str = "city",
+                           header_col: str = "header", ordered: bool = False) -> DataFrame:
+    """V1 over files: per source, do all its files' headers hold exactly ``expected``?
+
+    ``headers`` has one row per file (``source_col``, ``header_col`` with
+    names joined by U+001F, as :func:`strata.sources.records.header_rows`
+    gives).  Returns ``source_col, n_files, same_columns``; one aggregation.
+    """
+    names = F.split(F.col(header_col), "\x1f")
+    want = F.array(*[F.lit(c) for c in expected])
+    match = (names == want) if ordered else (F.array_sort(names) == F.array_sort(want))
+    return headers.groupBy(source_col).agg(
+        F.count(F.lit(1)).alias("n_files"), F.bool_and(match).alias("same_columns"))
+
+
 def union_all(frames: Iterable[DataFrame]) -> DataFrame:
     """Bag union by column name (never by position)."""
     return reduce(lambda a, b: a.unionByName(b), list(frames))

@@ -204,6 +204,21 @@ def _tag_from_folder(path: str, col: str) -> str:
     raise ValueError(f"no {col}= folder in {path}")
 
 
+def q_same_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records written as per-city CSV folders; every file's header checked against the 28 columns."""
+    from strata.operators.tagging import same_columns_by_source
+    from strata.sources.records import header_rows
+
+    out = scratch_path(spark, "headers")
+    write_records_csv(standin.records(spark, sf_dir, spread=True), out, tag_col="city",
+                      tags=_regions(spark, sf_dir))
+    heads = header_rows(spark, [out]).filter(F.col("path").endswith(".csv"))
+    # the writer names folders city=<escaped value>
+    city = F.regexp_extract(F.col("path"), "/city=([^/]+)/", 1)
+    heads = heads.withColumn("city", F.url_decode(F.regexp_replace(city, "\\+", "%2B")))
+    return same_columns_by_source(heads, schema.SOURCE_COLUMNS).select("city", "same_columns")
+
+
 def q_zip_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records zipped as per-city members (alias row first), ingested from the archives."""
     out = scratch_path(spark, "zip")
@@ -260,6 +275,7 @@ def queries() -> dict[str, Query]:
         "q_balanced_split": q_balanced_split,
         "q_random_split": q_random_split,
         "q_csv_round_trip": q_csv_round_trip,
+        "q_same_columns": q_same_columns,
         "q_zip_members": q_zip_members,
         "q_json_round_trip": q_json_round_trip,
         "q_stream_arrivals": q_stream_arrivals,
@@ -416,6 +432,7 @@ FROM (SELECT DISTINCT c_custkey FROM customer)""",
         "q_csv_round_trip": round_trip,
         "q_stream_arrivals": f"WITH {_REC} SELECT city, date, district, type FROM kept",
         "q_zip_members": round_trip,
+        "q_same_columns": "SELECT r_name AS city, true AS same_columns FROM region",
         "q_json_round_trip": f"""
 WITH {_REC},
 slots AS (SELECT city, date, {_EVENTS_2} AS events FROM kept GROUP BY city, date),

@@ -109,6 +109,12 @@ def list_files(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
             .select("path", "length"))
 
 
+def header_rows(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
+    """``path, length, header`` for every file under ``paths``; the header is its
+    column names joined by U+001F.  Lazy: nothing is collected."""
+    return list_files(spark, paths).mapInPandas(_peek_headers, "path string, length bigint, header string")
+
+
 def discover(spark: SparkSession, paths: Iterable[str]) -> dict[str, list[tuple[str, int]]]:
     """``{header -> [(file, bytes)]}`` for every file under ``paths`` (one distributed job).
 
@@ -116,8 +122,7 @@ def discover(spark: SparkSession, paths: Iterable[str]) -> dict[str, list[tuple[
     with its file list (the driver holds the file list anyway: Spark's file
     sources plan from it).
     """
-    heads = list_files(spark, paths).mapInPandas(_peek_headers, "path string, length bigint, header string")
-    grouped = heads.groupBy("header").agg(
+    grouped = header_rows(spark, paths).groupBy("header").agg(
         F.sort_array(F.collect_list(F.struct("path", "length"))).alias("files"))
     return {row["header"]: [(f["path"], f["length"]) for f in row["files"]] for row in grouped.collect()}
 

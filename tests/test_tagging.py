@@ -43,3 +43,23 @@ def test_tag_filter_prunes_branches(spark):
     union = tagged_union(_frames(spark)).filter(F.col("city") == "a")
     plan = union._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Range") == 1  # only branch "a" is left
+
+
+def test_same_columns_by_source(spark, tmp_dir):
+    import os
+
+    from fixtures import COLS, write_city
+    from strata.operators.tagging import same_columns_by_source
+    from strata.sources.records import header_rows
+
+    good = os.path.join(tmp_dir, "good")
+    bad = os.path.join(tmp_dir, "bad")
+    os.makedirs(good)
+    os.makedirs(bad)
+    write_city(good, "A")
+    write_city(good, "B", cols=list(reversed(COLS)))
+    write_city(bad, "A", cols=COLS[:-1] + ["other"])
+    heads = header_rows(spark, [good, bad]).withColumn(
+        "src", F.regexp_extract("path", "/(good|bad)/", 1))
+    got = {r.src: (r.n_files, r.same_columns) for r in same_columns_by_source(heads, COLS, "src").collect()}
+    assert got == {"good": (2, True), "bad": (1, False)}
