@@ -18,7 +18,7 @@ from strata import schema
 from strata.functions.dates import roc_to_date
 from strata.functions.numerals import floor_text, floors, floors_pandas_udf, floors_udf
 from strata.operators.inspect import distinct_values, top_n
-from strata.operators.nest import document_json, nest_events, nest_paged, nest_two_levels
+from strata.operators.nest import document_json, nest_events, nest_two_levels
 from strata.operators.split import balanced_split, hash_split, random_split
 from strata.operators.tagging import reconcile_counts, source_counts, tagged_union
 from strata.plans import standin
