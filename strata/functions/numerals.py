@@ -112,8 +112,8 @@ def decode_floor_series(texts: pd.Series, mode: str = "compat") -> pd.Series:
 
 
 def floors_udf(text: Column | str, mode: str = "compat") -> Column:
-    """Row-at-a-time Python UDF (slow path, parity only)."""
-    fn = F.udf(lambda t: decode_floor_text(t, mode), T.IntegerType())
+    """Row-at-a-time Python UDF (slow path, parity only); Arrow carries the batches."""
+    fn = F.udf(lambda t: decode_floor_text(t, mode), T.IntegerType(), useArrow=True)
     return fn(_col(text))
 
 
