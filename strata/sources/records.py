@@ -13,8 +13,10 @@ Design (nothing is inferred, nothing goes through the driver but file names):
 3. **Check columns by name** (``require``): a missing column raises
    :class:`~strata.operators.tagging.ColumnMismatch`; the groups are then
    unioned *by name*.
-4. **Tag** each row from its file path (``_metadata.file_path``) through a
-   small literal map, or a broadcast join when the file list is long.
+4. **Tag**: with few tags, one scan branch per tag with a literal tag (a
+   filter on the tag prunes whole branches); with many, one scan and the tag
+   from each row's file path through a literal map, or a broadcast join when
+   the file list is long.
 5. **Alias row**: the first data row of every file is an English alias row.
    ``typed`` (default) drops rows whose date is present but not an integer:
    narrow, no shuffle, and it keeps genuine rows whose date is missing.
@@ -276,17 +278,25 @@ def read_records(
     return out
 
 
+BRANCH_TAG_LIMIT = 64  # up to this many tags, one scan branch per tag
+
+
 def read_tagged(
     spark: SparkSession,
     sources: Mapping[str, str],
     *,
     col: str = "city",
+    branch_tag_limit: int = BRANCH_TAG_LIMIT,
     **read_args,
 ) -> DataFrame:
     """Read ``{path: tag}`` (files or folders) into one frame with a ``col`` tag.
 
-    One header pass and one scan for all files (per distinct header); the
-    tag comes from each row's file path.
+    One header pass for all files.  With few tags (``branch_tag_limit``) each
+    tag is its own scan branch with a literal tag: a filter on the tag then
+    removes the other branches, so their files are never read, and the
+    branches together still read every file once.  With many tags one scan
+    per distinct header reads everything and the tag comes from each row's
+    file path, which keeps the plan small.
     """
     keys = {spark_path(p).rstrip("/"): t for p, t in sources.items()}
     groups = discover(spark, list(keys))
@@ -297,6 +307,15 @@ def read_tagged(
             if t is None:
                 raise ValueError(f"file {f} matches no source path")
             file_tags[f] = t
+    tags = sorted(set(file_tags.values()))
+    if len(tags) <= branch_tag_limit:
+        branches = []
+        for t in tags:
+            sub = {h: [(f, n) for f, n in fs if file_tags[f] == t] for h, fs in groups.items()}
+            sub = {h: fs for h, fs in sub.items() if fs}
+            branches.append(read_records(spark, list(keys), groups=sub, **read_args)
+                            .withColumn(col, F.lit(t)))
+        return reduce(lambda a, b: a.unionByName(b), branches)
     df = read_records(spark, list(keys), groups=groups, **read_args)
     return tag_by_file(df, file_tags, col)
 

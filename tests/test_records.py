@@ -111,3 +111,23 @@ def test_float_artifacts_from_a_pandas_rewrite(spark, tmp_dir):
     typed = cast_columns(spark.createDataFrame([("3.0", "3.5", "12000000.0")], "a string, b string, c string"),
                          {"a": "int", "b": "int", "c": "bigint"}).first()
     assert (typed.a, typed.b, typed.c) == (3, None, 12000000)
+
+
+def test_tag_filter_prunes_city_files(spark, tmp_dir):
+    a = write_city(tmp_dir, "A")
+    b = write_city(tmp_dir, "B")
+    df = read_tagged(spark, {a: "台北市", b: "台中市"}, require=COLS).filter(F.col("city") == "台中市")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 1
+    files = {r["_file"] for r in df.select("_file").distinct().collect()}
+    assert len(files) == 1 and files.pop().endswith("B_lvr_land_A.csv")
+    assert df.count() == len(ROWS)
+
+
+def test_many_tags_single_scan(spark, tmp_dir):
+    a = write_city(tmp_dir, "A")
+    b = write_city(tmp_dir, "B")
+    df = read_tagged(spark, {a: "x", b: "y"}, require=COLS, branch_tag_limit=1)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 1
+    assert {r.city: r["count"] for r in df.groupBy("city").count().collect()} == {"x": len(ROWS), "y": len(ROWS)}
