@@ -63,3 +63,15 @@ def test_same_columns_by_source(spark, tmp_dir):
         "src", F.regexp_extract("path", "/(good|bad)/", 1))
     got = {r.src: (r.n_files, r.same_columns) for r in same_columns_by_source(heads, COLS, "src").collect()}
     assert got == {"good": (2, True), "bad": (1, False)}
+
+
+def test_distinct_sorted_and_top_n_order(spark):
+    from strata.operators.inspect import distinct_sorted, distinct_values, top_n
+
+    df = spark.createDataFrame([(t,) for t in ["二十層", "十三層", "二十層", None, "九層", "十五層"]], "t string")
+    assert sorted(r.t for r in distinct_values(df, "t").collect() if r.t) == sorted({"二十層", "十三層", "九層", "十五層"})
+    desc = [r.t for r in distinct_sorted(df, "t").collect()]
+    assert desc == sorted({"二十層", "十三層", "九層", "十五層"}, reverse=True) + [None]  # code-point order, null last
+    assert [r.t for r in top_n(df, "t", 2).collect()] == desc[:2]
+    plan = top_n(df, "t", 2)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan
