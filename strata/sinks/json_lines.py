@@ -42,6 +42,8 @@ def write_parts(df: DataFrame, out_dir: str, *, part_col: str = "part",
     out.write.mode(mode).partitionBy(part_col).json(out_dir)
     # list the written folders (file metadata only, no data is re-read or recomputed)
     listing = df.sparkSession.read.format("binaryFile").option("pathGlobFilter", "*.json").load(out_dir)
+    if part_col not in listing.columns:  # an empty result writes no part folders
+        return {}
     parts = [r[0] for r in listing.select(part_col).distinct().collect()]
     base = out_dir.rstrip("/")
     return {str(p): f"{base}/{part_col}={p}" for p in sorted(parts)}

@@ -133,3 +133,8 @@ def test_cli_paged_pages_concatenate_to_document(spark, tmp_dir):
             else:
                 merged.append({k: (list(v) if k == "events" else v) for k, v in s.items()})
     assert merged == doc["time_slots"]
+
+
+def test_write_parts_of_an_empty_result(spark, tmp_dir):
+    df = spark.range(0).select(F.col("id").alias("part"), F.col("id").alias("v"))
+    assert write_parts(df, os.path.join(tmp_dir, "empty")) == {}
