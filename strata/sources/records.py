@@ -247,6 +247,11 @@ def read_records(
     if multiline:
         _warn_unsplittable(spark, [f for fs in sized.values() for f in fs])
     groups = {h: [p for p, _ in fs] for h, fs in sized.items()}
+    if "" in groups:  # files without even a header (0 bytes) hold no records
+        warnings.warn(f"skipping {len(groups[''])} empty file(s), e.g. {groups[''][0]}", stacklevel=2)
+        del groups[""]
+        if not groups:
+            raise FileNotFoundError(f"only empty files under {list(paths)}")
     if not groups:
         raise FileNotFoundError(f"no files under {list(paths)}")
     required = None if require is None else list(require)

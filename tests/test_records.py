@@ -131,3 +131,19 @@ def test_many_tags_single_scan(spark, tmp_dir):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan csv") == 1
     assert {r.city: r["count"] for r in df.groupBy("city").count().collect()} == {"x": len(ROWS), "y": len(ROWS)}
+
+
+def test_empty_file_is_skipped(spark, tmp_dir):
+    import warnings
+
+    p = write_city(tmp_dir, "A")
+    empty = os.path.join(tmp_dir, "B_lvr_land_A.csv")
+    open(empty, "w").close()  # 0 bytes: Spark's listing leaves it out
+    bom_only = os.path.join(tmp_dir, "E_lvr_land_A.csv")
+    with open(bom_only, "w", encoding="utf-8-sig") as fh:
+        fh.write("")  # a byte-order mark and nothing else: no header
+    with warnings.catch_warnings(record=True) as caught:
+        warnings.simplefilter("always")
+        df = read_records(spark, [tmp_dir], require=COLS)
+    assert df.count() == len(ROWS)
+    assert any("empty file" in str(w.message) for w in caught)
