@@ -305,6 +305,11 @@ def read_tagged(
     """
     keys = {spark_path(p).rstrip("/"): t for p, t in sources.items()}
     groups = discover(spark, list(keys))
+    if "" in groups:  # files without even a header hold no records
+        warnings.warn(f"skipping {len(groups[''])} empty file(s), e.g. {groups[''][0][0]}", stacklevel=2)
+        del groups[""]
+    if not groups:
+        raise FileNotFoundError(f"no records under {list(keys)}")
     file_tags = {}
     for files in groups.values():
         for f, _ in files:

@@ -147,3 +147,16 @@ def test_empty_file_is_skipped(spark, tmp_dir):
         df = read_records(spark, [tmp_dir], require=COLS)
     assert df.count() == len(ROWS)
     assert any("empty file" in str(w.message) for w in caught)
+
+
+def test_tag_with_only_an_empty_file(spark, tmp_dir):
+    import warnings
+
+    p = write_city(tmp_dir, "A")
+    bom_only = os.path.join(tmp_dir, "B_lvr_land_A.csv")
+    with open(bom_only, "w", encoding="utf-8-sig") as fh:
+        fh.write("")
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        df = read_tagged(spark, {p: "台北市", bom_only: "台中市"}, require=COLS)
+    assert {r.city for r in df.select("city").distinct().collect()} == {"台北市"}
