@@ -75,9 +75,11 @@ def cumulative_by_range(
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(k).asc_nulls_first() for k in partition_by] + list(order)
-    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    # without an explicit count AQE may merge small adjacent ranges; merged
+    # partitions are still contiguous ranges in order, which is all we need
+    ranged = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
+    ranged = ranged.sortWithinPartitions(*keys)
     if weight is None:
         # row index inside the partition: the low 33 bits of the generated id
         mid = F.monotonically_increasing_id()
