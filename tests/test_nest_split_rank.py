@@ -111,3 +111,35 @@ def test_measure_and_broadcast_gate(spark):
     assert rows == 2 and size == 2 * 16 + 5 + 2 * 4
     assert broadcast_if_small(df, 1000)[1] is True
     assert broadcast_if_small(df, 10)[1] is False
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_event = st.tuples(
+    st.sampled_from(["a", "a", "a", "b", "c"]),                  # a hot city
+    st.one_of(st.none(), st.integers(0, 6)),                      # null dates included
+    st.sampled_from(["x", "y", "z"]),                             # few districts: many copies
+    st.sampled_from(["t1", "t2"]))
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(_event, min_size=1, max_size=120), st.integers(1, 17), st.integers(1, 5))
+def test_paged_property(spark, events, page, parts):
+    rows = [(c, None if d is None else dt.date(2019, 1, 1) + dt.timedelta(days=d), di, ty)
+            for c, d, di, ty in events]
+    ev = spark.createDataFrame(rows, "city string, date date, district string, type string")
+    full = {r.city: [(s["date"], [tuple(e) for e in s["events"]]) for s in r.time_slots]
+            for r in nest_two_levels(ev).collect()}
+    got: dict[str, list] = {}
+    for r in sorted(nest_paged(ev, max_events=page, num_partitions=parts).collect(),
+                    key=lambda r: (r.city, r.page)):
+        assert 0 < sum(len(s["events"]) for s in r.time_slots) <= page
+        merged = got.setdefault(r.city, [])
+        for s in r.time_slots:
+            evs = [tuple(e) for e in s["events"]]
+            if merged and merged[-1][0] == s["date"]:
+                merged[-1][1].extend(evs)
+            else:
+                merged.append((s["date"], evs))
+    assert got == full
