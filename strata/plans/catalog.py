@@ -196,6 +196,14 @@ def q_csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round_trip_columns(read_tagged(spark, sources, col="city"))
 
 
+def q_csv_positional(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records written as per-city CSV files with the alias row at the head of each,
+    read back dropping the first data row of every file (positional mode)."""
+    out = scratch_path(spark, "csvpos")
+    sources = standin.write_city_files(standin.records(spark, sf_dir, spread=True), out)
+    return _round_trip_columns(read_tagged(spark, sources, col="city", alias_row="positional"))
+
+
 def _tag_from_folder(path: str, col: str) -> str:
     from urllib.parse import unquote
 
@@ -276,6 +284,7 @@ def queries() -> dict[str, Query]:
         "q_balanced_split": q_balanced_split,
         "q_random_split": q_random_split,
         "q_csv_round_trip": q_csv_round_trip,
+        "q_csv_positional": q_csv_positional,
         "q_same_columns": q_same_columns,
         "q_zip_members": q_zip_members,
         "q_json_round_trip": q_json_round_trip,
@@ -433,6 +442,7 @@ FROM (SELECT DISTINCT c_custkey FROM customer)""",
         "q_csv_round_trip": round_trip,
         "q_stream_arrivals": f"WITH {_REC} SELECT city, date, district, type FROM kept",
         "q_zip_members": round_trip,
+        "q_csv_positional": round_trip,
         "q_same_columns": "SELECT r_name AS city, true AS same_columns FROM region",
         "q_json_round_trip": f"""
 WITH {_REC},

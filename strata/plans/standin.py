@@ -140,15 +140,8 @@ def segment_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {seg: cust.filter(F.col("c_mktsegment") == seg).drop("c_mktsegment") for seg in SEGMENTS}
 
 
-def write_city_archives(records_df: DataFrame, out_dir: str, *, tag_col: str = "city") -> list[str]:
-    """Write stand-in records as zip archives of per-city CSV members, in executors.
-
-    Each task writes one archive ``part-<partition>.zip`` holding one member
-    ``<city>.csv`` per city present in its partition: UTF-8 with BOM, the
-    header, the English alias row, then the rows (Arrow's CSV writer quotes
-    what needs quoting).  Names depend only on the partition, so a retried
-    task overwrites its own archive.  Returns the archive paths (one per task).
-    """
+def _city_csv_writer(records_df: DataFrame, out_dir: str, tag_col: str, as_zip: bool):
+    """``mapInArrow`` body writing one task's rows as per-city CSV (zipped or not)."""
     import io
     import zipfile
 
@@ -162,6 +155,13 @@ def write_city_archives(records_df: DataFrame, out_dir: str, *, tag_col: str = "
     cols = [c for c in records_df.columns if c != tag_col]
     base = out_dir.rstrip("/")
     alias = pa.table({c: pa.array([schema.ALIAS_BY_SOURCE.get(c, c)], pa.string()) for c in cols})
+    out_schema = pa.schema([("path", pa.string()), ("rows", pa.int64())])
+
+    def csv_bytes(tables) -> bytes:
+        text = io.BytesIO()
+        text.write("\ufeff".encode("utf-8"))
+        pacsv.write_csv(pa.concat_tables([alias] + tables), text)
+        return text.getvalue()
 
     def write(batches):
         pid = TaskContext.get().partitionId()
@@ -175,22 +175,58 @@ def write_city_archives(records_df: DataFrame, out_dir: str, *, tag_col: str = "
                 parts.setdefault(tag, []).append(rows.cast(alias.schema))
         if not parts:
             return
-        payload = io.BytesIO()
-        with zipfile.ZipFile(payload, "w", zipfile.ZIP_DEFLATED) as zf:
+        written = []
+        if as_zip:
+            payload = io.BytesIO()
+            with zipfile.ZipFile(payload, "w", zipfile.ZIP_DEFLATED) as zf:
+                for tag, tables in parts.items():
+                    zf.writestr(f"{tag}.csv", csv_bytes(tables))
+            path = f"{base}/part-{pid:05d}.zip"
+            _write_bytes(path, payload.getvalue())
+            written.append(path)
+        else:
             for tag, tables in parts.items():
-                text = io.BytesIO()
-                text.write("\ufeff".encode("utf-8"))
-                pacsv.write_csv(pa.concat_tables([alias] + tables), text)
-                zf.writestr(f"{tag}.csv", text.getvalue())
-        path = f"{base}/part-{pid:05d}.zip"
-        _write_bytes(path, payload.getvalue())
-        yield pa.RecordBatch.from_pylist([{"path": path, "rows": n}],
-                                         schema=pa.schema([("path", pa.string()), ("rows", pa.int64())]))
+                path = f"{base}/{tag_col}={tag}/part-{pid:05d}.csv"
+                _write_bytes(path, csv_bytes(tables))
+                written.append(path)
+        yield pa.RecordBatch.from_pylist([{"path": p, "rows": n} for p in written], schema=out_schema)
+
+    return cols, write
 
+
+def write_city_archives(records_df: DataFrame, out_dir: str, *, tag_col: str = "city") -> list[str]:
+    """Write stand-in records as zip archives of per-city CSV members, in executors.
+
+    Each task writes one archive ``part-<partition>.zip`` holding one member
+    ``<city>.csv`` per city present in its partition: UTF-8 with BOM, the
+    header, the English alias row, then the rows (Arrow's CSV writer quotes
+    what needs quoting).  Names depend only on the partition, so a retried
+    task overwrites its own archive.  Returns the archive paths (one per task).
+    """
+    cols, write = _city_csv_writer(records_df, out_dir, tag_col, as_zip=True)
     done = records_df.select(tag_col, *cols).mapInArrow(write, "path string, rows bigint")
     return [r["path"] for r in done.collect()]  # one path per task
 
 
+def write_city_files(records_df: DataFrame, out_dir: str, *, tag_col: str = "city") -> dict[str, str]:
+    """Write stand-in records as per-city CSV files shaped like the source files, in executors.
+
+    Each task writes ``<tag_col>=<city>/part-<partition>.csv`` for every city
+    in its partition: UTF-8 with BOM, the header, the English alias row first,
+    then the rows, so every file starts the way the positional alias-row mode
+    expects.  Returns ``{file: city}``.
+    """
+    from urllib.parse import unquote
+
+    cols, write = _city_csv_writer(records_df, out_dir, tag_col, as_zip=False)
+    done = records_df.select(tag_col, *cols).mapInArrow(write, "path string, rows bigint")
+    out = {}
+    for r in done.collect():  # one row per written file
+        folder = r["path"].rsplit("/", 2)[-2]
+        out[r["path"]] = unquote(folder[len(tag_col) + 1:])
+    return out
+
+
 def _write_bytes(path: str, data: bytes) -> None:
     """Write a whole file from an executor (local path or any pyarrow filesystem URI)."""
     import os
