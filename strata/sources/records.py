@@ -20,9 +20,9 @@ Design (nothing is inferred, nothing goes through the driver but file names):
 5. **Alias row**: the first data row of every file is an English alias row.
    ``typed`` (default) drops rows whose date is present but not an integer:
    narrow, no shuffle, and it keeps genuine rows whose date is missing.
-   ``positional`` drops exactly the first data row of each file (parity),
-   at the cost of a second scan of the files (a small aggregate finds the
-   first row of each file, then a broadcast anti-join drops it).
+   ``positional`` drops exactly the first data row of each file (parity) in
+   the same single pass: a split is read in order by one task, so a narrow
+   Arrow step drops the first row of every file's offset-0 split.
 6. **Missing-value tokens** (``NA``, ``None``, ...) become null when
    ``na_tokens`` is given; the job does it in its cleaning step instead, after
    the filters that must reach the scan.
@@ -181,26 +181,49 @@ def tag_by_file(df: DataFrame, file_tags: Mapping[str, str], col: str = "city",
 
 # --- alias row ----------------------------------------------------------------
 
+def _first_rows_dropper(file_col: str):
+    """``mapInArrow`` body dropping the first row of every file's first split.
+
+    A split is read in order inside one task, so the first row of a file is
+    the first row of its offset-0 split that the task meets.  Vectorised:
+    a row starts a file when its path differs from the previous row's (the
+    last path is carried across batches).
+    """
+
+    def run(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        last = None
+        for batch in batches:
+            n = len(batch)
+            if n == 0:
+                continue
+            files = batch.column(file_col)
+            prev = pa.concat_arrays([pa.array([last], files.type), files.slice(0, n - 1)])
+            starts = pc.fill_null(pc.not_equal(files, prev), True)
+            first = pc.and_(starts, pc.equal(batch.column("_block"), 0))
+            last = files[n - 1].as_py()
+            yield batch.filter(pc.invert(first))
+
+    return run
+
+
 def drop_alias_row(df: DataFrame, mode: str = "typed", date_col: str = schema.COL_DATE,
                    file_col: str = FILE_COL) -> DataFrame:
     """Drop the English alias row that follows the header of each file.
 
     ``typed``: keep a row when its date is missing or reads as an integer.
-    ``positional``: drop the first data row of each file, whatever it holds
-    (``df`` must still carry ``_metadata`` columns, i.e. come straight from a
-    file scan, as in :func:`read_records`).
+    ``positional``: drop the first data row of each file, whatever it holds,
+    in one narrow pass (``df`` must come straight from a file scan with the
+    ``_file`` and ``_block`` columns of :func:`read_records`, so rows are in
+    file order).
     """
     if mode == "typed":
         d = F.trim(F.col(date_col))
         return df.filter(F.col(date_col).isNull() | (d == "") | integral(d).isNotNull())
     if mode == "positional":
-        rows = df.withColumn("_rowid", F.monotonically_increasing_id())
-        first = (rows.filter(F.col("_block") == 0)
-                 .groupBy(F.col(file_col).alias("_first_file"))
-                 .agg(F.min("_rowid").alias("_first_id")))
-        # one row per file, bounded by the input file list
-        cond = (rows[file_col] == first["_first_file"]) & (rows["_rowid"] == first["_first_id"])
-        return rows.join(F.broadcast(first), cond, "left_anti").drop("_rowid")
+        return df.mapInArrow(_first_rows_dropper(file_col), df.schema)
     if mode == "none":
         return df
     raise ValueError(f"alias row mode must be typed, positional or none, not {mode!r}")

@@ -160,3 +160,19 @@ def test_tag_with_only_an_empty_file(spark, tmp_dir):
         warnings.simplefilter("ignore")
         df = read_tagged(spark, {p: "台北市", bom_only: "台中市"}, require=COLS)
     assert {r.city for r in df.select("city").distinct().collect()} == {"台北市"}
+
+
+def test_positional_on_split_files(spark, tmp_dir):
+    rows = [[f"區{i}", "1080415", "十五層", "T", "住家用", f"n{i}"] for i in range(3000)]
+    a = write_city(tmp_dir, "A", rows=rows)
+    b = write_city(tmp_dir, "B", rows=rows[:1500])
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+        df = read_records(spark, [a, b], require=COLS, alias_row="positional", multiline=False)
+        assert df.rdd.getNumPartitions() > 4  # the files really are split
+        by_file = {r["_file"].rsplit("/", 1)[-1]: r["count"] for r in df.groupBy("_file").count().collect()}
+        assert by_file == {"A_lvr_land_A.csv": 3000, "B_lvr_land_A.csv": 1500}
+        assert df.filter(F.col("鄉鎮市區") == ALIAS[0]).count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
