@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from strata import schema
 from strata.plans.job import split_parts, transform
-from strata.sinks.json_lines import write_parts
+from strata.sinks.json_lines import write_named_parts, write_parts
 from strata.session import size_for_input
 from strata.sources.records import city_files, list_files, read_tagged
 from strata.sources.zip_members import read_zip_members, tag_by_member
@@ -38,6 +38,9 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
                     help="write bounded pages (city, page, time_slots) instead of one line per city")
     ap.add_argument("--combine-copies", action="store_true",
                     help="count identical events map-side before nesting")
+    ap.add_argument("--part-paths", default=None,
+                    help="comma-separated output path per part (e.g. out/output1.json,out/output2.json) "
+                         "instead of part=<n> folders under the output")
     ap.add_argument("--no-sizing", action="store_true",
                     help="keep the session's shuffle and split sizes (default: size them from the input bytes)")
     args = ap.parse_args(argv)
@@ -59,7 +62,11 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
                     max_events_per_line=args.max_events_per_line)
     seed = args.seed if args.seed is not None else (None if args.split == "random" else 42)
     parts = split_parts(doc, args.split, args.parts, seed)
-    written = write_parts(parts, args.output, files_per_part=args.files_per_part)
+    if args.part_paths:
+        named = {i: p for i, p in enumerate(args.part_paths.split(","))}
+        written = write_named_parts(parts, named, n_files=args.files_per_part)
+    else:
+        written = write_parts(parts, args.output, files_per_part=args.files_per_part)
     print(json.dumps(written, ensure_ascii=False))
     return written
 

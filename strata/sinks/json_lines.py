@@ -47,3 +47,28 @@ def write_parts(df: DataFrame, out_dir: str, *, part_col: str = "part",
     parts = [r[0] for r in listing.select(part_col).distinct().collect()]
     base = out_dir.rstrip("/")
     return {str(p): f"{base}/{part_col}={p}" for p in sorted(parts)}
+
+
+def write_named_parts(df: DataFrame, paths: dict, *, part_col: str = "part",
+                      n_files: int | None = None, mode: str = "overwrite") -> dict[str, str]:
+    """Write each part to a path of its own (``{part value: path}``), without ``part_col``.
+
+    The split result is checkpointed once (to the shared checkpoint folder),
+    so every part's write reads it instead of recomputing the document;
+    each part is then one filtered write.  Part values missing from
+    ``paths`` are an error, so no row is silently left out.
+    """
+    from strata.session import checkpoint_dir
+
+    checkpoint_dir(df.sparkSession)
+    done = df.checkpoint(eager=True)
+    present = {r[0] for r in done.select(part_col).distinct().collect()}  # a handful of part ids
+    missing = present - set(paths)
+    if missing:
+        raise ValueError(f"no path for part(s) {sorted(missing)}")
+    out = {}
+    for value, path in paths.items():
+        write_json_lines(done.filter(F.col(part_col) == F.lit(value)).drop(part_col), path,
+                         n_files=n_files, mode=mode)
+        out[str(value)] = path
+    return out

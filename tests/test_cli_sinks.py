@@ -138,3 +138,17 @@ def test_cli_paged_pages_concatenate_to_document(spark, tmp_dir):
 def test_write_parts_of_an_empty_result(spark, tmp_dir):
     df = spark.range(0).select(F.col("id").alias("part"), F.col("id").alias("v"))
     assert write_parts(df, os.path.join(tmp_dir, "empty")) == {}
+
+
+def test_cli_named_part_paths(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "in")
+    os.makedirs(src)
+    for letter in "ABEFH":
+        write_city(src, letter)
+    p1, p2 = os.path.join(tmp_dir, "output1.json"), os.path.join(tmp_dir, "output2.json")
+    main([src, tmp_dir, "--part-paths", f"{p1},{p2}", "--files-per-part", "1", "--split", "balanced"])
+    c1, c2 = _cities(p1), _cities(p2)
+    assert not set(c1) & set(c2) and sorted(c1 + c2) == sorted(["台北市", "台中市", "高雄市", "新北市", "桃園市"])
+    assert len([f for f in os.listdir(p1) if f.endswith(".json")]) == 1
+    assert "part" not in json.loads(open(os.path.join(p1, [f for f in os.listdir(p1) if f.endswith(".json")][0]),
+                                         encoding="utf-8").readline())
