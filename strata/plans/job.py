@@ -114,20 +114,24 @@ def run(
     files_per_part: int | None = None,
     alias_row: str = "typed",
     require: list[str] | None = None,
+    part_paths: Mapping[int, str] | None = None,
     **transform_args,
 ) -> dict[str, str]:
     """Read ``{path: city}`` files, build the document, write one JSON-lines folder per part.
 
-    Returns ``{part: folder}``.  All parts are written by a single
-    ``partitionBy`` write; with the default hash split that write is the only
-    pass over the input (the balanced split first ranks the keys, which
-    computes the document once more).
+    Returns ``{part: folder}``.  By default all parts are written by a single
+    ``partitionBy`` write under ``out_dir``; with the default hash split that
+    write is the only pass over the input (the balanced split first ranks the
+    keys, which computes the document once more).  ``part_paths`` (``{part:
+    path}``) writes each part to its own path instead.
     """
-    from strata.sinks.json_lines import write_parts
+    from strata.sinks.json_lines import write_named_parts, write_parts
     from strata.sources.records import read_tagged
 
     cols = schema.required_columns(n_fields) if require is None else require
     records = read_tagged(spark, sources, alias_row=alias_row, require=cols).drop("_file")
     doc = transform(records, n_fields=n_fields, **transform_args)
     parts = split_parts(doc, split, n_parts, seed)
+    if part_paths:
+        return write_named_parts(parts, dict(part_paths), n_files=files_per_part)
     return write_parts(parts, out_dir, part_col="part", files_per_part=files_per_part)
