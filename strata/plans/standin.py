@@ -228,18 +228,29 @@ def write_city_files(records_df: DataFrame, out_dir: str, *, tag_col: str = "cit
 
 
 def _write_bytes(path: str, data: bytes) -> None:
-    """Write a whole file from an executor (local path or any pyarrow filesystem URI)."""
+    """Write a whole file from an executor, atomically (local path or pyarrow filesystem URI).
+
+    The bytes go to a name private to this task attempt and are then renamed
+    into place, so a failed or speculative attempt never leaves a partial file.
+    """
     import os
 
+    from pyspark import TaskContext
+
+    ctx = TaskContext.get()
+    tmp = f"{path}.attempt-{ctx.taskAttemptId() if ctx else os.getpid()}"
     if path.startswith("file:"):
-        path = path[len("file:"):]
+        path, tmp = path[len("file:"):], tmp[len("file:"):]
     if "://" not in path:
         os.makedirs(os.path.dirname(path), exist_ok=True)
-        with open(path, "wb") as fh:
+        with open(tmp, "wb") as fh:
             fh.write(data)
+        os.replace(tmp, path)
         return
     from pyarrow import fs as pafs
 
     filesystem, inner = pafs.FileSystem.from_uri(path)
-    with filesystem.open_output_stream(inner) as fh:
+    _, inner_tmp = pafs.FileSystem.from_uri(tmp)
+    with filesystem.open_output_stream(inner_tmp) as fh:
         fh.write(data)
+    filesystem.move(inner_tmp, inner)
