@@ -41,6 +41,8 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
     ap.add_argument("--part-paths", default=None,
                     help="comma-separated output path per part (e.g. out/output1.json,out/output2.json) "
                          "instead of part=<n> folders under the output")
+    ap.add_argument("--explain", action="store_true",
+                    help="print the formatted physical plan of the document before writing")
     ap.add_argument("--no-sizing", action="store_true",
                     help="keep the session's shuffle and split sizes (default: size them from the input bytes)")
     args = ap.parse_args(argv)
@@ -60,6 +62,8 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
     doc = transform(records, n_fields=args.fields, floors_mode=args.floors,
                     combine_copies=args.combine_copies,
                     max_events_per_line=args.max_events_per_line)
+    if args.explain:
+        doc.explain("formatted")
     seed = args.seed if args.seed is not None else (None if args.split == "random" else 42)
     parts = split_parts(doc, args.split, args.parts, seed)
     if args.part_paths:
