@@ -186,24 +186,26 @@ def _first_rows_dropper(file_col: str):
 
     A split is read in order inside one task, so the first row of a file is
     the first row of its offset-0 split that the task meets.  Vectorised:
-    a row starts a file when its path differs from the previous row's (the
-    last path is carried across batches).
+    a row starts a split when its path or split offset differs from the
+    previous row's (the last pair is carried across batches).
     """
 
     def run(batches):
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        last = None
+        last_file, last_block = None, None
         for batch in batches:
             n = len(batch)
             if n == 0:
                 continue
-            files = batch.column(file_col)
-            prev = pa.concat_arrays([pa.array([last], files.type), files.slice(0, n - 1)])
-            starts = pc.fill_null(pc.not_equal(files, prev), True)
-            first = pc.and_(starts, pc.equal(batch.column("_block"), 0))
-            last = files[n - 1].as_py()
+            files, blocks = batch.column(file_col), batch.column("_block")
+            prev_file = pa.concat_arrays([pa.array([last_file], files.type), files.slice(0, n - 1)])
+            prev_block = pa.concat_arrays([pa.array([last_block], blocks.type), blocks.slice(0, n - 1)])
+            starts = pc.or_(pc.fill_null(pc.not_equal(files, prev_file), True),
+                            pc.fill_null(pc.not_equal(blocks, prev_block), True))
+            first = pc.and_(starts, pc.equal(blocks, 0))
+            last_file, last_block = files[n - 1].as_py(), blocks[n - 1].as_py()
             yield batch.filter(pc.invert(first))
 
     return run

@@ -176,3 +176,22 @@ def test_positional_on_split_files(spark, tmp_dir):
         assert df.filter(F.col("鄉鎮市區") == ALIAS[0]).count() == 0
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_first_rows_dropper_on_arrow_batches():
+    import pyarrow as pa
+
+    from strata.sources.records import _first_rows_dropper
+
+    def batch(rows):
+        return pa.RecordBatch.from_pydict({"v": [r[0] for r in rows], "_file": [r[1] for r in rows],
+                                           "_block": [r[2] for r in rows]})
+
+    batches = [
+        batch([("b1-0", "f", 100), ("b1-1", "f", 100)]),  # a later split of f first
+        batch([("alias-f", "f", 0), ("f-1", "f", 0)]),    # then f's first split: drop its first row
+        batch([("f-2", "f", 0), ("alias-g", "g", 0)]),    # state carried across batches
+        batch([("g-1", "g", 0)]),
+    ]
+    kept = [v for b in _first_rows_dropper("_file")(iter(batches)) for v in b.column("v").to_pylist()]
+    assert kept == ["b1-0", "b1-1", "f-1", "f-2", "g-1"]
