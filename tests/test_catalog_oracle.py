@@ -1,14 +1,16 @@
-"""Every catalog query against its DuckDB oracle on the smallest tables."""
+"""Every catalog query against its DuckDB oracle (smallest tables by default;
+``STRATA_ORACLE_SF=/root/testdata/sf0.01`` runs it at the driver's scale)."""
 
 import datetime as dt
 import math
+import os
 
 import duckdb
 import pytest
 
 import __spark_entry__ as E
 
-SF = "/root/testdata/sf0.001"
+SF = os.environ.get("STRATA_ORACLE_SF", "/root/testdata/sf0.001")
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
