@@ -143,3 +143,13 @@ def test_paged_property(spark, events, page, parts):
             else:
                 merged.append((s["date"], evs))
     assert got == full
+
+
+def test_row_number_with_null_keys(spark):
+    df = spark.range(500).select(
+        F.when(F.col("id") % 4 == 0, F.lit(None)).otherwise((F.col("id") % 3).cast("string")).alias("k"),
+        F.col("id").alias("o"))
+    ours = row_number_by_range(df, [F.col("o").asc()], ["k"], num_partitions=4)
+    ref = df.withColumn("rn", (F.row_number().over(Window.partitionBy("k").orderBy("o")) - 1).cast("bigint"))
+    assert sorted(tuple(r) for r in ours.select("k", "o", "rn").fillna("∅").collect()) == \
+        sorted(tuple(r) for r in ref.select("k", "o", "rn").fillna("∅").collect())
