@@ -14,7 +14,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from strata import schema
-from strata.plans.job import split_parts, transform
+from strata.plans.job import nest_from_events, split_parts, transform, write_events
 from strata.sinks.json_lines import write_named_parts, write_parts
 from strata.session import size_for_input
 from strata.sources.records import city_files, list_files, read_tagged
@@ -41,6 +41,9 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
     ap.add_argument("--part-paths", default=None,
                     help="comma-separated output path per part (e.g. out/output1.json,out/output2.json) "
                          "instead of part=<n> folders under the output")
+    ap.add_argument("--events-dir", default=None,
+                    help="write the cleaned, filtered events there as Parquet first (a written cut of "
+                         "the lineage), then nest from that table")
     ap.add_argument("--explain", action="store_true",
                     help="print the formatted physical plan of the document before writing")
     ap.add_argument("--no-sizing", action="store_true",
@@ -59,9 +62,15 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
     else:
         records = read_tagged(spark, city_files(spark, args.input), alias_row=args.alias_row,
                               require=schema.required_columns(args.fields))
-    doc = transform(records, n_fields=args.fields, floors_mode=args.floors,
-                    combine_copies=args.combine_copies,
-                    max_events_per_line=args.max_events_per_line)
+    if args.events_dir:
+        write_events(records, args.events_dir, n_fields=args.fields, floors_mode=args.floors)
+        doc = nest_from_events(spark, args.events_dir, n_fields=args.fields,
+                               combine_copies=args.combine_copies,
+                               max_events_per_line=args.max_events_per_line)
+    else:
+        doc = transform(records, n_fields=args.fields, floors_mode=args.floors,
+                        combine_copies=args.combine_copies,
+                        max_events_per_line=args.max_events_per_line)
     if args.explain:
         doc.explain("formatted")
     seed = args.seed if args.seed is not None else (None if args.split == "random" else 42)

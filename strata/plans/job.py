@@ -86,6 +86,45 @@ def transform(
     return nest_two_levels(events, key, "date", fields, combine_copies=combine_copies)
 
 
+def write_events(
+    records: DataFrame,
+    events_dir: str,
+    *,
+    n_fields: int = 2,
+    key: str = "city",
+    floors_mode: str = "compat",
+    use_value: str = schema.RESIDENTIAL,
+    type_part: str = schema.TOWER,
+    min_floors: int = schema.MIN_FLOORS,
+    mode: str = "overwrite",
+) -> str:
+    """Clean and filter the records once and write the kept events as Parquet.
+
+    The table (``key, date`` and the event fields, in folders per ``key``)
+    is a written cut of the lineage: documents built from it re-read compact
+    Parquet after a lost executor instead of parsing the CSV again.  Each
+    task writes one file per city it holds, so no repartition is needed.
+    The key stays a column inside the files (the folder column is a copy),
+    so reading it back never depends on partition-value type inference.
+    """
+    kept = filter_records(records, floors_mode=floors_mode, use_value=use_value,
+                          type_part=type_part, min_floors=min_floors)
+    events = select_events(kept, n_fields, key).withColumn(f"{key}_dir", F.col(key))
+    events.write.mode(mode).partitionBy(f"{key}_dir").parquet(events_dir)
+    return events_dir
+
+
+def nest_from_events(spark: SparkSession, events_dir: str, *, n_fields: int = 2, key: str = "city",
+                     combine_copies: bool = False, max_events_per_line: int | None = None) -> DataFrame:
+    """The document (or its pages) from an events table written by :func:`write_events`."""
+    events = spark.read.parquet(events_dir)
+    events = events.drop(f"{key}_dir")  # the folder copy; the key column itself is in the files
+    fields = schema.event_fields(n_fields)
+    if max_events_per_line:
+        return nest_paged(events, key, "date", fields, max_events=max_events_per_line)
+    return nest_two_levels(events, key, "date", fields, combine_copies=combine_copies)
+
+
 def split_parts(doc: DataFrame, how: str = "hash", n: int = 2, seed: int | None = 42,
                 key: str = "city", col: str = "part") -> DataFrame:
     """Add a ``part`` column: ``hash`` (reproducible), ``balanced`` or ``random``."""

@@ -22,8 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from strata import schema
 from strata.operators.project import integral
-from strata.operators.nest import nest_two_levels
-from strata.plans.job import filter_records, select_events
+from strata.plans.job import filter_records, nest_from_events, select_events
 from strata.session import checkpoint_dir
 from strata.sources.records import CSV_OPTIONS, scan_file_path
 
@@ -109,5 +108,4 @@ def ingest_arrivals(
 def document_from_events(spark: SparkSession, events_dir: str, n_fields: int = 28,
                          **nest_args) -> DataFrame:
     """The nested document (``city, time_slots``) from the accumulated events table."""
-    events = spark.read.parquet(events_dir)
-    return nest_two_levels(events, "city", "date", schema.event_fields(n_fields), **nest_args)
+    return nest_from_events(spark, events_dir, n_fields=n_fields, **nest_args)

@@ -152,3 +152,25 @@ def test_cli_named_part_paths(spark, tmp_dir):
     assert len([f for f in os.listdir(p1) if f.endswith(".json")]) == 1
     assert "part" not in json.loads(open(os.path.join(p1, [f for f in os.listdir(p1) if f.endswith(".json")][0]),
                                          encoding="utf-8").readline())
+
+
+def test_cli_events_table_gives_the_same_document(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "in")
+    os.makedirs(src)
+    for letter in "AB":
+        write_city(src, letter)
+    direct = main([src, os.path.join(tmp_dir, "direct")])
+    staged = main([src, os.path.join(tmp_dir, "staged"), "--events-dir", os.path.join(tmp_dir, "events")])
+
+    def docs(parts):
+        out = {}
+        for folder in parts.values():
+            for f in os.listdir(folder):
+                if f.endswith(".json"):
+                    for line in open(os.path.join(folder, f), encoding="utf-8"):
+                        d = json.loads(line)
+                        out[d["city"]] = d
+        return out
+
+    assert docs(direct) == docs(staged) and len(docs(direct)) == 2
+    assert os.path.isdir(os.path.join(tmp_dir, "events", "city_dir=台北市"))
