@@ -64,6 +64,16 @@ def q_nest_paged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_json(_transform(spark, sf_dir, max_events_per_line=PAGE_EVENTS), extra=("page",))
 
 
+def q_events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kept events written once as a Parquet table (a lineage cut), the document nested from it."""
+    from strata.plans.job import nest_from_events, write_events
+
+    out = scratch_path(spark, "events-table")
+    write_events(standin.records(spark, sf_dir), out, use_value=standin.STANDIN_USE,
+                 type_part=standin.STANDIN_TYPE_PART)
+    return document_json(nest_from_events(spark, out))
+
+
 def q_nest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Level 1 only: one row per (city, date) with its sorted events."""
     events = select_events(_kept(spark, sf_dir), 2)
@@ -266,6 +276,7 @@ def queries() -> dict[str, Query]:
         "q_flagship_combined": q_flagship_combined,
         "q_flagship_full": q_flagship_full,
         "q_nest_paged": q_nest_paged,
+        "q_events_table": q_events_table,
         "q_nest_events": q_nest_events,
         "q_nest_full_unnest": q_nest_full_unnest,
         "q_floors_native": q_floors_native,
@@ -377,6 +388,7 @@ FROM slots GROUP BY city"""
         "q_flagship": flagship,
         "q_flagship_full": flagship_full,
         "q_flagship_combined": flagship,
+        "q_events_table": flagship,
         "q_nest_paged": paged,
         "q_nest_events": f"""
 WITH {_REC}
