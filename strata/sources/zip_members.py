@@ -1,24 +1,26 @@
 """Zip archives of record CSV files.
 
-Spark has no zip codec, so archives are read as ``binaryFile`` rows (one row
-per archive, spread over tasks) and a ``mapInArrow`` step opens each archive
-in its executor, parses the CSV members whose names match with Arrow's CSV
-reader, and yields record rows: the same text columns as :func:`strata.sources.records.read_records`,
-plus the archive and member names.  Nothing passes through the driver.
-
-Limits: an archive is one row, so one archive is read by one task (and must
-be below Spark's 2 GiB binary-row limit); many archives parallelise.
+Spark has no zip codec.  Archives are read in two distributed steps, and
+neither the driver nor any one task ever holds a whole archive:
+
+1. **List members** - the archive files are listed (metadata only) and each
+   executor reads just the central directory of its archives (random access
+   at the end of the file), giving one row per matching CSV member.
+2. **Parse members** - the member rows are spread over tasks; each task
+   seeks to its member and stream-parses it with Arrow's CSV reader (quoted
+   commas, doubled quotes, line breaks in fields, BOM), batch by batch.
+
+So archives of any size parallelise by member.  One member is read by one
+task (a compressed stream does not split).
 """
 
 from __future__ import annotations
 
 import fnmatch
-import io
-import zipfile
 from collections.abc import Iterable, Iterator
 
+import pandas as pd
 import pyarrow as pa
-from pyarrow import csv as pacsv
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,48 +28,87 @@ from pyspark.sql import types as T
 from strata import schema
 from strata.operators.project import integral, null_tokens
 from strata.operators.tagging import ColumnMismatch
-from strata.sources.records import HEADER_PEEK_BYTES, parse_header
+from strata.session import default_parallelism
+from strata.sources.records import list_files
 
 ARCHIVE_COL = "_archive"
 MEMBER_COL = "_member"
 ROW_COL = "_row"
 
 
-def _read_member(raw: bytes, name: str, archive: str, columns: list[str]) -> pa.Table | None:
-    """One CSV member -> Arrow table of the requested columns (all text), or None if empty."""
-    header = parse_header(raw[:HEADER_PEEK_BYTES])
-    if not header:
-        return None
-    missing = [c for c in columns if c not in header]
-    if missing:
-        raise ColumnMismatch(f"{archive}!{name} lacks columns {missing}")
-    return pacsv.read_csv(
-        io.BytesIO(raw),
-        read_options=pacsv.ReadOptions(use_threads=False, column_names=header, skip_rows=1),
-        parse_options=pacsv.ParseOptions(newlines_in_values=True),
-        convert_options=pacsv.ConvertOptions(
+def _open_random(path: str):
+    """Open a Spark path for random access in an executor (zip needs to seek)."""
+    if path.startswith("file:"):
+        return open(path[len("file:"):], "rb")
+    from pyarrow import fs as pafs
+
+    filesystem, inner = pafs.FileSystem.from_uri(path)
+    return filesystem.open_input_file(inner)
+
+
+def _member_lister(pattern: str):
+    """``mapInPandas`` body: ``(archive, member, bytes)`` of matching members, from the central directory."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import zipfile
+
+        for pdf in batches:
+            rows = []
+            for path in pdf["path"]:
+                with _open_random(path) as fh, zipfile.ZipFile(fh) as zf:
+                    for info in zf.infolist():
+                        name = info.filename
+                        if not info.is_dir() and fnmatch.fnmatch(name.rsplit("/", 1)[-1], pattern):
+                            rows.append((path, name, info.file_size))
+            yield pd.DataFrame(rows, columns=["archive", "member", "size"])
+
+    return run
+
+
+def _member_parser(columns: list[str], drop_first: bool, out_schema: pa.Schema, batch_rows: int):
+    """``mapInArrow`` body: stream-parse each member row into record batches."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zipfile
+
+        from pyarrow import csv as pacsv
+
+        read = pacsv.ReadOptions(use_threads=False, block_size=max(1 << 20, batch_rows * 256))
+        parse = pacsv.ParseOptions(newlines_in_values=True)
+        convert = pacsv.ConvertOptions(
             include_columns=columns, column_types={c: pa.string() for c in columns},
-            strings_can_be_null=True, null_values=[""], quoted_strings_can_be_null=True),
-    )
-
-
-def _archive_batches(path: str, content: bytes, pattern: str, columns: list[str],
-                     drop_first: bool, out_schema: pa.Schema, batch_rows: int) -> Iterator[pa.RecordBatch]:
-    with zipfile.ZipFile(io.BytesIO(content)) as zf:
-        for info in zf.infolist():
-            name = info.filename
-            if info.is_dir() or not fnmatch.fnmatch(name.rsplit("/", 1)[-1], pattern):
-                continue
-            table = _read_member(zf.read(info), name, path, columns)
-            if table is None:
-                continue
-            first = 1 if drop_first else 0
-            table = table.slice(first)
-            n = table.num_rows
-            table = table.append_column(ARCHIVE_COL, pa.array([path] * n, pa.string()))
-            table = table.append_column(MEMBER_COL, pa.array([name] * n, pa.string()))
-            table = table.append_column(ROW_COL, pa.array(range(first, first + n), pa.int64()))
-            yield from table.select(out_schema.names).cast(out_schema).to_batches(max_chunksize=batch_rows)
+            strings_can_be_null=True, null_values=[""], quoted_strings_can_be_null=True)
+        for batch in batches:
+            for archive, member in zip(batch.column("archive").to_pylist(), batch.column("member").to_pylist()):
+                with _open_random(archive) as fh, zipfile.ZipFile(fh) as zf, zf.open(member) as raw:
+                    try:
+                        reader = pacsv.open_csv(pa.PythonFile(raw, mode="r"), read_options=read,
+                                                parse_options=parse, convert_options=convert)
+                    except (pa.ArrowInvalid, KeyError) as err:
+                        if "Empty CSV file" in str(err):
+                            continue
+                        raise ColumnMismatch(f"{archive}!{member}: {err}") from err
+                    row = 0
+                    for chunk in reader:
+                        n = chunk.num_rows
+                        start = 1 if drop_first and row == 0 and n else 0
+                        chunk = chunk.slice(start)
+                        m = chunk.num_rows
+                        if m:
+                            extra = [pa.array([archive] * m, pa.string()), pa.array([member] * m, pa.string()),
+                                     pa.array(range(row + start, row + start + m), pa.int64())]
+                            yield pa.RecordBatch.from_arrays(
+                                [chunk.column(c) for c in columns] + extra, schema=out_schema)
+                        row += n
+
+    return run
+
+
+def zip_member_list(spark: SparkSession, archives: Iterable[str] | str, member_pattern: str = "*.csv") -> DataFrame:
+    """``archive, member, size``: the matching members of every archive (central directories only)."""
+    paths = [archives] if isinstance(archives, str) else list(archives)
+    return list_files(spark, paths).select("path").mapInPandas(
+        _member_lister(member_pattern), "archive string, member string, size bigint")
 
 
 def read_zip_members(
@@ -82,36 +123,29 @@ def read_zip_members(
 ) -> DataFrame:
     """Record rows from every CSV member matching ``member_pattern`` in ``archives``.
 
-    Members are parsed by Arrow's CSV reader (quoted commas, doubled quotes
-    and line breaks in fields, BOM) in the executor that holds the archive.
+    Returns the ``columns`` (text) plus ``_archive``, ``_member`` and ``_row``
+    (the data row's index in its member, the alias row being 0).
     ``alias_row``: ``positional`` drops each member's first data row (exact,
     free here since a member is read in order); ``typed`` drops rows whose
     date is not an integer; ``none`` keeps all rows.
     """
+    if alias_row not in ("positional", "typed", "none"):
+        raise ValueError(f"alias row mode must be typed, positional or none, not {alias_row!r}")
     cols = list(schema.SOURCE_COLUMNS if columns is None else columns)
-    paths = [archives] if isinstance(archives, str) else list(archives)
+    members = zip_member_list(spark, archives, member_pattern)
+    # spread the member rows (one per member) over tasks, a few members per task
+    members = members.repartition(max(1, 2 * default_parallelism(spark)), "archive", "member")
     spark_schema = T.StructType(
         [T.StructField(c, T.StringType()) for c in cols]
         + [T.StructField(ARCHIVE_COL, T.StringType()), T.StructField(MEMBER_COL, T.StringType()),
            T.StructField(ROW_COL, T.LongType())])
     arrow_schema = pa.schema([(c, pa.string()) for c in cols]
                              + [(ARCHIVE_COL, pa.string()), (MEMBER_COL, pa.string()), (ROW_COL, pa.int64())])
-    drop_first = alias_row == "positional"
-
-    def explode_archives(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):
-                yield from _archive_batches(path, content.as_py(), member_pattern, cols, drop_first,
-                                            arrow_schema, batch_rows)
-
-    raw = spark.read.format("binaryFile").load(paths).select("path", "content")
-    # a task holds one input split of archives (spark.sql.files.maxPartitionBytes)
-    rows = raw.mapInArrow(explode_archives, spark_schema)
+    rows = members.mapInArrow(_member_parser(cols, alias_row == "positional", arrow_schema, batch_rows),
+                              spark_schema)
     if alias_row == "typed":
         d = F.trim(F.col(schema.COL_DATE))
         rows = rows.filter(F.col(schema.COL_DATE).isNull() | (d == "") | integral(d).isNotNull())
-    elif alias_row not in ("positional", "none"):
-        raise ValueError(f"alias row mode must be typed, positional or none, not {alias_row!r}")
     if na_tokens is not None:
         rows = null_tokens(rows, cols, na_tokens)
     return rows

@@ -46,3 +46,27 @@ def test_stream_picks_up_only_new_files(spark, tmp_dir):
     doc = document_from_events(spark, events, n_fields=2)
     assert doc.count() == 2
     assert doc.filter(F.col("city") == "台北市").first().time_slots[-1]["date"] is None
+
+
+def test_zip_member_missing_column_fails(spark, tmp_dir):
+    import pytest
+
+    text = csv_text(cols=COLS[:-1] + ["other"])
+    a = _archive(os.path.join(tmp_dir, "bad.zip"), {"A_lvr_land_A.csv": text})
+    with pytest.raises(Exception, match="A_lvr_land_A.csv"):
+        read_zip_members(spark, [a], columns=COLS).collect()
+
+
+def test_zip_one_archive_many_members_in_parallel(spark, tmp_dir):
+    from strata.sources.zip_members import zip_member_list
+
+    text = csv_text()
+    members = {f"{letter}_lvr_land_A.csv": text for letter in "ABEFH"}
+    a = _archive(os.path.join(tmp_dir, "big.zip"), members)
+    listed = zip_member_list(spark, [a], "*.csv").collect()
+    assert sorted(r.member for r in listed) == sorted(members)
+    rows = read_zip_members(spark, [a], columns=COLS)
+    assert rows.count() == 5 * len(ROWS)
+    assert rows.filter(F.col("_row") == 0).count() == 0  # each member's alias row (row 0) dropped
+    assert {r["_member"]: r["m"] for r in rows.groupBy("_member").agg(F.max("_row").alias("m")).collect()} == \
+        {m: len(ROWS) for m in members}
