@@ -103,28 +103,35 @@ def _peek_headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"path": pdf["path"], "length": pdf["length"], "header": headers})
 
 
-def list_files(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
-    """Files under ``paths`` (files, folders or globs) as ``path, length`` rows; no content is read."""
-    return (spark.read.format("binaryFile")
-            .option("recursiveFileLookup", "true")
-            .load(list(paths))
-            .select("path", "length"))
+CSV_GLOB = "*.[cC][sS][vV]"
 
 
-def header_rows(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
-    """``path, length, header`` for every file under ``paths``; the header is its
-    column names joined by U+001F.  Lazy: nothing is collected."""
-    return list_files(spark, paths).mapInPandas(_peek_headers, "path string, length bigint, header string")
+def list_files(spark: SparkSession, paths: Iterable[str], glob: str | None = None) -> DataFrame:
+    """Files under ``paths`` (files, folders or globs) as ``path, length`` rows; no content is read.
+
+    ``glob`` keeps only matching file names (Spark's ``pathGlobFilter``).
+    """
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    return reader.load(list(paths)).select("path", "length")
+
+
+def header_rows(spark: SparkSession, paths: Iterable[str], glob: str | None = CSV_GLOB) -> DataFrame:
+    """``path, length, header`` for every CSV file under ``paths``; the header is
+    its column names joined by U+001F.  Lazy: nothing is collected."""
+    return list_files(spark, paths, glob).mapInPandas(_peek_headers, "path string, length bigint, header string")
 
 
-def discover(spark: SparkSession, paths: Iterable[str]) -> dict[str, list[tuple[str, int]]]:
-    """``{header -> [(file, bytes)]}`` for every file under ``paths`` (one distributed job).
+def discover(spark: SparkSession, paths: Iterable[str],
+             glob: str | None = CSV_GLOB) -> dict[str, list[tuple[str, int]]]:
+    """``{header -> [(file, bytes)]}`` for every CSV file under ``paths`` (one distributed job).
 
     Headers are grouped in Spark, so each distinct header comes back once
     with its file list (the driver holds the file list anyway: Spark's file
     sources plan from it).
     """
-    grouped = header_rows(spark, paths).groupBy("header").agg(
+    grouped = header_rows(spark, paths, glob).groupBy("header").agg(
         F.sort_array(F.collect_list(F.struct("path", "length"))).alias("files"))
     return {row["header"]: [(f["path"], f["length"]) for f in row["files"]] for row in grouped.collect()}
 

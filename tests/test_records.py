@@ -195,3 +195,11 @@ def test_first_rows_dropper_on_arrow_batches():
     ]
     kept = [v for b in _first_rows_dropper("_file")(iter(batches)) for v in b.column("v").to_pylist()]
     assert kept == ["b1-0", "b1-1", "f-1", "f-2", "g-1"]
+
+
+def test_non_csv_files_in_a_folder_are_ignored(spark, tmp_dir):
+    write_city(tmp_dir, "A")
+    with open(os.path.join(tmp_dir, "README.txt"), "w") as fh:
+        fh.write("not a city file\n")
+    df = read_tagged(spark, {tmp_dir: "台北市"}, require=COLS)
+    assert df.count() == len(ROWS)
