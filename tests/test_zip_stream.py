@@ -70,3 +70,18 @@ def test_zip_one_archive_many_members_in_parallel(spark, tmp_dir):
     assert rows.filter(F.col("_row") == 0).count() == 0  # each member's alias row (row 0) dropped
     assert {r["_member"]: r["m"] for r in rows.groupBy("_member").agg(F.max("_row").alias("m")).collect()} == \
         {m: len(ROWS) for m in members}
+
+
+def test_stream_fails_loudly_on_other_columns(spark, tmp_dir):
+    import pytest
+
+    from fixtures import reorder
+
+    landing = os.path.join(tmp_dir, "landing")
+    os.makedirs(landing)
+    cols, alias, rows = reorder(list(reversed(COLS)))
+    write_city(landing, "A", cols=cols, alias=alias, rows=rows)
+    q = ingest_arrivals(spark, landing, os.path.join(tmp_dir, "events"),
+                        checkpoint=os.path.join(tmp_dir, "ckpt"), n_fields=2, columns=COLS)
+    with pytest.raises(Exception, match="(?i)FAILED_READ_FILE|header|schema"):
+        q.awaitTermination()
