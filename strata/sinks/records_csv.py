@@ -1,7 +1,7 @@
 """Writing record rows back as per-tag CSV files (UTF-8 with BOM, header, alias rows).
 
 The shape of the source files: a header row of source column names, an
-English alias row, data.  One folder per tag (``partitionBy``), one pass.
+English alias row, data.  One folder per tag (``partitionBy``), one write job.
 """
 
 from __future__ import annotations
@@ -26,7 +26,8 @@ def write_records_csv(df: DataFrame, out_dir: str, *, tag_col: str = "city",
     alias text (default: the English output names); exactly one alias row per
     tag is written, among that tag's files - enough for readers that drop the
     alias row by type (the default).  ``tags`` (when the caller knows them)
-    saves the pass that finds the distinct tags.  One write job.
+    saves the extra read of the input that finding the distinct tags needs,
+    so the write is then one pass.
     """
     cols = [c for c in df.columns if c != tag_col]
     alias = schema.ALIAS_BY_SOURCE if alias is None else alias

@@ -1,6 +1,6 @@
 """Reading per-city record files (CSV) into one tagged DataFrame.
 
-Design (nothing is inferred, nothing goes through the driver but file names):
+Design (nothing is inferred; only file names and distinct headers reach the driver):
 
 1. **Header discovery** - one distributed pass over the file list
    (``binaryFile`` without its content column) reads only a bounded prefix
