@@ -75,3 +75,19 @@ def test_distinct_sorted_and_top_n_order(spark):
     assert [r.t for r in top_n(df, "t", 2).collect()] == desc[:2]
     plan = top_n(df, "t", 2)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
+
+
+def test_size_settings_parse(spark):
+    from strata.operators.sizing import broadcast_threshold
+    from strata.sources.records import _bytes
+
+    assert _bytes("128m") == 128 << 20 and _bytes("128MB") == 128 << 20 and _bytes("4096") == 4096
+    assert _bytes("1g") == 1 << 30 and _bytes("16k") == 16 << 10
+    df = spark.range(1)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for value, expected in (("10485760", 10485760), ("10MB", 10 << 20), ("-1", -1)):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", value)
+            assert broadcast_threshold(df) == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
