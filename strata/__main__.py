@@ -36,8 +36,8 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
                     help="1 = a single file per part (small outputs only)")
     ap.add_argument("--max-events-per-line", type=int, default=None,
                     help="write bounded pages (city, page, time_slots) instead of one line per city")
-    ap.add_argument("--combine-copies", action="store_true",
-                    help="count identical events map-side before nesting")
+    ap.add_argument("--no-combine-copies", dest="combine_copies", action="store_false",
+                    help="skip counting identical events map-side before nesting (when copies are rare)")
     ap.add_argument("--part-paths", default=None,
                     help="comma-separated output path per part (e.g. out/output1.json,out/output2.json) "
                          "instead of part=<n> folders under the output")

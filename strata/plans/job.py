@@ -2,8 +2,8 @@
 
 ``transform`` is the lazy plan from tagged text records to the nested
 document; ``run`` adds reading the city files and writing the parts.  The
-document plan is plain DataFrame code: two hash aggregations (slot, then
-city) and no Python; the bounded paged form adds a range-partitioned
+document plan is plain DataFrame code: hash aggregations (identical events,
+then slot, then city) and no Python; the bounded paged form adds a range-partitioned
 numbering step (see ``operators.rank``).
 """
 
@@ -69,11 +69,14 @@ def transform(
     use_value: str = schema.RESIDENTIAL,
     type_part: str = schema.TOWER,
     min_floors: int = schema.MIN_FLOORS,
-    combine_copies: bool = False,
+    combine_copies: bool = True,
     max_events_per_line: int | None = None,
 ) -> DataFrame:
     """Tagged text records -> nested document (``key, time_slots``).
 
+    ``combine_copies`` (default) counts identical events map-side before the
+    (city, date) shuffle, so a large group of copies never travels row by
+    row; ``False`` saves that aggregation when copies are known to be rare.
     With ``max_events_per_line`` the bounded paged form is returned instead
     (``key, page, time_slots``).
     """
@@ -115,7 +118,7 @@ def write_events(
 
 
 def nest_from_events(spark: SparkSession, events_dir: str, *, n_fields: int = 2, key: str = "city",
-                     combine_copies: bool = False, max_events_per_line: int | None = None) -> DataFrame:
+                     combine_copies: bool = True, max_events_per_line: int | None = None) -> DataFrame:
     """The document (or its pages) from an events table written by :func:`write_events`."""
     events = spark.read.parquet(events_dir)
     events = events.drop(f"{key}_dir")  # the folder copy; the key column itself is in the files

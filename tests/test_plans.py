@@ -18,9 +18,9 @@ def test_flagship_plan(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "EvalPython" not in plan
     assert "rangepartitioning" not in plan.lower()
-    # exactly the two nest levels shuffle; dimensions are broadcast
+    # the copy count and the two nest levels shuffle; dimensions are broadcast
     final = plan.split("== Initial Plan ==")[0]  # AQE prints the final plan, then the initial one
-    assert final.count("Exchange hashpartitioning") == 2
+    assert final.count("Exchange hashpartitioning") == 3
     # parquet scans read only the columns used
     opt = df._jdf.queryExecution().optimizedPlan().toString()
     assert "l_comment" not in opt
@@ -39,3 +39,10 @@ def test_paged_plan_broadcasts_offsets(spark):
     df.collect()
     plan = _plan(df)
     assert "BroadcastHashJoin" in plan and "EvalPython" not in plan
+
+
+def test_direct_flagship_has_one_shuffle_per_level(spark):
+    df = catalog.q_flagship_direct(spark, SF)
+    df.collect()
+    final = _plan(df).split("== Initial Plan ==")[0]
+    assert final.count("Exchange hashpartitioning") == 2
