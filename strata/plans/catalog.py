@@ -261,16 +261,17 @@ def q_json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_stream_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records land as CSV files; a file stream (availableNow) cleans, filters and appends events."""
+    """Records land as per-city CSV files (alias row first); a file stream (availableNow)
+    drops each file's alias row by position, cleans, filters and appends events."""
     from strata.streaming.arrivals import ingest_arrivals, tag_by_folder
 
     landing = scratch_path(spark, "landing")
-    write_records_csv(standin.records(spark, sf_dir, spread=True), landing, tag_col="city",
-                      tags=_regions(spark, sf_dir))
+    standin.write_city_files(standin.records(spark, sf_dir, spread=True), landing)
     events_dir = scratch_path(spark, "events")
     q = ingest_arrivals(spark, landing, events_dir, checkpoint=scratch_path(spark, "stream-ckpt"),
                         n_fields=2, use_value=standin.STANDIN_USE,
-                        type_part=standin.STANDIN_TYPE_PART, tagger=tag_by_folder("city"))
+                        type_part=standin.STANDIN_TYPE_PART, tagger=tag_by_folder("city"),
+                        alias_row="positional")
     q.awaitTermination()
     return spark.read.parquet(events_dir).select("city", "date", "district", "type")
 

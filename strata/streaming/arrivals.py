@@ -24,7 +24,7 @@ from strata import schema
 from strata.operators.project import integral
 from strata.plans.job import filter_records, nest_from_events, select_events
 from strata.session import checkpoint_dir
-from strata.sources.records import CSV_OPTIONS, scan_file_path
+from strata.sources.records import CSV_OPTIONS, FILE_COL, drop_alias_row, scan_file_path
 
 
 def tag_by_letter(letters: Mapping[str, str] | None = None) -> Column:
@@ -50,12 +50,15 @@ def arrivals(
     tagger: Column | None = None,
     multiline: bool = True,
     max_files_per_trigger: int | None = None,
+    alias_row: str = "typed",
 ) -> DataFrame:
     """Streaming frame of text records from files landing under ``landing_dir``, tagged ``city``.
 
     The header of each file is checked against ``columns`` (``enforceSchema``
     off), so a file with other columns fails the batch instead of being
-    misread; the alias row is dropped by type (a non-integer date).
+    misread.  ``alias_row``: ``typed`` drops rows whose date is not an
+    integer; ``positional`` drops the first data row of every file (the same
+    narrow Arrow step as the batch reader, applied in each micro-batch).
     """
     cols = list(schema.SOURCE_COLUMNS if columns is None else columns)
     reader = (spark.readStream.options(**CSV_OPTIONS)
@@ -68,6 +71,12 @@ def arrivals(
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     raw = reader.csv(landing_dir)
     tagged = raw.withColumn("city", tag_by_letter() if tagger is None else tagger)
+    if alias_row == "positional":
+        located = tagged.select("*", scan_file_path().alias(FILE_COL),
+                                F.col("_metadata.file_block_start").alias("_block"))
+        return drop_alias_row(located, "positional").drop(FILE_COL, "_block")
+    if alias_row != "typed":
+        raise ValueError(f"alias row mode must be typed or positional, not {alias_row!r}")
     d = F.trim(F.col(schema.COL_DATE))
     return tagged.filter(F.col(schema.COL_DATE).isNull() | (d == "") | integral(d).isNotNull())
 

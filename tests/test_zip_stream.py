@@ -85,3 +85,15 @@ def test_stream_fails_loudly_on_other_columns(spark, tmp_dir):
                         checkpoint=os.path.join(tmp_dir, "ckpt"), n_fields=2, columns=COLS)
     with pytest.raises(Exception, match="(?i)FAILED_READ_FILE|header|schema"):
         q.awaitTermination()
+
+
+def test_stream_positional_alias_row(spark, tmp_dir):
+    landing = os.path.join(tmp_dir, "landing")
+    os.makedirs(landing)
+    write_city(landing, "A")              # alias row first: dropped, 5 rows kept
+    write_city(landing, "B", alias=None)  # no alias row: the first (kept) record goes
+    events = os.path.join(tmp_dir, "events")
+    ingest_arrivals(spark, landing, events, checkpoint=os.path.join(tmp_dir, "ckpt"), n_fields=2,
+                    columns=COLS, alias_row="positional").awaitTermination()
+    counts = {r.city: r["count"] for r in spark.read.parquet(events).groupBy("city").count().collect()}
+    assert counts == {"台北市": 5, "台中市": 4}
