@@ -1,4 +1,4 @@
-"""DataFrame operators: filters, tagging and union, typing, nesting, splits."""
+"""DataFrame operators: filters, tagging and union, typing, nesting, numbering, splits."""
 
 from strata.operators.filters import high_rise, high_rise_condition
 from strata.operators.inspect import distinct_sorted, distinct_values, top_n
@@ -10,8 +10,9 @@ from strata.operators.nest import (
     nest_slots,
     nest_two_levels,
 )
-from strata.operators.project import cast_columns, null_tokens, to_english
-from strata.operators.rank import row_number_by_range
+from strata.operators.project import cast_columns, integral, null_tokens, to_english
+from strata.operators.rank import cumulative_by_range, row_number_by_range
+from strata.operators.sizing import broadcast_if_small, measure
 from strata.operators.split import (
     balanced_split,
     hash_bucket,
@@ -23,6 +24,7 @@ from strata.operators.tagging import (
     ColumnMismatch,
     assert_same_columns,
     reconcile_counts,
+    same_columns_by_source,
     source_counts,
     tag,
     tagged_union,
@@ -30,10 +32,11 @@ from strata.operators.tagging import (
 )
 
 __all__ = [
-    "ColumnMismatch", "assert_same_columns", "balanced_split", "cast_columns",
-    "distinct_sorted", "distinct_values", "document_json", "event_struct",
-    "hash_bucket", "hash_split", "high_rise", "high_rise_condition", "md5_order",
-    "nest_events", "nest_paged", "nest_slots", "nest_two_levels", "null_tokens",
-    "random_split", "reconcile_counts", "row_number_by_range", "source_counts", "tag",
-    "tagged_union", "to_english", "top_n", "union_all",
+    "ColumnMismatch", "assert_same_columns", "balanced_split", "broadcast_if_small",
+    "cast_columns", "cumulative_by_range", "distinct_sorted", "distinct_values",
+    "document_json", "event_struct", "hash_bucket", "hash_split", "high_rise",
+    "high_rise_condition", "integral", "md5_order", "measure", "nest_events", "nest_paged",
+    "nest_slots", "nest_two_levels", "null_tokens", "random_split", "reconcile_counts",
+    "row_number_by_range", "same_columns_by_source", "source_counts", "tag", "tagged_union",
+    "to_english", "top_n", "union_all",
 ]
