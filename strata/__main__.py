@@ -41,6 +41,9 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
     ap.add_argument("--part-paths", default=None,
                     help="comma-separated output path per part (e.g. out/output1.json,out/output2.json) "
                          "instead of part=<n> folders under the output")
+    ap.add_argument("--stream", action="store_true",
+                    help="treat the input as a landing folder: ingest the files not yet seen "
+                         "(Structured Streaming, availableNow) into --events-dir, then nest from it")
     ap.add_argument("--events-dir", default=None,
                     help="write the cleaned, filtered events there as Parquet first (a written cut of "
                          "the lineage), then nest from that table")
@@ -50,11 +53,20 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
                     help="keep the session's shuffle and split sizes (default: size them from the input bytes)")
     args = ap.parse_args(argv)
 
+    if args.stream and not args.events_dir:
+        ap.error("--stream needs --events-dir")
     spark = SparkSession.builder.appName("strata").getOrCreate()
     if not args.no_sizing:
         total = list_files(spark, [args.input]).agg(F.sum("length")).first()[0] or 0  # metadata only
         size_for_input(spark, total)
-    if args.zip:
+    if args.stream:
+        from strata.streaming.arrivals import ingest_arrivals
+
+        ingest_arrivals(spark, args.input, args.events_dir, n_fields=args.fields,
+                        floors_mode=args.floors, columns=schema.required_columns(args.fields),
+                        alias_row=args.alias_row).awaitTermination()
+        records = None
+    elif args.zip:
         rows = read_zip_members(spark, args.input, member_pattern="?_lvr_land_A.csv",
                                 columns=schema.required_columns(args.fields), alias_row=args.alias_row)
         names = {schema.CITY_FILE_PATTERN.format(letter=k): v for k, v in schema.CITY_BY_LETTER.items()}
@@ -63,7 +75,8 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
         records = read_tagged(spark, city_files(spark, args.input), alias_row=args.alias_row,
                               require=schema.required_columns(args.fields))
     if args.events_dir:
-        write_events(records, args.events_dir, n_fields=args.fields, floors_mode=args.floors)
+        if records is not None:
+            write_events(records, args.events_dir, n_fields=args.fields, floors_mode=args.floors)
         doc = nest_from_events(spark, args.events_dir, n_fields=args.fields,
                                combine_copies=args.combine_copies,
                                max_events_per_line=args.max_events_per_line)

@@ -263,7 +263,7 @@ def q_json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stream_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records land as per-city CSV files (alias row first); a file stream (availableNow)
     drops each file's alias row by position, cleans, filters and appends events."""
-    from strata.streaming.arrivals import ingest_arrivals, tag_by_folder
+    from strata.streaming.arrivals import events_table, ingest_arrivals, tag_by_folder
 
     landing = scratch_path(spark, "landing")
     standin.write_city_files(standin.records(spark, sf_dir, spread=True), landing)
@@ -273,7 +273,7 @@ def q_stream_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
                         type_part=standin.STANDIN_TYPE_PART, tagger=tag_by_folder("city"),
                         alias_row="positional")
     q.awaitTermination()
-    return spark.read.parquet(events_dir).select("city", "date", "district", "type")
+    return events_table(spark, events_dir).select("city", "date", "district", "type")
 
 
 def queries() -> dict[str, Query]:

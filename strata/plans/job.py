@@ -121,7 +121,8 @@ def nest_from_events(spark: SparkSession, events_dir: str, *, n_fields: int = 2,
                      combine_copies: bool = True, max_events_per_line: int | None = None) -> DataFrame:
     """The document (or its pages) from an events table written by :func:`write_events`."""
     events = spark.read.parquet(events_dir)
-    events = events.drop(f"{key}_dir")  # the folder copy; the key column itself is in the files
+    # folder columns: the key's copy (write_events) and the stream's micro-batch id
+    events = events.drop(f"{key}_dir", "ingest_batch")
     fields = schema.event_fields(n_fields)
     if max_events_per_line:
         return nest_paged(events, key, "date", fields, max_events=max_events_per_line)

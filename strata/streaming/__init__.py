@@ -1,11 +1,13 @@
 """Structured Streaming: incremental ingest of landing city files."""
 
 from strata.streaming.arrivals import (
-    arrivals,
     document_from_events,
+    events_table,
     ingest_arrivals,
+    new_files,
     tag_by_folder,
     tag_by_letter,
 )
 
-__all__ = ["arrivals", "document_from_events", "ingest_arrivals", "tag_by_folder", "tag_by_letter"]
+__all__ = ["document_from_events", "events_table", "ingest_arrivals", "new_files", "tag_by_folder",
+           "tag_by_letter"]

@@ -1,84 +1,73 @@
 """Incremental ingest of city files as they land in a folder.
 
 The batch job waits for a download to appear and then reads it.  Here the
-landing folder is a Structured Streaming file source: every new CSV file is
-read once (the checkpoint remembers which files were done), cleaned and
-filtered like the batch job, and its kept events are appended to a Parquet
-events table.  ``availableNow`` processes whatever has landed and stops, so
-the same code serves a scheduled run and a continuous one
-(``processing_time="1 minute"``).
-
+landing folder is watched by Structured Streaming: a ``binaryFile`` stream
+(paths only, no content) yields the files not seen before, and each
+micro-batch reads exactly those files with the batch reader - header
+discovery, columns bound by name (any order, extra columns ignored), typed
+or positional alias-row drop - then cleans and filters them like the batch
+job and writes the kept events to ``events_dir/ingest_batch=<epoch>``.
+
+Writing a micro-batch overwrites its own folder, so a replayed epoch is
+idempotent, and the checkpoint makes every file count exactly once.
+``availableNow`` processes whatever has landed and stops, so the same code
+serves a scheduled run and a continuous one (``processing_time="1 minute"``).
 The nested document is then built in batch from the events table
 (:func:`document_from_events`), so late files only add rows to the table.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import hashlib
+import re
+from collections.abc import Callable, Mapping
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from strata import schema
-from strata.operators.project import integral
 from strata.plans.job import filter_records, nest_from_events, select_events
 from strata.session import checkpoint_dir
-from strata.sources.records import CSV_OPTIONS, FILE_COL, drop_alias_row, scan_file_path
+from strata.sources.records import CSV_GLOB, read_tagged
+
+BATCH_COL = "ingest_batch"
+
+Tagger = Callable[[str], "str | None"]
 
 
-def tag_by_letter(letters: Mapping[str, str] | None = None) -> Column:
-    """City from the file name ``<letter>_lvr_land_A.csv`` (null for other names)."""
+def tag_by_letter(letters: Mapping[str, str] | None = None) -> Tagger:
+    """City from the file name ``<letter>_lvr_land_A.csv`` (None for other names)."""
     letters = schema.CITY_BY_LETTER if letters is None else letters
-    kv = []
-    for k, v in letters.items():
-        kv += [F.lit(k), F.lit(v)]
-    letter = F.regexp_extract(F.col("_metadata.file_name"), r"^([A-Za-z])_lvr_land_A\.csv$", 1)
-    return F.try_element_at(F.create_map(*kv), F.upper(letter))
+    pattern = re.compile(r"^([A-Za-z])_lvr_land_A\.csv$")
+
+    def tag(path: str) -> str | None:
+        m = pattern.match(path.rsplit("/", 1)[-1])
+        return letters.get(m.group(1).upper()) if m else None
+
+    return tag
 
 
-def tag_by_folder(col: str = "city") -> Column:
+def tag_by_folder(col: str = "city") -> Tagger:
     """City from a ``<col>=<value>`` folder in the file's path."""
-    return F.regexp_extract(scan_file_path(), f"/{col}=([^/]+)/", 1)
+    pattern = re.compile(rf"/{re.escape(col)}=([^/]+)/")
 
+    def tag(path: str) -> str | None:
+        m = pattern.search(path)
+        return unquote(m.group(1)) if m else None
+
+    return tag
 
-def arrivals(
-    spark: SparkSession,
-    landing_dir: str,
-    *,
-    columns: list[str] | None = None,
-    tagger: Column | None = None,
-    multiline: bool = True,
-    max_files_per_trigger: int | None = None,
-    alias_row: str = "typed",
-) -> DataFrame:
-    """Streaming frame of text records from files landing under ``landing_dir``, tagged ``city``.
-
-    The header of each file is checked against ``columns`` (``enforceSchema``
-    off), so a file with other columns fails the batch instead of being
-    misread.  ``alias_row``: ``typed`` drops rows whose date is not an
-    integer; ``positional`` drops the first data row of every file (the same
-    narrow Arrow step as the batch reader, applied in each micro-batch).
-    """
-    cols = list(schema.SOURCE_COLUMNS if columns is None else columns)
-    reader = (spark.readStream.options(**CSV_OPTIONS)
-              .option("multiLine", str(multiline).lower())
-              .option("enforceSchema", "false")
-              .option("recursiveFileLookup", "true")
-              .option("pathGlobFilter", "*.csv")
-              .schema(schema.text_schema(cols)))
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    raw = reader.csv(landing_dir)
-    tagged = raw.withColumn("city", tag_by_letter() if tagger is None else tagger)
-    if alias_row == "positional":
-        located = tagged.select("*", scan_file_path().alias(FILE_COL),
-                                F.col("_metadata.file_block_start").alias("_block"))
-        return drop_alias_row(located, "positional").drop(FILE_COL, "_block")
-    if alias_row != "typed":
-        raise ValueError(f"alias row mode must be typed or positional, not {alias_row!r}")
-    d = F.trim(F.col(schema.COL_DATE))
-    return tagged.filter(F.col(schema.COL_DATE).isNull() | (d == "") | integral(d).isNotNull())
+
+def new_files(spark: SparkSession, landing_dir: str, *, max_files_per_trigger: int = 1000) -> DataFrame:
+    """Streaming frame of the CSV files landing under ``landing_dir`` (``path`` only, no content)."""
+    return (spark.readStream.format("binaryFile")
+            .schema("path string, modificationTime timestamp, length bigint, content binary")
+            .option("pathGlobFilter", CSV_GLOB)
+            .option("recursiveFileLookup", "true")
+            .option("maxFilesPerTrigger", str(max_files_per_trigger))
+            .load(landing_dir)
+            .select("path"))
 
 
 def ingest_arrivals(
@@ -88,25 +77,52 @@ def ingest_arrivals(
     *,
     checkpoint: str | None = None,
     n_fields: int = 28,
+    floors_mode: str = "compat",
     use_value: str = schema.RESIDENTIAL,
     type_part: str = schema.TOWER,
     min_floors: int = schema.MIN_FLOORS,
+    columns: list[str] | None = None,
+    tagger: Tagger | None = None,
+    alias_row: str = "typed",
+    multiline: bool = True,
+    max_files_per_trigger: int = 1000,
     available_now: bool = True,
     processing_time: str | None = None,
-    **arrival_args,
 ) -> StreamingQuery:
-    """Start the stream: landed files -> clean -> filter -> events appended to Parquet.
-
-    The checkpoint defaults to a folder under the session's shared
-    ``spark.checkpoint.dir``; it makes the stream exactly-once per file and
-    lets a restarted (or executor-lost) run resume where it stopped.
+    """Start the stream: landed files -> clean -> filter -> events appended as Parquet.
+
+    ``columns`` are the source columns every file must have (default: the
+    ones the ``n_fields`` document needs); ``tagger`` maps a file path to its
+    city (default: the letter in the file name) and a file without a city
+    fails the batch rather than being dropped.  The checkpoint defaults to a
+    folder under the session's shared ``spark.checkpoint.dir`` named after
+    the (landing, events) pair, so a rerun for the same pair resumes and
+    different pairs never share one.
     """
-    records = arrivals(spark, landing_dir, **arrival_args)
-    kept = filter_records(records, use_value=use_value, type_part=type_part, min_floors=min_floors)
-    events = select_events(kept, n_fields)
-    ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/strata-arrivals"
-    writer = (events.writeStream.format("parquet").outputMode("append")
-              .option("checkpointLocation", ckpt).option("path", events_dir))
+    required = schema.required_columns(n_fields) if columns is None else list(columns)
+    tag = tag_by_letter() if tagger is None else tagger
+    base = events_dir.rstrip("/")
+
+    def process(batch: DataFrame, epoch_id: int) -> None:
+        paths = [r["path"] for r in batch.collect()]  # this micro-batch's new file names
+        if not paths:
+            return
+        sources = {}
+        for p in paths:
+            city = tag(p)
+            if city is None:
+                raise ValueError(f"no city for landed file {p}")
+            sources[p] = city
+        records = read_tagged(batch.sparkSession, sources, require=required, alias_row=alias_row,
+                              multiline=multiline)
+        kept = filter_records(records, floors_mode=floors_mode, use_value=use_value,
+                              type_part=type_part, min_floors=min_floors)
+        select_events(kept, n_fields).write.mode("overwrite").parquet(f"{base}/{BATCH_COL}={epoch_id}")
+
+    pair = hashlib.sha1(f"{landing_dir}|{events_dir}".encode()).hexdigest()[:16]
+    ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/strata-arrivals-{pair}"
+    writer = (new_files(spark, landing_dir, max_files_per_trigger=max_files_per_trigger)
+              .writeStream.foreachBatch(process).option("checkpointLocation", ckpt))
     if processing_time:
         writer = writer.trigger(processingTime=processing_time)
     elif available_now:
@@ -114,6 +130,11 @@ def ingest_arrivals(
     return writer.start()
 
 
+def events_table(spark: SparkSession, events_dir: str) -> DataFrame:
+    """The accumulated events (without the micro-batch folder column)."""
+    return spark.read.parquet(events_dir).drop(BATCH_COL)
+
+
 def document_from_events(spark: SparkSession, events_dir: str, n_fields: int = 28,
                          **nest_args) -> DataFrame:
     """The nested document (``city, time_slots``) from the accumulated events table."""

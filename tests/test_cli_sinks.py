@@ -174,3 +174,16 @@ def test_cli_events_table_gives_the_same_document(spark, tmp_dir):
 
     assert docs(direct) == docs(staged) and len(docs(direct)) == 2
     assert os.path.isdir(os.path.join(tmp_dir, "events", "city_dir=台北市"))
+
+
+def test_cli_stream_mode_resumes(spark, tmp_dir):
+    landing = os.path.join(tmp_dir, "landing")
+    os.makedirs(landing)
+    write_city(landing, "A")
+    events = os.path.join(tmp_dir, "events")
+    first = main([landing, os.path.join(tmp_dir, "out1"), "--stream", "--events-dir", events])
+    assert sorted(sum((_cities(p) for p in first.values()), [])) == ["台北市"]
+    write_city(landing, "B")  # a new file lands; the rerun ingests only it
+    second = main([landing, os.path.join(tmp_dir, "out2"), "--stream", "--events-dir", events])
+    assert sorted(sum((_cities(p) for p in second.values()), [])) == sorted(["台北市", "台中市"])
+    assert spark.read.parquet(events).count() == 10

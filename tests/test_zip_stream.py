@@ -3,7 +3,7 @@ import zipfile
 
 from pyspark.sql import functions as F
 
-from fixtures import COLS, ROWS, csv_text, write_city
+from fixtures import ALIAS, COLS, ROWS, csv_text, write_city
 from strata.sources.zip_members import read_zip_members, tag_by_member
 from strata.streaming.arrivals import document_from_events, ingest_arrivals
 
@@ -72,7 +72,7 @@ def test_zip_one_archive_many_members_in_parallel(spark, tmp_dir):
         {m: len(ROWS) for m in members}
 
 
-def test_stream_fails_loudly_on_other_columns(spark, tmp_dir):
+def test_stream_binds_columns_by_name_and_fails_on_missing_ones(spark, tmp_dir):
     import pytest
 
     from fixtures import reorder
@@ -80,10 +80,18 @@ def test_stream_fails_loudly_on_other_columns(spark, tmp_dir):
     landing = os.path.join(tmp_dir, "landing")
     os.makedirs(landing)
     cols, alias, rows = reorder(list(reversed(COLS)))
-    write_city(landing, "A", cols=cols, alias=alias, rows=rows)
-    q = ingest_arrivals(spark, landing, os.path.join(tmp_dir, "events"),
-                        checkpoint=os.path.join(tmp_dir, "ckpt"), n_fields=2, columns=COLS)
-    with pytest.raises(Exception, match="(?i)FAILED_READ_FILE|header|schema"):
+    write_city(landing, "A", cols=cols, alias=alias, rows=rows)  # other order: read by name
+    events = os.path.join(tmp_dir, "events")
+    ingest_arrivals(spark, landing, events, checkpoint=os.path.join(tmp_dir, "ckpt"), n_fields=2,
+                    columns=COLS).awaitTermination()
+    assert spark.read.parquet(events).count() == 5
+    missing = [c for c in COLS if c != "主要用途"]
+    idx = [COLS.index(c) for c in missing]
+    write_city(landing, "B", cols=missing, alias=[ALIAS[i] for i in idx],
+               rows=[[r[i] for i in idx] for r in ROWS])
+    q = ingest_arrivals(spark, landing, events, checkpoint=os.path.join(tmp_dir, "ckpt"), n_fields=2,
+                        columns=COLS)
+    with pytest.raises(Exception, match="lack columns"):
         q.awaitTermination()
 
 
