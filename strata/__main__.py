@@ -55,6 +55,8 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
 
     if args.stream and not args.events_dir:
         ap.error("--stream needs --events-dir")
+    if args.stream and args.zip:
+        ap.error("--stream watches a folder of CSV files; it does not read zip archives")
     spark = SparkSession.builder.appName("strata").getOrCreate()
     if not args.no_sizing:
         total = list_files(spark, [args.input]).agg(F.sum("length")).first()[0] or 0  # metadata only
