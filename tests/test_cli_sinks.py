@@ -187,3 +187,17 @@ def test_cli_stream_mode_resumes(spark, tmp_dir):
     second = main([landing, os.path.join(tmp_dir, "out2"), "--stream", "--events-dir", events])
     assert sorted(sum((_cities(p) for p in second.values()), [])) == sorted(["台北市", "台中市"])
     assert spark.read.parquet(events).count() == 10
+
+
+def test_named_parts_refuse_to_leave_a_part_out(spark, tmp_dir):
+    import pytest
+
+    from strata.sinks.json_lines import write_named_parts
+
+    df = spark.range(10).select((F.col("id") % 2).alias("part"), F.col("id").alias("v"))
+    with pytest.raises(ValueError, match="no path for part"):
+        write_named_parts(df, {0: os.path.join(tmp_dir, "only0")})
+    out = write_named_parts(df, {0: os.path.join(tmp_dir, "p0"), 1: os.path.join(tmp_dir, "p1")})
+    total = sum(sum(1 for f in os.listdir(p) if f.endswith(".json") for _ in open(os.path.join(p, f)))
+                for p in out.values())
+    assert total == 10
