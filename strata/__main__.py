@@ -44,6 +44,8 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
     ap.add_argument("--stream", action="store_true",
                     help="treat the input as a landing folder: ingest the files not yet seen "
                          "(Structured Streaming, availableNow) into --events-dir, then nest from it")
+    ap.add_argument("--max-files-per-trigger", type=int, default=1000,
+                    help="with --stream: files per micro-batch (bounds what one batch plans and reads)")
     ap.add_argument("--events-dir", default=None,
                     help="write the cleaned, filtered events there as Parquet first (a written cut of "
                          "the lineage), then nest from that table")
@@ -66,7 +68,8 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
 
         ingest_arrivals(spark, args.input, args.events_dir, n_fields=args.fields,
                         floors_mode=args.floors, columns=schema.required_columns(args.fields),
-                        alias_row=args.alias_row).awaitTermination()
+                        alias_row=args.alias_row,
+                        max_files_per_trigger=args.max_files_per_trigger).awaitTermination()
         records = None
     elif args.zip:
         rows = read_zip_members(spark, args.input, member_pattern="?_lvr_land_A.csv",

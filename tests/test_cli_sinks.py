@@ -184,7 +184,8 @@ def test_cli_stream_mode_resumes(spark, tmp_dir):
     first = main([landing, os.path.join(tmp_dir, "out1"), "--stream", "--events-dir", events])
     assert sorted(sum((_cities(p) for p in first.values()), [])) == ["台北市"]
     write_city(landing, "B")  # a new file lands; the rerun ingests only it
-    second = main([landing, os.path.join(tmp_dir, "out2"), "--stream", "--events-dir", events])
+    second = main([landing, os.path.join(tmp_dir, "out2"), "--stream", "--events-dir", events,
+                   "--max-files-per-trigger", "1"])
     assert sorted(sum((_cities(p) for p in second.values()), [])) == sorted(["台北市", "台中市"])
     assert spark.read.parquet(events).count() == 10
 
