@@ -85,7 +85,7 @@ def _member_parser(columns: list[str], drop_first: bool, out_schema: pa.Schema,
                         reader = pacsv.open_csv(pa.PythonFile(raw, mode="r"), read_options=read,
                                                 parse_options=parse, convert_options=convert)
                     except (pa.ArrowInvalid, KeyError) as err:
-                        if "Empty CSV file" in str(err):
+                        if str(err).strip() == "Empty CSV file":  # no bytes (or only a BOM)
                             continue
                         raise ColumnMismatch(f"{archive}!{member}: {err}") from err
                     row = 0

@@ -2,14 +2,15 @@
 
 The batch job waits for a download to appear and then reads it.  Here the
 landing folder is watched by Structured Streaming: a ``binaryFile`` stream
-(paths only, no content) yields the files not seen before, and each
-micro-batch reads exactly those files with the batch reader - header
-discovery, columns bound by name (any order, extra columns ignored), typed
-or positional alias-row drop - then cleans and filters them like the batch
-job and writes the kept events to ``events_dir/ingest_batch=<epoch>``.
-
-Writing a micro-batch overwrites its own folder, so a replayed epoch is
-idempotent, and the checkpoint makes every file count exactly once.
+(paths only, no content) yields the files not seen before, and a
+``mapInArrow`` step parses each new file in an executor with Arrow's
+streaming CSV reader - columns bound by name (any order, extra columns
+ignored), BOM, quoted commas and line breaks, the city from the file path,
+typed or positional alias-row drop.  The rows are then cleaned and filtered
+like the batch job and appended to a Parquet events table by the file sink,
+whose log and the checkpoint make every file count exactly once.  Nothing
+passes through the driver per batch.
+
 ``availableNow`` processes whatever has landed and stops, so the same code
 serves a scheduled run and a continuous one (``processing_time="1 minute"``).
 The nested document is then built in batch from the events table
@@ -20,18 +21,23 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from strata import schema
+from strata.operators.project import integral
+from strata.operators.tagging import ColumnMismatch
 from strata.plans.job import filter_records, nest_from_events, select_events
 from strata.session import checkpoint_dir
-from strata.sources.records import CSV_GLOB, read_tagged
+from strata.sources.records import CSV_GLOB, FILE_COL
 
-BATCH_COL = "ingest_batch"
+BATCH_COL = "ingest_batch"  # folder column of older event tables; dropped on read
 
 Tagger = Callable[[str], "str | None"]
 
@@ -70,6 +76,82 @@ def new_files(spark: SparkSession, landing_dir: str, *, max_files_per_trigger: i
             .select("path"))
 
 
+def _open_file(path: str):
+    """Open a Spark path for reading in an executor (local or any pyarrow filesystem)."""
+    if path.startswith("file:"):
+        return open(unquote(path[len("file:"):]), "rb")
+    from pyarrow import fs as pafs
+
+    filesystem, inner = pafs.FileSystem.from_uri(path)
+    return filesystem.open_input_stream(inner)
+
+
+def _file_parser(columns: list[str], tagger: Tagger, drop_first: bool, out_schema: pa.Schema,
+                 batch_rows: int):
+    """``mapInArrow`` body: each landed file path -> its record rows, tagged with the city."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import csv as pacsv
+
+        read = pacsv.ReadOptions(use_threads=False, block_size=max(1 << 20, batch_rows * 256))
+        parse = pacsv.ParseOptions(newlines_in_values=True)
+        convert = pacsv.ConvertOptions(
+            include_columns=columns, column_types={c: pa.string() for c in columns},
+            strings_can_be_null=True, null_values=[""], quoted_strings_can_be_null=True)
+        for batch in batches:
+            for path in batch.column("path").to_pylist():
+                city = tagger(path)
+                if city is None:
+                    raise ValueError(f"no city for landed file {path}")
+                with _open_file(path) as fh:
+                    source = fh if isinstance(fh, pa.NativeFile) else pa.PythonFile(fh, mode="r")
+                    try:
+                        reader = pacsv.open_csv(source, read_options=read, parse_options=parse,
+                                                convert_options=convert)
+                    except (pa.ArrowInvalid, KeyError) as err:
+                        if str(err).strip() == "Empty CSV file":  # no bytes (or only a BOM)
+                            continue
+                        raise ColumnMismatch(f"{path} lacks columns: {err}") from err
+                    pending = drop_first  # the file's first data row is still to drop
+                    for chunk in reader:
+                        if pending and chunk.num_rows:
+                            chunk, pending = chunk.slice(1), False
+                        m = chunk.num_rows
+                        if m:
+                            yield pa.RecordBatch.from_arrays(
+                                [chunk.column(c) for c in columns]
+                                + [pa.array([city] * m, pa.string()), pa.array([path] * m, pa.string())],
+                                schema=out_schema)
+
+    return run
+
+
+def arrivals(
+    spark: SparkSession,
+    landing_dir: str,
+    *,
+    columns: list[str],
+    tagger: Tagger | None = None,
+    alias_row: str = "typed",
+    max_files_per_trigger: int = 1000,
+    batch_rows: int = 10_000,
+) -> DataFrame:
+    """Streaming frame of text records (``columns``, ``city``, ``_file``) from newly landed files."""
+    if alias_row not in ("typed", "positional"):
+        raise ValueError(f"alias row mode must be typed or positional, not {alias_row!r}")
+    tag = tag_by_letter() if tagger is None else tagger
+    spark_schema = T.StructType([T.StructField(c, T.StringType()) for c in columns]
+                                + [T.StructField("city", T.StringType()),
+                                   T.StructField(FILE_COL, T.StringType())])
+    arrow_schema = pa.schema([(c, pa.string()) for c in columns] + [("city", pa.string()), (FILE_COL, pa.string())])
+    rows = new_files(spark, landing_dir, max_files_per_trigger=max_files_per_trigger).mapInArrow(
+        _file_parser(list(columns), tag, alias_row == "positional", arrow_schema, batch_rows), spark_schema)
+    if alias_row == "typed":
+        d = F.trim(F.col(schema.COL_DATE))
+        rows = rows.filter(F.col(schema.COL_DATE).isNull() | (d == "") | integral(d).isNotNull())
+    return rows
+
+
 def ingest_arrivals(
     spark: SparkSession,
     landing_dir: str,
@@ -84,7 +166,6 @@ def ingest_arrivals(
     columns: list[str] | None = None,
     tagger: Tagger | None = None,
     alias_row: str = "typed",
-    multiline: bool = True,
     max_files_per_trigger: int = 1000,
     available_now: bool = True,
     processing_time: str | None = None,
@@ -94,35 +175,21 @@ def ingest_arrivals(
     ``columns`` are the source columns every file must have (default: the
     ones the ``n_fields`` document needs); ``tagger`` maps a file path to its
     city (default: the letter in the file name) and a file without a city
-    fails the batch rather than being dropped.  The checkpoint defaults to a
+    fails the stream rather than being dropped.  The checkpoint defaults to a
     folder under the session's shared ``spark.checkpoint.dir`` named after
     the (landing, events) pair, so a rerun for the same pair resumes and
     different pairs never share one.
     """
     required = schema.required_columns(n_fields) if columns is None else list(columns)
-    tag = tag_by_letter() if tagger is None else tagger
-    base = events_dir.rstrip("/")
-
-    def process(batch: DataFrame, epoch_id: int) -> None:
-        paths = [r["path"] for r in batch.collect()]  # this micro-batch's new file names
-        if not paths:
-            return
-        sources = {}
-        for p in paths:
-            city = tag(p)
-            if city is None:
-                raise ValueError(f"no city for landed file {p}")
-            sources[p] = city
-        records = read_tagged(batch.sparkSession, sources, require=required, alias_row=alias_row,
-                              multiline=multiline)
-        kept = filter_records(records, floors_mode=floors_mode, use_value=use_value,
-                              type_part=type_part, min_floors=min_floors)
-        select_events(kept, n_fields).write.mode("overwrite").parquet(f"{base}/{BATCH_COL}={epoch_id}")
-
+    records = arrivals(spark, landing_dir, columns=required, tagger=tagger, alias_row=alias_row,
+                       max_files_per_trigger=max_files_per_trigger)
+    kept = filter_records(records, floors_mode=floors_mode, use_value=use_value,
+                          type_part=type_part, min_floors=min_floors)
+    events = select_events(kept, n_fields)
     pair = hashlib.sha1(f"{landing_dir}|{events_dir}".encode()).hexdigest()[:16]
     ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/strata-arrivals-{pair}"
-    writer = (new_files(spark, landing_dir, max_files_per_trigger=max_files_per_trigger)
-              .writeStream.foreachBatch(process).option("checkpointLocation", ckpt))
+    writer = (events.writeStream.format("parquet").outputMode("append")
+              .option("checkpointLocation", ckpt).option("path", events_dir))
     if processing_time:
         writer = writer.trigger(processingTime=processing_time)
     elif available_now:
@@ -131,7 +198,7 @@ def ingest_arrivals(
 
 
 def events_table(spark: SparkSession, events_dir: str) -> DataFrame:
-    """The accumulated events (without the micro-batch folder column)."""
+    """The accumulated events."""
     return spark.read.parquet(events_dir).drop(BATCH_COL)
 
 

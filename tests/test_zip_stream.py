@@ -91,7 +91,7 @@ def test_stream_binds_columns_by_name_and_fails_on_missing_ones(spark, tmp_dir):
                rows=[[r[i] for i in idx] for r in ROWS])
     q = ingest_arrivals(spark, landing, events, checkpoint=os.path.join(tmp_dir, "ckpt"), n_fields=2,
                         columns=COLS)
-    with pytest.raises(Exception, match="lack columns"):
+    with pytest.raises(Exception, match="lacks? columns"):
         q.awaitTermination()
 
 
@@ -105,3 +105,24 @@ def test_stream_positional_alias_row(spark, tmp_dir):
                     columns=COLS, alias_row="positional").awaitTermination()
     counts = {r.city: r["count"] for r in spark.read.parquet(events).groupBy("city").count().collect()}
     assert counts == {"台北市": 5, "台中市": 4}
+
+
+def test_stream_parser_drops_only_the_first_row_across_chunks(tmp_dir):
+    import pyarrow as pa
+
+    from strata.streaming.arrivals import _file_parser
+
+    p = write_city(tmp_dir, "A")
+    out_schema = pa.schema([(c, pa.string()) for c in COLS] + [("city", pa.string()), ("_file", pa.string())])
+    # a tiny block size cuts the file into many small chunks
+    parser = _file_parser(COLS, lambda path: "x", True, out_schema, batch_rows=1)
+    import pyarrow.csv as pacsv
+
+    original = pacsv.ReadOptions
+    try:
+        pacsv.ReadOptions = lambda **kw: original(**{**kw, "block_size": 256})  # first chunk: the alias row alone
+        batch = pa.RecordBatch.from_pydict({"path": ["file:" + p]})
+        rows = [r for b in parser(iter([batch])) for r in b.column("鄉鎮市區").to_pylist()]
+    finally:
+        pacsv.ReadOptions = original
+    assert rows == [r[0] for r in ROWS]  # only the alias row is gone
