@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import quality_classifier, quality_rules
+from strata.llm import near_dedup, packing, quality_classifier, quality_rules
 from strata.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,13 +17,23 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of every document by shingles of two words at similarity 0.8."""
+    return near_dedup.classes(table(spark, sf_dir, "documents"), width=2)
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequence and place of every piece of every document."""
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nearest-neighbour quality score of every document."""
     return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality_rules, op9_quality_classifier)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_near_dedup, op7_packing, op9_quality_classifier)}
 
 
 def oracle_sql() -> dict[str, str]:
