@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import near_dedup, packing, quality_classifier, quality_rules
+from strata.llm import near_dedup, packing, quality_classifier, quality_rules, token_files
 from strata.llm.common import table
+from strata.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,8 +33,16 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids, written as Huffman-coded files and read back."""
+    folder = scratch_path(spark, "token-files")
+    token_files.write_ids(table(spark, sf_dir, "documents"), folder)
+    return token_files.read_digests(spark, folder)
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_near_dedup, op7_packing, op9_quality_classifier)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_near_dedup, op7_packing, op9_quality_classifier,
+                                   op10_token_files)}
 
 
 def oracle_sql() -> dict[str, str]:
