@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from strata.session import scratch_path
 
-#: Fixed by the task: words are runs of characters other than these six.
-WORD_SEPARATORS = "\x20\x09\x0a\x0b\x0c\x0d"
+#: Fixed by the task: words are runs of characters other than these six separators.
 WORD_SPLIT = r"[\x20\x09-\x0D]+"
 
 

@@ -6,9 +6,8 @@ not toxic).  A document's ratio is the mean over its n-grams of
 ``log(target / raw)``, and a document is kept when the base rules pass and the
 mean ratio reaches ``MIN_RATIO``; nothing is drawn at random.
 
-N-grams: every word, every pair of neighbouring words, and every triple of
-neighbouring word shapes (runs of capitals, small letters and digits as one A,
-a and 9; each word end kept apart).  Shapes carry over to words never seen.
+N-grams: every word, every pair of neighbouring words, and the last two
+characters of every word; word ends carry over to words never seen.
 
 Only DataFrame functions are used.  The counting pass explodes n-grams and sums
 them map-side into at most ``N_BUCKETS`` sums per task, so the shuffle does not
@@ -34,20 +33,14 @@ from strata.llm.common import words_of
 
 N_BUCKETS = 1 << 14
 SMOOTHING = 1.0  # added to the expected count of a bucket, see log_ratios
-MIN_RATIO = -0.15  # nats per n-gram
+MIN_RATIO = -0.3  # nats per n-gram
 # Fixed by the task.
-SYMBOLS = "#*$%&|<>"
-SEPARATORS = "\x20\x09\x0a\x0b\x0c\x0d"
+SYMBOLS = r"[#*$%&|<>]"
+HAS_WORD = r"[^\x20\x09-\x0D]"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
 
-def _shape_words(text: Column) -> Column:
-    shaped = F.regexp_replace(text, r"\p{Lu}+", "A")
-    shaped = F.regexp_replace(shaped, r"[\p{L}&&[^\p{Lu}]]+", "a")
-    return words_of(F.regexp_replace(shaped, r"\p{N}+", "9"))
-
-
 def _bucket(kind: str, *parts: Column) -> Column:
     return F.pmod(F.xxhash64(F.lit(kind), *parts), F.lit(N_BUCKETS)).cast("int")
 
@@ -58,20 +51,19 @@ def _starts(words: Column, length: int) -> Column:
     return F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
 
 
-def _ngrams(words: Column, shapes: Column) -> Column:
+def _ngrams(words: Column) -> Column:
     """Bucket numbers of all n-grams, repeats included."""
     return F.concat(
-        F.transform(words, lambda w: _bucket("w", w)),
-        F.transform(_starts(words, 2), lambda i: _bucket("p", F.get(words, i), F.get(words, i + 1))),
-        F.transform(_starts(shapes, 3), lambda i: _bucket(
-            "s", F.get(shapes, i), F.get(shapes, i + 1), F.get(shapes, i + 2))))
+        F.transform(words, lambda w: _bucket("word", w)),
+        F.transform(words, lambda w: _bucket("end", F.substring(w, -2, 2))),
+        F.transform(_starts(words, 2), lambda i: _bucket("pair", F.get(words, i), F.get(words, i + 1))))
 
 
 def with_ngrams(documents: DataFrame, *keep: Column, text_col: str = "text") -> DataFrame:
     """``keep`` columns, the text, its words and the buckets of its n-grams."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    split = documents.select(*keep, text.alias("_text"), words_of(text).alias("_words"), _shape_words(text).alias("_shapes"))
-    return split.withColumn("_ngrams", _ngrams(F.col("_words"), F.col("_shapes"))).drop("_shapes")
+    split = documents.select(*keep, text.alias("_text"), words_of(text).alias("_words"))
+    return split.withColumn("_ngrams", _ngrams(F.col("_words")))
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -109,6 +101,24 @@ def fit(documents: DataFrame, labels: DataFrame) -> np.ndarray:
     return log_ratios([(r["bucket"], r["raw"], r["target"]) for r in count_ngrams(documents, labels).collect()])
 
 
+def _window_hashes(words: Column) -> Column:
+    """Hashes of all windows of three words."""
+    return F.transform(_starts(words, 3), lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)))
+
+
+def _windows(words: Column) -> Column:
+    """All windows of three words, as text, with their starts."""
+    return F.transform(_starts(words, 3), lambda i: F.struct(
+        F.concat_ws(" ", F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)).alias("g"), i.alias("i")))
+
+
+def _covered_words(at: Column) -> Column:
+    """Number of words in windows that equal a neighbour in the sorted windows ``at``."""
+    twice = F.filter(at, lambda x, j: F.coalesce(x["g"] == F.get(at, j - 1)["g"], F.lit(False))
+                     | F.coalesce(x["g"] == F.get(at, j + 1)["g"], F.lit(False)))
+    return F.size(F.array_distinct(F.flatten(F.transform(twice, lambda x: F.array(x["i"], x["i"] + 1, x["i"] + 2)))))
+
+
 def with_rules(documents: DataFrame, model: np.ndarray, *keep: Column) -> DataFrame:
     """``keep`` columns plus the base counts, ``base_failed``, ``ratio`` and ``kept``.
 
@@ -119,24 +129,22 @@ def with_rules(documents: DataFrame, model: np.ndarray, *keep: Column) -> DataFr
     """
     weights = F.lit(np.asarray(model, dtype=np.float64))
     words = F.col("_words")
-    lines = F.filter(F.split(F.col("_text"), "\n"), lambda x: F.length(F.translate(x, SEPARATORS, "")) > 0)
-    windows = F.transform(_starts(words, 3), lambda i: F.struct(
-        F.concat_ws(" ", F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)).alias("g"), i.alias("i")))
+    lines = F.filter(F.split(F.col("_text"), "\n"), lambda x: x.rlike(HAS_WORD))
     names = [f"_k{i}" for i in range(len(keep))]
     out = with_ngrams(documents, *[k.alias(n) for k, n in zip(keep, names, strict=True)]).select(
-        *names, F.size(words).cast("bigint").alias("n_words"),
-        F.length(F.translate(F.col("_text"), SEPARATORS, "")).cast("bigint").alias("word_chars"),
-        (F.length(F.col("_text")) - F.length(F.translate(F.col("_text"), SYMBOLS, ""))).cast("bigint").alias("n_symbols"),
-        lines.alias("_lines"), F.sort_array(windows).alias("_sorted"), F.size("_ngrams").alias("_n"),
+        *names, "_words", F.size(words).cast("bigint").alias("n_words"),
+        F.aggregate(words, F.lit(0).cast("bigint"), lambda acc, w: acc + F.length(w)).alias("word_chars"),
+        (F.length("_text") - F.length(F.regexp_replace("_text", SYMBOLS, ""))).cast("bigint").alias("n_symbols"),
+        lines.alias("_lines"), _window_hashes(words).alias("_hashes"), F.size("_ngrams").alias("_n"),
         F.aggregate("_ngrams", F.lit(0.0), lambda acc, b: acc + F.get(weights, b)).alias("_sum"))
-    at = F.col("_sorted")
-    twice = F.filter(at, lambda x, j: F.coalesce(x["g"] == F.get(at, j - 1)["g"], F.lit(False))
-                     | F.coalesce(x["g"] == F.get(at, j + 1)["g"], F.lit(False)))
-    covered = F.array_distinct(F.flatten(F.transform(twice, lambda x: F.array(x["i"], x["i"] + 1, x["i"] + 2))))
+    # windows with different hashes differ, so most texts need no exact comparison
+    windows = F.when(F.size(F.array_distinct("_hashes")) < F.size("_hashes"), F.sort_array(_windows(words)))
+    out = out.select(
+        *names, "n_words", "word_chars", "n_symbols", "_n", "_sum",
+        (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("bigint").alias("n_dup_lines"), windows.alias("_sorted"))
     out = out.select(
-        *names, "n_words", "word_chars", "n_symbols",
-        (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("bigint").alias("n_dup_lines"),
-        F.size(covered).cast("bigint").alias("n_repeat_words"),
+        *names, "n_words", "word_chars", "n_symbols", "n_dup_lines",
+        F.when(F.col("_sorted").isNull(), 0).otherwise(_covered_words(F.col("_sorted"))).cast("bigint").alias("n_repeat_words"),
         F.when(F.col("_n") > 0, F.col("_sum") / F.col("_n")).otherwise(F.lit(0.0)).alias("ratio"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     out = out.withColumn("base_failed", failed)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import near_dedup, packing, quality_classifier, quality_rules, token_files
+from strata.llm import fingerprints, near_dedup, packing, quality_classifier, quality_rules, token_files
 from strata.llm.common import table
 from strata.session import scratch_path
 
@@ -23,6 +23,11 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.classes(table(spark, sf_dir, "documents"), width=2)
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text."""
+    return fingerprints.edits(table(spark, sf_dir, "documents"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sequence and place of every piece of every document."""
     return packing.pack(table(spark, sf_dir, "documents"))
@@ -41,10 +46,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_near_dedup, op7_packing, op9_quality_classifier,
+    return {f.__name__: f for f in (op1_quality_rules, op2_near_dedup, op5_fingerprints, op7_packing, op9_quality_classifier,
                                    op10_token_files)}
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL where SQL can express the query."""
-    return {}
+    return {"op5_fingerprints": fingerprints.oracle_sql()}
