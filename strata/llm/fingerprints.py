@@ -129,10 +129,14 @@ def edits(documents: DataFrame) -> DataFrame:
     n_ranges = RANGES_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
     cuts = docs.agg(F.percentile_approx("_order", [i / n_ranges for i in range(1, n_ranges)], 20 * n_ranges)).first()[0]
     bounds = sorted(set(cuts or []))
-    dealt = docs.withColumn("_range", _range_of(F.col("_order"), bounds))
+
+    def dealt(*columns: str) -> DataFrame:
+        """``_range`` and ``columns``, through inline, so that plans see a finished column and not the search expression."""
+        return docs.select(F.inline_outer(F.array(F.struct(
+            _range_of(F.col("_order"), bounds).alias("_range"), *[F.col(c) for c in columns]))))
 
     # first document of every range: one least key per range, then its text
-    least = dealt.groupBy("_range").agg(F.min("_order").alias("_least"))
+    least = dealt("_order").groupBy("_range").agg(F.min("_order").alias("_least"))
     firsts = docs.join(F.broadcast(least), F.col("_order") == F.col("_least")).groupBy("_range").agg(F.min("_text").alias("_first"))
     by_range = Window.orderBy("_range")  # as many rows as ranges
     follow = firsts.select(F.col("_range").alias("_of"), F.coalesce(
@@ -141,7 +145,7 @@ def edits(documents: DataFrame) -> DataFrame:
     follow = with_fingerprint(follow, F.col("_follow"), "_follow_print")
 
     inside = Window.partitionBy("_range").orderBy("_order", "_text")
-    rows = with_fingerprint(dealt, F.col("_text"), "fingerprint").select(
+    rows = with_fingerprint(dealt("doc_id", "_text", "_order"), F.col("_text"), "fingerprint").select(
         "*", F.lead("_text").over(inside).alias("_next"), F.lead("fingerprint").over(inside).alias("_next_print"))
     rows = rows.join(follow, F.col("_range") == F.col("_of"), "left").select(
         "doc_id", "_text", "fingerprint", F.length("_text").alias("_n"), F.coalesce("_next", "_follow").alias("_next"),
@@ -156,17 +160,17 @@ def edits(documents: DataFrame) -> DataFrame:
 
 
 _PRINT_SQL = """(printf('%08x', len({h})) ||
-   list_reduce(list_transform(range({dense}), k -> printf('%08x', (coalesce(list_sum(list_transform({h}, x -> ('0x' || substr(x, (8 * k + 1)::INT, 8))::BIGINT)), 0) % 4294967296)::BIGINT)), (x, y) -> x || y) ||
-   list_reduce(list_transform(range({spread}), k -> printf('%04x', (coalesce(list_sum(list_transform(list_filter({h}, x -> ('0x' || substr(x, 1, 2))::BIGINT % {spread} = k), x -> ('0x' || substr(x, 61, 4))::BIGINT)), 0) % 65536)::BIGINT)), (x, y) -> x || y))"""
+   list_reduce(list_transform(range({dense}), lambda k: printf('%08x', (coalesce(list_sum(list_transform({h}, lambda x: ('0x' || substr(x, (8 * k + 1)::INT, 8))::BIGINT)), 0) % 4294967296)::BIGINT)), lambda x, y: x || y) ||
+   list_reduce(list_transform(range({spread}), lambda k: printf('%04x', (coalesce(list_sum(list_transform(list_filter({h}, lambda x: ('0x' || substr(x, 1, 2))::BIGINT % {spread} = k), lambda x: ('0x' || substr(x, 61, 4))::BIGINT)), 0) % 65536)::BIGINT)), lambda x, y: x || y))"""
 _NEAR_SQL = """CASE WHEN {a} = {b} THEN 1.0::DOUBLE ELSE (SELECT greatest(0.0::DOUBLE, least(1.0::DOUBLE, round((t - d) / (t + d), 6))) FROM (SELECT
    (('0x' || substr({a}, 1, 8))::BIGINT + ('0x' || substr({b}, 1, 8))::BIGINT)::DOUBLE t,
-   -{spread} * ln(greatest(len(list_filter(range({spread}), k -> substr({a}, ({at} + 1 + 4 * k)::INT, 4) = substr({b}, ({at} + 1 + 4 * k)::INT, 4)))::DOUBLE, 0.5) / {spread}) d)) END"""
+   -{spread} * ln(greatest(len(list_filter(range({spread}), lambda k: substr({a}, ({at} + 1 + 4 * k)::INT, 4) = substr({b}, ({at} + 1 + 4 * k)::INT, 4)))::DOUBLE, 0.5) / {spread}) d)) END"""
 
 
 def oracle_sql() -> str:
     """The query on ``documents`` in DuckDB SQL."""
     def hashes(text: str) -> str:
-        return f"list_transform(list_filter(string_split({text}, chr(10)), x -> x <> ''), x -> sha256(x))"
+        return f"list_transform(list_filter(string_split({text}, chr(10)), lambda x: x <> ''), lambda x: sha256(x))"
 
     own = _PRINT_SQL.format(h="h", dense=DENSE, spread=SPREAD)
     edited = _PRINT_SQL.format(h="eh", dense=DENSE, spread=SPREAD)
