@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.llm import (
+    bpe_transducer,
     chat_format,
     fingerprints,
     language_id,
@@ -37,6 +38,11 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op4_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded by the streaming transducer and decoded again."""
+    return bpe_transducer.round_trip(table(spark, sf_dir, "documents"))
+
+
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and its edited text."""
     return fingerprints.edits(table(spark, sf_dir, "documents"))
@@ -72,8 +78,8 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_near_dedup, op3_language_id, op5_fingerprints, op7_packing,
-                                   op8_chat_format, op9_quality_classifier,
+    return {f.__name__: f for f in (op1_quality_rules, op2_near_dedup, op3_language_id, op4_bpe_transducer, op5_fingerprints,
+                                   op7_packing, op8_chat_format, op9_quality_classifier,
                                    op10_token_files)}
 
 
