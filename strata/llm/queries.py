@@ -15,6 +15,7 @@ from strata.llm import (
     packing,
     quality_classifier,
     quality_rules,
+    token_counts,
     token_files,
 )
 from strata.llm.common import table, written
@@ -48,6 +49,11 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edits(table(spark, sf_dir, "documents"))
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document before and after its redactions, re-encoding what they touch."""
+    return token_counts.redacted_counts(table(spark, sf_dir, "documents"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sequence and place of every piece of every document."""
     return packing.pack(table(spark, sf_dir, "documents"))
@@ -78,7 +84,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_near_dedup, op3_language_id, op4_bpe_transducer, op5_fingerprints,
+    return {f.__name__: f for f in (op1_quality_rules, op2_near_dedup, op3_language_id, op4_bpe_transducer, op5_fingerprints, op6_token_counts,
                                    op7_packing, op8_chat_format, op9_quality_classifier,
                                    op10_token_files)}
 
