@@ -20,16 +20,19 @@ component of links.
    Linked pairs give components.
 5. What stars cannot decide is done in full: buckets of three or more members
    that are still in different components are dealt into blocks, all pairs of
-   different components that no star has tested run through steps 3 and 4, and
-   the components are taken again.  No bucket is capped.
+   different components that no star has tested run through steps 3 and 4, each
+   pair in the first band that it shares, and the components are taken again.
+   No bucket is capped.
 
 The only loss is probabilistic and stated: two documents at similarity 0.8
 share no band with probability (1 - 0.8**6)**40 = 5e-6, and a batch prunes a
 true pair with probability of about ``MISS``.
 
 Defined results: null and empty texts have an empty set, and are their own
-component; rows that repeat a doc_id are one node; a null doc_id is never
-linked, has no component and is kept.  Other columns are not read, and
+component; rows that repeat a doc_id are one node, which all their texts link
+to documents of equal sets, and which the text of least set key stands for
+where near links are sought; a null doc_id is never linked, has no component
+and is kept.  Other columns are not read, and
 :func:`keep_one` returns them untouched.
 """
 
@@ -248,7 +251,7 @@ def _block_pairs(members: DataFrame, sizes: DataFrame) -> DataFrame:
         "block", F.pmod(F.xxhash64("rep"), F.col("n_blocks")).cast("int"))
     spread = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1))).select(
         "band", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "rep",
-        "component", "n_shingles", "signature")
+        "component", "n_shingles", "signature", "bands")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bounds = prune_bounds()
@@ -259,6 +262,8 @@ def _block_pairs(members: DataFrame, sizes: DataFrame) -> DataFrame:
             block = np.array([g[3] for g in group])
             rep, comp, size = (np.array([g[i] for g in group], np.int64) for i in (4, 5, 6))
             sign = np.frombuffer(b"".join(g[7] for g in group), np.uint8).reshape(-1, N_HASHES)
+            bands = np.array([g[8] for g in group], np.int64)
+            this = int((bands[0] == group[0][0]).argmax())
             first = np.flatnonzero(block == lo)
             second = np.flatnonzero(block == hi)
             found_a, found_b = [], []
@@ -266,6 +271,7 @@ def _block_pairs(members: DataFrame, sizes: DataFrame) -> DataFrame:
                 js = second[second > i] if lo == hi else second
                 js = js[(comp[js] != comp[i]) & (100 * np.minimum(size[js], size[i])
                                                  >= SIMILARITY_PERCENT * np.maximum(size[js], size[i]))]
+                js = js[(bands[js] == bands[i]).argmax(axis=1) == this]  # else another band has this pair
                 js = js[survivors(np.broadcast_to(sign[i], (len(js), N_HASHES)), sign[js], bounds)]
                 found_a.append(np.maximum(rep[js], rep[i]))
                 found_b.append(np.minimum(rep[js], rep[i]))
@@ -294,7 +300,9 @@ def classes(documents: DataFrame, width: int = 5) -> DataFrame:
     # one row per distinct set, then band buckets of two or more
     reps = sketch.join(by_key.select(F.col("rep"), F.col("set_key").alias("_key")),
                        (F.col("doc_id") == F.col("rep")) & (F.col("set_key") == F.col("_key"))).select(
-        "rep", "n_shingles", "bands", "signature").dropDuplicates(["rep"])
+        "rep", "n_shingles", "bands", "signature", "set_key")
+    # an id that repeats with different sets is stood for by one of them
+    reps = reps.groupBy("rep").agg(F.min_by(F.struct("n_shingles", "bands", "signature"), "set_key").alias("s")).select("rep", "s.*")
     banded = reps.select("rep", "n_shingles", F.explode("bands").alias("band"))
     sizes = banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     buckets = written(banded.join(sizes, "band"), "buckets")
@@ -303,7 +311,7 @@ def classes(documents: DataFrame, width: int = 5) -> DataFrame:
     star = buckets.join(hubs, "band").select(
         F.col("rep").alias("a"), (-F.col("hub.least")).alias("b"), "n_shingles", F.col("hub.n_shingles").alias("hub_size"))
     star = star.where((F.col("a") != F.col("b")) & _similar_sizes(F.col("n_shingles"), F.col("hub_size")))
-    signs = written(reps.join(met, "rep", "left_semi").select("rep", "signature"), "signatures")
+    signs = written(reps.join(met, "rep", "left_semi").select("rep", "signature", "bands"), "signatures")
     tested = written(star.select("a", "b").distinct(), "stars")
     pairs = tested.join(signs.select(F.col("rep").alias("a"), F.col("signature").alias("sign_a")), "a").join(
         signs.select(F.col("rep").alias("b"), F.col("signature").alias("sign_b")), "b")
@@ -311,6 +319,10 @@ def classes(documents: DataFrame, width: int = 5) -> DataFrame:
     texts = written(documents.select(F.col("doc_id").alias("rep"), "text").join(met, "rep", "left_semi").dropDuplicates(["rep"]),
                     "candidate-texts")
     links = written(_verified(candidates, texts, width), "links-star")
+    # ids that repeat with different sets hold their sets' classes together
+    several = keyed.groupBy("doc_id").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).where("least != most")
+    repeats = keyed.join(several, "doc_id").select(F.col("rep").alias("a"), F.col("least").alias("b"))
+    links = written(links.unionByName(repeats), "links-known")
     first = components(links)
 
     # the rest, in full: buckets whose members are still in different components
@@ -319,13 +331,13 @@ def classes(documents: DataFrame, width: int = 5) -> DataFrame:
     undecided = named.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("lo"),
                                           F.max("component").alias("hi")).where("n > 2 AND lo != hi").select("band", "n")
     members = named.drop("n").join(undecided.select("band"), "band", "left_semi").join(signs, "rep")
-    more = _block_pairs(members.select("band", "rep", "component", "n_shingles", "signature"), undecided)
+    more = _block_pairs(members.select("band", "rep", "component", "n_shingles", "signature", "bands"), undecided)
     more = written(more.join(tested.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), ["a", "b"], "left_anti"),
                    "candidates-rest")
     rest = _verified(more, texts, width)
     final = components(links.unionByName(rest)).withColumnRenamed("node", "rep")
     out = keyed.join(final, "rep", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "rep", "doc_id").alias("component_id"))
+        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id")).alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
