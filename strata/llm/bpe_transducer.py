@@ -33,6 +33,7 @@ rows and null ids keep their rows; other columns are not read.
 from __future__ import annotations
 
 import codecs
+import functools
 import hashlib
 import json
 import unicodedata
@@ -289,6 +290,12 @@ class Encoder(dict):
         return [i for ids in self.stream(text) for i in ids]
 
 
+@functools.lru_cache(maxsize=1)
+def encoder_of(path: str) -> Encoder:
+    """The encoder of this Python worker: what it remembers serves the worker's later tasks too."""
+    return Encoder(path)
+
+
 class Decoder:
     """Ids to text, piece by piece.
 
@@ -328,7 +335,7 @@ def transduce(documents: DataFrame, path: str | None = None) -> DataFrame:
     path = path or tokenizer_path(VOCABULARY)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        encoder = encoder_of(path)
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
@@ -348,7 +355,7 @@ def round_trip(documents: DataFrame, path: str | None = None) -> DataFrame:
     path = path or tokenizer_path(VOCABULARY)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        encoder = encoder_of(path)
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):

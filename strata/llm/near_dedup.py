@@ -38,6 +38,7 @@ and is kept.  Other columns are not read, and
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 
@@ -125,6 +126,13 @@ class Hasher(dict):
         return keys.view(np.int64)
 
 
+@functools.lru_cache(maxsize=1)
+def hasher_of(width: int) -> Hasher:
+    """The hasher of this Python worker, with the words it remembers."""
+    return Hasher(width)
+
+
+@functools.lru_cache(maxsize=1)
 def prune_bounds(threshold: float = SIMILARITY_PERCENT / 100, miss: float = MISS) -> list[tuple[int, int]]:
     """``(compared, least matches)`` after each batch, below which a pair is pruned.
 
@@ -167,7 +175,7 @@ def sketches(documents: DataFrame, width: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
 
-        hasher = Hasher(width)
+        hasher = hasher_of(width)
         for batch in batches:
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import written
-from strata.llm.tokens import ByteEncoder, tokenizer_path
+from strata.llm.tokens import byte_encoder, tokenizer_path
 from strata.operators.sizing import broadcast_if_small
 
 SEQUENCE = 1024  # fixed by the task
@@ -58,7 +58,7 @@ def piece_table(documents: DataFrame, path: str | None = None, sequence: int = S
         from pyspark import TaskContext
 
         task = TaskContext.get().partitionId()
-        encoder = ByteEncoder(path)
+        encoder = byte_encoder(path)
         seen = np.zeros(sequence + 1, np.int64)
         for batch in batches:
             rows: list[tuple] = []

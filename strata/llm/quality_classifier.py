@@ -23,6 +23,7 @@ Defined results:
 
 from __future__ import annotations
 
+import functools
 import re
 import zlib
 from collections.abc import Iterator
@@ -111,6 +112,12 @@ class Terms(dict):
         return np.stack([self.counts(t) for t in texts]) if texts else np.zeros((0, self.n_terms), np.float32)
 
 
+@functools.lru_cache(maxsize=1)
+def terms_of(n_terms: int) -> Terms:
+    """The word terms that this Python worker remembers."""
+    return Terms(n_terms)
+
+
 @dataclass(frozen=True)
 class KnnModel:
     """Projection and labelled vectors; ``vectors`` has unit rows (or zero rows)."""
@@ -192,7 +199,7 @@ def train(documents: DataFrame, labels: DataFrame, *, n_terms: int = N_TERMS, n_
           k: int = NEIGHBOURS, **sample) -> KnnModel:
     """Fit a model to the bounded labelled sample; term counts are made on the executors."""
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        terms = Terms(n_terms)
+        terms = terms_of(n_terms)
         for b in batches:
             packed = []
             for text in b["_text"]:
@@ -215,7 +222,7 @@ def quality_score(model: KnnModel, text: Column) -> Column:
     """Score of every whole text, by Arrow batches."""
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        terms = Terms(model.n_terms)
+        terms = terms_of(model.n_terms)
         for texts in batches:
             values = texts.tolist()
             parts = [model.score(terms.matrix(values[a:b])) for a, b in slices(len(values), BLOCK)]

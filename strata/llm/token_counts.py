@@ -20,6 +20,7 @@ null ids keep their rows; other columns are not read.
 from __future__ import annotations
 
 import base64
+import functools
 from collections.abc import Iterator
 
 import pandas as pd
@@ -64,6 +65,12 @@ class PreTokens(dict):
         return (m.group() for m in self._pattern.finditer(text))
 
 
+@functools.lru_cache(maxsize=1)
+def pre_tokens(path: str) -> PreTokens:
+    """The counts that this Python worker remembers."""
+    return PreTokens(path)
+
+
 class CountTree:
     """Pre-tokens of one document with sums over a binary tree of blocks."""
 
@@ -228,7 +235,7 @@ def recount(rows: DataFrame, path: str | None = None) -> DataFrame:
     path = path or tokenizer_path(VOCABULARY)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pre = PreTokens(path)
+        pre = pre_tokens(path)
         for batch in batches:
             out = []
             for doc_id, text, edits in zip(*[c.to_pylist() for c in batch.columns], strict=True):

@@ -37,12 +37,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import written
-from strata.llm.tokens import WordEncoder, tokenizer_path
+from strata.llm.tokens import tokenizer_path, word_encoder
 from strata.operators.sizing import broadcast_if_small
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2  # fixed by the task
 MAX_BITS = 20
+PACKED, ID_BYTES = "<u2", 2  # ids between the stages; this vocabulary has fewer than 65,536
 BLOCK_IDS = 1 << 18
 STRIDE = 256
 _ENCODE_IDS = 1 << 16  # ids whose bits are laid out at a time
@@ -151,10 +152,10 @@ def decode_block(payload: bytes, checkpoints: np.ndarray, n_ids: int, ids_of: np
 def id_table(documents: DataFrame, path: str | None = None) -> DataFrame:
     """``doc_id, ids``: packed ids of every document, the end id included."""
     path = path or tokenizer_path(VOCABULARY)
-    end = np.array([END_ID], "<u4").tobytes()
+    end = np.array([END_ID], PACKED).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(path)
+        encoder = word_encoder(path, PACKED)
         for batch in batches:
             for start in range(0, batch.num_rows, 1024):
                 part = batch.slice(start, 1024)
@@ -171,7 +172,7 @@ def count_ids(ids: DataFrame) -> DataFrame:
         for batch in batches:
             for start in range(0, batch.num_rows, 1024):
                 packed = b"".join(batch.column(0).slice(start, 1024).to_pylist())
-                n = np.bincount(np.frombuffer(packed, "<u4"), minlength=len(total))
+                n = np.bincount(np.frombuffer(packed, PACKED), minlength=len(total))
                 n[:len(total)] += total
                 total = n
         at = np.flatnonzero(total)
@@ -191,11 +192,11 @@ def _blocks(codes: Codes) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
         number = before = size = 0
 
         def block() -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(held), "<u4")
+            ids = np.frombuffer(b"".join(held), PACKED)
             payload, checkpoints = encode_block(ids, code, bits)
             cols = [pa.array([part], pa.int32()), pa.array([number], pa.int64()), pa.array([before], pa.int64()),
                     pa.array([len(ids)], pa.int64()), pa.array([docs], pa.list_(pa.int64())),
-                    pa.array([[len(h) // 4 for h in held]], pa.list_(pa.int64())), pa.array([payload], pa.binary()),
+                    pa.array([[len(h) // ID_BYTES for h in held]], pa.list_(pa.int64())), pa.array([payload], pa.binary()),
                     pa.array([checkpoints], pa.list_(pa.int64()))]
             return pa.RecordBatch.from_arrays(cols, names=["part", "block", "before", "n_ids", "doc_ids", "doc_lengths",
                                                            "payload", "checkpoints"])
@@ -203,7 +204,7 @@ def _blocks(codes: Codes) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
         for batch in batches:
             for doc_id, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 held.append(ids), docs.append(doc_id)
-                size += len(ids) // 4
+                size += len(ids) // ID_BYTES
                 if size >= BLOCK_IDS:
                     yield block()
                     number, before = number + 1, before + size

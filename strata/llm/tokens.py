@@ -7,6 +7,7 @@ Both give exactly what the tokenizers library gives for the whole text with
 from __future__ import annotations
 
 import base64
+import functools
 import re
 
 import numpy as np
@@ -106,3 +107,15 @@ class ByteEncoder:
         if any(s in text for s in self._special):
             return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4")
         return np.array(self._ranks.encode_ordinary(text), "<u4")
+
+
+@functools.lru_cache(maxsize=1)
+def word_encoder(path: str, dtype: str) -> WordEncoder:
+    """The encoder of this Python worker: what it remembers serves the worker's later tasks too."""
+    return WordEncoder(path, dtype)
+
+
+@functools.lru_cache(maxsize=1)
+def byte_encoder(path: str) -> ByteEncoder:
+    """The encoder of this Python worker."""
+    return ByteEncoder(path)
