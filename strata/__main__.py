@@ -31,7 +31,10 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
     ap.add_argument("--split", default="hash", choices=("hash", "balanced", "random"))
     ap.add_argument("--parts", type=int, default=2)
     ap.add_argument("--seed", type=int, default=None)
-    ap.add_argument("--alias-row", default="typed", choices=("typed", "positional", "none"))
+    ap.add_argument("--alias-row", default="positional", choices=("positional", "typed", "none"),
+                    help="positional: drop each file's first data row; typed: only when its date is not one")
+    ap.add_argument("--single-line", dest="multiline", action="store_false",
+                    help="no field holds a line break: large files are split")
     ap.add_argument("--files-per-part", type=int, default=None,
                     help="1 = a single file per part (small outputs only)")
     ap.add_argument("--max-events-per-line", type=int, default=None,
@@ -72,12 +75,12 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
                         max_files_per_trigger=args.max_files_per_trigger).awaitTermination()
         records = None
     elif args.zip:
-        rows = read_zip_members(spark, args.input, member_pattern="?_lvr_land_A.csv",
-                                columns=schema.required_columns(args.fields), alias_row=args.alias_row)
         names = {schema.CITY_FILE_PATTERN.format(letter=k): v for k, v in schema.CITY_BY_LETTER.items()}
+        rows = read_zip_members(spark, args.input, names=names, columns=schema.required_columns(args.fields),
+                                alias_row=args.alias_row)
         records = tag_by_member(rows, names)
     else:
-        records = read_tagged(spark, city_files(spark, args.input), alias_row=args.alias_row,
+        records = read_tagged(spark, city_files(spark, args.input), alias_row=args.alias_row, multiline=args.multiline,
                               require=schema.required_columns(args.fields))
     if args.events_dir:
         if records is not None:

@@ -21,7 +21,7 @@ def _col(c: Column | str) -> Column:
 
 def roc_to_date(roc: Column | str) -> Column:
     """ROC ``yyyMMdd`` (int or text, ``1080415.0`` too) -> ``date``; null when not a valid day."""
-    gregorian = integral(_col(roc), "bigint") + F.lit(ROC_OFFSET)
+    gregorian = F.try_add(integral(_col(roc), "bigint"), F.lit(ROC_OFFSET))  # a number out of range gives null
     return F.try_to_date(gregorian.cast("string"), "yyyyMMdd")
 
 

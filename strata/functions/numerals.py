@@ -82,17 +82,17 @@ def floors(text: Column | str, mode: str = "compat") -> Column:
 _DIGIT_VALUE = {ch: i + 1 for i, ch in enumerate(NUMERAL_DIGITS)}
 
 
+def _marked(text: str, marker: str, weight: int) -> int:
+    """What the first ``marker`` is worth: the digit before it (1 without one) times ``weight``."""
+    head, found, _ = text.partition(marker)
+    return weight * _DIGIT_VALUE.get(head[-1:], 1) if found else 0
+
+
 def decode_floor_text(text: str | None, mode: str = "compat") -> int:
     """Pure-Python decode, one value (used by :func:`floors_udf`)."""
-    if text is None:
-        return 0
-    s = text[:-1] if text.endswith(FLOOR_SUFFIX) else text
-    value = _DIGIT_VALUE.get(s[-1:], 0)
-    for marker, weight, enabled in ((NUMERAL_TEN, 10, True), (NUMERAL_HUNDRED, 100, mode == "full")):
-        at = s.find(marker)
-        if enabled and at >= 0:
-            value += weight * _DIGIT_VALUE.get(s[at - 1:at] if at > 0 else "", 1)
-    return value
+    digits = (text or "").removesuffix(FLOOR_SUFFIX)
+    hundreds = _marked(digits, NUMERAL_HUNDRED, 100) if mode == "full" else 0
+    return hundreds + _marked(digits, NUMERAL_TEN, 10) + _DIGIT_VALUE.get(digits[-1:], 0)
 
 
 def decode_floor_series(texts: pd.Series, mode: str = "compat") -> pd.Series:

@@ -27,7 +27,7 @@ def random_split(df: DataFrame, weights=(0.5, 0.5), seed: int | None = None) ->
 def md5_order(key: Column | str, seed: int = 42) -> Column:
     """First 32 bits of ``md5(seed|key)`` as a non-negative bigint."""
     k = F.col(key) if isinstance(key, str) else key
-    digest = F.md5(F.concat(F.lit(f"{seed}|"), k.cast("string")))
+    digest = F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(k.cast("string"), F.lit(""))))  # a null key has a bucket too
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
 
 

@@ -20,7 +20,7 @@ from strata.functions.numerals import floor_text, floors, floors_pandas_udf, flo
 from strata.operators.inspect import distinct_values, top_n
 from strata.operators.nest import document_json, nest_events, nest_two_levels
 from strata.operators.split import balanced_split, hash_split, random_split
-from strata.operators.tagging import reconcile_counts, source_counts, tagged_union
+from strata.operators.tagging import reconcile_counts, tagged_union
 from strata.plans import standin
 from strata.plans.job import clean, filter_records, select_events, split_parts, transform
 from strata.session import scratch_path
@@ -163,10 +163,13 @@ def q_tagged_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Union counts per tag and in total (one rollup pass) against the source counts before the union."""
+    """Union counts per tag and in total (one rollup pass) against the counts of the whole unfiltered table."""
     frames = standin.segment_frames(spark, sf_dir)
     union = tagged_union(frames, col="city")
-    return reconcile_counts(union, "city", source_counts(frames, "city"))
+    # expected from the table itself, not from the frames that made the union
+    expected = standin.table(spark, sf_dir, "customer").groupBy(F.col("c_mktsegment").alias("city")).agg(
+        F.count(F.lit(1)).alias("n_expected"))
+    return reconcile_counts(union, "city", expected)
 
 
 def q_hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -204,8 +207,7 @@ def _round_trip_columns(df: DataFrame) -> DataFrame:
 def q_csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records written as per-city BOM CSV files with alias rows, read back and tagged by path."""
     out = scratch_path(spark, "csv")
-    write_records_csv(standin.records(spark, sf_dir, spread=True), out, tag_col="city",
-                      tags=_regions(spark, sf_dir))
+    write_records_csv(standin.records(spark, sf_dir, spread=True), out, tag_col="city")
     files = [r["path"] for r in list_files(spark, [out]).select("path").collect()]  # the written file list
     sources = {f: _tag_from_folder(f, "city") for f in files if f.endswith(".csv")}
     return _round_trip_columns(read_tagged(spark, sources, col="city"))
@@ -234,8 +236,7 @@ def q_same_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.sources.records import header_rows
 
     out = scratch_path(spark, "headers")
-    write_records_csv(standin.records(spark, sf_dir, spread=True), out, tag_col="city",
-                      tags=_regions(spark, sf_dir))
+    write_records_csv(standin.records(spark, sf_dir, spread=True), out, tag_col="city")
     heads = header_rows(spark, [out]).filter(F.col("path").endswith(".csv"))
     # the writer names folders city=<escaped value>
     city = F.regexp_extract(F.col("path"), "/city=([^/]+)/", 1)
@@ -247,8 +248,9 @@ def q_zip_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records zipped as per-city members (alias row first), ingested from the archives."""
     out = scratch_path(spark, "zip")
     archives = standin.write_city_archives(standin.records(spark, sf_dir, spread=True), out)
-    rows = read_zip_members(spark, archives, member_pattern="*.csv", alias_row="positional")
-    return _round_trip_columns(tag_by_member(rows, {f"{c}.csv": c for c in _regions(spark, sf_dir)}))
+    names = {f"{c}.csv": c for c in _regions(spark, sf_dir)}
+    rows = read_zip_members(spark, archives, names=names, alias_row="positional")
+    return _round_trip_columns(tag_by_member(rows, names))
 
 
 def q_json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -447,10 +449,10 @@ SELECT total_floor FROM (SELECT DISTINCT (SELECT {_FLOOR_TEXT} FROM (SELECT floo
 ORDER BY total_floor DESC LIMIT 100""",
         "q_tagged_union": """
 SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment AS city FROM customer
-WHERE c_mktsegment IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY')""",
+WHERE c_mktsegment IS NOT NULL""",
         "q_reconcile": """
 SELECT c_mktsegment AS city, count(*) AS n_rows, count(*) AS n_expected, true AS ok FROM customer
-WHERE c_mktsegment IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY')
+WHERE c_mktsegment IS NOT NULL
 GROUP BY ROLLUP (c_mktsegment)""",
         "q_hash_split": f"SELECT c_custkey, {_MD5_ORDER} % 2 AS part FROM customer",
         "q_balanced_split": f"""

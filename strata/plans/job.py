@@ -21,6 +21,7 @@ from strata.operators.filters import high_rise
 from strata.operators.nest import nest_paged, nest_two_levels
 from strata.operators.project import cast_columns, null_tokens, to_english
 from strata.operators.split import balanced_split, hash_split, random_split
+from strata.session import checkpoint_dir
 
 
 def clean(df: DataFrame, *, floors_mode: str = "compat",
@@ -121,8 +122,7 @@ def nest_from_events(spark: SparkSession, events_dir: str, *, n_fields: int = 2,
                      combine_copies: bool = True, max_events_per_line: int | None = None) -> DataFrame:
     """The document (or its pages) from an events table written by :func:`write_events`."""
     events = spark.read.parquet(events_dir)
-    # folder columns: the key's copy (write_events) and the stream's micro-batch id
-    events = events.drop(f"{key}_dir", "ingest_batch")
+    events = events.drop(f"{key}_dir")  # the folder column, a copy of the key
     fields = schema.event_fields(n_fields)
     if max_events_per_line:
         return nest_paged(events, key, "date", fields, max_events=max_events_per_line)
@@ -137,7 +137,9 @@ def split_parts(doc: DataFrame, how: str = "hash", n: int = 2, seed: int | None
     if how == "balanced":
         return balanced_split(doc, key, n, 42 if seed is None else seed, col)
     if how == "random":
-        parts = random_split(doc, [1.0 / n] * n, seed)
+        # every part samples the same stored rows, so the document is computed once
+        checkpoint_dir(doc.sparkSession)
+        parts = random_split(doc.checkpoint(eager=True), [1.0 / n] * n, seed)
         out = parts[0].withColumn(col, F.lit(0))
         for i, p in enumerate(parts[1:], start=1):
             out = out.unionByName(p.withColumn(col, F.lit(i)))
@@ -155,7 +157,8 @@ def run(
     n_parts: int = 2,
     seed: int | None = 42,
     files_per_part: int | None = None,
-    alias_row: str = "typed",
+    alias_row: str = "positional",
+    multiline: bool = True,
     require: list[str] | None = None,
     part_paths: Mapping[int, str] | None = None,
     **transform_args,
@@ -166,13 +169,14 @@ def run(
     ``partitionBy`` write under ``out_dir``; with the default hash split that
     write is the only pass over the input (the balanced split first ranks the
     keys, which computes the document once more).  ``part_paths`` (``{part:
-    path}``) writes each part to its own path instead.
+    path}``) writes each part to its own path instead.  ``multiline=False``
+    lets Spark split large files that have no line breaks inside quotes.
     """
     from strata.sinks.json_lines import write_named_parts, write_parts
     from strata.sources.records import read_tagged
 
     cols = schema.required_columns(n_fields) if require is None else require
-    records = read_tagged(spark, sources, alias_row=alias_row, require=cols).drop("_file")
+    records = read_tagged(spark, sources, alias_row=alias_row, multiline=multiline, require=cols).drop("_file")
     doc = transform(records, n_fields=n_fields, **transform_args)
     parts = split_parts(doc, split, n_parts, seed)
     if part_paths:

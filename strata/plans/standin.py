@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from strata.functions.dates import date_to_roc
 from strata.functions.numerals import floor_text
 from strata.session import default_parallelism
+from strata.sources.paths import filesystem_of, local_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -130,14 +131,11 @@ def roc_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         _txt(date_to_roc(F.col("l_shipdate"))).alias("交易年月日"))
 
 
-# The five customer segments play the five city files of the union queries.
-SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
-
-
 def segment_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """One customer frame per segment, without the segment column (it becomes the tag)."""
+    """One customer frame per segment of the data, without the segment column (it becomes the tag)."""
     cust = table(spark, sf_dir, "customer")
-    return {seg: cust.filter(F.col("c_mktsegment") == seg).drop("c_mktsegment") for seg in SEGMENTS}
+    segments = sorted(r[0] for r in cust.select("c_mktsegment").distinct().where("c_mktsegment IS NOT NULL").collect())
+    return {seg: cust.filter(F.col("c_mktsegment") == seg).drop("c_mktsegment") for seg in segments}
 
 
 def _city_csv_writer(records_df: DataFrame, out_dir: str, tag_col: str, as_zip: bool):
@@ -239,18 +237,15 @@ def _write_bytes(path: str, data: bytes) -> None:
 
     ctx = TaskContext.get()
     tmp = f"{path}.attempt-{ctx.taskAttemptId() if ctx else os.getpid()}"
-    if path.startswith("file:"):
-        path, tmp = path[len("file:"):], tmp[len("file:"):]
-    if "://" not in path:
+    if local_path(path) is not None:
+        path, tmp = local_path(path), local_path(tmp)
         os.makedirs(os.path.dirname(path), exist_ok=True)
         with open(tmp, "wb") as fh:
             fh.write(data)
         os.replace(tmp, path)
         return
-    from pyarrow import fs as pafs
-
-    filesystem, inner = pafs.FileSystem.from_uri(path)
-    _, inner_tmp = pafs.FileSystem.from_uri(tmp)
+    filesystem, inner = filesystem_of(path)
+    _, inner_tmp = filesystem_of(tmp)
     with filesystem.open_output_stream(inner_tmp) as fh:
         fh.write(data)
     filesystem.move(inner_tmp, inner)

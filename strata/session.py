@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -12,8 +13,9 @@ from pyspark.sql import SparkSession
 def checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    It is read from the session.  Only when the session names none (a local
-    test) is a folder of our own created and set.
+    It is read from the session.  Only when a local session names none (a test)
+    is a folder of our own created and set; on a cluster, where such a folder
+    would be another one on every machine, its absence is an error.
     """
     conf = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -26,6 +28,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
             return current
         conf = conf or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not re.match(r"local(\[.*\])?$", master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf = tempfile.mkdtemp(prefix="strata-ckpt-")
         if sc is None:
             spark.conf.set("spark.checkpoint.dir", conf)

@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+
+
 def write_json_lines(df: DataFrame, path: str, *, n_files: int | None = None,
                      mode: str = "overwrite") -> str:
     """Write ``df`` as JSON lines under ``path``.
@@ -46,7 +49,8 @@ def write_parts(df: DataFrame, out_dir: str, *, part_col: str = "part",
         return {}
     parts = [r[0] for r in listing.select(part_col).distinct().collect()]
     base = out_dir.rstrip("/")
-    return {str(p): f"{base}/{part_col}={p}" for p in sorted(parts)}
+    folder = {p: NULL_FOLDER if p is None else p for p in parts}  # Spark's own name for a null part
+    return {str(p): f"{base}/{part_col}={folder[p]}" for p in sorted(parts, key=lambda p: (p is None, p))}
 
 
 def write_named_parts(df: DataFrame, paths: dict, *, part_col: str = "part",
@@ -65,7 +69,7 @@ def write_named_parts(df: DataFrame, paths: dict, *, part_col: str = "part",
     present = {r[0] for r in done.select(part_col).distinct().collect()}  # a handful of part ids
     missing = present - set(paths)
     if missing:
-        raise ValueError(f"no path for part(s) {sorted(missing)}")
+        raise ValueError(f"no path for part(s) {sorted(missing, key=lambda p: (p is None, p))}")
     out = {}
     for value, path in paths.items():
         write_json_lines(done.filter(F.col(part_col) == F.lit(value)).drop(part_col), path,

@@ -6,40 +6,52 @@ English alias row, data.  One folder per tag (``partitionBy``), one write job.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterator, Mapping
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata import schema
 
 BOM = "\ufeff"
 
 
+def _alias_heads(tag_col: str, alias: dict[str, str]):
+    """``mapInArrow`` body adding ``_ord`` (1) and, at a task's first row of each tag, an alias row (0)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: set[str | None] = set()
+        for batch in batches:
+            new = [t for t in pc.unique(batch.column(tag_col)).to_pylist() if t not in met]
+            met.update(new)
+            names = [*batch.schema.names, "_ord"]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([1] * len(batch), pa.int32())], names=names)
+            if new:
+                heads = [pa.array(new if c == tag_col else [alias[c]] * len(new), pa.string()) for c in batch.schema.names]
+                yield pa.RecordBatch.from_arrays([*heads, pa.array([0] * len(new), pa.int32())], names=names)
+
+    return run
+
+
 def write_records_csv(df: DataFrame, out_dir: str, *, tag_col: str = "city",
-                      alias: Mapping[str, str] | None = None, bom: bool = True,
-                      tags: Iterable[str] | None = None, mode: str = "overwrite") -> str:
+                      alias: Mapping[str, str] | None = None, bom: bool = True, mode: str = "overwrite") -> str:
     """Write text record columns as CSV under ``out_dir/<tag_col>=<tag>/``.
 
     Every file starts with the byte-order mark (``bom``: the first header name
-    is prefixed with U+FEFF) and the header.  ``alias`` maps source column ->
-    alias text (default: the English output names); exactly one alias row per
-    tag is written, among that tag's files - enough for readers that drop the
-    alias row by type (the default).  ``tags`` (when the caller knows them)
-    saves the extra read of the input that finding the distinct tags needs,
-    so the write is then one pass.
+    is prefixed with U+FEFF), the header and one alias row, so it reads back in
+    the positional mode.  ``alias`` maps source column -> alias text (default:
+    the English output names).  One pass: each task writes one file per tag it
+    holds, its rows sorted by tag with the alias row first.
     """
     cols = [c for c in df.columns if c != tag_col]
     alias = schema.ALIAS_BY_SOURCE if alias is None else alias
-    data = df.select(tag_col, *cols).withColumn("_ord", F.lit(1))
-    if tags is None:
-        tag_rows = df.select(tag_col).distinct()
-    else:
-        tag_rows = df.sparkSession.createDataFrame([(t,) for t in tags], f"`{tag_col}` string")
-    alias_rows = (tag_rows
-                  .select(tag_col, *[F.lit(alias.get(c, c)).alias(c) for c in cols])
-                  .withColumn("_ord", F.lit(0)))
-    rows = alias_rows.unionByName(data).sortWithinPartitions(tag_col, "_ord").drop("_ord")
+    data = df.select(F.col(tag_col).cast("string").alias(tag_col), *[F.col(c).cast("string").alias(c) for c in cols])
+    out_schema = T.StructType([*[T.StructField(c, T.StringType()) for c in data.columns], T.StructField("_ord", T.IntegerType())])
+    rows = data.mapInArrow(_alias_heads(tag_col, {c: alias.get(c, c) for c in cols}), out_schema)
+    rows = rows.sortWithinPartitions(tag_col, "_ord").drop("_ord")
     if bom and cols:
         rows = rows.withColumnRenamed(cols[0], BOM + cols[0])
     (rows.write.mode(mode).partitionBy(tag_col)

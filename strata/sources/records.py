@@ -3,8 +3,8 @@
 Design (nothing is inferred; only file names and distinct headers reach the driver):
 
 1. **Header discovery** - one distributed pass over the file list
-   (``binaryFile`` without its content column) reads only a bounded prefix
-   (the header record) of every file, in executors.
+   (``binaryFile`` without its content column) reads only the header record
+   of every file, to its end, in executors.
 2. **Group by header** - files with the same header are read by one CSV scan
    with an all-string schema and ``enforceSchema=False`` (a file whose header
    changed since discovery fails loudly instead of being misread).  Usually
@@ -15,14 +15,12 @@ Design (nothing is inferred; only file names and distinct headers reach the driv
    unioned *by name*.
 4. **Tag**: with few tags, one scan branch per tag with a literal tag (a
    filter on the tag prunes whole branches); with many, one scan and the tag
-   from each row's file path through a literal map, or a broadcast join when
-   the file list is long.
+   from each row's file path by a join, broadcast while its measured size allows.
 5. **Alias row**: the first data row of every file is an English alias row.
-   ``typed`` (default) drops rows whose date is present but not an integer:
-   narrow, no shuffle, and it keeps genuine rows whose date is missing.
-   ``positional`` drops exactly the first data row of each file (parity) in
-   the same single pass: a split is read in order by one task, so a narrow
-   Arrow step drops the first row of every file's offset-0 split.
+   ``positional`` (default) drops exactly that row; ``typed`` drops it only when
+   its date is neither missing nor an integer, for files that may lack an alias
+   row.  No mode drops any other row.  A split is read in order by one task, so
+   one narrow Arrow step over the needed columns does it.
 6. **Missing-value tokens** (``NA``, ``None``, ...) become null when
    ``na_tokens`` is given; the job does it in its cleaning step instead, after
    the filters that must reach the scan.
@@ -38,6 +36,7 @@ from __future__ import annotations
 import csv
 import io
 import posixpath
+import re
 import warnings
 from collections.abc import Iterable, Iterator, Mapping
 from functools import reduce
@@ -47,12 +46,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata import schema
-from strata.operators.project import integral, null_tokens
+from strata.operators.project import null_tokens
+from strata.operators.sizing import broadcast_if_small
 from strata.operators.tagging import ColumnMismatch
+from strata.sources.paths import open_path
 
 FILE_COL = "_file"
-LITERAL_MAP_LIMIT = 1000  # beyond this many files, tag by broadcast join
-HEADER_PEEK_BYTES = 64 * 1024
+HEADER_READ_BYTES = 64 << 10  # read step; a header record is read to its end
 
 CSV_OPTIONS = {"header": "true", "escape": '"', "quote": '"', "sep": ","}
 
@@ -70,16 +70,6 @@ def spark_path(path: str) -> str:
     return "file:" + posixpath.abspath(path)
 
 
-def _open_binary(path: str):
-    """Open a Spark path for reading in an executor (local or any pyarrow filesystem)."""
-    if path.startswith("file:"):
-        return open(path[len("file:"):], "rb")
-    from pyarrow import fs as pafs  # imported in the executor
-
-    filesystem, inner = pafs.FileSystem.from_uri(path)
-    return filesystem.open_input_stream(inner)
-
-
 def parse_header(first_bytes: bytes, *, strip: bool = True) -> list[str]:
     """Column names from the first CSV record of a file (BOM and quotes handled)."""
     text = first_bytes.decode("utf-8-sig", errors="replace")
@@ -91,15 +81,26 @@ def parse_header(first_bytes: bytes, *, strip: bool = True) -> list[str]:
     return [c.strip() for c in names] if strip else names
 
 
+def _first_record(fh) -> bytes:
+    """The bytes of a file up to the first line break outside quotes (all of it without one)."""
+    head, seen, inside = b"", 0, False
+    while chunk := fh.read(HEADER_READ_BYTES):
+        head += chunk
+        for at in range(seen, len(head)):
+            if head[at] == 0x22:
+                inside = not inside
+            elif head[at] in (0x0A, 0x0D) and not inside:
+                return head[:at]
+        seen = len(head)
+    return head
+
+
 def _peek_headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         headers = []
         for p in pdf["path"]:
-            with _open_binary(p) as fh:
-                head = fh.read(HEADER_PEEK_BYTES)
-            # the header record ends at the first line break outside quotes;
-            # reading a bounded prefix is enough for any real header
-            headers.append("\x1f".join(parse_header(head, strip=False)))
+            with open_path(p) as fh:
+                headers.append("\x1f".join(parse_header(_first_record(fh), strip=False)))
         yield pd.DataFrame({"path": pdf["path"], "length": pdf["length"], "header": headers})
 
 
@@ -175,26 +176,35 @@ def _tag_for(path: str, keys: Mapping[str, str]) -> str | None:
 def tag_by_file(df: DataFrame, file_tags: Mapping[str, str], col: str = "city",
                 file_col: str = FILE_COL) -> DataFrame:
     """Add ``col`` from ``file_tags`` (Spark file path -> tag)."""
-    if len(file_tags) <= LITERAL_MAP_LIMIT:
-        kv: list[Column] = []
-        for path, t in file_tags.items():
-            kv += [F.lit(path), F.lit(t)]
-        return df.withColumn(col, F.try_element_at(F.create_map(*kv), F.col(file_col)))
-    spark = df.sparkSession
-    lookup = spark.createDataFrame(list(file_tags.items()), f"{file_col}_ string, {col} string")
-    # one row per input file: bounded by the file list the caller passed in
-    return df.join(F.broadcast(lookup), df[file_col] == lookup[f"{file_col}_"], "left").drop(f"{file_col}_")
+    lookup = df.sparkSession.createDataFrame(list(file_tags.items()), f"{file_col}_ string, `{col}` string")
+    lookup, _ = broadcast_if_small(lookup)
+    return df.join(lookup, df[file_col] == lookup[f"{file_col}_"], "left").drop(f"{file_col}_")
 
 
 # --- alias row ----------------------------------------------------------------
 
-def _first_rows_dropper(file_col: str):
+ALIAS_MODES = ("positional", "typed", "none")
+
+
+def check_alias_mode(mode: str) -> None:
+    if mode not in ALIAS_MODES:
+        raise ValueError(f"alias row mode must be one of {', '.join(ALIAS_MODES)}, not {mode!r}")
+
+
+def is_alias_date(value: str | None, missing: Iterable[str] = schema.NA_TOKENS) -> bool:
+    """Whether a first row's date text shows an alias row: text that is neither missing nor an integer."""
+    text = (value or "").strip()
+    return bool(text) and text not in set(missing) and not re.fullmatch(r"[+-]?\d+(\.0*)?", text)
+
+
+def _first_rows_dropper(file_col: str, date_col: str | None):
     """``mapInArrow`` body dropping the first row of every file's first split.
 
     A split is read in order inside one task, so the first row of a file is
     the first row of its offset-0 split that the task meets.  Vectorised:
     a row starts a split when its path or split offset differs from the
-    previous row's (the last pair is carried across batches).
+    previous row's (the last pair is carried across batches).  With
+    ``date_col`` a first row whose date could be a record's is kept.
     """
 
     def run(batches):
@@ -212,30 +222,31 @@ def _first_rows_dropper(file_col: str):
             starts = pc.or_(pc.fill_null(pc.not_equal(files, prev_file), True),
                             pc.fill_null(pc.not_equal(blocks, prev_block), True))
             first = pc.and_(starts, pc.equal(blocks, 0))
+            if date_col is not None and pc.any(first).as_py():
+                at = pc.indices_nonzero(first).to_pylist()
+                drop = [is_alias_date(batch.column(date_col)[i].as_py()) for i in at]
+                first = pa.array([False] * n) if not any(drop) else pc.is_in(
+                    pa.array(range(n)), pa.array([i for i, d in zip(at, drop, strict=True) if d]))
             last_file, last_block = files[n - 1].as_py(), blocks[n - 1].as_py()
             yield batch.filter(pc.invert(first))
 
     return run
 
 
-def drop_alias_row(df: DataFrame, mode: str = "typed", date_col: str = schema.COL_DATE,
+def drop_alias_row(df: DataFrame, mode: str = "positional", date_col: str = schema.COL_DATE,
                    file_col: str = FILE_COL) -> DataFrame:
     """Drop the English alias row that follows the header of each file.
 
-    ``typed``: keep a row when its date is missing or reads as an integer.
-    ``positional``: drop the first data row of each file, whatever it holds,
-    in one narrow pass (``df`` must come straight from a file scan with the
-    ``_file`` and ``_block`` columns of :func:`read_records`, so rows are in
-    file order).
+    ``positional``: drop the first data row of each file, whatever it holds.
+    ``typed``: drop that row only when its date is neither missing nor an
+    integer.  Neither ever drops another row.  One narrow pass: ``df`` must
+    come straight from a file scan with the ``_file`` and ``_block`` columns
+    of :func:`read_records`, so rows are in file order.
     """
-    if mode == "typed":
-        d = F.trim(F.col(date_col))
-        return df.filter(F.col(date_col).isNull() | (d == "") | integral(d).isNotNull())
-    if mode == "positional":
-        return df.mapInArrow(_first_rows_dropper(file_col), df.schema)
+    check_alias_mode(mode)
     if mode == "none":
         return df
-    raise ValueError(f"alias row mode must be typed, positional or none, not {mode!r}")
+    return df.mapInArrow(_first_rows_dropper(file_col, date_col if mode == "typed" else None), df.schema)
 
 
 # --- reading ------------------------------------------------------------------
@@ -262,7 +273,7 @@ def read_records(
     paths: Iterable[str],
     *,
     require: Iterable[str] | None = schema.SOURCE_COLUMNS,
-    alias_row: str = "typed",
+    alias_row: str = "positional",
     na_tokens: Iterable[str] | None = None,
     multiline: bool = True,
     groups: Mapping[str, list] | None = None,
@@ -274,6 +285,7 @@ def read_records(
     ``groups`` (``{header: files}`` or ``{header: [(file, bytes)]}``) skips
     discovery when already known.
     """
+    check_alias_mode(alias_row)
     found = discover(spark, paths) if groups is None else groups
     sized = {h: [f if isinstance(f, tuple) else (f, None) for f in fs] for h, fs in found.items()}
     if multiline:
@@ -299,17 +311,14 @@ def read_records(
         col_sets.append(frozenset(cols))
         df = _scan(spark, files, raw_cols, multiline)
         df = df.select(*[F.col(f"`{r}`").alias(c) for r, c in zip(raw_cols, cols)], FILE_COL, "_block")
-        if alias_row == "positional":
-            df = drop_alias_row(df, "positional")
         keep = required if required is not None else cols
+        wanted = [*keep, schema.COL_DATE] if alias_row == "typed" and schema.COL_DATE not in keep else keep
+        # cut to the needed columns before rows pass through Python
+        df = drop_alias_row(df.select(*[F.col(c) for c in wanted], FILE_COL, "_block"), alias_row)
         frames.append(df.select(*[F.col(c) for c in keep], FILE_COL))
     if required is None and len(set(col_sets)) > 1:
         raise ColumnMismatch(f"files disagree on columns: {[sorted(c) for c in set(col_sets)]}")
     out = reduce(lambda a, b: a.unionByName(b), frames)
-    if alias_row in ("typed", "none"):
-        out = drop_alias_row(out, alias_row)
-    elif alias_row != "positional":
-        raise ValueError(f"alias row mode must be typed, positional or none, not {alias_row!r}")
     if na_tokens is not None:
         out = null_tokens(out, [c for c in out.columns if c != FILE_COL], na_tokens)
     return out
@@ -373,15 +382,17 @@ def city_files(spark: SparkSession, folder: str, letters: Mapping[str, str] | No
     """``{file: city}`` for the city files actually present under ``folder``.
 
     Lists the folder (file metadata only) and keeps names of the form
-    ``<letter>_lvr_land_A.csv`` whose letter has a city.
+    ``<letter>_lvr_land_A.csv`` whose letter has a city; other CSV files are
+    counted in a warning.
     """
     letters = schema.CITY_BY_LETTER if letters is None else letters
     names = {schema.CITY_FILE_PATTERN.format(letter=k): v for k, v in letters.items()}
-    found = {}
-    for row in list_files(spark, [folder]).select("path").collect():  # the folder's file list
-        city = names.get(row["path"].rsplit("/", 1)[-1])
-        if city is not None:
-            found[row["path"]] = city
+    files = list_files(spark, [folder], CSV_GLOB).select("path", F.element_at(F.split("path", "/"), -1).alias("name"))
+    mine = F.col("name").isin(list(names))
+    found = {r["path"]: names[r["name"]] for r in files.where(mine).collect()}  # one per city file
+    rest = files.where(~mine).agg(F.count(F.lit(1)).alias("n"), F.min("path").alias("example")).first()
+    if rest["n"]:
+        warnings.warn(f"{rest['n']} CSV file(s) outside the name list are not read, e.g. {rest['example']}", stacklevel=2)
     if not found:
         raise FileNotFoundError(f"no city files ({', '.join(sorted(names))}) under {folder}")
     return found

@@ -17,6 +17,7 @@ task (a compressed stream does not split).
 from __future__ import annotations
 
 import fnmatch
+import warnings
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
@@ -26,28 +27,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata import schema
-from strata.operators.project import integral, null_tokens
+from strata.operators.project import null_tokens
 from strata.operators.tagging import ColumnMismatch
 from strata.session import default_parallelism
-from strata.sources.records import list_files
+from strata.sources.paths import open_path
+from strata.sources.records import check_alias_mode, is_alias_date, list_files
 
 ARCHIVE_COL = "_archive"
 MEMBER_COL = "_member"
 ROW_COL = "_row"
 
 
-def _open_random(path: str):
-    """Open a Spark path for random access in an executor (zip needs to seek)."""
-    if path.startswith("file:"):
-        return open(path[len("file:"):], "rb")
-    from pyarrow import fs as pafs
-
-    filesystem, inner = pafs.FileSystem.from_uri(path)
-    return filesystem.open_input_file(inner)
-
-
-def _member_lister(pattern: str):
-    """``mapInPandas`` body: ``(archive, member, bytes)`` of matching members, from the central directory."""
+def _member_lister(pattern: str, names: frozenset[str] | None):
+    """``mapInPandas`` body: ``(archive, member, bytes, wanted)`` of matching members, from the central directory."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import zipfile
@@ -55,17 +47,18 @@ def _member_lister(pattern: str):
         for pdf in batches:
             rows = []
             for path in pdf["path"]:
-                with _open_random(path) as fh, zipfile.ZipFile(fh) as zf:
+                with open_path(path, seek=True) as fh, zipfile.ZipFile(fh) as zf:
                     for info in zf.infolist():
                         name = info.filename
-                        if not info.is_dir() and fnmatch.fnmatch(name.rsplit("/", 1)[-1], pattern):
-                            rows.append((path, name, info.file_size))
-            yield pd.DataFrame(rows, columns=["archive", "member", "size"])
+                        base = name.rsplit("/", 1)[-1]
+                        if not info.is_dir() and fnmatch.fnmatch(base, pattern):
+                            rows.append((path, name, info.file_size, names is None or base in names))
+            yield pd.DataFrame(rows, columns=["archive", "member", "size", "wanted"])
 
     return run
 
 
-def _member_parser(columns: list[str], drop_first: bool, out_schema: pa.Schema, batch_rows: int):
+def _member_parser(columns: list[str], alias_row: str, out_schema: pa.Schema, batch_rows: int):
     """``mapInArrow`` body: stream-parse each member row into record batches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -75,12 +68,15 @@ def _member_parser(columns: list[str], drop_first: bool, out_schema: pa.Schema,
 
         read = pacsv.ReadOptions(use_threads=False, block_size=max(1 << 20, batch_rows * 256))
         parse = pacsv.ParseOptions(newlines_in_values=True)
+        # the typed mode looks at the first row's date, whether or not it is wanted
+        wanted = columns if alias_row != "typed" or schema.COL_DATE in columns else [*columns, schema.COL_DATE]
+        date_at = wanted.index(schema.COL_DATE) if schema.COL_DATE in wanted else -1
         convert = pacsv.ConvertOptions(
-            include_columns=columns, column_types={c: pa.string() for c in columns},
+            include_columns=wanted, column_types={c: pa.string() for c in wanted},
             strings_can_be_null=True, null_values=[""], quoted_strings_can_be_null=True)
         for batch in batches:
             for archive, member in zip(batch.column("archive").to_pylist(), batch.column("member").to_pylist()):
-                with _open_random(archive) as fh, zipfile.ZipFile(fh) as zf, zf.open(member) as raw:
+                with open_path(archive, seek=True) as fh, zipfile.ZipFile(fh) as zf, zf.open(member) as raw:
                     try:
                         reader = pacsv.open_csv(pa.PythonFile(raw, mode="r"), read_options=read,
                                                 parse_options=parse, convert_options=convert)
@@ -91,7 +87,8 @@ def _member_parser(columns: list[str], drop_first: bool, out_schema: pa.Schema,
                     row = 0
                     for chunk in reader:
                         n = chunk.num_rows
-                        start = 1 if drop_first and row == 0 and n else 0
+                        start = int(row == 0 and n > 0 and alias_row != "none" and (
+                            alias_row == "positional" or is_alias_date(chunk.column(date_at)[0].as_py())))
                         chunk = chunk.slice(start)
                         m = chunk.num_rows
                         if m:
@@ -104,11 +101,24 @@ def _member_parser(columns: list[str], drop_first: bool, out_schema: pa.Schema,
     return run
 
 
-def zip_member_list(spark: SparkSession, archives: Iterable[str] | str, member_pattern: str = "*.csv") -> DataFrame:
-    """``archive, member, size``: the matching members of every archive (central directories only)."""
+def zip_member_list(spark: SparkSession, archives: Iterable[str] | str, member_pattern: str = "*.csv",
+                    names: Iterable[str] | None = None) -> DataFrame:
+    """``archive, member, size, wanted``: the matching members of every archive (central directories only).
+
+    ``wanted`` says whether a member's file name is in ``names`` (all are, without names).
+    """
     paths = [archives] if isinstance(archives, str) else list(archives)
     return list_files(spark, paths).select("path").mapInPandas(
-        _member_lister(member_pattern), "archive string, member string, size bigint")
+        _member_lister(member_pattern, None if names is None else frozenset(names)),
+        "archive string, member string, size bigint, wanted boolean")
+
+
+def report_unwanted(members: DataFrame) -> int:
+    """Warn of members that are left out, with their number and one example; return the number."""
+    row = members.where("NOT wanted").agg(F.count(F.lit(1)).alias("n"), F.min("member").alias("example")).first()
+    if row["n"]:
+        warnings.warn(f"{row['n']} archive member(s) outside the name list are not read, e.g. {row['example']}", stacklevel=3)
+    return int(row["n"])
 
 
 def read_zip_members(
@@ -116,6 +126,7 @@ def read_zip_members(
     archives: Iterable[str] | str,
     *,
     member_pattern: str = "*.csv",
+    names: Iterable[str] | None = None,
     columns: list[str] | None = None,
     alias_row: str = "positional",
     na_tokens: Iterable[str] | None = None,
@@ -123,38 +134,36 @@ def read_zip_members(
 ) -> DataFrame:
     """Record rows from every CSV member matching ``member_pattern`` in ``archives``.
 
-    Returns the ``columns`` (text) plus ``_archive``, ``_member`` and ``_row``
-    (the data row's index in its member, the alias row being 0).
-    ``alias_row``: ``positional`` drops each member's first data row (exact,
-    free here since a member is read in order); ``typed`` drops rows whose
-    date is not an integer; ``none`` keeps all rows.
+    With ``names`` only members of these file names are parsed; others are
+    counted in a warning.  Returns the ``columns`` (text) plus ``_archive``,
+    ``_member`` and ``_row`` (the data row's index in its member, the alias row
+    being 0).  ``alias_row``: ``positional`` drops each member's first data row;
+    ``typed`` drops it only when its date shows an alias row; ``none`` keeps all.
     """
-    if alias_row not in ("positional", "typed", "none"):
-        raise ValueError(f"alias row mode must be typed, positional or none, not {alias_row!r}")
+    check_alias_mode(alias_row)
     cols = list(schema.SOURCE_COLUMNS if columns is None else columns)
-    members = zip_member_list(spark, archives, member_pattern)
+    members = zip_member_list(spark, archives, member_pattern, names)
+    if names is not None:
+        report_unwanted(members)
     # spread the member rows (one per member) over tasks, a few members per task
-    members = members.repartition(max(1, 2 * default_parallelism(spark)), "archive", "member")
+    members = members.where("wanted").repartition(max(1, 2 * default_parallelism(spark)), "archive", "member")
     spark_schema = T.StructType(
         [T.StructField(c, T.StringType()) for c in cols]
         + [T.StructField(ARCHIVE_COL, T.StringType()), T.StructField(MEMBER_COL, T.StringType()),
            T.StructField(ROW_COL, T.LongType())])
     arrow_schema = pa.schema([(c, pa.string()) for c in cols]
                              + [(ARCHIVE_COL, pa.string()), (MEMBER_COL, pa.string()), (ROW_COL, pa.int64())])
-    rows = members.mapInArrow(_member_parser(cols, alias_row == "positional", arrow_schema, batch_rows),
-                              spark_schema)
-    if alias_row == "typed":
-        d = F.trim(F.col(schema.COL_DATE))
-        rows = rows.filter(F.col(schema.COL_DATE).isNull() | (d == "") | integral(d).isNotNull())
-    if na_tokens is not None:
-        rows = null_tokens(rows, cols, na_tokens)
-    return rows
+    rows = members.mapInArrow(_member_parser(cols, alias_row, arrow_schema, batch_rows), spark_schema)
+    return rows if na_tokens is None else null_tokens(rows, cols, na_tokens)
 
 
 def tag_by_member(df: DataFrame, tags: dict[str, str], col: str = "city") -> DataFrame:
-    """Tag rows by member file name (``{file name: tag}``), e.g. the city letter files."""
+    """Tag rows by member file name (``{file name: tag}``), e.g. the city letter files.
+
+    Rows of members without a tag are not kept; read with ``names`` so that such members are reported and not parsed.
+    """
     kv = []
     for name, t in tags.items():
         kv += [F.lit(name), F.lit(t)]
     base = F.element_at(F.split(F.col(MEMBER_COL), "/"), -1)
-    return df.withColumn(col, F.try_element_at(F.create_map(*kv), base))
+    return df.withColumn(col, F.try_element_at(F.create_map(*kv), base)).where(F.col(col).isNotNull())

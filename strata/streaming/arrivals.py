@@ -21,23 +21,21 @@ from __future__ import annotations
 
 import hashlib
 import re
+import sys
 from collections.abc import Callable, Iterator, Mapping
 from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from strata import schema
-from strata.operators.project import integral
 from strata.operators.tagging import ColumnMismatch
 from strata.plans.job import filter_records, nest_from_events, select_events
 from strata.session import checkpoint_dir
-from strata.sources.records import CSV_GLOB, FILE_COL
-
-BATCH_COL = "ingest_batch"  # folder column of older event tables; dropped on read
+from strata.sources.paths import open_path
+from strata.sources.records import CSV_GLOB, FILE_COL, check_alias_mode, is_alias_date, list_files
 
 Tagger = Callable[[str], "str | None"]
 
@@ -76,17 +74,7 @@ def new_files(spark: SparkSession, landing_dir: str, *, max_files_per_trigger: i
             .select("path"))
 
 
-def _open_file(path: str):
-    """Open a Spark path for reading in an executor (local or any pyarrow filesystem)."""
-    if path.startswith("file:"):
-        return open(unquote(path[len("file:"):]), "rb")
-    from pyarrow import fs as pafs
-
-    filesystem, inner = pafs.FileSystem.from_uri(path)
-    return filesystem.open_input_stream(inner)
-
-
-def _file_parser(columns: list[str], tagger: Tagger, drop_first: bool, out_schema: pa.Schema,
+def _file_parser(columns: list[str], tagger: Tagger, alias_row: str, out_schema: pa.Schema,
                  batch_rows: int):
     """``mapInArrow`` body: each landed file path -> its record rows, tagged with the city."""
 
@@ -95,15 +83,18 @@ def _file_parser(columns: list[str], tagger: Tagger, drop_first: bool, out_schem
 
         read = pacsv.ReadOptions(use_threads=False, block_size=max(1 << 20, batch_rows * 256))
         parse = pacsv.ParseOptions(newlines_in_values=True)
+        # the typed mode looks at the first row's date, whether or not it is wanted
+        wanted = columns if alias_row != "typed" or schema.COL_DATE in columns else [*columns, schema.COL_DATE]
         convert = pacsv.ConvertOptions(
-            include_columns=columns, column_types={c: pa.string() for c in columns},
+            include_columns=wanted, column_types={c: pa.string() for c in wanted},
             strings_can_be_null=True, null_values=[""], quoted_strings_can_be_null=True)
         for batch in batches:
             for path in batch.column("path").to_pylist():
                 city = tagger(path)
-                if city is None:
-                    raise ValueError(f"no city for landed file {path}")
-                with _open_file(path) as fh:
+                if city is None:  # a foreign file must not stop the stream for good; foreign_files() lists them
+                    print(f"strata: not a city file, left out: {path}", file=sys.stderr)
+                    continue
+                with open_path(path) as fh:
                     source = fh if isinstance(fh, pa.NativeFile) else pa.PythonFile(fh, mode="r")
                     try:
                         reader = pacsv.open_csv(source, read_options=read, parse_options=parse,
@@ -112,10 +103,12 @@ def _file_parser(columns: list[str], tagger: Tagger, drop_first: bool, out_schem
                         if str(err).strip() == "Empty CSV file":  # no bytes (or only a BOM)
                             continue
                         raise ColumnMismatch(f"{path} lacks columns: {err}") from err
-                    pending = drop_first  # the file's first data row is still to drop
+                    pending = alias_row != "none"  # the file's first data row is still to judge
                     for chunk in reader:
                         if pending and chunk.num_rows:
-                            chunk, pending = chunk.slice(1), False
+                            pending = False
+                            if alias_row == "positional" or is_alias_date(chunk.column(wanted.index(schema.COL_DATE))[0].as_py()):
+                                chunk = chunk.slice(1)
                         m = chunk.num_rows
                         if m:
                             yield pa.RecordBatch.from_arrays(
@@ -132,24 +125,30 @@ def arrivals(
     *,
     columns: list[str],
     tagger: Tagger | None = None,
-    alias_row: str = "typed",
+    alias_row: str = "positional",
     max_files_per_trigger: int = 1000,
     batch_rows: int = 10_000,
 ) -> DataFrame:
     """Streaming frame of text records (``columns``, ``city``, ``_file``) from newly landed files."""
-    if alias_row not in ("typed", "positional"):
-        raise ValueError(f"alias row mode must be typed or positional, not {alias_row!r}")
+    check_alias_mode(alias_row)
     tag = tag_by_letter() if tagger is None else tagger
     spark_schema = T.StructType([T.StructField(c, T.StringType()) for c in columns]
                                 + [T.StructField("city", T.StringType()),
                                    T.StructField(FILE_COL, T.StringType())])
     arrow_schema = pa.schema([(c, pa.string()) for c in columns] + [("city", pa.string()), (FILE_COL, pa.string())])
-    rows = new_files(spark, landing_dir, max_files_per_trigger=max_files_per_trigger).mapInArrow(
-        _file_parser(list(columns), tag, alias_row == "positional", arrow_schema, batch_rows), spark_schema)
-    if alias_row == "typed":
-        d = F.trim(F.col(schema.COL_DATE))
-        rows = rows.filter(F.col(schema.COL_DATE).isNull() | (d == "") | integral(d).isNotNull())
-    return rows
+    return new_files(spark, landing_dir, max_files_per_trigger=max_files_per_trigger).mapInArrow(
+        _file_parser(list(columns), tag, alias_row, arrow_schema, batch_rows), spark_schema)
+
+
+def foreign_files(spark: SparkSession, landing_dir: str, tagger: Tagger | None = None) -> DataFrame:
+    """``path`` of the landed CSV files without a city, which the stream leaves out."""
+    tag = tag_by_letter() if tagger is None else tagger
+
+    def without_city(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([tag(p) is None for p in batch.column(0).to_pylist()], pa.bool_()))
+
+    return list_files(spark, [landing_dir], CSV_GLOB).select("path").mapInArrow(without_city, "path string")
 
 
 def ingest_arrivals(
@@ -165,7 +164,7 @@ def ingest_arrivals(
     min_floors: int = schema.MIN_FLOORS,
     columns: list[str] | None = None,
     tagger: Tagger | None = None,
-    alias_row: str = "typed",
+    alias_row: str = "positional",
     max_files_per_trigger: int = 1000,
     available_now: bool = True,
     processing_time: str | None = None,
@@ -174,8 +173,8 @@ def ingest_arrivals(
 
     ``columns`` are the source columns every file must have (default: the
     ones the ``n_fields`` document needs); ``tagger`` maps a file path to its
-    city (default: the letter in the file name) and a file without a city
-    fails the stream rather than being dropped.  The checkpoint defaults to a
+    city (default: the letter in the file name); a file without a city is left
+    out with a line in the executor's log, and :func:`foreign_files` lists them.  The checkpoint defaults to a
     folder under the session's shared ``spark.checkpoint.dir`` named after
     the (landing, events) pair, so a rerun for the same pair resumes and
     different pairs never share one.
@@ -199,7 +198,7 @@ def ingest_arrivals(
 
 def events_table(spark: SparkSession, events_dir: str) -> DataFrame:
     """The accumulated events."""
-    return spark.read.parquet(events_dir).drop(BATCH_COL)
+    return spark.read.parquet(events_dir)
 
 
 def document_from_events(spark: SparkSession, events_dir: str, n_fields: int = 28,

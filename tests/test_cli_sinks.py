@@ -4,7 +4,6 @@ import zipfile
 
 from pyspark.sql import functions as F
 
-import strata.sources.records as records_mod
 from fixtures import COLS, ROWS, write_city
 from strata.__main__ import main
 from strata.sinks.json_lines import write_json_lines, write_parts
@@ -35,11 +34,10 @@ def test_cli_folder_and_zip(spark, tmp_dir):
     assert sorted(sum((_cities(p) for p in zparts.values()), [])) == sorted(seen)
 
 
-def test_many_files_tag_by_broadcast_join(spark, tmp_dir, monkeypatch):
-    monkeypatch.setattr(records_mod, "LITERAL_MAP_LIMIT", 1)
+def test_many_files_tag_by_join(spark, tmp_dir):
     a = write_city(tmp_dir, "A")
     b = write_city(tmp_dir, "B")
-    df = read_tagged(spark, {a: "x", b: "y"}, require=COLS)
+    df = read_tagged(spark, {a: "x", b: "y"}, require=COLS, branch_tag_limit=1)
     counts = {r.city: r["count"] for r in df.groupBy("city").count().collect()}
     assert counts == {"x": len(ROWS), "y": len(ROWS)}
 
@@ -94,7 +92,7 @@ def test_records_csv_has_bom_header_and_alias_row(spark, tmp_dir):
 
     df = spark.createDataFrame([("台北市", "甲區", "1080415"), ("台北市", "乙區", "990101")],
                                "city string, `鄉鎮市區` string, `交易年月日` string")
-    out = write_records_csv(df, os.path.join(tmp_dir, "csv"), tags=["台北市"])
+    out = write_records_csv(df, os.path.join(tmp_dir, "csv"))
     folder = os.path.join(out, "city=台北市")
     rows = []
     for f in sorted(os.listdir(folder)):
@@ -102,9 +100,9 @@ def test_records_csv_has_bom_header_and_alias_row(spark, tmp_dir):
             raw = open(os.path.join(folder, f), "rb").read()
             assert raw.startswith(b"\xef\xbb\xbf")
             lines = raw.decode("utf-8-sig").splitlines()
-            assert lines[0] == "鄉鎮市區,交易年月日"
-            rows += lines[1:]
-    assert sorted(rows) == sorted(["district,transaction_date", "甲區,1080415", "乙區,990101"])
+            assert lines[:2] == ["鄉鎮市區,交易年月日", "district,transaction_date"]  # one alias row at the head of every file
+            rows += lines[2:]
+    assert sorted(rows) == sorted(["甲區,1080415", "乙區,990101"])
 
 
 def test_cli_paged_pages_concatenate_to_document(spark, tmp_dir):

@@ -115,7 +115,7 @@ def test_stream_parser_drops_only_the_first_row_across_chunks(tmp_dir):
     p = write_city(tmp_dir, "A")
     out_schema = pa.schema([(c, pa.string()) for c in COLS] + [("city", pa.string()), ("_file", pa.string())])
     # a tiny block size cuts the file into many small chunks
-    parser = _file_parser(COLS, lambda path: "x", True, out_schema, batch_rows=1)
+    parser = _file_parser(COLS, lambda path: "x", "positional", out_schema, batch_rows=1)
     import pyarrow.csv as pacsv
 
     original = pacsv.ReadOptions
