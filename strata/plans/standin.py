@@ -61,6 +61,14 @@ def _txt(c) -> F.Column:
     return c.cast("string")
 
 
+def _note() -> F.Column:
+    """Notes with commas, quotes and line breaks, missing-value tokens and nulls, by the line number."""
+    kind = F.pmod(F.col("l_linenumber"), F.lit(5))
+    return (F.when(kind == 0, F.concat("p_name", F.lit(', "'), "l_returnflag", F.lit('"')))
+            .when(kind == 1, F.concat("s_name", F.lit("\n"), "p_name"))
+            .when(kind == 2, F.lit("NA")).when(kind == 4, F.concat(F.lit("note "), "p_brand")))
+
+
 def records(spark: SparkSession, sf_dir: str, *, with_city: bool = True,
             spread: bool = False) -> DataFrame:
     """Record rows (all text, source column names) plus ``city`` when asked."""
@@ -101,7 +109,7 @@ def records(spark: SparkSession, sf_dir: str, *, with_city: bool = True,
         empty.alias("車位類別"),
         _txt(F.col("l_tax")).alias("車位移轉總面積平方公尺"),
         empty.alias("車位總價元"),
-        empty.alias("備註"),
+        _note().alias("備註"),
         F.concat_ws("-", _txt(F.col("l_orderkey")), _txt(F.col("l_linenumber"))).alias("編號"),
     ]
     if with_city:
