@@ -14,7 +14,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from strata import schema
-from strata.plans.job import nest_from_events, split_parts, transform, write_events
+from strata.plans.job import PAGE_EVENTS, nest_from_events, split_parts, transform, write_events
 from strata.sinks.json_lines import write_named_parts, write_parts
 from strata.session import size_for_input
 from strata.sources.records import city_files, list_files, read_tagged
@@ -37,8 +37,10 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
                     help="no field holds a line break: large files are split")
     ap.add_argument("--files-per-part", type=int, default=None,
                     help="1 = a single file per part (small outputs only)")
-    ap.add_argument("--max-events-per-line", type=int, default=None,
-                    help="write bounded pages (city, page, time_slots) instead of one line per city")
+    ap.add_argument("--max-events-per-line", type=int, default=PAGE_EVENTS,
+                    help="events of a page; a line is (city, page, time_slots)")
+    ap.add_argument("--whole-cities", action="store_true",
+                    help="one line per city instead of pages (a line then grows with its city)")
     ap.add_argument("--no-combine-copies", dest="combine_copies", action="store_false",
                     help="skip counting identical events map-side before nesting (when copies are rare)")
     ap.add_argument("--part-paths", default=None,
@@ -62,6 +64,7 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
         ap.error("--stream needs --events-dir")
     if args.stream and args.zip:
         ap.error("--stream watches a folder of CSV files; it does not read zip archives")
+    page = None if args.whole_cities else args.max_events_per_line
     spark = SparkSession.builder.appName("strata").getOrCreate()
     if not args.no_sizing:
         total = list_files(spark, [args.input]).agg(F.sum("length")).first()[0] or 0  # metadata only
@@ -87,11 +90,11 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
             write_events(records, args.events_dir, n_fields=args.fields, floors_mode=args.floors)
         doc = nest_from_events(spark, args.events_dir, n_fields=args.fields,
                                combine_copies=args.combine_copies,
-                               max_events_per_line=args.max_events_per_line)
+                               max_events_per_line=page)
     else:
         doc = transform(records, n_fields=args.fields, floors_mode=args.floors,
                         combine_copies=args.combine_copies,
-                        max_events_per_line=args.max_events_per_line)
+                        max_events_per_line=page)
     if args.explain:
         doc.explain("formatted")
     seed = args.seed if args.seed is not None else (None if args.split == "random" else 42)

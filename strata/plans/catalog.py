@@ -19,7 +19,7 @@ from strata import schema
 from strata.functions.dates import roc_to_date
 from strata.functions.numerals import floor_text, floors, floors_pandas_udf, floors_udf
 from strata.operators.inspect import distinct_values, top_n
-from strata.operators.nest import document_json, nest_events, nest_two_levels
+from strata.operators.nest import document_json, nest_events, nest_paged
 from strata.operators.split import balanced_split, hash_split, random_split
 from strata.operators.tagging import reconcile_counts, tagged_union
 from strata.plans import standin
@@ -57,12 +57,12 @@ def q_flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     final arrays (the default), so a hot group of copies is never shuffled
     row by row.
     """
-    return document_json(_transform(spark, sf_dir))
+    return document_json(_transform(spark, sf_dir, max_events_per_line=None))
 
 
 def q_flagship_direct(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Same document without the copy count: one shuffle per nesting level."""
-    return document_json(_transform(spark, sf_dir, combine_copies=False))
+    return document_json(_transform(spark, sf_dir, combine_copies=False, max_events_per_line=None))
 
 
 def q_nest_paged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,13 +71,13 @@ def q_nest_paged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Kept events written once as a Parquet table (a lineage cut), the document nested from it."""
+    """Kept events written once as a Parquet table (a lineage cut), the document's pages nested from it."""
     from strata.plans.job import nest_from_events, write_events
 
     out = scratch_path(spark, "events-table")
     write_events(standin.records(spark, sf_dir), out, use_value=standin.STANDIN_USE,
                  type_part=standin.STANDIN_TYPE_PART)
-    return document_json(nest_from_events(spark, out))
+    return document_json(nest_from_events(spark, out, max_events_per_line=PAGE_EVENTS), extra=("page",))
 
 
 def q_nest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,9 +89,9 @@ def q_nest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_nest_full_unnest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """28-field document, flattened back to rows: nesting keeps every row and field."""
+    """28-field document in pages, flattened back to rows: nesting keeps every row and field."""
     events = select_events(_kept(spark, sf_dir), 28)
-    doc = nest_two_levels(events, "city", "date", schema.FULL_EVENT_FIELDS)
+    doc = nest_paged(events, "city", "date", schema.FULL_EVENT_FIELDS, max_events=PAGE_EVENTS)
     slots = doc.select("city", F.explode("time_slots").alias("s"))
     ev = slots.select("city", F.col("s.date").alias("date"), F.explode("s.events").alias("e"))
     return ev.select("city", "date", "e.*")
@@ -99,7 +99,7 @@ def q_nest_full_unnest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_flagship_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 28-field document, one JSON line per city (null fields written out)."""
-    doc = _transform(spark, sf_dir, n_fields=28)
+    doc = _transform(spark, sf_dir, n_fields=28, max_events_per_line=None)
     return doc.select("city", F.to_json("time_slots", {"ignoreNullFields": "false"}).alias("line"))
 
 
@@ -138,8 +138,7 @@ def q_high_rise(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_project_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All 28 record columns typed and renamed to their output names."""
-    # per-row work on every column: spread a single-split test scan over the cores
-    return select_events(clean(standin.records(spark, sf_dir, spread=True)), 28).drop("date")
+    return select_events(clean(standin.records(spark, sf_dir)), 28).drop("date")
 
 
 def q_distinct_use(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -216,7 +215,7 @@ def _city_folders(spark: SparkSession, out: str) -> dict[str, str]:
 def q_csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records written as per-city BOM CSV files with alias rows, read back by folder, all 28 columns."""
     out = scratch_path(spark, "csv")
-    write_records_csv(standin.records(spark, sf_dir, spread=True), out, tag_col="city")
+    write_records_csv(standin.records(spark, sf_dir), out, tag_col="city")
     return _all_columns(read_tagged(spark, _city_folders(spark, out), col="city"))
 
 
@@ -224,7 +223,7 @@ def q_csv_positional(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records written as per-city CSV files with the alias row at the head of each,
     read back dropping the first data row of every file (positional mode)."""
     out = scratch_path(spark, "csvpos")
-    standin.write_city_files(standin.records(spark, sf_dir, spread=True), out)
+    standin.write_city_files(standin.records(spark, sf_dir), out)
     return _all_columns(read_tagged(spark, _city_folders(spark, out), col="city", alias_row="positional"))
 
 
@@ -246,7 +245,7 @@ def q_same_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.sources.records import header_rows
 
     out = scratch_path(spark, "headers")
-    recs, odd = standin.records(spark, sf_dir, spread=True), _regions(spark, sf_dir)[0]
+    recs, odd = standin.records(spark, sf_dir), _regions(spark, sf_dir)[0]
     write_records_csv(recs.where(F.col("city") != odd), out, tag_col="city")
     write_records_csv(recs.where(F.col("city") == odd).drop("備註"), out, tag_col="city", mode="append")
     heads = header_rows(spark, [out])
@@ -259,7 +258,7 @@ def q_same_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_zip_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records zipped as per-city members (alias row first), ingested from the archives."""
     out = scratch_path(spark, "zip")
-    archives = standin.write_city_archives(standin.records(spark, sf_dir, spread=True), out)
+    archives = standin.write_city_archives(standin.records(spark, sf_dir), out)
     names = {f"{c}.csv": c for c in _regions(spark, sf_dir)}
     rows = read_zip_members(spark, archives, names=names, alias_row="positional")
     return _all_columns(tag_by_member(rows, names))
@@ -268,7 +267,7 @@ def q_zip_members(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship documents split by city hash, written in one pass, read back as text lines."""
     out = scratch_path(spark, "json")
-    parts = split_parts(_transform(spark, sf_dir), "hash", 2, 42)
+    parts = split_parts(_transform(spark, sf_dir, max_events_per_line=PAGE_EVENTS), "hash", 2, 42)
     write_parts(parts, out, part_col="part")
     back = spark.read.text(out)
     return back.select(F.col("part").cast("bigint").alias("part"), F.col("value").alias("line"))
@@ -280,7 +279,7 @@ def q_stream_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.streaming.arrivals import events_table, ingest_arrivals, tag_by_folder
 
     landing = scratch_path(spark, "landing")
-    standin.write_city_files(standin.records(spark, sf_dir, spread=True), landing)
+    standin.write_city_files(standin.records(spark, sf_dir), landing)
     events_dir = scratch_path(spark, "events")
     q = ingest_arrivals(spark, landing, events_dir, checkpoint=scratch_path(spark, "stream-ckpt"),
                         n_fields=2, use_value=standin.STANDIN_USE,
@@ -424,7 +423,7 @@ FROM slots GROUP BY city"""
         "q_flagship": flagship,
         "q_flagship_full": flagship_full,
         "q_flagship_direct": flagship,
-        "q_events_table": flagship,
+        "q_events_table": paged,
         "q_nest_paged": paged,
         "q_nest_events": f"""
 WITH {_REC}
@@ -485,12 +484,7 @@ FROM rec CROSS JOIN (VALUES ('positional'), ('typed')) AS m(mode)""",
 WITH {_REC}
 SELECT DISTINCT city, city <> (SELECT min(r_name) FROM region) AS same_columns FROM rec""",
         "q_json_round_trip": f"""
-WITH {_REC},
-slots AS (SELECT city, date, {_EVENTS_2} AS events FROM kept GROUP BY city, date),
-docs AS (
-  SELECT city, list({{'date': date, 'events': events}} ORDER BY date DESC NULLS LAST) AS time_slots
-  FROM slots GROUP BY city)
 SELECT CAST(('0x' || substr(md5('42|' || city), 1, 8)) AS BIGINT) % 2 AS part,
-       to_json({{'city': city, 'time_slots': time_slots}}) AS line
-FROM docs""",
+       '{{"city":"' || city || '","page":' || page || ',"time_slots":' || line || '}}' AS line
+FROM ({paged})""",
     }

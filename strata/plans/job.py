@@ -24,6 +24,9 @@ from strata.operators.split import balanced_split, hash_split, random_split
 from strata.session import checkpoint_dir
 
 
+PAGE_EVENTS = 10_000  # events of a document line, unless the caller says otherwise
+
+
 def clean(df: DataFrame, *, floors_mode: str = "compat",
           na_tokens: list[str] | None = schema.NA_TOKENS) -> DataFrame:
     """Null the missing-value tokens, type the text columns, add ``Floors`` and ``date``."""
@@ -71,15 +74,16 @@ def transform(
     type_part: str = schema.TOWER,
     min_floors: int = schema.MIN_FLOORS,
     combine_copies: bool = True,
-    max_events_per_line: int | None = None,
+    max_events_per_line: int | None = PAGE_EVENTS,
 ) -> DataFrame:
-    """Tagged text records -> nested document (``key, time_slots``).
+    """Tagged text records -> nested document, in pages (``key, page, time_slots``).
+
+    Pages hold at most ``max_events_per_line`` events, so no row grows with a
+    city; ``None`` gives the parity form, one row per city (``key, time_slots``).
 
     ``combine_copies`` (default) counts identical events map-side before the
     (city, date) shuffle, so a large group of copies never travels row by
     row; ``False`` saves that aggregation when copies are known to be rare.
-    With ``max_events_per_line`` the bounded paged form is returned instead
-    (``key, page, time_slots``).
     """
     kept = filter_records(records, floors_mode=floors_mode, use_value=use_value,
                           type_part=type_part, min_floors=min_floors)
@@ -119,7 +123,7 @@ def write_events(
 
 
 def nest_from_events(spark: SparkSession, events_dir: str, *, n_fields: int = 2, key: str = "city",
-                     combine_copies: bool = True, max_events_per_line: int | None = None) -> DataFrame:
+                     combine_copies: bool = True, max_events_per_line: int | None = PAGE_EVENTS) -> DataFrame:
     """The document (or its pages) from an events table written by :func:`write_events`."""
     events = spark.read.parquet(events_dir)
     events = events.drop(f"{key}_dir")  # the folder column, a copy of the key

@@ -28,7 +28,6 @@ from pyspark.sql import functions as F
 
 from strata.functions.dates import date_to_roc
 from strata.functions.numerals import floor_text
-from strata.session import default_parallelism
 from strata.sources.paths import filesystem_of, local_path
 
 
@@ -36,25 +35,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def fact_table(spark: SparkSession, sf_dir: str, *, spread: bool = False) -> DataFrame:
-    """``lineitem``; with ``spread``, spread over the session's cores when its scan has fewer splits.
-
-    A table stored as one row group scans as one task; the stand-in writers
-    (which write whole record files) then hash-partition the rows on their
-    key so the writes run in parallel.  A scan with at least as many splits
-    as cores - any large input - is returned untouched, with no added shuffle.
-    """
-    li = table(spark, sf_dir, "lineitem")
-    if not spread:
-        return li
-    cores = default_parallelism(spark)
-    try:
-        splits = li.rdd.getNumPartitions()  # planning only: file splits of the scan
-    except Exception:  # no RDD access (Spark Connect): leave the scan as it is
-        return li
-    if splits < cores:
-        li = li.repartition(cores, "l_orderkey", "l_linenumber")
-    return li
+def fact_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``lineitem``."""
+    return table(spark, sf_dir, "lineitem")
 
 
 def _txt(c) -> F.Column:
@@ -69,10 +52,9 @@ def _note() -> F.Column:
             .when(kind == 2, F.lit("NA")).when(kind == 4, F.concat(F.lit("note "), "p_brand")))
 
 
-def records(spark: SparkSession, sf_dir: str, *, with_city: bool = True,
-            spread: bool = False) -> DataFrame:
+def records(spark: SparkSession, sf_dir: str, *, with_city: bool = True) -> DataFrame:
     """Record rows (all text, source column names) plus ``city`` when asked."""
-    li = fact_table(spark, sf_dir, spread=spread)
+    li = fact_table(spark, sf_dir)
     part = table(spark, sf_dir, "part")
     supp = table(spark, sf_dir, "supplier")
     nation = table(spark, sf_dir, "nation")

@@ -23,14 +23,14 @@ def test_cli_folder_and_zip(spark, tmp_dir):
     os.makedirs(src)
     for letter in "ABEFH":
         write_city(src, letter)
-    parts = main([src, os.path.join(tmp_dir, "out"), "--split", "balanced"])
+    parts = main([src, os.path.join(tmp_dir, "out"), "--split", "balanced", "--whole-cities"])
     seen = sum((_cities(p) for p in parts.values()), [])
     assert sorted(seen) == sorted(["台北市", "台中市", "高雄市", "新北市", "桃園市"])
     archive = os.path.join(tmp_dir, "a.zip")
     with zipfile.ZipFile(archive, "w") as zf:
         for letter in "ABEFH":
             zf.write(os.path.join(src, f"{letter}_lvr_land_A.csv"), f"{letter}_lvr_land_A.csv")
-    zparts = main([archive, os.path.join(tmp_dir, "outz"), "--zip", "--alias-row", "positional"])
+    zparts = main([archive, os.path.join(tmp_dir, "outz"), "--zip", "--alias-row", "positional", "--whole-cities"])
     assert sorted(sum((_cities(p) for p in zparts.values()), [])) == sorted(seen)
 
 
@@ -109,7 +109,7 @@ def test_cli_paged_pages_concatenate_to_document(spark, tmp_dir):
     src = os.path.join(tmp_dir, "in")
     os.makedirs(src)
     write_city(src, "A")
-    full = main([src, os.path.join(tmp_dir, "full")])
+    full = main([src, os.path.join(tmp_dir, "full"), "--whole-cities"])
     paged = main([src, os.path.join(tmp_dir, "paged"), "--max-events-per-line", "2"])
 
     def lines(parts):
@@ -144,7 +144,7 @@ def test_cli_named_part_paths(spark, tmp_dir):
     for letter in "ABEFH":
         write_city(src, letter)
     p1, p2 = os.path.join(tmp_dir, "output1.json"), os.path.join(tmp_dir, "output2.json")
-    main([src, tmp_dir, "--part-paths", f"{p1},{p2}", "--files-per-part", "1", "--split", "balanced"])
+    main([src, tmp_dir, "--part-paths", f"{p1},{p2}", "--files-per-part", "1", "--split", "balanced", "--whole-cities"])
     c1, c2 = _cities(p1), _cities(p2)
     assert not set(c1) & set(c2) and sorted(c1 + c2) == sorted(["台北市", "台中市", "高雄市", "新北市", "桃園市"])
     assert len([f for f in os.listdir(p1) if f.endswith(".json")]) == 1
@@ -157,8 +157,8 @@ def test_cli_events_table_gives_the_same_document(spark, tmp_dir):
     os.makedirs(src)
     for letter in "AB":
         write_city(src, letter)
-    direct = main([src, os.path.join(tmp_dir, "direct")])
-    staged = main([src, os.path.join(tmp_dir, "staged"), "--events-dir", os.path.join(tmp_dir, "events")])
+    direct = main([src, os.path.join(tmp_dir, "direct"), "--whole-cities"])
+    staged = main([src, os.path.join(tmp_dir, "staged"), "--events-dir", os.path.join(tmp_dir, "events"), "--whole-cities"])
 
     def docs(parts):
         out = {}
@@ -179,10 +179,10 @@ def test_cli_stream_mode_resumes(spark, tmp_dir):
     os.makedirs(landing)
     write_city(landing, "A")
     events = os.path.join(tmp_dir, "events")
-    first = main([landing, os.path.join(tmp_dir, "out1"), "--stream", "--events-dir", events])
+    first = main([landing, os.path.join(tmp_dir, "out1"), "--stream", "--events-dir", events, "--whole-cities"])
     assert sorted(sum((_cities(p) for p in first.values()), [])) == ["台北市"]
     write_city(landing, "B")  # a new file lands; the rerun ingests only it
-    second = main([landing, os.path.join(tmp_dir, "out2"), "--stream", "--events-dir", events,
+    second = main([landing, os.path.join(tmp_dir, "out2"), "--stream", "--whole-cities", "--events-dir", events,
                    "--max-files-per-trigger", "1"])
     assert sorted(sum((_cities(p) for p in second.values()), [])) == sorted(["台北市", "台中市"])
     assert spark.read.parquet(events).count() == 10

@@ -28,7 +28,7 @@ def test_flagship_plan(spark):
 
 def test_csv_filters_pushed(spark, tmp_dir):
     p = write_city(tmp_dir)
-    df = transform(read_tagged(spark, {p: "台北市"}, require=COLS))
+    df = transform(read_tagged(spark, {p: "台北市"}, require=COLS, alias_row="none"), max_events_per_line=None)
     plan = _plan(df)
     assert "PushedFilters" in plan and "StringContains" in plan
     assert "EvalPython" not in plan
@@ -46,3 +46,10 @@ def test_direct_flagship_has_one_shuffle_per_level(spark):
     df.collect()
     final = _plan(df).split("== Initial Plan ==")[0]
     assert final.count("Exchange hashpartitioning") == 2
+
+
+def test_positional_mode_reads_only_needed_columns(spark, tmp_dir):
+    p = write_city(tmp_dir)
+    plan = _plan(read_tagged(spark, {p: "台北市"}, require=["備註"]).select("備註"))
+    schema = plan.split("ReadSchema: ")[1].split("\n")[0]
+    assert "備註" in schema and "交易年月日" not in schema

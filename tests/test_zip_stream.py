@@ -43,7 +43,7 @@ def test_stream_picks_up_only_new_files(spark, tmp_dir):
     df = spark.read.parquet(events)
     assert first == 5 and df.count() == 10
     assert {r.city for r in df.select("city").distinct().collect()} == {"台北市", "台中市"}
-    doc = document_from_events(spark, events, n_fields=2)
+    doc = document_from_events(spark, events, n_fields=2, max_events_per_line=None)
     assert doc.count() == 2
     assert doc.filter(F.col("city") == "台北市").first().time_slots[-1]["date"] is None
 
