@@ -11,9 +11,9 @@ characters of every word; word ends carry over to words never seen.
 
 Only DataFrame functions are used.  The counting pass explodes n-grams and sums
 them map-side into at most ``N_BUCKETS`` sums per task, so the shuffle does not
-grow with the texts or with a frequent n-gram; the model that every task gets
-back is one array of ``N_BUCKETS`` doubles.  Whether a document is trusted is a
-join on the id, which Spark broadcasts only while the label table is small.
+grow with a frequent n-gram; the model that every task gets back is one array of
+``N_BUCKETS`` doubles.  Whether a document is trusted is a shuffled hash join on
+the id, the one time that texts move.
 
 Defined results: a null text counts as empty; an empty text has zero counts,
 ratio 0 and fails the base rules (fewer than 50 words); repeated rows each get
@@ -76,7 +76,8 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
 
 def count_ngrams(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """``bucket, raw, target``: counts over all documents, and over the trusted ones."""
-    ids = trusted_ids(labels)
+    # the same plan at every size: ids are hashed, texts are shuffled once and not sorted
+    ids = trusted_ids(labels).hint("shuffle_hash")
     rows = documents.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("_trusted_id"), "left")
     grams = with_ngrams(rows, F.col("_trusted_id").isNotNull().cast("bigint").alias("_t"))
     # the outer form, because for the inner one Spark adds a filter on the array and makes the n-grams twice
