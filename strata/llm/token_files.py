@@ -3,8 +3,9 @@
 Writing (:func:`write_ids`): texts are encoded once to a written table of packed
 ids; ids are counted over all documents (summed map-side, at most one sum per id
 of the vocabulary reaches the driver); package-merge gives code lengths of at
-most ``MAX_BITS``; rows are range-partitioned by doc_id, and each task writes its
-documents in order as blocks of about ``BLOCK_IDS`` ids.
+most ``MAX_BITS``; documents are coded, the coded rows are range-partitioned by
+doc_id, and each task writes its documents in order as blocks of about
+``BLOCK_IDS`` ids.
 
 The format: a folder with two Parquet tables, so that any store and Spark's
 commit protocol serve it.
@@ -14,14 +15,14 @@ commit protocol serve it.
   ``doc_ids``, ``doc_lengths`` (ids per document, in order), ``payload`` (the code
   bits, most significant bit first, padded with zeros to a byte), ``checkpoints``
   (the bit offset of every ``STRIDE``-th id).  Parts and blocks ascend with
-  doc_id, null first; a document lies whole in one block.
+  doc_id, null first; a document lies whole in one block and begins at a byte.
 
 Reading (:func:`read_ids`): every block is decoded alone.  Its checkpoints are
 lanes that advance together through one lookup table of ``2 ** MAX_BITS`` entries.
 
 Defined results: a null text counts as empty; every document ends with the end
 id, so an empty one has one id; documents that repeat an id stand next to each
-other, ordered by their ids' bytes; an empty table gives empty files and no rows.
+other, ordered by their coded bytes; an empty table gives empty files and no rows.
 Other columns are not read.
 """
 
@@ -111,40 +112,54 @@ class Codes:
         return ids, bits
 
 
-def encode_block(ids: np.ndarray, code: np.ndarray, bits: np.ndarray) -> tuple[bytes, np.ndarray]:
-    """``payload, checkpoints`` of one block."""
+def encode_documents(documents: list[np.ndarray], code: np.ndarray, bits: np.ndarray) -> list[tuple[bytes, np.ndarray]]:
+    """``payload, checkpoints`` of each document, checkpoints counted from its own first bit."""
+    if not documents:
+        return []
+    ids = np.concatenate(documents)
+    sizes = np.array([len(d) for d in documents])
     length = bits[ids]
-    starts = np.cumsum(length) - length
-    out, carried = [], np.zeros(0, np.uint8)
-    for at in range(0, len(ids), _ENCODE_IDS):
-        n = length[at:at + _ENCODE_IDS]
-        last = np.cumsum(n)
-        spread = np.repeat(code[ids[at:at + _ENCODE_IDS]], n)
-        down = (np.repeat(last, n) - 1 - np.arange(last[-1])).astype(np.uint32)
-        row = np.concatenate([carried, ((spread >> down) & np.uint32(1)).astype(np.uint8)])
-        whole = len(row) // 8 * 8
-        out.append(np.packbits(row[:whole]).tobytes())
-        carried = row[whole:]
-    out.append(np.packbits(carried).tobytes())
-    return b"".join(out), starts[::STRIDE]
-
-
-def decode_block(payload: bytes, checkpoints: np.ndarray, n_ids: int, ids_of: np.ndarray, bits_of: np.ndarray) -> np.ndarray:
-    """The ids of one block: all checkpoints advance together, one id a step."""
+    ends = np.cumsum(length)
+    doc_end = ends[np.cumsum(sizes) - 1]
+    doc_bits = np.diff(doc_end, prepend=0)
+    padding = np.cumsum(-doc_bits % 8) - (-doc_bits % 8)  # bits of padding before each document
+    start = ends - length + np.repeat(padding, sizes)
+    total = int(doc_end[-1] + padding[-1] + (-doc_bits[-1]) % 8)
+    # a code touches one or two 32-bit words; codes share no bit, so sums (exact in doubles) put them together
+    word, shift = start >> 5, 32 - (start & 31) - length
+    value = code[ids].astype(np.int64)
+    high = np.where(shift >= 0, value << np.maximum(shift, 0), value >> np.maximum(-shift, 0))
+    low = np.where(shift >= 0, 0, (value << np.clip(32 + shift, 0, 31)) & 0xFFFFFFFF)
+    n_words = total // 32 + 2
+    words = np.bincount(word, weights=high, minlength=n_words) + np.bincount(word + 1, weights=low, minlength=n_words)
+    packed = words.astype(np.uint32).astype(">u4").tobytes()
+    out, first = [], 0
+    for size, n in zip(sizes, doc_bits, strict=True):
+        begin = int(start[first])
+        out.append((packed[begin // 8:(begin + int(n) + 7) // 8], start[first:first + size:STRIDE] - begin))
+        first += size
+    return out
+
+
+def decode_block(payload: bytes, checkpoints: np.ndarray, lengths: np.ndarray, ids_of: np.ndarray, bits_of: np.ndarray) -> np.ndarray:
+    """The ids of one block's documents: all checkpoints advance together, one id a step."""
     raw = np.frombuffer(payload + b"\0" * 8, np.uint8).astype(np.uint32)
     window = raw[:-3] << 24 | raw[1:-2] << 16 | raw[2:-1] << 8 | raw[3:]
-    at = np.array(checkpoints, np.int64)
-    out = np.zeros((len(at), STRIDE), np.uint32)
-    tail = n_ids - STRIDE * (len(at) - 1)  # ids behind the last checkpoint
+    lanes = -(-lengths // STRIDE)  # checkpoints of each document
+    left = np.full(int(lanes.sum()), STRIDE)  # ids behind each checkpoint
+    left[np.cumsum(lanes) - 1] = lengths - STRIDE * (lanes - 1)
+    order = np.argsort(-left, kind="stable")  # so that lanes still open stand in front
+    at = np.asarray(checkpoints, np.int64)[order]
+    open_ = len(left) - np.searchsorted(left[order][::-1], np.arange(STRIDE), side="right")
+    out = np.zeros((len(left), STRIDE), np.uint32)
     for step in range(STRIDE):
-        if step == tail:
-            at = at[:-1]
-        if not len(at):
+        n = open_[step]
+        if not n:
             break
-        key = (window[at >> 3] << (at & 7).astype(np.uint32)) >> np.uint32(32 - MAX_BITS)
-        out[:len(at), step] = ids_of[key]
-        at = at + bits_of[key]
-    return out.reshape(-1)[:n_ids]
+        key = (window[at[:n] >> 3] << (at[:n] & 7).astype(np.uint32)) >> np.uint32(32 - MAX_BITS)
+        out[order[:n], step] = ids_of[key]
+        at[:n] += bits_of[key]
+    return out[np.arange(STRIDE) < left[:, None]]
 
 
 # --- writing ----------------------------------------------------------------
@@ -181,38 +196,60 @@ def count_ids(ids: DataFrame) -> DataFrame:
     return ids.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
-def _blocks(codes: Codes) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def coded_table(ids: DataFrame, codes: Codes) -> DataFrame:
+    """``doc_id, n, payload, checkpoints`` of every document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        part = TaskContext.get().partitionId()
         code, bits = codes.encoder()
-        held: list[bytes] = []
-        docs: list[int | None] = []
-        number = before = size = 0
-
-        def block() -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(held), PACKED)
-            payload, checkpoints = encode_block(ids, code, bits)
-            cols = [pa.array([part], pa.int32()), pa.array([number], pa.int64()), pa.array([before], pa.int64()),
-                    pa.array([len(ids)], pa.int64()), pa.array([docs], pa.list_(pa.int64())),
-                    pa.array([[len(h) // ID_BYTES for h in held]], pa.list_(pa.int64())), pa.array([payload], pa.binary()),
-                    pa.array([checkpoints], pa.list_(pa.int64()))]
-            return pa.RecordBatch.from_arrays(cols, names=["part", "block", "before", "n_ids", "doc_ids", "doc_lengths",
-                                                           "payload", "checkpoints"])
 
-        for batch in batches:
-            for doc_id, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                held.append(ids), docs.append(doc_id)
-                size += len(ids) // ID_BYTES
-                if size >= BLOCK_IDS:
-                    yield block()
-                    number, before = number + 1, before + size
-                    held, docs, size = [], [], 0
-        if held:
-            yield block()
+        def coded(doc_ids: list, held: list[np.ndarray]) -> pa.RecordBatch:
+            done = encode_documents(held, code, bits)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(doc_ids, pa.int64()), pa.array([len(h) for h in held], pa.int64()), pa.array([d[0] for d in done], pa.binary()),
+                 pa.array([d[1] for d in done], pa.list_(pa.int64()))], names=["doc_id", "n", "payload", "checkpoints"])
 
-    return run
+        for batch in batches:
+            doc_ids, held, size = [], [], 0
+            for doc_id, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                doc_ids.append(doc_id), held.append(np.frombuffer(packed, PACKED))
+                size += len(held[-1])
+                if size >= _ENCODE_IDS:
+                    yield coded(doc_ids, held)
+                    doc_ids, held, size = [], [], 0
+            if held:
+                yield coded(doc_ids, held)
+
+    return ids.select("doc_id", "ids").mapInArrow(run, "doc_id long, n long, payload binary, checkpoints array<long>")
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``mapInArrow`` body: ordered coded documents to blocks."""
+    from pyspark import TaskContext
+
+    part = TaskContext.get().partitionId()
+    docs: list[int | None] = []
+    lengths: list[int] = []
+    payload: list[bytes] = []
+    marks: list[int] = []
+    number = before = size = at = 0
+
+    def block() -> pa.RecordBatch:
+        cols = [pa.array([part], pa.int32()), pa.array([number], pa.int64()), pa.array([before], pa.int64()), pa.array([size], pa.int64()),
+                pa.array([docs], pa.list_(pa.int64())), pa.array([lengths], pa.list_(pa.int64())),
+                pa.array([b"".join(payload)], pa.binary()), pa.array([marks], pa.list_(pa.int64()))]
+        return pa.RecordBatch.from_arrays(cols, names=["part", "block", "before", "n_ids", "doc_ids", "doc_lengths",
+                                                       "payload", "checkpoints"])
+
+    for batch in batches:
+        for doc_id, n, bits, own in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            docs.append(doc_id), lengths.append(n), payload.append(bits)
+            marks += [at + m for m in own]
+            at, size = at + 8 * len(bits), size + n
+            if size >= BLOCK_IDS:
+                yield block()
+                number, before = number + 1, before + size
+                docs, lengths, payload, marks, size, at = [], [], [], [], 0, 0
+    if docs:
+        yield block()
 
 
 def write_ids(documents: DataFrame, folder: str, path: str | None = None) -> None:
@@ -223,8 +260,9 @@ def write_ids(documents: DataFrame, folder: str, path: str | None = None) -> Non
     ids = np.array([c[0] for c in counts], np.int64)
     bits = code_lengths(np.array([c[1] for c in counts], np.int64))
     spark.createDataFrame([(int(i), int(b)) for i, b in zip(ids, bits, strict=True)], "id long, bits int").coalesce(1).write.parquet(f"{folder}/codes")
-    ordered = table.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "ids")
-    ordered.mapInArrow(_blocks(Codes.of(ids, bits)),
+    by_id = F.col("doc_id").asc_nulls_first()
+    ordered = coded_table(table, Codes.of(ids, bits)).repartitionByRange(by_id).sortWithinPartitions(by_id, "payload")
+    ordered.mapInArrow(_blocks,
                        "part int, block long, before long, n_ids long, doc_ids array<long>, doc_lengths array<long>, "
                        "payload binary, checkpoints array<long>").write.parquet(f"{folder}/blocks")
 
@@ -245,17 +283,18 @@ def decoded(spark: SparkSession, folder: str, per_document: Callable[[np.ndarray
         ids_of, bits_of = codes.decoder()
         for batch in batches:
             for i in range(batch.num_rows):
-                part, before, n_ids, docs, lengths, payload, marks = (batch.column(c)[i].as_py() for c in range(7))
-                ids = decode_block(payload, np.array(marks, np.int64), n_ids, ids_of, bits_of)
-                ends = np.cumsum(np.array(lengths, np.int64))
-                starts = ends - np.array(lengths, np.int64)
+                part, before, docs, lengths, payload, marks = (batch.column(c)[i].as_py() for c in range(6))
+                sizes = np.array(lengths, np.int64)
+                ids = decode_block(payload, marks, sizes, ids_of, bits_of)
+                ends = np.cumsum(sizes)
+                starts = ends - sizes
                 values = [per_document(ids[a:b]) for a, b in zip(starts, ends, strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([part] * len(docs), pa.int32()), pa.array(docs, pa.int64()), pa.array(starts + before, pa.int64()),
                      pa.array(lengths, pa.int64()), pa.array(values, value_type)],
                     names=["part", "doc_id", "start", "n_tokens", "value"])
 
-    rows = blocks.select("part", "before", "n_ids", "doc_ids", "doc_lengths", "payload", "checkpoints").mapInArrow(
+    rows = blocks.select("part", "before", "doc_ids", "doc_lengths", "payload", "checkpoints").mapInArrow(
         run, f"part int, doc_id long, start long, n_tokens long, value {kind}")
     return rows.join(parts, F.col("part") == F.col("of_part")).select(
         "doc_id", (F.col("start") + F.col("earlier")).alias("start"), "n_tokens", "value")
