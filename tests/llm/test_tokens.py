@@ -208,10 +208,12 @@ def test_codes_are_optimal_prefix_codes_and_decode(n):
         assert int((bits * counts).sum()) == cost
     ids = np.sort(rng.choice(60_000, n, replace=False))
     codes = token_files.Codes.of(ids, bits)
-    for size in (1, 255, 256, 257, 70_000):
-        stream = ids[rng.integers(0, n, size)]
-        payload, marks = token_files.encode_block(stream, *codes.encoder())
-        assert (token_files.decode_block(payload, marks, size, *codes.decoder()) == stream).all()
+    documents = [ids[rng.integers(0, n, size)] for size in (1, 255, 256, 257, 7, 70_000, 1, 513)]
+    payload, marks, at = b"", [], 0
+    for bits_of_doc, own in token_files.encode_documents(documents, *codes.encoder()):
+        payload, marks, at = payload + bits_of_doc, [*marks, *(own + at)], at + 8 * len(bits_of_doc)
+    back = token_files.decode_block(payload, marks, np.array([len(d) for d in documents]), *codes.decoder())
+    assert (back == np.concatenate(documents)).all()
 
 
 def test_length_limit_binds():
