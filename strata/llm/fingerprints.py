@@ -11,29 +11,39 @@ paragraph is inserted or deleted by adding or subtracting its vector
 * ``SPREAD`` lanes modulo 2**16, of which the hash picks one: they carry likeness.
   Where two documents differ in ``d`` paragraphs, a lane agrees with probability
   ``(1 - 1/SPREAD)**d``, so the share of lanes that agree estimates ``d``, and with
-  the two counts the Jaccard likeness of the paragraph multisets (:func:`likeness`).
-  Above some 700 differing paragraphs no lane agrees and ``d`` is an underestimate.
-
-A fingerprint is written as hexadecimal text, lanes in this order.  Only
-DataFrame functions are used.
+  the two counts the Jaccard likeness of the paragraph multisets (:func:`likeness`);
+* ``LEVELS`` times ``SPREAD`` thinned lanes modulo 2**16: a paragraph enters level j
+  with probability ``4**-j``, by its own hash.  Beyond some 350 differing paragraphs
+  fewer than ``LEAST_SAME`` spread lanes agree, and ``d`` is estimated from the first
+  level where as many do.  The last level serves up to 2**32 paragraphs, where the
+  count lane ends.
+
+A fingerprint is written as hexadecimal text, lanes in this order: ``HEX_LENGTH``
+digits, then for each thinned lane that is not zero one digit for its level, two for
+its place and four for its sum.  So a document of n paragraphs adds some 7 n / 3
+digits at most, and equal vectors have equal texts.  Only DataFrame functions are used.
 
 Defined results: null counts as empty; a text without paragraphs has the zero
 fingerprint, and is alike 1.0 to another such text and 0.0 to any other; equal
 texts (and texts that differ in line order or empty lines) have equal
 fingerprints and likeness 1.0.  In :func:`edits`, documents follow each other by
 doc_id (null first), those that repeat an id by text; the last is followed by
-the first, and a single document by itself; an empty table gives no rows.
-Other columns are not read.
+the first, and a single document by itself; an empty table gives no rows; its
+fingerprint columns are cut to ``HEX_LENGTH`` digits (all that equality needs), its
+likeness columns are made from the whole ones.  Other columns are not read.
 """
 
 from __future__ import annotations
 
 import functools
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DENSE, SPREAD = 8, 128
+LEVELS = 12  # 128 lanes of 4**-12 still agree somewhere at 2**32 differing paragraphs
+LEAST_SAME = 8  # agreeing lanes (of SPREAD) below which the next level is used
 _LANES = [8] + [8] * DENSE + [4] * SPREAD  # hexadecimal digits of each lane
 HEX_LENGTH = sum(_LANES)
 _SPREAD_AT = 8 * (1 + DENSE)
@@ -59,7 +69,28 @@ def _hashes(text: Column) -> Column:
     return F.transform(sha, lambda h: F.struct(
         F.array(*[_number(F.substring(h, 8 * k + 1, 8)) for k in range(DENSE)]).alias("dense"),
         F.pmod(_number(F.substring(h, 1, 2)), F.lit(SPREAD)).alias("lane"),
-        _number(F.substring(h, 61, 4)).alias("value")))
+        _number(F.substring(h, 61, 4)).alias("value"),
+        # zero bits at the head of 32, by twos: at least j of them with probability 4**-j
+        F.least(F.lit(LEVELS), F.floor((F.lit(32) - F.length(F.regexp_replace(
+            F.bin(_number(F.substring(h, 9, 8))), "^0$", ""))) / 2).cast("int")).alias("level")))
+
+
+def _let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is made once."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def _thinned_digits(lanes: Column) -> Column:
+    """Text of the thinned lanes whose sums are not zero, from an array of (place, value)."""
+    sums = F.transform(F.array_sort(F.array_distinct(F.transform(lanes, lambda x: x["place"]))), lambda place: F.struct(
+        place.alias("place"), F.aggregate(lanes, F.lit(0).cast("bigint"), lambda acc, x: F.when(
+            x["place"] == place, F.pmod(acc + x["value"], F.lit(1 << 16))).otherwise(acc)).alias("sum")))
+    return F.array_join(F.transform(F.filter(sums, lambda x: x["sum"] != 0), lambda x: F.concat(x["place"], _digits(x["sum"], 4))), "")
+
+
+def _thinned(a: Column) -> Column:
+    """The thinned lanes of a fingerprint, seven digits each."""
+    return F.regexp_extract_all(F.substr(a, F.lit(HEX_LENGTH + 1)), F.lit(".{7}"), F.lit(0))
 
 
 def with_fingerprint(df: DataFrame, text: Column, out_col: str) -> DataFrame:
@@ -72,9 +103,15 @@ def with_fingerprint(df: DataFrame, text: Column, out_col: str) -> DataFrame:
 
     spread = F.transform(F.sequence(F.lit(0), F.lit(SPREAD - 1)), lambda lane: F.aggregate(
         h, F.lit(0).cast("bigint"), lambda acc, x: F.when(x["lane"] == lane, (acc + x["value"]) % (1 << 16)).otherwise(acc)))
+    t = F.col(f"{hidden}_thinned")
+    levels = F.filter(F.sequence(F.lit(1), F.lit(LEVELS)), lambda j: j <= F.coalesce(F.array_max(F.transform(t, lambda x: x["level"])), F.lit(0)))
+    thinned = F.transform(levels, lambda j: _let(
+        F.transform(F.filter(t, lambda x: x["level"] >= j), lambda x: F.struct(
+            F.concat(_digits(j, 1), _digits(x["lane"], 2)).alias("place"), x["value"].alias("value"))), _thinned_digits))
     parts = [_digits(F.size(h).cast("bigint"), 8), *[_digits(dense_sum(k), 8) for k in range(DENSE)],
-             F.array_join(F.transform(spread, lambda v: _digits(v, 4)), "")]
-    return df.withColumn(hidden, _hashes(text)).withColumn(out_col, F.concat(*parts)).drop(hidden)
+             F.array_join(F.transform(spread, lambda v: _digits(v, 4)), ""), F.array_join(thinned, "")]
+    return df.withColumn(hidden, _hashes(text)).withColumn(f"{hidden}_thinned", F.filter(h, lambda x: x["level"] > 0)).withColumn(
+        out_col, F.concat(*parts)).drop(hidden, f"{hidden}_thinned")
 
 
 def combine(a: Column, b: Column, sign: int = 1) -> Column:
@@ -84,19 +121,41 @@ def combine(a: Column, b: Column, sign: int = 1) -> Column:
         x, y = _number(F.substring(a, at, n)), _number(F.substring(b, at, n))
         out.append(_digits(F.pmod(x + sign * y, F.lit(1 << 4 * n)), n))
         at += n
-    return F.concat(*out)
+
+    def signed(fingerprint: Column, by: int) -> Column:
+        return F.transform(_thinned(fingerprint), lambda x: F.struct(
+            F.substring(x, 1, 3).alias("place"), (by * _number(F.substring(x, 4, 4))).alias("value")))
+
+    return F.concat(*out, _let(F.concat(signed(a, 1), signed(b, sign)), _thinned_digits))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Estimated Jaccard likeness of two fingerprints' paragraph multisets, 0 to 1; equal ones: 1."""
+    """Estimated Jaccard likeness of two fingerprints' paragraph multisets, 0 to 1; equal ones: 1.
+
+    Where thinned levels are needed it is at most the lesser count over the greater.
+    """
     lanes = F.sequence(F.lit(0), F.lit(SPREAD - 1))
     same = F.aggregate(lanes, F.lit(0), lambda acc, lane: acc + F.when(
         F.substr(a, _SPREAD_AT + 1 + 4 * lane, F.lit(4)) == F.substr(b, _SPREAD_AT + 1 + 4 * lane, F.lit(4)), 1).otherwise(0))
-    differ = -SPREAD * F.log(F.greatest(same.cast("double"), F.lit(0.5)) / SPREAD)
-    total = (_number(F.substring(a, 1, 8)) + _number(F.substring(b, 1, 8))).cast("double")
-    near = (total - differ) / (total + differ)
-    # total + differ is 0 only for two empty, hence equal, fingerprints
-    return F.when(a == b, 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.round(near, 6))))
+    counts = [_number(F.substring(x, 1, 8)).cast("double") for x in (a, b)]
+    total = counts[0] + counts[1]
+
+    def near(same: Column, thinned_by: Column) -> Column:
+        differ = -SPREAD * F.log(F.greatest(same.cast("double"), F.lit(0.5)) / SPREAD) * thinned_by
+        # total + differ is 0 only for two empty, hence equal, fingerprints
+        return _let(differ, lambda d: (total - d) / (total + d))
+
+    def from_thinned() -> Column:
+        x, y = _thinned(a), _thinned(b)
+        places = F.array_distinct(F.transform(F.concat(F.array_except(x, y), F.array_except(y, x)), lambda e: F.substring(e, 1, 3)))
+        levels = _let(places, lambda p: F.transform(F.sequence(F.lit(1), F.lit(LEVELS)), lambda j: F.struct(
+            j.alias("level"), (SPREAD - F.size(F.filter(p, lambda e: F.substring(e, 1, 1) == _digits(j, 1)))).alias("same"))))
+        first = _let(levels, lambda ls: F.coalesce(
+            F.get(F.filter(ls, lambda x: x["same"] >= LEAST_SAME), F.lit(0)), F.get(ls, F.lit(LEVELS - 1))))
+        return F.least(_let(first, lambda x: near(x["same"], F.pow(F.lit(4.0), x["level"]))), F.least(*counts) / F.greatest(*counts))
+
+    rounded = _let(same, lambda s: F.round(F.when(s >= LEAST_SAME, near(s, F.lit(1.0))).otherwise(from_thinned()), 6))
+    return F.when(a == b, 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), rounded)))
 
 
 def _range_of(order: Column, bounds: list[int]) -> Column:
@@ -154,8 +213,8 @@ def edits(documents: DataFrame) -> DataFrame:
     rows = rows.withColumn("_edited", F.concat(F.substr("_text", F.lit(1), F.col("_n") - cut), F.substr("_next", F.lit(1), cut)))
     rows = with_fingerprint(rows, F.col("_edited"), "edited_fingerprint")
     return rows.select(
-        "doc_id", F.col("_n").cast("bigint").alias("n_chars"), F.sha2(F.col("_edited"), 256).alias("edited_sha256"), "fingerprint",
-        "edited_fingerprint", likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+        "doc_id", F.col("_n").cast("bigint").alias("n_chars"), F.sha2(F.col("_edited"), 256).alias("edited_sha256"),
+        *[F.substring(x, 1, HEX_LENGTH).alias(x) for x in ("fingerprint", "edited_fingerprint")], likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
         likeness(F.col("fingerprint"), F.col("_next_print")).alias("near_next"))
 
 

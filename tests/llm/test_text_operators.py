@@ -114,6 +114,24 @@ def test_likeness_follows_shared_paragraphs(spark):
             assert abs(near - true) < 0.15 and (near == 1.0) == (shared == n)
 
 
+@pytest.mark.parametrize("n, other_n", [(1000, 1000), (5000, 5000), (20_000, 20_000), (5000, 10), (20_000, 3000)])
+def test_likeness_holds_on_long_documents(spark, n, other_n):
+    for shared in (0, min(n, other_n) // 2):
+        own = [f"own {i}" for i in range(n)]
+        a, b = _print(spark, "\n".join(own), "\n".join(own[:shared] + [f"other {i}" for i in range(other_n - shared)]))
+        near = spark.createDataFrame([(a, b)], "a string, b string").select(prints.likeness(F.col("a"), F.col("b"))).first()[0]
+        assert abs(near - shared / (n + other_n - shared)) < 0.15 and near <= min(n, other_n) / max(n, other_n) + 1e-6
+
+
+def test_thinned_lanes_are_homomorphic(spark):
+    parts = ["\n".join(f"{k} {i}" for i in range(n)) for k, n in enumerate((900, 3000))]
+    a, b, both = _print(spark, *parts, "\n".join(parts))
+    assert len(both) > prints.HEX_LENGTH + 7 * 128
+    df = spark.createDataFrame([(a, b, both)], "a string, b string, c string")
+    row = df.select(prints.combine(F.col("a"), F.col("b")).alias("sum"), prints.combine(F.col("c"), F.col("b"), -1).alias("less")).first()
+    assert row["sum"] == both and row["less"] == a
+
+
 def test_edits_equal_brute_force(documents, no_documents, texts):
     rows = prints.edits(documents).collect()
     assert len(rows) == len(texts)
