@@ -8,8 +8,8 @@ component of links.
 
 1. One pass over the texts makes each document's set key (a 128-bit digest of
    its sorted set), band keys and a one-byte-per-hash signature.  Documents with
-   equal keys have equal sets: they form one class at once, and only the least
-   id of each goes on.
+   equal keys have equal sets: they form one class at once, and only one node for
+   each set goes on.
 2. Band buckets are star-joined: every member is paired with its bucket's hub,
    the member that meets the most others over all bands.  Pairs are therefore
    at most as many as bucket rows, whatever a bucket's size.
@@ -29,11 +29,12 @@ share no band with probability (1 - 0.8**6)**40 = 5e-6, and a batch prunes a
 true pair with probability of about ``MISS``.
 
 Defined results: null and empty texts have an empty set, and are their own
-component; rows that repeat a doc_id are one node, which all their texts link
-to documents of equal sets, and which the text of least set key stands for
-where near links are sought; a null doc_id is never linked, has no component
-and is kept.  Other columns are not read, and
-:func:`keep_one` returns them untouched.
+component; rows that repeat a doc_id with different sets are searched by every
+one of them, and hold the classes of their sets together; a null doc_id is never
+linked, has no component and is kept.  Sets beyond the first of an id that is
+their least are numbered above all ids; a table whose ids leave no room for them
+below 2**63 is refused.  Other columns are not read, and :func:`keep_one` returns
+them untouched.
 """
 
 from __future__ import annotations
@@ -44,11 +45,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import written
 from strata.llm.components import components
+from strata.operators.rank import row_number_by_range
 
 SIMILARITY_PERCENT = 80  # fixed by the task
 ROWS, BANDS = 6, 40
@@ -170,8 +172,13 @@ def survivors(left: np.ndarray, right: np.ndarray, bounds: list[tuple[int, int]]
 
 # --- steps ------------------------------------------------------------------
 
+def _text_key(text: Column) -> Column:
+    """Tells the texts of one id apart."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
+
+
 def sketches(documents: DataFrame, width: int) -> DataFrame:
-    """``doc_id, n_shingles, set_key, bands, signature``; the last three are null for an empty set."""
+    """``doc_id, text_key, n_shingles, set_key, bands, signature``; the last three are null for an empty set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
 
@@ -191,12 +198,35 @@ def sketches(documents: DataFrame, width: int) -> DataFrame:
                     bands.append(hasher.bands(low))
                     sign.append((low & np.uint32(0xFF)).astype(np.uint8).tobytes())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).cast(pa.int64()), pa.array(size, pa.int64()), pa.array(key, pa.binary()),
+                    [part.column(0).cast(pa.int64()), part.column(2).cast(pa.binary()), pa.array(size, pa.int64()), pa.array(key, pa.binary()),
                      pa.array(bands, pa.list_(pa.int64())), pa.array(sign, pa.binary())],
-                    names=["doc_id", "n_shingles", "set_key", "bands", "signature"])
+                    names=["doc_id", "text_key", "n_shingles", "set_key", "bands", "signature"])
+
+    return documents.select("doc_id", "text", _text_key(F.col("text")).alias("text_key")).mapInArrow(
+        run, "doc_id long, text_key binary, n_shingles long, set_key binary, bands array<long>, signature binary")
 
-    return documents.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n_shingles long, set_key binary, bands array<long>, signature binary")
+
+def _set_nodes(sketch: DataFrame) -> DataFrame:
+    """``set_key, least, rep`` of every distinct set: its least id, and the node that stands for it.
+
+    The node is the least id.  Where that is the least id of several sets, the set of
+    least key has it, and the others get numbers above all ids; so the least node of
+    classes that their ids hold together is an id.
+    """
+    ids = sketch.where("set_key IS NOT NULL AND doc_id IS NOT NULL")
+    by_key = written(ids.groupBy("set_key").agg(F.min("doc_id").alias("least")), "sets")
+    shared = written(by_key.groupBy("least").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("least"), "shared-ids")
+    if shared.isEmpty():
+        return by_key.withColumn("rep", F.col("least"))
+    among = by_key.join(shared, "least")
+    own = among.groupBy("least").agg(F.min("set_key").alias("_own"))
+    others = written(among.join(own, "least").where("set_key != _own").select("least", "set_key"), "further-sets")
+    top, n = sketch.agg(F.max("doc_id")).first()[0], others.count()
+    if top + n >= 1 << 63:
+        raise OverflowError(f"no room above the ids for {n} further sets of repeated ids")
+    numbered = row_number_by_range(others, [F.col("least"), F.col("set_key")], out_col="nth").select(
+        "set_key", (F.col("nth") + F.lit(top + 1)).alias("rep"))
+    return written(by_key.join(numbered, "set_key", "left").withColumn("rep", F.coalesce("rep", "least")), "set-nodes")
 
 
 def _similar_sizes(a, b):
@@ -299,18 +329,22 @@ def _block_pairs(members: DataFrame, sizes: DataFrame) -> DataFrame:
     return ordered.mapInArrow(run, "a long, b long").distinct()
 
 
-def classes(documents: DataFrame, width: int = 5) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every row of ``documents``."""
+def _placed(documents: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, text_key, n_shingles, part, component_id`` for every row, and the ids in several parts.
+
+    A part is the class of a row's own set by links alone (null for an empty set).
+    """
     sketch = written(sketches(documents, width), "sketches")
-    by_key = sketch.where("set_key IS NOT NULL AND doc_id IS NOT NULL").groupBy("set_key").agg(F.min("doc_id").alias("rep"))
-    keyed = written(sketch.select("doc_id", "n_shingles", "set_key").join(by_key, "set_key", "left"), "set-classes")
+    nodes = _set_nodes(sketch)
+    keyed = written(sketch.select("doc_id", "text_key", "n_shingles", "set_key").join(nodes.select("set_key", "rep"), "set_key", "left"),
+                    "set-classes")
 
     # one row per distinct set, then band buckets of two or more
-    reps = sketch.join(by_key.select(F.col("rep"), F.col("set_key").alias("_key")),
-                       (F.col("doc_id") == F.col("rep")) & (F.col("set_key") == F.col("_key"))).select(
-        "rep", "n_shingles", "bands", "signature", "set_key")
-    # an id that repeats with different sets is stood for by one of them
-    reps = reps.groupBy("rep").agg(F.min_by(F.struct("n_shingles", "bands", "signature"), "set_key").alias("s")).select("rep", "s.*")
+    reps = sketch.join(nodes.select("rep", "least", F.col("set_key").alias("_key")),
+                       (F.col("doc_id") == F.col("least")) & (F.col("set_key") == F.col("_key")))
+    # of several texts of an id with this set, one
+    reps = reps.groupBy("rep").agg(F.min_by(F.struct("n_shingles", "bands", "signature", "least", "text_key"), "text_key").alias("s")).select(
+        "rep", "s.*")
     banded = reps.select("rep", "n_shingles", F.explode("bands").alias("band"))
     sizes = banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     buckets = written(banded.join(sizes, "band"), "buckets")
@@ -319,18 +353,16 @@ def classes(documents: DataFrame, width: int = 5) -> DataFrame:
     star = buckets.join(hubs, "band").select(
         F.col("rep").alias("a"), (-F.col("hub.least")).alias("b"), "n_shingles", F.col("hub.n_shingles").alias("hub_size"))
     star = star.where((F.col("a") != F.col("b")) & _similar_sizes(F.col("n_shingles"), F.col("hub_size")))
-    signs = written(reps.join(met, "rep", "left_semi").select("rep", "signature", "bands"), "signatures")
+    signs = written(reps.join(met, "rep", "left_semi").select("rep", "signature", "bands", "least", "text_key"), "signatures")
     tested = written(star.select("a", "b").distinct(), "stars")
     pairs = tested.join(signs.select(F.col("rep").alias("a"), F.col("signature").alias("sign_a")), "a").join(
         signs.select(F.col("rep").alias("b"), F.col("signature").alias("sign_b")), "b")
     candidates = written(_pruned(pairs), "candidates")
-    texts = written(documents.select(F.col("doc_id").alias("rep"), "text").join(met, "rep", "left_semi").dropDuplicates(["rep"]),
-                    "candidate-texts")
+    # rows of one id and text are alike, and belong to one set
+    texts = documents.select(F.col("doc_id").alias("least"), "text", _text_key(F.col("text")).alias("text_key")).join(
+        signs.select("rep", "least", "text_key"), ["least", "text_key"]).dropDuplicates(["least", "text_key"])
+    texts = written(texts.select("rep", "text"), "candidate-texts")
     links = written(_verified(candidates, texts, width), "links-star")
-    # ids that repeat with different sets hold their sets' classes together
-    several = keyed.groupBy("doc_id").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).where("least != most")
-    repeats = keyed.join(several, "doc_id").select(F.col("rep").alias("a"), F.col("least").alias("b"))
-    links = written(links.unionByName(repeats), "links-known")
     first = components(links)
 
     # the rest, in full: buckets whose members are still in different components
@@ -344,19 +376,44 @@ def classes(documents: DataFrame, width: int = 5) -> DataFrame:
                    "candidates-rest")
     rest = _verified(more, texts, width)
     final = components(links.unionByName(rest)).withColumnRenamed("node", "rep")
-    out = keyed.join(final, "rep", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id")).alias("component_id"))
-    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    rows = keyed.join(final, "rep", "left").select("doc_id", "text_key", "n_shingles", F.coalesce("component", "rep").alias("part"))
+
+    # ids that repeat with different sets hold their sets' classes together
+    several = written(rows.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.min("part").alias("lo"), F.max("part").alias("hi"), F.bool_or(F.col("part").isNull()).alias("empty")).where(
+        "lo != hi OR (empty AND lo IS NOT NULL)"), "several")
+    if several.isEmpty():
+        whole = F.coalesce("part", "doc_id")
+    else:
+        ties = rows.join(several.where("lo != hi"), "doc_id").select(F.col("part").alias("a"), F.col("lo").alias("b"))
+        rows = rows.join(components(ties).withColumnRenamed("node", "part"), "part", "left")
+        whole = F.coalesce("component", "part", "doc_id")
+    return rows.select("doc_id", "text_key", "n_shingles", "part", F.when(F.col("doc_id").isNotNull(), whole).alias("component_id")), several
+
+
+def classes(documents: DataFrame, width: int = 5) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` for every row of ``documents``."""
+    rows, _ = _placed(documents, width)
+    return rows.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
 def keep_one(documents: DataFrame, width: int = 5) -> DataFrame:
     """One document of each class, the one of least id, with its own columns.
 
-    Rows that repeat a kept id are cut to the one of least text; rows with a null id all stay.
+    Rows that repeat a kept id are cut to the one of least text for each group of texts that
+    links alone hold together (texts without words are one group); rows with a null id all stay.
     """
-    dropped = classes(documents, width).where("NOT kept").select(F.col("doc_id").alias("_dropped")).distinct()
+    rows, several = _placed(documents, width)
+    dropped = rows.where("doc_id != component_id").select(F.col("doc_id").alias("_dropped")).distinct()
     row = F.struct(*[F.col(f"`{c}`") for c in documents.columns])
-    rows = documents.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"), row.alias("_row"))
-    left = rows.join(dropped, F.col("_id") == F.col("_dropped"), "left_anti")
-    once = left.where("_id IS NOT NULL").groupBy("_id").agg(F.min_by("_row", F.coalesce("_text", F.lit(""))).alias("_row")).select("_row")
-    return once.unionByName(left.where("_id IS NULL").select("_row")).select("_row.*")
+    left = documents.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"), row.alias("_row")).join(
+        dropped, F.col("_id") == F.col("_dropped"), "left_anti")
+    least_text = F.min_by("_row", F.coalesce("_text", F.lit(""))).alias("_row")
+    out, known = left.where("_id IS NULL").select("_row"), left.where("_id IS NOT NULL")
+    if not several.isEmpty():
+        parts = written(rows.join(several, "doc_id", "left_semi").select(
+            F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("part").alias("_part")).distinct(), "parts")
+        out = out.unionByName(known.withColumn("_key", _text_key(F.col("_text"))).join(parts, ["_id", "_key"]).groupBy(
+            "_id", "_part").agg(least_text).select("_row"))
+        known = known.join(several.select(F.col("doc_id").alias("_id")), "_id", "left_anti")
+    return known.groupBy("_id").agg(least_text).select("_row").unionByName(out).select("_row.*")

@@ -77,6 +77,26 @@ def test_keep_one(documents, no_documents, texts):
     assert near.keep_one(no_documents).count() == 0 and near.classes(no_documents).count() == 0
 
 
+def test_ids_that_repeat_with_different_texts(spark):
+    """Every text of a repeated id is searched, and unlike texts of a kept id all stay."""
+    rng = random.Random(6)
+    base = [[f"{k}_{rng.randrange(10_000)}" for _ in range(200)] for k in range(12)]
+
+    def near_copy(k, n=0):
+        return " ".join(base[k] + [f"more{n}"])
+
+    text = [" ".join(b) for b in base]
+    rows = [(1, text[k]) for k in range(6)] + [(10 + k, near_copy(k)) for k in range(6)]  # near copies of each text of one id
+    rows += [(30, near_copy(6)), (31, text[6]), (31, text[7]), (32, near_copy(7)), (32, near_copy(8)), (33, text[8])]  # a chain by ids
+    rows += [(40, text[9]), (40, near_copy(9)), (40, text[10]), (40, ""), (40, None), (41, text[11]), (41, text[11])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    expected = _expected(rows, 2)
+    assert set(expected.values()) == {1, 30, 40, 41}
+    assert {(r["doc_id"], r["component_id"]) for r in near.classes(docs, 2).where("n_shingles > 0").collect()} == set(expected.items())
+    kept = sorted((r["doc_id"], r["text"] or "") for r in near.keep_one(docs, 2).collect())
+    assert kept == sorted([(1, t) for t in text[:6]] + [(30, near_copy(6)), (40, text[9]), (40, text[10]), (40, ""), (41, text[11])])
+
+
 def test_given_documents(spark):
     docs = table(spark, "/root/testdata/sf0.001", "documents")
     expected = _expected([(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()], 2)
