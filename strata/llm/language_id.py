@@ -143,20 +143,22 @@ def is_held_out(doc_id: Column) -> Column:
 def learning_sample(documents: DataFrame) -> DataFrame:
     """``text, lang`` of a bounded sample: for each language the documents of least id hash.
 
-    Languages are counted first; the choice is made on ids and languages alone
+    Languages are counted first; the choice is made on distinct ids and languages alone
     (Spark keeps the first rows of each language map-side), and the chosen ids
-    are broadcast to one scan of the texts.
+    are broadcast to one scan of the texts.  An id that repeats counts once for each
+    of its languages, with its least text.
     """
     rows = documents.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull()
                            & ~is_held_out(F.col("doc_id"))).select(
-        F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"), F.xxhash64(F.col("doc_id").cast("string")).alias("_order"))
+        F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"), F.xxhash64(F.col("doc_id").cast("string")).alias("_order")).distinct()
     n_languages = max(1, rows.select("_lang").distinct().count())
     each = max(1, min(PER_LANGUAGE, MAX_SAMPLE // n_languages))
     first = Window.partitionBy("_lang").orderBy("_order", "_id")
     chosen = rows.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= each).orderBy("_order").limit(MAX_SAMPLE)
-    texts = documents.select(F.col("doc_id").alias("_doc"), F.col("text").alias("_text"), F.col("lang").alias("_own"))
-    return texts.join(F.broadcast(chosen.select("_id", "_lang").distinct()),
-                      (F.col("_doc") == F.col("_id")) & (F.col("_own") == F.col("_lang"))).select("_id", "_text", "_lang")
+    texts = documents.select(F.col("doc_id").alias("_doc"), F.col("text").alias("_text"), F.col("lang").alias("_own")).where("_text IS NOT NULL")
+    return texts.join(F.broadcast(chosen.select("_id", "_lang")),
+                      (F.col("_doc") == F.col("_id")) & (F.col("_own") == F.col("_lang"))).groupBy("_id", "_lang").agg(
+        F.min("_text").alias("_text")).select("_id", "_text", "_lang")
 
 
 def train(documents: DataFrame, n_landmarks: int = N_LANDMARKS) -> KernelModel:

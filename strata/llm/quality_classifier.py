@@ -180,19 +180,21 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, *, id_col: str = "d
                     label_col: str = "quality", per_class: int = PER_CLASS) -> DataFrame:
     """At most ``per_class`` documents of each label, least hash of the id first.
 
-    The choice is made on ids and labels alone; the chosen ids (at most
-    ``2 * per_class``) are broadcast to one scan of the texts.  Rows with a
+    The choice is made on distinct ids and labels alone; the chosen ids (at most
+    ``2 * per_class``) are broadcast to one scan of the texts.  An id that repeats
+    counts once for each of its labels, with its least text.  Rows with a
     null id, label or text, and held-out ids, are never learned from.
     """
     rows = labels.select(F.col(id_col).alias("_id"), F.col(label_col).alias("_label")).where(
-        F.col("_label").isin(0, 1) & F.col("_id").isNotNull() & (id_crc(F.col("_id")) % HELD_OUT_MOD != 0))
+        F.col("_label").isin(0, 1) & F.col("_id").isNotNull() & (id_crc(F.col("_id")) % HELD_OUT_MOD != 0)).distinct()
     rows = rows.withColumn("_order", F.xxhash64(F.col("_id").cast("string")))
     chosen = None
     for value in (0, 1):
         part = rows.where(F.col("_label") == value).orderBy("_order", "_id").limit(per_class)
         chosen = part if chosen is None else chosen.unionByName(part)
     texts = documents.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_text")).where(F.col("_text").isNotNull())
-    return texts.join(F.broadcast(chosen), F.col("_doc") == F.col("_id")).select("_id", "_text", "_label")
+    return texts.join(F.broadcast(chosen), F.col("_doc") == F.col("_id")).groupBy("_id", "_label").agg(
+        F.min("_text").alias("_text")).select("_id", "_text", "_label")
 
 
 def train(documents: DataFrame, labels: DataFrame, *, n_terms: int = N_TERMS, n_dims: int = N_DIMS,

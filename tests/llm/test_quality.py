@@ -96,6 +96,16 @@ def test_classifier_defined_results(documents, no_documents, labels, texts):
     assert knn.keep_good(documents, labels).columns == documents.columns
 
 
+def test_sample_takes_a_repeated_id_once(spark):
+    docs = spark.createDataFrame([(1, f"text {i:03}") for i in range(300)] + [(i, f"other {i}") for i in range(2, 40)], "doc_id long, text string")
+    marks = spark.createDataFrame([(1, 1)] * 50 + [(i, i % 2) for i in range(2, 40)], "doc_id long, quality int")
+    got = [tuple(r) for r in knn.labelled_sample(docs, marks, per_class=100).collect()]
+    learned = [i for i in range(1, 40) if zlib.crc32(str(i).encode()) % 5]
+    assert sorted(got) == [(i, "text 000" if i == 1 else f"other {i}", i % 2) for i in learned] and 1 in learned
+    few = knn.labelled_sample(docs, marks, per_class=5).collect()
+    assert len(few) == 10 and len({r["_id"] for r in few}) == 10
+
+
 def test_votes_equal_brute_force():
     rng = np.random.default_rng(3)
     counts = rng.poisson(0.4, (60, 40)).astype(np.float32)

@@ -72,6 +72,15 @@ def test_held_out_accuracy(spark):
     assert sum(r["lang_pred"] == r["lang"] for r in rows) > 0.97 * len(rows)
 
 
+def test_language_sample_takes_a_repeated_id_once(spark):
+    learned = [i for i in range(2000) if zlib.crc32(str(i).encode()) % 3 != 1][:500]
+    rows = [(i, f"text {i}", "en") for i in learned] + [(learned[0], f"z {k}", "en") for k in range(2000)] + [(learned[1], "de", "de"), (learned[0], None, "en")]
+    got = lang.learning_sample(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    english = [(r["_id"], r["_text"]) for r in got if r["_lang"] == "en"]
+    assert len(english) == lang.PER_LANGUAGE == len({i for i, _ in english}) and all(t == f"text {i}" for i, t in english)
+    assert [(r["_id"], r["_text"]) for r in got if r["_lang"] == "de"] == [(learned[1], "de")]
+
+
 def test_language_defined_results(spark, documents, no_documents, texts):
     rows = lang.identify(documents).collect()
     assert len(rows) == len(texts)
