@@ -32,7 +32,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 UNKNOWN = "unknown"
@@ -233,15 +233,46 @@ def digests(segments: DataFrame) -> DataFrame:
 
 
 def as_records(conversations: DataFrame) -> DataFrame:
-    """Stand-in input: every row of ``conv_id, turn, role, text`` as a record in one of three layouts, by its conversation."""
+    """Stand-in input: the rows of ``conv_id, turn, role, text`` as records in all layouts, by their conversation.
+
+    In six of nine conversations a user's row and the assistant's row that follows it (in one
+    of them also the system's row before) become one record, where turn numbers rise; other rows
+    are records of one turn.  A role that ``from_value`` would rename is written in another layout.
+    """
     def record(*columns: Column) -> Column:
-        return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+        return F.to_json(F.struct(F.col("turn").alias("id"), *columns), {"ignoreNullFields": "false"})
+
+    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+
+    def follows(role: str, next_role: str, turn: Column, next_turn: Column, a: Column, b: Column) -> Column:
+        return F.coalesce((a == role) & (b == next_role) & (turn < next_turn), F.lit(False))
+
+    role, text, turn = F.col("role"), F.col("text"), F.col("turn")
+    kind = F.pmod(F.coalesce(F.col("conv_id"), F.lit(0)), F.lit(9))
+    rows = conversations.select("conv_id", "turn", "role", "text", kind.alias("_kind"), *[
+        f(c, n).over(order).alias(f"_{c}_{way}{n}") for f, way, n in ((F.lag, "back", 1), (F.lag, "back", 2), (F.lead, "on", 1), (F.lead, "on", 2))
+        for c in ("turn", "role", "text") if c != "text" or way == "on"])
+    c, kind = F.col, F.col("_kind")
+    asks = (kind > 2) & follows("user", "assistant", turn, c("_turn_on1"), role, c("_role_on1"))
+    answers = (kind > 2) & follows("user", "assistant", c("_turn_back1"), turn, c("_role_back1"), role)
+    told = (kind == 7) & follows("system", "user", c("_turn_back1"), turn, c("_role_back1"), role)
+    tells = (kind == 7) & follows("system", "user", turn, c("_turn_on1"), role, c("_role_on1")) & follows(
+        "user", "assistant", c("_turn_on1"), c("_turn_on2"), c("_role_on1"), c("_role_on2"))
+
+    answer, at = c("_text_on1"), F.instr(text, "\n\n")
+    cut = (at > 1) & (F.length(text) > at + 1)
+    pair = F.when(kind == 4, record(text.alias("prompt"), answer.alias("completion"))).when(
+        kind == 5, record(text.alias("instruction"), answer.alias("output"))).when(
+        kind == 6, record(F.when(cut, F.substr(text, F.lit(1), at - 1)).otherwise(text).alias("instruction"),
+                          F.when(cut, F.substr(text, at + 2)).otherwise("").alias("input"), answer.alias("output"))).when(
+        kind == 8, record(text.alias("question"), answer.alias("answer"))).otherwise(
+        record(text.alias("prompt"), answer.alias("response")))
+    three = record(text.alias("system"), c("_text_on1").alias("prompt"), c("_text_on2").alias("response"))
 
-    role, text = F.col("role"), F.col("text")
-    kind = F.pmod(F.coalesce(F.col("conv_id"), F.lit(0)), F.lit(3))
     other = F.when(role == "user", "human").when(role == "assistant", "gpt").otherwise(role)
-    one = record(F.col("turn").alias("id"), role.alias("role"), text.alias("text"))
-    two = record(F.col("turn").alias("id"), F.array(F.struct(role.alias("role"), text.alias("content"))).alias("messages"))
-    three = record(F.col("turn").alias("id"), F.array(F.struct(other.alias("from"), text.alias("value"))).alias("conversations"))
-    return conversations.select("conv_id", F.col("turn").alias("position"),
-                                F.when(kind == 0, one).when(kind == 1, two).otherwise(three).alias("record"))
+    messages = record(F.array(F.struct(role.alias("role"), text.alias("content"))).alias("messages"))
+    renamed = F.coalesce(role.isin("human", "gpt"), F.lit(False))
+    one = F.when(kind % 3 == 0, record(role.alias("role"), text.alias("text"))).when((kind % 3 == 1) | renamed, messages).otherwise(
+        record(F.array(F.struct(other.alias("from"), text.alias("value"))).alias("conversations")))
+    return rows.where(~(answers | (told & asks))).select(
+        "conv_id", turn.alias("position"), F.when(tells, three).when(asks, pair).otherwise(one).alias("record"))

@@ -215,6 +215,19 @@ def test_conversations_read_back(spark):
     assert chat.digests(chat.formatted(chat.canonical_turns(chat.as_records(df.limit(0))))).count() == 0
 
 
+def test_records_take_every_layout_and_keep_roles(spark):
+    said = [("system", "be"), ("user", "a\n\nb"), ("assistant", "c"), ("human", "d"), ("gpt", None), ("user", None), ("assistant", "e"), ("user", "f"), ("user", "g")]
+    rows = [(conv, turn, *x) for conv in range(9) for turn, x in enumerate(said)]
+    rows += [(conv + 9, 0, *x) for conv in range(9) for x in said]  # turns that repeat a number
+    turns = chat.canonical_turns(chat.as_records(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")))
+    assert {r["layout"] for r in turns.select("layout").distinct().collect()} == {x.name for x in chat.LAYOUTS}
+    got = {r["conv_id"]: r for r in chat.digests(chat.formatted(turns)).collect()}
+    for conv in range(18):
+        kept = said if conv < 9 else sorted(said, key=lambda x: (x[0], x[1] or ""))
+        whole = "".join(f"{r}\n{t or ''}\n" for r, t in kept)
+        assert (got[conv]["n_turns"], got[conv]["turns_sha256"]) == (len(said), hashlib.sha256(whole.encode()).hexdigest())
+
+
 def test_unknown_records_are_refused(spark):
     df = spark.createDataFrame([(1, 0, '{"a": 1}')], "conv_id long, position long, record string")
     turns = chat.canonical_turns(df)
