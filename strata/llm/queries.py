@@ -15,6 +15,7 @@ from strata.llm import (
     packing,
     quality_classifier,
     quality_rules,
+    simhash_dedup,
     token_counts,
     token_files,
 )
@@ -83,10 +84,15 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_digests(spark, folder)
 
 
+def op11_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and class of every document."""
+    return simhash_dedup.classes(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_quality_rules, op2_near_dedup, op3_language_id, op4_bpe_transducer, op5_fingerprints, op6_token_counts,
                                    op7_packing, op8_chat_format, op9_quality_classifier,
-                                   op10_token_files)}
+                                   op10_token_files, op11_simhash_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
