@@ -16,6 +16,7 @@ from strata.llm import (
     quality_classifier,
     quality_rules,
     simhash_dedup,
+    token_alignment,
     token_counts,
     token_files,
 )
@@ -89,10 +90,15 @@ def op11_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.classes(table(spark, sf_dir, "documents"))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups, links and link counts of every document under two vocabularies."""
+    return token_alignment.align(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_quality_rules, op2_near_dedup, op3_language_id, op4_bpe_transducer, op5_fingerprints, op6_token_counts,
                                    op7_packing, op8_chat_format, op9_quality_classifier,
-                                   op10_token_files, op11_simhash_dedup)}
+                                   op10_token_files, op11_simhash_dedup, op13_token_alignment)}
 
 
 def oracle_sql() -> dict[str, str]:
