@@ -31,8 +31,10 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import re
 from bisect import bisect_left
 from collections.abc import Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -47,28 +49,30 @@ VOCABULARY_A, VOCABULARY_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 HOT = 1 << 21  # pairs whose counts are broadcast: at most so many, 16 bytes each
 _LINKS = 1 << 22  # links laid out at a time
 _TOKENS = 1 << 16  # tokens of group text hashed at a time
+_BEYOND = 1 << 62  # greater than any end
+_CUT = re.compile("(?<=[^ ]) ")
+REMEMBERED, LONGEST_REMEMBERED = 400_000, 48  # words whose pieces a task remembers
 
 
 # --- one text ---------------------------------------------------------------
 
-def common_ends(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int]]:
-    """Indices ``(i, j)`` with ``a[i] == b[j]`` in two strictly ascending lists."""
+def common_ends(a: Sequence[int], b: Sequence[int]) -> tuple[list[int], list[int]]:
+    """Indices ``i`` and ``j`` with ``a[i] == b[j]`` in two strictly ascending lists of positive numbers."""
     swap = len(a) > len(b)
-    short, long = (b, a) if swap else (a, b)
-    found, at, size = [], 0, len(long)
+    short, long = (b, [*a, _BEYOND]) if swap else (a, [*b, _BEYOND])
+    of_short, of_long, at, last = [], [], 0, len(long) - 1
     for i, end in enumerate(short):
-        if at < size and long[at] < end:  # gallop: the end lies behind long[at]
+        if long[at] < end:  # gallop: the end lies behind long[at]
             low, step = at, 1
-            while low + step < size and long[low + step] < end:
+            while low + step < last and long[low + step] < end:
                 low += step
                 step += step
-            at = bisect_left(long, end, low + 1, min(low + step, size))
-        if at == size:
-            break
+            at = bisect_left(long, end, low + 1, min(low + step, last))
         if long[at] == end:
-            found.append((at, i) if swap else (i, at))
+            of_short.append(i)
+            of_long.append(at)
             at += 1
-    return found
+    return (of_long, of_short) if swap else (of_short, of_long)
 
 
 def linked(ids_a: np.ndarray, ids_b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray, size_b: int) -> tuple[np.ndarray, np.ndarray]:
@@ -101,15 +105,56 @@ def linked(ids_a: np.ndarray, ids_b: np.ndarray, ends_a: np.ndarray, ends_b: np.
     return summed(np.concatenate(keys), np.concatenate(counts))
 
 
+class PieceEncoder(dict):
+    """Ids of a piece model; words recur, so their ids are remembered.
+
+    Where no piece of the vocabulary has a space behind another character, no merge
+    reaches over the end of a word.  So texts are cut where a space follows another
+    character; that space is the one the model adds to the next part, and an empty
+    part (a space at the end) is the space's id.  Texts of other vocabularies, and
+    such as hold the sign that stands for the space, are encoded whole.
+    """
+
+    def __init__(self, path: str):
+        import sentencepiece
+
+        super().__init__()
+        self.model = sentencepiece.SentencePieceProcessor(model_file=path)
+        pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
+        self._by_word = "▁" in pieces and not any(re.search("[^▁]▁", p) for p in pieces)
+        self._space = [self.model.piece_to_id("▁")]
+
+    def _words(self, text: str) -> list[str] | None:
+        """The words of a text that is encoded by word."""
+        if not self._by_word or not text or "▁" in text:
+            return None
+        return _CUT.split(text) if "  " in text or text[0] == " " else text.split(" ")
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        """Ids of each text; the words that are new are encoded in one call."""
+        cut = [self._words(t) for t in texts]
+        met = set(chain.from_iterable(words for words in cut if words))
+        new = [w for w in met if w not in self]
+        if len(self) + len(new) > REMEMBERED:
+            self.clear()
+            new = list(met)
+        self.update(zip(new, self.model.encode(new, num_threads=1), strict=True))
+        self[""] = self._space
+        ids = [self.model.encode(text) if words is None else list(chain.from_iterable(map(self.__getitem__, words)))
+               for text, words in zip(texts, cut, strict=True)]
+        for word in new:
+            if len(word) > LONGEST_REMEMBERED:
+                del self[word]
+        return ids
+
+
 class Aligner:
     """Encodes texts by both vocabularies and aligns their tokens."""
 
     def __init__(self, path_a: str, path_b: str):
-        import sentencepiece
-
         self._a = byte_encoder(path_a)._ranks
-        self._b = sentencepiece.SentencePieceProcessor(model_file=path_b)
-        self.size_a, self.size_b = self._a.n_vocab, self._b.get_piece_size()
+        self._b = PieceEncoder(path_b)
+        self.size_a, self.size_b = self._a.n_vocab, self._b.model.get_piece_size()
         self._bytes_b = [self._piece(i) for i in range(self.size_b)]
         length_a = [0] * self.size_a
         for i in range(self.size_a):
@@ -123,18 +168,16 @@ class Aligner:
         self._written = ([f"{n}," for n in names_a] + [f"{n}|" for n in names_a] + [f"{n}," for n in names_b] + [f"{n};" for n in names_b])
 
     def _piece(self, i: int) -> bytes:
-        piece = self._b.id_to_piece(i)
-        return bytes([int(piece[3:5], 16)]) if self._b.is_byte(i) else piece.replace("▁", " ").encode()
+        piece = self._b.model.id_to_piece(i)
+        return bytes([int(piece[3:5], 16)]) if self._b.model.is_byte(i) else piece.replace("▁", " ").encode()
 
-    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
+    def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray] | None]:
         """Ids of both for each text; None where their bytes are not the space and the text."""
-        out: list[tuple[np.ndarray, np.ndarray] | None] = []
-        for text, b in zip(texts, self._b.encode(texts, num_threads=1), strict=True):
+        for text, b in zip(texts, self._b.encode(texts), strict=True):
             whole = b" " + text.encode()
             a = self._a.encode_ordinary(" " + text) if text else []
             same = text and b"".join(map(self._bytes_b.__getitem__, b)) == whole and self._a.decode_bytes(a) == whole
-            out.append((np.array(a, np.int64), np.array(b, np.int64)) if same else None)
-        return out
+            yield (np.array(a, np.int64), np.array(b, np.int64)) if same else None
 
     def digest(self, ids_a: np.ndarray, ids_b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray) -> str:
         """SHA-256 of the groups as text."""
@@ -155,8 +198,8 @@ class Aligner:
     def align(self, ids_a: np.ndarray, ids_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of A and B tokens up to the end of each group."""
         offsets = (np.cumsum(n[ids]).tolist() for n, ids in ((self._length_a, ids_a), (self._length_b, ids_b)))
-        found = np.array(common_ends(*offsets), np.int64).reshape(-1, 2) + 1
-        return found[:, 0], found[:, 1]
+        of_a, of_b = common_ends(*offsets)
+        return np.array(of_a, np.int64) + 1, np.array(of_b, np.int64) + 1
 
 
 @functools.lru_cache(maxsize=1)

@@ -113,8 +113,18 @@ def test_empty_table(no_documents):
 def test_common_ends():
     rng = random.Random(1)
     for _ in range(300):
-        a, b = (sorted(rng.sample(range(400), rng.choice([0, 1, 3, 40, 300]))) for _ in range(2))
-        assert ta.common_ends(a, b) == [(a.index(x), b.index(x)) for x in a if x in set(b)]
+        a, b = (sorted(rng.sample(range(1, 400), rng.choice([0, 1, 3, 40, 300]))) for _ in range(2))
+        both = [x for x in a if x in set(b)]
+        assert ta.common_ends(a, b) == ([a.index(x) for x in both], [b.index(x) for x in both])
+
+
+def test_pieces_of_words_are_those_of_the_text(spark, libraries):
+    encoder = ta.PieceEncoder(tokenizer_path(ta.VOCABULARY_B))
+    assert encoder._by_word
+    given = [r["text"] or "" for r in table(spark, "/root/testdata/sf0.01", "documents").select("text").collect()]
+    for at in range(0, len(given + HARD), 100):
+        part = (given + HARD)[at:at + 100]
+        assert encoder.encode(part) == libraries[1].encode(part)
 
 
 def test_links_in_slices(monkeypatch):
