@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from strata.llm import (
     bpe_transducer,
     chat_format,
+    collocations,
     fingerprints,
     language_id,
     near_dedup,
@@ -90,6 +91,11 @@ def op11_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.classes(table(spark, sf_dir, "documents"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first phrases of every language by their lowest cut's score."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups, links and link counts of every document under two vocabularies."""
     return token_alignment.align(table(spark, sf_dir, "documents"))
@@ -98,9 +104,9 @@ def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_quality_rules, op2_near_dedup, op3_language_id, op4_bpe_transducer, op5_fingerprints, op6_token_counts,
                                    op7_packing, op8_chat_format, op9_quality_classifier,
-                                   op10_token_files, op11_simhash_dedup, op13_token_alignment)}
+                                   op10_token_files, op11_simhash_dedup, op12_collocations, op13_token_alignment)}
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL where SQL can express the query."""
-    return {"op5_fingerprints": fingerprints.oracle_sql()}
+    return {"op5_fingerprints": fingerprints.oracle_sql(), "op12_collocations": collocations.oracle_sql()}
