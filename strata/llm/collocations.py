@@ -35,6 +35,7 @@ Other columns are not read.
 from __future__ import annotations
 
 import functools
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -56,6 +57,7 @@ KEY_BITS, FILTER_BITS = 40, 26
 WORD_CACHE = 400_000
 _SLICE = 1 << 20  # bytes of a text parsed at a time
 _HELD = 1 << 25  # bytes of chunks, or 1 / 64 as many phrases, summed before they are given on
+_BATCH = 1 << 22  # bytes of chunks whose phrases are found at a time
 _SALTS = 32
 
 _ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -158,11 +160,21 @@ def dictionary(documents: DataFrame) -> DataFrame:
 
 # --- phrases of chunks ------------------------------------------------------
 
+class _Numbers(dict):
+    """Numbers of the words of a batch, as they are met."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = len(self)
+        return len(self) - 1
+
+
 @dataclass
 class Tokens:
     """The tokens of a batch of chunks, one after the other, each chunk followed by a piece end."""
 
     words: list[bytes]
+    numbers: dict[bytes, int]  # of the distinct words
+    word: np.ndarray  # each token's word's number
     langs: list[str]
     lang: np.ndarray  # number of each token's language
     weight: np.ndarray  # frequency of its chunk
@@ -174,14 +186,16 @@ class Tokens:
     def of(batch: pa.RecordBatch) -> "Tokens":
         chunks = batch.column(1).to_pylist()
         words = (b" . ".join(chunks) + b" .").split(b" ")
+        numbers = _Numbers()
+        word = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
         sizes = np.array([c.count(b" ") for c in chunks], np.int64) + 2
-        langs, numbers = np.unique(np.array(batch.column(0).to_pylist(), object), return_inverse=True)
+        langs, lang = np.unique(np.array(batch.column(0).to_pylist(), object), return_inverse=True)
         last = batch.column(2).to_numpy(zero_copy_only=False)
         place = np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         own = place < np.repeat(np.where(last, sizes - 1, sizes - 1 - WINDOW), sizes)
-        h = _hashes().of(words)
-        return Tokens(words, langs.tolist(), np.repeat(numbers, sizes), np.repeat(batch.column(3).to_numpy(), sizes), own,
-                      h == np.uint64(_hashes()[b"."]), h)
+        h = _hashes().of(list(numbers))[word]
+        return Tokens(words, numbers, word, langs.tolist(), np.repeat(lang, sizes), np.repeat(batch.column(3).to_numpy(), sizes), own,
+                      word == numbers[b"."], h)
 
     def levels(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """``n, valid, key`` for n = 1, 2, ...: whether n words without a piece end begin at a token, and their key."""
@@ -196,6 +210,19 @@ class Tokens:
             now, valid, n = _mixed(now, ahead), valid & inside, n + 1
 
 
+def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of about ``_BATCH`` bytes."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= _BATCH:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _filter_bits(key: Column) -> Column:
     """The two bits of a key."""
     return F.array(key.bitwiseAND(F.lit((1 << FILTER_BITS) - 1)), F.shiftright(key, KEY_BITS - FILTER_BITS))
@@ -228,7 +255,7 @@ def _frequent_keys(chunks: DataFrame, lengths: tuple[int, ...], pairs=None, leas
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tally = Tally(ranges)
-        for batch in batches:
+        for batch in _together(batches):
             tokens = Tokens.of(batch)
             frequent = None
             for n, valid, key in tokens.levels():
@@ -249,42 +276,91 @@ def _frequent_keys(chunks: DataFrame, lengths: tuple[int, ...], pairs=None, leas
     return merged(chunks.mapInArrow(run, DEALT), ranges, least)
 
 
-def _counted(chunks: DataFrame, short, long) -> DataFrame:
-    """``lang, phrase, n`` by words: partial sums of the phrases that pass the filters; the empty phrase counts all words."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
+def _numbered(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each distinct code a place where it stands, and each code's number among the distinct ones."""
+    order = np.argsort(code)
+    new = np.concatenate([[True], code[order[1:]] != code[order[:-1]]]) if len(code) else np.zeros(0, bool)
+    number = np.empty(len(code), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return order[new], number
+
+
+def _phrase_sums(tokens: Tokens, short: np.ndarray, long: np.ndarray) -> Iterator[tuple[tuple[str, bytes], int]]:
+    """``(lang, phrase), n`` of a batch's phrases that pass the filters; the empty phrase has the number of words."""
+    numbers = tokens.numbers
+    total = np.bincount(tokens.lang, weights=tokens.weight * (tokens.own & ~tokens.end), minlength=len(tokens.langs))
+    yield from (((x, b""), int(t)) for x, t in zip(tokens.langs, total.tolist(), strict=True))
+    at, code = np.flatnonzero(tokens.own & ~tokens.end), None
+    for n, valid, key in tokens.levels():
+        if n > LONGEST or not len(at):
+            break
+        keep = valid[at]
+        keep[keep] = passes(short if n <= 2 else long, key[at[keep]])
+        at = at[keep]
+        # the phrase's number: that of its words but the last one, with the last one's
+        code = (tokens.lang[at] if code is None else code[keep]) * len(numbers) + tokens.word[at + n - 1]
+        first, code = _numbered(code)
+        sums = np.bincount(code, weights=tokens.weight[at], minlength=len(first))
+        for i, t in zip(at[first].tolist(), sums.tolist(), strict=True):
+            yield (tokens.langs[tokens.lang[i]], b" ".join(tokens.words[i:i + n])), int(t)
+
+
+_PHRASES = "range int, langs array<string>, phrases array<binary>, counts array<long>"
+
+
+def _counted(chunks: DataFrame, short, long, least: int) -> DataFrame:
+    """``lang, phrase, f`` of the phrases that pass the filters and are found ``least`` times, counted by their words.
+
+    A task's partial sums are dealt into ranges by a hash of the phrase, a row for each range.
+    """
+    ranges = n_ranges(chunks.sparkSession)
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[str, bytes], int] = {}
 
         def rows() -> pa.RecordBatch:
+            dealt: dict[int, tuple[list, list, list]] = {}
+            for (lang, phrase), n in held.items():
+                row = dealt.setdefault((zlib.crc32(phrase) + len(lang)) % ranges, ([], [], []))
+                row[0].append(lang), row[1].append(phrase), row[2].append(n)
+            kinds = [pa.list_(pa.string()), pa.list_(pa.binary()), pa.list_(pa.int64())]
             return pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in held], pa.string()), pa.array([k[1] for k in held], pa.binary()).cast(pa.string()),
-                 pa.array(held.values(), pa.int64())], names=["lang", "phrase", "n"])
+                [pa.array(list(dealt), pa.int32()), *[pa.array([r[i] for r in dealt.values()], k) for i, k in enumerate(kinds)]],
+                names=["range", "langs", "phrases", "counts"])
 
-        for batch in batches:
-            tokens = Tokens.of(batch)
-            numbers: dict[bytes, int] = {}
-            word = np.fromiter((numbers.setdefault(w, len(numbers)) for w in tokens.words), np.int64, len(tokens.words))
-            total = np.bincount(tokens.lang, weights=tokens.weight * (tokens.own & ~tokens.end), minlength=len(tokens.langs))
-            held.update({(x, b""): int(t) for x, t in zip(tokens.langs, total, strict=True)})
-            at, code = np.flatnonzero(tokens.own & ~tokens.end), None
-            for n, valid, key in tokens.levels():
-                if n > LONGEST or not len(at):
-                    break
-                keep = valid[at]
-                keep[keep] = passes((short if n <= 2 else long).value, key[at[keep]])
-                at = at[keep]
-                # the phrase's number: that of its words but the last one, with the last one's
-                code = (tokens.lang[at] if code is None else code[keep]) * len(numbers) + word[at + n - 1]
-                _, first, code = np.unique(code, return_index=True, return_inverse=True)
-                sums = np.bincount(code, weights=tokens.weight[at], minlength=len(first))
-                for i, t in zip(at[first].tolist(), sums.tolist(), strict=True):
-                    held[tokens.langs[tokens.lang[i]], b" ".join(tokens.words[i:i + n])] += int(t)
+        for batch in _together(batches):
+            for key, n in _phrase_sums(Tokens.of(batch), short.value, long.value):
+                held[key] = held.get(key, 0) + n
             if len(held) >= _HELD >> 6:
                 yield rows()
                 held.clear()
         if held:
             yield rows()
 
-    return chunks.mapInArrow(run, "lang string, phrase string, n long")
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[str, bytes], int] = {}
+
+        def rows() -> pa.RecordBatch:
+            kept = [(lang, phrase, n) for (lang, phrase), n in held.items() if n >= least or not phrase]
+            cols = list(zip(*kept, strict=True)) or [[], [], []]
+            return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.binary()).cast(pa.string()),
+                                               pa.array(cols[2], pa.int64())], names=["lang", "phrase", "f"])
+
+        current = None
+        for batch in batches:
+            for i in range(batch.num_rows):
+                of, langs, phrases, counts = (batch.column(c)[i].as_py() for c in range(4))
+                if of != current and held:
+                    yield rows()
+                    held.clear()
+                current = of
+                for key, n in zip(zip(langs, phrases, strict=True), counts, strict=True):
+                    held[key] = held.get(key, 0) + n
+        if held:
+            yield rows()
+
+    together = chunks.mapInArrow(partial, _PHRASES).repartition("range").sortWithinPartitions("range")
+    return together.mapInArrow(whole, "lang string, phrase string, f long")
 
 
 def frequent_phrases(documents: DataFrame, least: int = LEAST) -> DataFrame:
@@ -296,7 +372,7 @@ def frequent_phrases(documents: DataFrame, least: int = LEAST) -> DataFrame:
     chunks = written(dictionary(documents), "chunks")
     short = sc.broadcast(filter_of(_frequent_keys(chunks, (1, 2), None, least).select("key")))
     long = sc.broadcast(filter_of(_frequent_keys(chunks, tuple(range(3, LONGEST + 1)), short, least).select("key")))
-    counts = _counted(chunks, short, long).groupBy("lang", "phrase").agg(F.sum("n").alias("f")).where((F.col("f") >= least) | (F.col("phrase") == ""))
+    counts = _counted(chunks, short, long, least)
     k = F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " ")))
     return written(counts.select("lang", "phrase", k.alias("k"), "f"), "phrases")
 

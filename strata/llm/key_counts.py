@@ -25,11 +25,16 @@ def n_ranges(spark: SparkSession) -> int:
 
 
 def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Ascending distinct keys and their summed counts."""
+    """Ascending distinct keys and their summed counts, as unsigned 64-bit numbers."""
     if not len(keys):
-        return keys, counts
-    order = np.argsort(keys, kind="stable")
-    keys, counts = keys[order], counts[order]
+        return keys.astype(np.uint64), counts.astype(np.uint64)
+    free = 64 - int(keys.max()).bit_length()
+    if int(counts.max()).bit_length() <= free < 64:  # key and count in one number: sorting numbers is much faster than an order
+        both = np.sort(keys.astype(np.uint64) << np.uint64(free) | counts.astype(np.uint64))
+        keys, counts = both >> np.uint64(free), both & np.uint64((1 << free) - 1)
+    else:
+        order = np.argsort(keys)
+        keys, counts = keys[order].astype(np.uint64), counts[order].astype(np.uint64)
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     return keys[first], np.add.reduceat(counts, first)
 
@@ -47,7 +52,7 @@ def from_planes(data: bytes, n: int) -> np.ndarray:
 
 def dealt(keys: np.ndarray, counts: np.ndarray, ranges: int) -> pa.RecordBatch:
     """One row (:data:`DEALT`) for each range that the distinct ascending ``keys`` touch."""
-    of = (keys % np.uint64(ranges)).astype(np.int64)
+    of = (keys % np.uint64(ranges)).astype(np.uint16 if ranges <= 1 << 16 else np.int64)  # short numbers sort faster
     order = np.argsort(of, kind="stable")  # stays ascending inside a range
     of, quotient, counts = of[order], keys[order] // np.uint64(ranges), counts[order]
     starts = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]])) if len(of) else np.zeros(0, np.int64)
