@@ -13,10 +13,9 @@ paragraph is inserted or deleted by adding or subtracting its vector
   ``(1 - 1/SPREAD)**d``, so the share of lanes that agree estimates ``d``, and with
   the two counts the Jaccard likeness of the paragraph multisets (:func:`likeness`);
 * ``LEVELS`` times ``SPREAD`` thinned lanes modulo 2**16: a paragraph enters level j
-  with probability ``4**-j``, by its own hash.  Beyond some 350 differing paragraphs
-  fewer than ``LEAST_SAME`` spread lanes agree, and ``d`` is estimated from the first
-  level where as many do.  The last level serves up to 2**32 paragraphs, where the
-  count lane ends.
+  with probability ``4**-j``, by its own hash (level 0 are the spread lanes).  ``d`` is
+  estimated from the first level where at least ``LEAST_SAME`` lanes agree, times
+  ``4**j``.  The last level serves up to 2**32 paragraphs, where the count lane ends.
 
 A fingerprint is written as hexadecimal text, lanes in this order: ``HEX_LENGTH``
 digits, then for each thinned lane that is not zero one digit for its level, two for
@@ -28,9 +27,9 @@ fingerprint, and is alike 1.0 to another such text and 0.0 to any other; equal
 texts (and texts that differ in line order or empty lines) have equal
 fingerprints and likeness 1.0.  In :func:`edits`, documents follow each other by
 doc_id (null first), those that repeat an id by text; the last is followed by
-the first, and a single document by itself; an empty table gives no rows; its
-fingerprint columns are cut to ``HEX_LENGTH`` digits (all that equality needs), its
-likeness columns are made from the whole ones.  Other columns are not read.
+the first, and a single document by itself; an empty table gives no rows.  Rows of
+one id stand in one range, so an id that holds a large share of all rows is sorted by
+one task (which spills).  Other columns are not read.
 """
 
 from __future__ import annotations
@@ -132,30 +131,27 @@ def combine(a: Column, b: Column, sign: int = 1) -> Column:
 def likeness(a: Column, b: Column) -> Column:
     """Estimated Jaccard likeness of two fingerprints' paragraph multisets, 0 to 1; equal ones: 1.
 
-    Where thinned levels are needed it is at most the lesser count over the greater.
+    It is at most the lesser count over the greater.
     """
     lanes = F.sequence(F.lit(0), F.lit(SPREAD - 1))
-    same = F.aggregate(lanes, F.lit(0), lambda acc, lane: acc + F.when(
+    spread = F.aggregate(lanes, F.lit(0), lambda acc, lane: acc + F.when(
         F.substr(a, _SPREAD_AT + 1 + 4 * lane, F.lit(4)) == F.substr(b, _SPREAD_AT + 1 + 4 * lane, F.lit(4)), 1).otherwise(0))
     counts = [_number(F.substring(x, 1, 8)).cast("double") for x in (a, b)]
     total = counts[0] + counts[1]
 
-    def near(same: Column, thinned_by: Column) -> Column:
-        differ = -SPREAD * F.log(F.greatest(same.cast("double"), F.lit(0.5)) / SPREAD) * thinned_by
-        # total + differ is 0 only for two empty, hence equal, fingerprints
-        return _let(differ, lambda d: (total - d) / (total + d))
-
     def from_thinned() -> Column:
+        """``level, same`` of the first level where enough lanes agree."""
         x, y = _thinned(a), _thinned(b)
         places = F.array_distinct(F.transform(F.concat(F.array_except(x, y), F.array_except(y, x)), lambda e: F.substring(e, 1, 3)))
         levels = _let(places, lambda p: F.transform(F.sequence(F.lit(1), F.lit(LEVELS)), lambda j: F.struct(
             j.alias("level"), (SPREAD - F.size(F.filter(p, lambda e: F.substring(e, 1, 1) == _digits(j, 1)))).alias("same"))))
-        first = _let(levels, lambda ls: F.coalesce(
-            F.get(F.filter(ls, lambda x: x["same"] >= LEAST_SAME), F.lit(0)), F.get(ls, F.lit(LEVELS - 1))))
-        return F.least(_let(first, lambda x: near(x["same"], F.pow(F.lit(4.0), x["level"]))), F.least(*counts) / F.greatest(*counts))
+        return _let(levels, lambda ls: F.coalesce(F.get(F.filter(ls, lambda x: x["same"] >= LEAST_SAME), F.lit(0)), F.get(ls, F.lit(LEVELS - 1))))
 
-    rounded = _let(same, lambda s: F.round(F.when(s >= LEAST_SAME, near(s, F.lit(1.0))).otherwise(from_thinned()), 6))
-    return F.when(a == b, 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), rounded)))
+    first = _let(spread, lambda s: F.when(s >= LEAST_SAME, F.struct(F.lit(0).alias("level"), s.alias("same"))).otherwise(from_thinned()))
+    differ = _let(first, lambda x: -SPREAD * F.log(F.greatest(x["same"].cast("double"), F.lit(0.5)) / SPREAD) * F.pow(F.lit(4.0), x["level"]))
+    # total + differ is 0 only for two empty, hence equal, fingerprints
+    near = F.least(_let(differ, lambda d: (total - d) / (total + d)), F.least(*counts) / F.greatest(*counts))
+    return F.when(a == b, 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.round(near, 6))))
 
 
 def _range_of(order: Column, bounds: list[int]) -> Column:
@@ -197,10 +193,11 @@ def edits(documents: DataFrame) -> DataFrame:
     # first document of every range: one least key per range, then its text
     least = dealt("_order").groupBy("_range").agg(F.min("_order").alias("_least"))
     firsts = docs.join(F.broadcast(least), F.col("_order") == F.col("_least")).groupBy("_range").agg(F.min("_text").alias("_first"))
-    by_range = Window.orderBy("_range")  # as many rows as ranges
-    follow = firsts.select(F.col("_range").alias("_of"), F.coalesce(
-        F.lead("_first").over(by_range), F.first("_first").over(by_range.rowsBetween(
-            Window.unboundedPreceding, Window.unboundedFollowing))).alias("_follow"))
+    by_range = Window.orderBy("_range")  # over range numbers alone, as many rows as ranges
+    following = least.select(F.col("_range").alias("_of"), F.coalesce(
+        F.lead("_range").over(by_range), F.first("_range").over(by_range.rowsBetween(
+            Window.unboundedPreceding, Window.unboundedFollowing))).alias("_next_range"))
+    follow = following.join(firsts, F.col("_next_range") == F.col("_range")).select("_of", F.col("_first").alias("_follow"))
     follow = with_fingerprint(follow, F.col("_follow"), "_follow_print")
 
     inside = Window.partitionBy("_range").orderBy("_order", "_text")
@@ -214,34 +211,51 @@ def edits(documents: DataFrame) -> DataFrame:
     rows = with_fingerprint(rows, F.col("_edited"), "edited_fingerprint")
     return rows.select(
         "doc_id", F.col("_n").cast("bigint").alias("n_chars"), F.sha2(F.col("_edited"), 256).alias("edited_sha256"),
-        *[F.substring(x, 1, HEX_LENGTH).alias(x) for x in ("fingerprint", "edited_fingerprint")], likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+        "fingerprint", "edited_fingerprint", likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
         likeness(F.col("fingerprint"), F.col("_next_print")).alias("near_next"))
 
 
-_PRINT_SQL = """(printf('%08x', len({h})) ||
-   list_reduce(list_transform(range({dense}), lambda k: printf('%08x', (coalesce(list_sum(list_transform({h}, lambda x: ('0x' || substr(x, (8 * k + 1)::INT, 8))::BIGINT)), 0) % 4294967296)::BIGINT)), lambda x, y: x || y) ||
-   list_reduce(list_transform(range({spread}), lambda k: printf('%04x', (coalesce(list_sum(list_transform(list_filter({h}, lambda x: ('0x' || substr(x, 1, 2))::BIGINT % {spread} = k), lambda x: ('0x' || substr(x, 61, 4))::BIGINT)), 0) % 65536)::BIGINT)), lambda x, y: x || y))"""
-_NEAR_SQL = """CASE WHEN {a} = {b} THEN 1.0::DOUBLE ELSE (SELECT greatest(0.0::DOUBLE, least(1.0::DOUBLE, round((t - d) / (t + d), 6))) FROM (SELECT
-   (('0x' || substr({a}, 1, 8))::BIGINT + ('0x' || substr({b}, 1, 8))::BIGINT)::DOUBLE t,
-   -{spread} * ln(greatest(len(list_filter(range({spread}), lambda k: substr({a}, ({at} + 1 + 4 * k)::INT, 4) = substr({b}, ({at} + 1 + 4 * k)::INT, 4)))::DOUBLE, 0.5) / {spread}) d)) END"""
+_NUMBER_SQL = "('0x' || substr({h}, {at}, {n}))::BIGINT"
+_NEAR_SQL = """CASE WHEN {a} = {b} THEN 1.0::DOUBLE ELSE (
+   SELECT greatest(0.0::DOUBLE, least(1.0::DOUBLE, round(least((x + y - d) / (x + y + d), least(x, y) / greatest(x, y)), 6)))
+   FROM (SELECT x, y, -{spread} * ln(greatest(same[level + 1]::DOUBLE, 0.5) / {spread}) * pow(4.0, level) AS d
+     FROM (SELECT x, y, same, coalesce(list_filter(range({levels} + 1), lambda j: same[j + 1] >= {least})[1], {levels}) AS level
+       FROM (SELECT x, y, list_transform(range({levels} + 1), lambda j: CASE WHEN j = 0
+             THEN len(list_filter(range({spread}), lambda k: substr({a}, ({at} + 1 + 4 * k)::INT, 4) = substr({b}, ({at} + 1 + 4 * k)::INT, 4)))
+             ELSE {spread} - len(list_filter(differ, lambda e: substr(e, 1, 1) = printf('%x', j))) END) AS same
+         FROM (SELECT ('0x' || substr({a}, 1, 8))::BIGINT::DOUBLE AS x, ('0x' || substr({b}, 1, 8))::BIGINT::DOUBLE AS y,
+               list_distinct(list_transform(list_filter(p, lambda e: NOT list_contains(q, e)) || list_filter(q, lambda e: NOT list_contains(p, e)),
+                                            lambda e: substr(e, 1, 3))) AS differ
+           FROM (SELECT regexp_extract_all(substr({a}, {hex} + 1), '.{{7}}') AS p, regexp_extract_all(substr({b}, {hex} + 1), '.{{7}}') AS q)))))) END"""
 
 
 def oracle_sql() -> str:
     """The query on ``documents`` in DuckDB SQL."""
-    def hashes(text: str) -> str:
-        return f"list_transform(list_filter(string_split({text}, chr(10)), lambda x: x <> ''), lambda x: sha256(x))"
+    def number(at: int | str, n: int) -> str:
+        return _NUMBER_SQL.format(h="h", at=at, n=n)
 
-    own = _PRINT_SQL.format(h="h", dense=DENSE, spread=SPREAD)
-    edited = _PRINT_SQL.format(h="eh", dense=DENSE, spread=SPREAD)
-    near = functools.partial(_NEAR_SQL.format, spread=SPREAD, at=_SPREAD_AT)
+    near = functools.partial(_NEAR_SQL.format, spread=SPREAD, levels=LEVELS, least=LEAST_SAME, at=_SPREAD_AT, hex=HEX_LENGTH)
+    dense = " || ".join(f"printf('%08x', (coalesce(sum({number(8 * k + 1, 8)}), 0) % 4294967296)::BIGINT)" for k in range(DENSE))
     return f"""
-WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
-n AS (SELECT doc_id, t, length(t) AS n, coalesce(lead(t) OVER w, first_value(t) OVER w) AS nx, {hashes('t')} AS h
-      FROM d WINDOW w AS (ORDER BY doc_id NULLS FIRST, t)),
-f AS (SELECT doc_id, n, t, nx, substr(t, 1, n - n // 2) || substr(nx, 1, n // 2) AS e, {own} AS fp FROM n),
-g AS (SELECT *, {hashes('e')} AS eh, coalesce(lead(fp) OVER w, first_value(fp) OVER w) AS nfp
-      FROM f WINDOW w AS (ORDER BY doc_id NULLS FIRST, t)),
-p AS (SELECT doc_id, n, e, fp, nfp, {edited} AS efp FROM g)
-SELECT doc_id, n::BIGINT AS n_chars, sha256(e) AS edited_sha256, fp AS fingerprint, efp AS edited_fingerprint,
-       {near(a='fp', b='efp')} AS near_edited, {near(a='fp', b='nfp')} AS near_next
-FROM p"""
+WITH d AS (SELECT row_number() OVER (ORDER BY doc_id NULLS FIRST, coalesce(text, '')) AS i, doc_id, coalesce(text, '') AS t FROM documents),
+n AS (SELECT i, doc_id, t, length(t) AS n, coalesce(lead(t) OVER (ORDER BY i), first_value(t) OVER (ORDER BY i)) AS nx,
+             coalesce(lead(i) OVER (ORDER BY i), first_value(i) OVER (ORDER BY i)) AS next_i FROM d),
+e AS (SELECT *, substr(t, 1, n - n // 2) || substr(nx, 1, n // 2) AS e FROM n),
+lines AS (SELECT i, which, sha256(p) AS h FROM (
+  SELECT i, 'own' AS which, unnest(string_split(t, chr(10))) AS p FROM e UNION ALL
+  SELECT i, 'edited' AS which, unnest(string_split(e, chr(10))) AS p FROM e) WHERE p <> ''),
+parts AS (SELECT i, which, h, {number(1, 2)} % {SPREAD} AS lane, {number(61, 4)} AS value,
+                 least({LEVELS}, (32 - length(regexp_replace(bin({number(9, 8)}), '^0$', ''))) // 2) AS level FROM lines),
+every AS (SELECT i, unnest(['own', 'edited']) AS which FROM d),
+head AS (SELECT every.i, every.which, printf('%08x', count(h)::BIGINT) || {dense} AS head
+         FROM every LEFT JOIN parts USING (i, which) GROUP BY every.i, every.which),
+sums AS (SELECT i, which, j, lane, (sum(value) % 65536)::BIGINT AS s FROM parts, range(0, {LEVELS} + 1) AS t(j) WHERE j <= level GROUP BY ALL),
+spread AS (SELECT every.i, every.which, string_agg(printf('%04x', coalesce(s, 0)), '' ORDER BY k) AS spread
+           FROM every, range({SPREAD}) AS t(k) LEFT JOIN (SELECT * FROM sums WHERE j = 0) z ON z.i = every.i AND z.which = every.which AND z.lane = k
+           GROUP BY every.i, every.which),
+thin AS (SELECT i, which, string_agg(printf('%x%02x%04x', j, lane, s), '' ORDER BY j, lane) AS thin FROM sums WHERE j > 0 AND s <> 0 GROUP BY i, which),
+prints AS (SELECT i, which, head || spread || coalesce(thin, '') AS fp FROM head JOIN spread USING (i, which) LEFT JOIN thin USING (i, which))
+SELECT e.doc_id, e.n::BIGINT AS n_chars, sha256(e.e) AS edited_sha256, p1.fp AS fingerprint, p2.fp AS edited_fingerprint,
+       {near(a='p1.fp', b='p2.fp')} AS near_edited, {near(a='p1.fp', b='p3.fp')} AS near_next
+FROM e JOIN prints p1 ON p1.i = e.i AND p1.which = 'own' JOIN prints p2 ON p2.i = e.i AND p2.which = 'edited'
+JOIN prints p3 ON p3.i = e.next_i AND p3.which = 'own'"""
