@@ -3,7 +3,7 @@
 Writing (:func:`write_ids`): texts are encoded once to a written table of packed
 ids; ids are counted over all documents (summed map-side, at most one sum per id
 of the vocabulary reaches the driver); package-merge gives code lengths of at
-most ``MAX_BITS``; documents are coded, the coded rows are range-partitioned by
+most ``MAX_BITS``; documents are coded once to a written table, its rows are range-partitioned by
 doc_id, and each task writes its documents in order as blocks of about
 ``BLOCK_IDS`` ids.
 
@@ -22,7 +22,7 @@ lanes that advance together through one lookup table of ``2 ** MAX_BITS`` entrie
 
 Defined results: a null text counts as empty; every document ends with the end
 id, so an empty one has one id; documents that repeat an id stand next to each
-other, ordered by their coded bytes; an empty table gives empty files and no rows.
+other, ordered by a hash of their coded bytes and by the bytes; an empty table gives empty files and no rows.
 Other columns are not read.
 """
 
@@ -174,7 +174,7 @@ def id_table(documents: DataFrame, path: str | None = None) -> DataFrame:
         for batch in batches:
             for start in range(0, batch.num_rows, 1024):
                 part = batch.slice(start, 1024)
-                packed = [encoder.encode(t) + end for t in part.column(1).to_pylist()]
+                packed = [ids + end for ids in encoder.encode_all(part.column(1).to_pylist())]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(packed, pa.binary())], names=["doc_id", "ids"])
 
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, ids binary")
@@ -260,8 +260,9 @@ def write_ids(documents: DataFrame, folder: str, path: str | None = None) -> Non
     ids = np.array([c[0] for c in counts], np.int64)
     bits = code_lengths(np.array([c[1] for c in counts], np.int64))
     spark.createDataFrame([(int(i), int(b)) for i, b in zip(ids, bits, strict=True)], "id long, bits int").coalesce(1).write.parquet(f"{folder}/codes")
-    by_id = F.col("doc_id").asc_nulls_first()
-    ordered = coded_table(table, Codes.of(ids, bits)).repartitionByRange(by_id).sortWithinPartitions(by_id, "payload")
+    coded = written(coded_table(table, Codes.of(ids, bits)), "coded")  # range bounds are sampled from it
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("payload")]  # the hash cuts an id that repeats over many rows
+    ordered = coded.repartitionByRange(*order).sortWithinPartitions(*order, "payload")
     ordered.mapInArrow(_blocks,
                        "part int, block long, before long, n_ids long, doc_ids array<long>, doc_lengths array<long>, "
                        "payload binary, checkpoints array<long>").write.parquet(f"{folder}/blocks")
