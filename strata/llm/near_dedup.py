@@ -18,11 +18,16 @@ component of links.
    similarity reaches the threshold is below ``MISS``.
 4. Survivors are verified exactly on their full shingle sets, streamed by hub.
    Linked pairs give components.
-5. What stars cannot decide is done in full: buckets of three or more members
-   that are still in different components are dealt into blocks, all pairs of
-   different components that no star has tested run through steps 3 and 4, each
-   pair in the first band that it shares, and the components are taken again.
-   No bucket is capped.
+5. What stars cannot decide is done in full: the members of buckets of three or
+   more that are still in different components are joined by an exact prefix filter.
+   Shingles are ordered by rarity among these members; two sets of the threshold's
+   similarity share one among the first ``n - ceil(0.8 n) + 1`` of each, at places that
+   leave room for the overlap they need.  Per shingle, members outside its most
+   frequent component meet all others, with the component, size and place tests inside
+   the join: outsiders of a large group come with shingles of their own, so they meet
+   nobody, and work grows with the members and not with the pairs.  Pairs that no star
+   has tested run through steps 3 and 4, and the components are taken again.  No
+   bucket is capped.
 
 The only loss is probabilistic and stated: two documents at similarity 0.8
 share no band with probability (1 - 0.8**6)**40 = 5e-6, and a batch prunes a
@@ -50,6 +55,7 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import written
 from strata.llm.components import components
+from strata.llm.key_counts import count_keys
 from strata.operators.rank import row_number_by_range
 
 SIMILARITY_PERCENT = 80  # fixed by the task
@@ -57,7 +63,8 @@ ROWS, BANDS = 6, 40
 N_HASHES = ROWS * BANDS
 BATCH = 40  # signature bytes compared between two posterior tests
 MISS = 1e-6
-BLOCK = 256  # members of a block in the full pass over undecided buckets
+RARITY = 1 << 20  # slots by which shingles are ordered in the full pass over undecided buckets
+PARTNERS = 256  # partners of a hub that are verified together
 WORD_CACHE = 400_000
 _SHINGLE_ROWS = 2048  # shingles hashed at a time, bounds memory for long texts
 
@@ -248,14 +255,16 @@ def _pruned(pairs: DataFrame) -> DataFrame:
     return pairs.select("a", "b", "sign_a", "sign_b").mapInArrow(run, "a long, b long")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, width: int, salts: int = 16) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     """The pairs ``a, b`` (b the hub) whose full sets reach the threshold.
 
-    Hub texts are replicated to at most ``salts`` groups each; within a group
-    the hub's text comes first and its partners stream past it, so a task holds
-    two texts at a time however many partners a hub has.
+    A hub's partners are dealt into groups of about ``PARTNERS``, each with the hub's
+    text; within a group the hub's text comes first and its partners stream past it,
+    so a task holds two texts at a time however many partners a hub has.
     """
-    salted = pairs.withColumn("salt", F.pmod(F.xxhash64("a"), F.lit(salts)).cast("int"))
+    groups = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / PARTNERS).alias("n_salts")).withColumnRenamed("b", "of")
+    salted = pairs.join(groups, F.col("b") == F.col("of")).select(
+        "a", "b", F.pmod(F.xxhash64("a"), F.col("n_salts")).cast("int").alias("salt"))
     member = salted.join(texts, F.col("a") == F.col("rep")).select(
         F.col("b").alias("hub"), "salt", F.lit(1).alias("turn"), F.col("a").alias("member"), "text")
     hub = salted.select(F.col("b").alias("hub"), "salt").distinct().join(texts, F.col("hub") == F.col("rep")).select(
@@ -279,54 +288,50 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, salts: int = 16) -
     return together.mapInArrow(run, "a long, b long")
 
 
-def _block_pairs(members: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Surviving pairs of different components among the ``members`` of undecided buckets.
+def _rarity(members: DataFrame, width: int) -> np.ndarray:
+    """How often the shingles of ``members`` fall into each of ``RARITY`` hash slots (an order of shingles, not a count of each)."""
+    def keys_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        hasher = hasher_of(width)
+        slots = np.concatenate([hasher.shingles(t) for t in batch.column(0).to_pylist()] or [np.zeros(0, np.uint64)]) % np.uint64(RARITY)
+        return slots, np.ones(len(slots), np.uint64)
+
+    found = count_keys(members.select("text"), keys_of).toArrow()  # at most a row for each slot
+    out = np.zeros(RARITY, np.int64)
+    out[found.column("key").to_numpy()] = found.column("n").to_numpy()
+    return out
 
-    A bucket of more than ``BLOCK`` members is dealt into blocks by a hash, and
-    each pair of blocks is one group, so that no task holds a whole bucket.
-    """
-    dealt = members.join(sizes, "band").withColumn("n_blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn(
-        "block", F.pmod(F.xxhash64("rep"), F.col("n_blocks")).cast("int"))
-    spread = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1))).select(
-        "band", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "rep",
-        "component", "n_shingles", "signature", "bands")
 
+def _prefixes(members: DataFrame, rarity, width: int) -> DataFrame:
+    """``shingle, place, size, rep, component``: the rarest shingles of each member, as many as the prefix filter needs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bounds = prune_bounds()
-        empty = pa.RecordBatch.from_arrays([pa.array([], pa.int64())] * 2, names=["a", "b"])
-
-        def pairs_of(group: list[tuple]) -> pa.RecordBatch:
-            lo, hi = group[0][1], group[0][2]
-            block = np.array([g[3] for g in group])
-            rep, comp, size = (np.array([g[i] for g in group], np.int64) for i in (4, 5, 6))
-            sign = np.frombuffer(b"".join(g[7] for g in group), np.uint8).reshape(-1, N_HASHES)
-            bands = np.array([g[8] for g in group], np.int64)
-            this = int((bands[0] == group[0][0]).argmax())
-            first = np.flatnonzero(block == lo)
-            second = np.flatnonzero(block == hi)
-            found_a, found_b = [], []
-            for i in first:  # one member against a block at a time
-                js = second[second > i] if lo == hi else second
-                js = js[(comp[js] != comp[i]) & (100 * np.minimum(size[js], size[i])
-                                                 >= SIMILARITY_PERCENT * np.maximum(size[js], size[i]))]
-                js = js[(bands[js] == bands[i]).argmax(axis=1) == this]  # else another band has this pair
-                js = js[survivors(np.broadcast_to(sign[i], (len(js), N_HASHES)), sign[js], bounds)]
-                found_a.append(np.maximum(rep[js], rep[i]))
-                found_b.append(np.minimum(rep[js], rep[i]))
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(found_a) if found_a else [], pa.int64()),
-                                               pa.array(np.concatenate(found_b) if found_b else [], pa.int64())], names=["a", "b"])
-
-        group: list[tuple] = []
+        hasher, count = hasher_of(width), rarity.value
         for batch in batches:
-            for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                if group and row[:3] != group[0][:3]:
-                    yield pairs_of(group)
-                    group = []
-                group.append(row)
-        yield pairs_of(group) if group else empty
+            for rep, component, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                shingles = hasher.shingles(text)
+                size = len(shingles)
+                first = size - -(-SIMILARITY_PERCENT * size // 100) + 1
+                order = np.lexsort((shingles, count[(shingles % np.uint64(RARITY)).astype(np.int64)]))[:first]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(shingles[order].view(np.int64)), pa.array(np.arange(first), pa.int32()), pa.array([size] * first, pa.int32()),
+                     pa.array([rep] * first, pa.int64()), pa.array([component] * first, pa.int64())],
+                    names=["shingle", "place", "size", "rep", "component"])
 
-    ordered = spread.repartition("band", "lo", "hi").sortWithinPartitions("band", "lo", "hi", "rep")
-    return ordered.mapInArrow(run, "a long, b long").distinct()
+    return members.select("rep", "component", "text").mapInArrow(run, "shingle long, place int, size int, rep long, component long")
+
+
+def _similar_sets(members: DataFrame, width: int) -> DataFrame:
+    """Pairs ``a, b`` of ``members`` (``rep, component, text``) of different components that the prefix filter lets through."""
+    rarity = members.sparkSession.sparkContext.broadcast(_rarity(members, width))
+    rows = written(_prefixes(members, rarity, width), "prefixes")
+    counts = rows.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("n"))
+    shared = counts.groupBy("shingle").agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "component"))["component"].alias("most")).where("parts > 1")
+    met = written(rows.join(shared.select("shingle", "most"), "shingle"), "prefixes-shared")
+    few = met.where("component != most").select("shingle", *[F.col(c).alias(f"{c}_of") for c in ("place", "size", "rep", "component")])
+    left = F.least(F.col("size") - F.col("place"), F.col("size_of") - F.col("place_of"))  # the overlap there is room for
+    pairs = few.join(met, "shingle").where(
+        (F.col("component") != F.col("component_of")) & _similar_sizes(F.col("size"), F.col("size_of"))
+        & ((100 + SIMILARITY_PERCENT) * left >= SIMILARITY_PERCENT * (F.col("size") + F.col("size_of"))))
+    return pairs.select(F.greatest("rep", "rep_of").alias("a"), F.least("rep", "rep_of").alias("b")).distinct()
 
 
 def _placed(documents: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
@@ -353,11 +358,14 @@ def _placed(documents: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
     star = buckets.join(hubs, "band").select(
         F.col("rep").alias("a"), (-F.col("hub.least")).alias("b"), "n_shingles", F.col("hub.n_shingles").alias("hub_size"))
     star = star.where((F.col("a") != F.col("b")) & _similar_sizes(F.col("n_shingles"), F.col("hub_size")))
-    signs = written(reps.join(met, "rep", "left_semi").select("rep", "signature", "bands", "least", "text_key"), "signatures")
+    signs = written(reps.join(met, "rep", "left_semi").select("rep", "signature", "least", "text_key"), "signatures")
     tested = written(star.select("a", "b").distinct(), "stars")
-    pairs = tested.join(signs.select(F.col("rep").alias("a"), F.col("signature").alias("sign_a")), "a").join(
-        signs.select(F.col("rep").alias("b"), F.col("signature").alias("sign_b")), "b")
-    candidates = written(_pruned(pairs), "candidates")
+
+    def signed(pairs: DataFrame) -> DataFrame:
+        return pairs.join(signs.select(F.col("rep").alias("a"), F.col("signature").alias("sign_a")), "a").join(
+            signs.select(F.col("rep").alias("b"), F.col("signature").alias("sign_b")), "b")
+
+    candidates = written(_pruned(signed(tested)), "candidates")
     # rows of one id and text are alike, and belong to one set
     texts = documents.select(F.col("doc_id").alias("least"), "text", _text_key(F.col("text")).alias("text_key")).join(
         signs.select("rep", "least", "text_key"), ["least", "text_key"]).dropDuplicates(["least", "text_key"])
@@ -369,12 +377,11 @@ def _placed(documents: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
     named = buckets.join(first.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
         "component", F.coalesce("component", "rep"))
     undecided = named.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("lo"),
-                                          F.max("component").alias("hi")).where("n > 2 AND lo != hi").select("band", "n")
-    members = named.drop("n").join(undecided.select("band"), "band", "left_semi").join(signs, "rep")
-    more = _block_pairs(members.select("band", "rep", "component", "n_shingles", "signature", "bands"), undecided)
-    more = written(more.join(tested.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), ["a", "b"], "left_anti"),
-                   "candidates-rest")
-    rest = _verified(more, texts, width)
+                                          F.max("component").alias("hi")).where("n > 2 AND lo != hi").select("band")
+    members = named.join(undecided, "band", "left_semi").select("rep", "component").distinct()
+    more = _similar_sets(written(members.join(texts, "rep"), "undecided"), width)
+    more = more.join(tested.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), ["a", "b"], "left_anti")
+    rest = _verified(written(_pruned(signed(more)), "candidates-rest"), texts, width)
     final = components(links.unionByName(rest)).withColumnRenamed("node", "rep")
     rows = keyed.join(final, "rep", "left").select("doc_id", "text_key", "n_shingles", F.coalesce("component", "rep").alias("part"))
 

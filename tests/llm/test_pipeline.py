@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 def test_stages_and_queries():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_classifier", "quality_rules", "near_dedup", "packing"]
     names = [k for k in entry.queries() if k.startswith("op") or k == "pipeline"]
-    assert len(names) == 11
+    assert len(names) == 14
 
 
 def test_pipeline_equals_its_operators(spark):
