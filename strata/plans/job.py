@@ -11,17 +11,19 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata import schema
 from strata.functions.dates import roc_to_date
 from strata.functions.numerals import floors
 from strata.operators.filters import high_rise
+from strata.operators.inspect import top_n
 from strata.operators.nest import nest_paged, nest_two_levels
-from strata.operators.project import cast_columns, null_tokens, to_english
-from strata.operators.split import balanced_split, hash_split, random_split
-from strata.session import checkpoint_dir
+from strata.operators.project import account_for, accounts, cast_columns, null_tokens, to_english
+from strata.operators.split import balanced_split, hash_split, keyed_split
+from strata.operators.tagging import reconcile_contents
+from strata.session import scratch_path
 
 
 PAGE_EVENTS = 10_000  # events of a document line, unless the caller says otherwise
@@ -37,6 +39,11 @@ def clean(df: DataFrame, *, floors_mode: str = "compat",
                  .withColumn("date", roc_to_date(F.col(schema.COL_DATE))))
 
 
+def necessary(use_value: str = schema.RESIDENTIAL, type_part: str = schema.TOWER) -> Column:
+    """What the raw columns of every kept record meet: cleaning only turns values into null."""
+    return (F.col(schema.COL_USE) == F.lit(use_value)) & F.col(schema.COL_TYPE).contains(type_part)
+
+
 def filter_records(
     records: DataFrame,
     *,
@@ -47,14 +54,12 @@ def filter_records(
 ) -> DataFrame:
     """Text records -> cleaned rows that pass the high-rise filter.
 
-    Cleaning only turns values into null, so a kept row's raw use already
-    equals ``use_value`` and its raw type already contains ``type_part``.
-    Those two necessary tests run first, on the raw columns, where Catalyst
-    pushes them into the scan (``EqualTo`` / ``StringContains``); the exact
-    filter runs after cleaning.
+    The tests of :func:`necessary` run first, on the raw columns, where Catalyst pushes
+    them into the scan (``EqualTo`` / ``StringContains``); the exact filter runs
+    after cleaning.  A reader that is given them as ``where`` scans CSV files with
+    them in the default alias-row mode too.
     """
-    pre = records.filter((F.col(schema.COL_USE) == F.lit(use_value))
-                         & F.col(schema.COL_TYPE).contains(type_part))
+    pre = records.filter(necessary(use_value, type_part))
     return high_rise(clean(pre, floors_mode=floors_mode),
                      use_value=use_value, type_part=type_part, min_floors=min_floors)
 
@@ -141,13 +146,7 @@ def split_parts(doc: DataFrame, how: str = "hash", n: int = 2, seed: int | None
     if how == "balanced":
         return balanced_split(doc, key, n, 42 if seed is None else seed, col)
     if how == "random":
-        # every part samples the same stored rows, so the document is computed once
-        checkpoint_dir(doc.sparkSession)
-        parts = random_split(doc.checkpoint(eager=True), [1.0 / n] * n, seed)
-        out = parts[0].withColumn(col, F.lit(0))
-        for i, p in enumerate(parts[1:], start=1):
-            out = out.unionByName(p.withColumn(col, F.lit(i)))
-        return out
+        return keyed_split(doc, key, [1.0 / n] * n, seed, col)
     raise ValueError(f"unknown split {how!r}")
 
 
@@ -165,6 +164,7 @@ def run(
     multiline: bool = True,
     require: list[str] | None = None,
     part_paths: Mapping[int, str] | None = None,
+    report: dict | None = None,
     **transform_args,
 ) -> dict[str, str]:
     """Read ``{path: city}`` files, build the document, write one JSON-lines folder per part.
@@ -175,14 +175,48 @@ def run(
     keys, which computes the document once more).  ``part_paths`` (``{part:
     path}``) writes each part to its own path instead.  ``multiline=False``
     lets Spark split large files that have no line breaks inside quotes.
+
+    A ``report`` dictionary is filled with what became of the records: ``rows`` (those that
+    pass the tests on raw values), ``fields`` (per column, missing-value tokens and failed
+    casts among them, counted by the pass that reads them), ``cities`` (per city the events
+    kept, the events in the written lines, and whether they are the same ones) and
+    ``values`` (distinct values of the inspected fields, the first 100 of each).  The kept
+    events are then written once to the shared checkpoint folder, and the document is
+    made from that table.
     """
     from strata.sinks.json_lines import write_named_parts, write_parts
     from strata.sources.records import read_tagged
 
     cols = schema.required_columns(n_fields) if require is None else require
-    records = read_tagged(spark, sources, alias_row=alias_row, multiline=multiline, require=cols).drop("_file")
-    doc = transform(records, n_fields=n_fields, **transform_args)
+    wanted = necessary(**{k: v for k, v in transform_args.items() if k in ("use_value", "type_part")})
+    records = read_tagged(spark, sources, alias_row=alias_row, multiline=multiline, require=cols, where=wanted).drop("_file")
+    if report is None:
+        doc = transform(records, n_fields=n_fields, **transform_args)
+    else:
+        nesting = {k: transform_args.pop(k) for k in ("combine_copies", "max_events_per_line") if k in transform_args}
+        seen = Observation("records")
+        events_dir = write_events(account_for(records, seen), scratch_path(spark, "events"), n_fields=n_fields, **transform_args)
+        doc = nest_from_events(spark, events_dir, n_fields=n_fields, **nesting)
     parts = split_parts(doc, split, n_parts, seed)
     if part_paths:
-        return write_named_parts(parts, dict(part_paths), n_files=files_per_part)
-    return write_parts(parts, out_dir, part_col="part", files_per_part=files_per_part)
+        out = write_named_parts(parts, dict(part_paths), n_files=files_per_part)
+    else:
+        out = write_parts(parts, out_dir, part_col="part", files_per_part=files_per_part)
+    if report is not None:
+        events = spark.read.parquet(events_dir).drop("city_dir")
+        report["rows"] = seen.get["rows"]
+        report["fields"] = [r.asDict() for r in accounts(spark, seen).collect()]
+        back = spark.read.schema(doc.schema).json(list(out.values())) if out else doc.limit(0)
+        report["cities"] = [r.asDict() for r in reconcile_contents(events_of(back, "city"), events).orderBy("city").collect()]
+        report["values"] = {c: [r[0] for r in top_n(events, c).collect()] for c in INSPECTED if c in events.columns}
+    return out
+
+
+#: Fields whose values are looked at after the filter.
+INSPECTED = ("main_use", "type", "total_floor")
+
+
+def events_of(doc: DataFrame, key: str = "city") -> DataFrame:
+    """The events of a nested document as rows: ``key, date`` and the event fields."""
+    slots = doc.select(key, F.explode("time_slots").alias("s"))
+    return slots.select(key, F.col("s.date").alias("date"), F.explode("s.events").alias("e")).select(key, "date", "e.*")

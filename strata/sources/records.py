@@ -19,8 +19,11 @@ Design (nothing is inferred; only file names and distinct headers reach the driv
 5. **Alias row**: the first data row of every file is an English alias row.
    ``positional`` (default) drops exactly that row; ``typed`` drops it only when
    its date is neither missing nor an integer, for files that may lack an alias
-   row.  No mode drops any other row.  A split is read in order by one task, so
-   one narrow Arrow step over the needed columns does it.
+   row.  No mode drops any other row.  The header pass also takes each file's first
+   data record, so the row is judged before the scan: a file whose first row need
+   not go, or fails the caller's ``where`` anyway (an alias row is no record), is
+   read by a plain scan that ``where`` is pushed into.  Only the other files pass
+   through a narrow Arrow step, in which a split is read in order by one task.
 6. **Missing-value tokens** (``NA``, ``None``, ...) become null when
    ``na_tokens`` is given; the job does it in its cleaning step instead, after
    the filters that must reach the scan.
@@ -44,11 +47,13 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata import schema
 from strata.operators.project import null_tokens
 from strata.operators.sizing import broadcast_if_small
 from strata.operators.tagging import ColumnMismatch
+from strata.session import scratch_path
 from strata.sources.paths import open_path
 
 FILE_COL = "_file"
@@ -81,27 +86,44 @@ def parse_header(first_bytes: bytes, *, strip: bool = True) -> list[str]:
     return [c.strip() for c in names] if strip else names
 
 
+def _records(fh, n: int) -> list[bytes]:
+    """The first ``n`` records of a file (fewer at its end), cut at line breaks outside quotes."""
+    found, head, at, inside = [], b"", 0, False
+    while len(found) < n:
+        mark = _RECORD_MARK.search(head, at)
+        if mark is None:
+            at = len(head)
+            if not (chunk := fh.read(HEADER_READ_BYTES)):
+                return [*found, head] if head else found
+            head += chunk
+        elif mark[0] == b'"':
+            inside, at = not inside, mark.end()
+        elif inside:
+            at = mark.end()
+        else:
+            line, head, at = head[:mark.start()], head[mark.end():], 0
+            if line or not found:  # blank lines hold no record; a blank first line is an empty header
+                found.append(line)
+    return found
+
+
+_RECORD_MARK = re.compile(rb'["\r\n]')
+
+
 def _first_record(fh) -> bytes:
     """The bytes of a file up to the first line break outside quotes (all of it without one)."""
-    head, seen, inside = b"", 0, False
-    while chunk := fh.read(HEADER_READ_BYTES):
-        head += chunk
-        for at in range(seen, len(head)):
-            if head[at] == 0x22:
-                inside = not inside
-            elif head[at] in (0x0A, 0x0D) and not inside:
-                return head[:at]
-        seen = len(head)
-    return head
+    return b"".join(_records(fh, 1))
 
 
 def _peek_headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        headers = []
+        headers, firsts = [], []
         for p in pdf["path"]:
             with open_path(p) as fh:
-                headers.append("\x1f".join(parse_header(_first_record(fh), strip=False)))
-        yield pd.DataFrame({"path": pdf["path"], "length": pdf["length"], "header": headers})
+                head, *first = _records(fh, 2) or [b""]
+                headers.append("\x1f".join(parse_header(head, strip=False)))
+                firsts.append(first[0].decode("utf-8", errors="replace") if first else None)
+        yield pd.DataFrame({"path": pdf["path"], "length": pdf["length"], "header": headers, "first": firsts})
 
 
 CSV_GLOB = "*.[cC][sS][vV]"
@@ -119,9 +141,10 @@ def list_files(spark: SparkSession, paths: Iterable[str], glob: str | None = Non
 
 
 def header_rows(spark: SparkSession, paths: Iterable[str], glob: str | None = CSV_GLOB) -> DataFrame:
-    """``path, length, header`` for every CSV file under ``paths``; the header is
-    its column names joined by U+001F.  Lazy: nothing is collected."""
-    return list_files(spark, paths, glob).mapInPandas(_peek_headers, "path string, length bigint, header string")
+    """``path, length, header, first`` for every CSV file under ``paths``; the header is its
+    column names joined by U+001F, ``first`` the text of its first data record (null
+    without one).  Lazy: nothing is collected."""
+    return list_files(spark, paths, glob).mapInPandas(_peek_headers, "path string, length bigint, header string, first string")
 
 
 def discover(spark: SparkSession, paths: Iterable[str],
@@ -132,11 +155,46 @@ def discover(spark: SparkSession, paths: Iterable[str],
     with its file list (the driver holds the file list anyway: Spark's file
     sources plan from it).
     """
-    grouped = header_rows(spark, paths, glob).groupBy("header").agg(
-        F.sort_array(F.collect_list(F.struct("path", "length"))).alias("files"))
+    return _grouped(header_rows(spark, paths, glob))
+
+
+def _grouped(heads: DataFrame) -> dict[str, list[tuple[str, int]]]:
+    grouped = heads.groupBy("header").agg(F.sort_array(F.collect_list(F.struct("path", "length"))).alias("files"))
     return {row["header"]: [(f["path"], f["length"]) for f in row["files"]] for row in grouped.collect()}
 
 
+def _written_heads(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
+    """:func:`header_rows`, written once: files are opened in one pass."""
+    out = scratch_path(spark, "heads")
+    header_rows(spark, paths).write.parquet(out)
+    return spark.read.schema("path string, length bigint, header string, first string").parquet(out)
+
+
+def files_to_cut(spark: SparkSession, files: DataFrame, header: str, alias_row: str, where: Column | None) -> set[str]:
+    """Paths of the ``files`` (:func:`header_rows`) whose first data row has to be taken out by the reader.
+
+    These are the files whose first row the mode drops and ``where`` lets through.
+    The record is parsed by Spark's own CSV parser with the scan's options.
+    """
+    if alias_row == "none":
+        return set()
+    names = header.split("\x1f")
+    fields = T.StructType([T.StructField(f"_{i}", T.StringType()) for i in range(len(names))])
+    parsed = files.where((F.col("header") == F.lit(header)) & F.col("first").isNotNull()).select(
+        "path", F.from_csv("first", F.lit(_ddl(fields)), {k: v for k, v in CSV_OPTIONS.items() if k != "header"}).alias("r"))
+    rows = parsed.select("path", *[F.col(f"r._{i}").alias(n.strip()) for i, n in enumerate(names)])
+    if alias_row == "typed":
+        date = F.trim(F.coalesce(F.col(schema.COL_DATE), F.lit("")))
+        rows = rows.where((date != "") & ~date.isin(list(schema.NA_TOKENS)) & ~date.rlike(r"^[+-]?\d+(\.0*)?$"))
+    if where is not None:
+        rows = rows.where(where)
+    return {r["path"] for r in rows.select("path").collect()}  # some of the files that the driver plans from
+
+
+def _ddl(fields: T.StructType) -> str:
+    return ", ".join(f"{f.name} string" for f in fields)
+
+
 def file_headers(spark: SparkSession, paths: Iterable[str]) -> dict[str, list[str]]:
     """``{header -> [files]}`` for every file under ``paths``."""
     return {h: [p for p, _ in files] for h, files in discover(spark, paths).items()}
@@ -277,16 +335,29 @@ def read_records(
     na_tokens: Iterable[str] | None = None,
     multiline: bool = True,
     groups: Mapping[str, list] | None = None,
+    where: Column | None = None,
+    first_rows: DataFrame | None = None,
 ) -> DataFrame:
     """Read record CSV files (any header order) into text columns plus ``_file``.
 
+    ``where``: a condition on the raw text columns that every wanted row meets; only such
+    rows come back.  Spark pushes it into the scan of all files but those whose first
+    row has to be dropped and meets it.
+
     ``require``: columns every file must have (they are the output columns);
     ``None`` keeps the columns of the files, which must then agree as a set.
     ``groups`` (``{header: files}`` or ``{header: [(file, bytes)]}``) skips
     discovery when already known.
     """
     check_alias_mode(alias_row)
+    paths = list(paths)
     found = discover(spark, paths) if groups is None else groups
+
+    def heads() -> DataFrame:
+        if first_rows is not None:
+            return first_rows
+        return header_rows(spark, [f[0] if isinstance(f, tuple) else f for fs in found.values() for f in fs])
+
     sized = {h: [f if isinstance(f, tuple) else (f, None) for f in fs] for h, fs in found.items()}
     if multiline:
         _warn_unsplittable(spark, [f for fs in sized.values() for f in fs])
@@ -309,13 +380,21 @@ def read_records(
             if missing:
                 raise ColumnMismatch(f"{len(files)} file(s), e.g. {files[0]}, lack columns {missing}")
         col_sets.append(frozenset(cols))
-        df = _scan(spark, files, raw_cols, multiline)
-        df = df.select(*[F.col(f"`{r}`").alias(c) for r, c in zip(raw_cols, cols)], FILE_COL, "_block")
         keep = required if required is not None else cols
-        wanted = [*keep, schema.COL_DATE] if alias_row == "typed" and schema.COL_DATE not in keep else keep
-        # cut to the needed columns before rows pass through Python
-        df = drop_alias_row(df.select(*[F.col(c) for c in wanted], FILE_COL, "_block"), alias_row)
-        frames.append(df.select(*[F.col(c) for c in keep], FILE_COL))
+        if where is None and alias_row == "positional":
+            cut = set(files)  # each loses its first row
+        else:
+            cut = files_to_cut(spark, heads(), header, alias_row, where)
+        for some, mode in (([f for f in files if f not in cut], "none"), ([f for f in files if f in cut], alias_row)):
+            if not some:
+                continue
+            df = _scan(spark, some, raw_cols, multiline)
+            df = df.select(*[F.col(f"`{r}`").alias(c) for r, c in zip(raw_cols, cols)], FILE_COL, "_block")
+            if mode != "none":  # cut to the needed columns before rows pass through Python
+                used = [c for c in cols if c in keep or c == schema.COL_DATE and mode == "typed" or where is not None]
+                df = drop_alias_row(df.select(*[F.col(c) for c in used], FILE_COL, "_block"), mode)
+            df = df if where is None else df.where(where)
+            frames.append(df.select(*[F.col(c) for c in keep], FILE_COL))
     if required is None and len(set(col_sets)) > 1:
         raise ColumnMismatch(f"files disagree on columns: {[sorted(c) for c in set(col_sets)]}")
     out = reduce(lambda a, b: a.unionByName(b), frames)
@@ -345,7 +424,8 @@ def read_tagged(
     file path, which keeps the plan small.
     """
     keys = {spark_path(p).rstrip("/"): t for p, t in sources.items()}
-    groups = discover(spark, list(keys))
+    heads = _written_heads(spark, list(keys))
+    groups = _grouped(heads)
     if "" in groups:  # files without even a header hold no records
         warnings.warn(f"skipping {len(groups[''])} empty file(s), e.g. {groups[''][0][0]}", stacklevel=2)
         del groups[""]
@@ -364,10 +444,10 @@ def read_tagged(
         for t in tags:
             sub = {h: [(f, n) for f, n in fs if file_tags[f] == t] for h, fs in groups.items()}
             sub = {h: fs for h, fs in sub.items() if fs}
-            branches.append(read_records(spark, list(keys), groups=sub, **read_args)
+            branches.append(read_records(spark, list(keys), groups=sub, first_rows=heads, **read_args)
                             .withColumn(col, F.lit(t)))
         return reduce(lambda a, b: a.unionByName(b), branches)
-    df = read_records(spark, list(keys), groups=groups, **read_args)
+    df = read_records(spark, list(keys), groups=groups, first_rows=heads, **read_args)
     return tag_by_file(df, file_tags, col)
 
 
@@ -378,21 +458,37 @@ def city_sources(folder: str, letters: Mapping[str, str] | None = None) -> dict[
     return {f"{base}/{schema.CITY_FILE_PATTERN.format(letter=k)}": v for k, v in letters.items()}
 
 
+def report_foreign(files: DataFrame) -> int:
+    """Warn of CSV files (``path``) that are left out, with their number and one example; return the number."""
+    rest = files.agg(F.count(F.lit(1)).alias("n"), F.min("path").alias("example")).first()
+    if rest["n"]:
+        warnings.warn(f"{rest['n']} CSV file(s) outside the name list are not read, e.g. {rest['example']}", stacklevel=3)
+    return int(rest["n"])
+
+
+def name_key(path: str) -> str:
+    """A file's name as folders, archives and streams compare it: without its folders and without case."""
+    return path.rsplit("/", 1)[-1].lower()
+
+
+def city_names(letters: Mapping[str, str] | None = None) -> dict[str, str]:
+    """``{name key: city}`` of the standard file names."""
+    letters = schema.CITY_BY_LETTER if letters is None else letters
+    return {name_key(schema.CITY_FILE_PATTERN.format(letter=k)): v for k, v in letters.items()}
+
+
 def city_files(spark: SparkSession, folder: str, letters: Mapping[str, str] | None = None) -> dict[str, str]:
     """``{file: city}`` for the city files actually present under ``folder``.
 
     Lists the folder (file metadata only) and keeps names of the form
-    ``<letter>_lvr_land_A.csv`` whose letter has a city; other CSV files are
-    counted in a warning.
+    ``<letter>_lvr_land_A.csv`` (in any case) whose letter has a city; other CSV files
+    are counted in a warning.
     """
-    letters = schema.CITY_BY_LETTER if letters is None else letters
-    names = {schema.CITY_FILE_PATTERN.format(letter=k): v for k, v in letters.items()}
-    files = list_files(spark, [folder], CSV_GLOB).select("path", F.element_at(F.split("path", "/"), -1).alias("name"))
+    names = city_names(letters)
+    files = list_files(spark, [folder], CSV_GLOB).select("path", F.lower(F.element_at(F.split("path", "/"), -1)).alias("name"))
     mine = F.col("name").isin(list(names))
     found = {r["path"]: names[r["name"]] for r in files.where(mine).collect()}  # one per city file
-    rest = files.where(~mine).agg(F.count(F.lit(1)).alias("n"), F.min("path").alias("example")).first()
-    if rest["n"]:
-        warnings.warn(f"{rest['n']} CSV file(s) outside the name list are not read, e.g. {rest['example']}", stacklevel=2)
+    report_foreign(files.where(~mine))
     if not found:
         raise FileNotFoundError(f"no city files ({', '.join(sorted(names))}) under {folder}")
     return found

@@ -31,7 +31,7 @@ from strata.operators.project import null_tokens
 from strata.operators.tagging import ColumnMismatch
 from strata.session import default_parallelism
 from strata.sources.paths import open_path
-from strata.sources.records import check_alias_mode, is_alias_date, list_files
+from strata.sources.records import check_alias_mode, is_alias_date, list_files, name_key
 
 ARCHIVE_COL = "_archive"
 MEMBER_COL = "_member"
@@ -51,8 +51,8 @@ def _member_lister(pattern: str, names: frozenset[str] | None):
                     for info in zf.infolist():
                         name = info.filename
                         base = name.rsplit("/", 1)[-1]
-                        if not info.is_dir() and fnmatch.fnmatch(base, pattern):
-                            rows.append((path, name, info.file_size, names is None or base in names))
+                        if not info.is_dir() and fnmatch.fnmatchcase(base.lower(), pattern.lower()):
+                            rows.append((path, name, info.file_size, names is None or name_key(name) in names))
             yield pd.DataFrame(rows, columns=["archive", "member", "size", "wanted"])
 
     return run
@@ -109,7 +109,7 @@ def zip_member_list(spark: SparkSession, archives: Iterable[str] | str, member_p
     """
     paths = [archives] if isinstance(archives, str) else list(archives)
     return list_files(spark, paths).select("path").mapInPandas(
-        _member_lister(member_pattern, None if names is None else frozenset(names)),
+        _member_lister(member_pattern, None if names is None else frozenset(map(name_key, names))),
         "archive string, member string, size bigint, wanted boolean")
 
 
@@ -164,6 +164,6 @@ def tag_by_member(df: DataFrame, tags: dict[str, str], col: str = "city") -> Dat
     """
     kv = []
     for name, t in tags.items():
-        kv += [F.lit(name), F.lit(t)]
-    base = F.element_at(F.split(F.col(MEMBER_COL), "/"), -1)
+        kv += [F.lit(name_key(name)), F.lit(t)]
+    base = F.lower(F.element_at(F.split(F.col(MEMBER_COL), "/"), -1))
     return df.withColumn(col, F.try_element_at(F.create_map(*kv), base)).where(F.col(col).isNotNull())

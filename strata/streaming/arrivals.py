@@ -35,21 +35,15 @@ from strata.operators.tagging import ColumnMismatch
 from strata.plans.job import filter_records, nest_from_events, select_events
 from strata.session import checkpoint_dir
 from strata.sources.paths import open_path
-from strata.sources.records import CSV_GLOB, FILE_COL, check_alias_mode, is_alias_date, list_files
+from strata.sources.records import CSV_GLOB, FILE_COL, check_alias_mode, city_names, is_alias_date, list_files, name_key
 
 Tagger = Callable[[str], "str | None"]
 
 
 def tag_by_letter(letters: Mapping[str, str] | None = None) -> Tagger:
-    """City from the file name ``<letter>_lvr_land_A.csv`` (None for other names)."""
-    letters = schema.CITY_BY_LETTER if letters is None else letters
-    pattern = re.compile(r"^([A-Za-z])_lvr_land_A\.csv$")
-
-    def tag(path: str) -> str | None:
-        m = pattern.match(path.rsplit("/", 1)[-1])
-        return letters.get(m.group(1).upper()) if m else None
-
-    return tag
+    """City from the file name ``<letter>_lvr_land_A.csv``, in any case (None for other names)."""
+    names = city_names(letters)
+    return lambda path: names.get(name_key(path))
 
 
 def tag_by_folder(col: str = "city") -> Tagger:

@@ -2,7 +2,7 @@
 
 from fixtures import COLS, write_city
 from strata.plans import catalog
-from strata.plans.job import transform
+from strata.plans.job import necessary, transform
 from strata.sources.records import read_tagged
 
 SF = "/root/testdata/sf0.001"
@@ -27,11 +27,20 @@ def test_flagship_plan(spark):
 
 
 def test_csv_filters_pushed(spark, tmp_dir):
+    """In the default mode the filters are in the scan, and no Python runs above it."""
     p = write_city(tmp_dir)
-    df = transform(read_tagged(spark, {p: "台北市"}, require=COLS, alias_row="none"), max_events_per_line=None)
-    plan = _plan(df)
-    assert "PushedFilters" in plan and "StringContains" in plan
-    assert "EvalPython" not in plan
+    for mode in ("positional", "typed", "none"):
+        df = transform(read_tagged(spark, {p: "台北市"}, require=COLS, alias_row=mode, where=necessary()), max_events_per_line=None)
+        plan = _plan(df)
+        pushed = plan.split("PushedFilters: ")[1].split("]")[0]
+        assert "StringContains" in pushed and "EqualTo" in pushed
+        assert "Python" not in plan and "MapIn" not in plan
+
+
+def test_only_files_whose_first_row_passes_are_cut(spark, tmp_dir):
+    a, b = write_city(tmp_dir, "A"), write_city(tmp_dir, "B", alias=None)
+    plan = _plan(read_tagged(spark, {a: "台北市", b: "台中市"}, require=COLS, where=necessary()))
+    assert plan.count("FileScan csv") == 2 and plan.count("MapInArrow") == 1
 
 
 def test_paged_plan_broadcasts_offsets(spark):

@@ -193,9 +193,43 @@ def test_first_rows_dropper_on_arrow_batches():
         batch([("f-2", "f", 0), ("alias-g", "g", 0)]),    # state carried across batches
         batch([("g-1", "g", 0)]),
     ]
-    kept = [v for b in _first_rows_dropper("_file")(iter(batches)) for v in b.column("v").to_pylist()]
+    kept = [v for b in _first_rows_dropper("_file", None)(iter(batches)) for v in b.column("v").to_pylist()]
     assert kept == ["b1-0", "b1-1", "f-1", "f-2", "g-1"]
 
+    # typed: a first row goes only when its date shows an alias row
+    kept = [v for b in _first_rows_dropper("_file", "v")(iter([batch([("date", "f", 0), ("x", "f", 0), ("1080415", "g", 0)])]))
+            for v in b.column("v").to_pylist()]
+    assert kept == ["x", "1080415"]
+
+
+def test_records_are_cut_outside_quotes(monkeypatch):
+    import io
+
+    from strata.sources import records
+
+    data = b'a,"b\n""c""",d\r\n\r\n1,"2\r\n3",4\nlast'
+    for size in (1, 3, 1 << 16):
+        monkeypatch.setattr(records, "HEADER_READ_BYTES", size)
+        assert records._records(io.BytesIO(data), 2) == [b'a,"b\n""c""",d', b'1,"2\r\n3",4']
+        assert records._records(io.BytesIO(data), 9)[-1] == b"last" and records._records(io.BytesIO(b""), 2) == []
+
+
+@pytest.mark.parametrize("mode", ["positional", "typed", "none"])
+def test_where_equals_a_filter_after_reading(spark, tmp_dir, mode):
+    """Files with an alias row, without one, with one that meets the condition, and with only that."""
+    odd = list(ALIAS)
+    odd[COLS.index("主要用途")], odd[COLS.index("建物型態")] = "住家用", "住宅大樓 x"
+    paths = [write_city(tmp_dir, "A"), write_city(tmp_dir, "B", alias=None), write_city(tmp_dir, "E", alias=odd),
+             write_city(tmp_dir, "F", alias=odd, rows=[]), write_city(tmp_dir, "H", rows=[odd, odd, *ROWS])]
+    where = (F.col("主要用途") == "住家用") & F.col("建物型態").contains("住宅大樓")
+
+    def rows(df):
+        return sorted(map(str, df.collect()))
+
+    for require in (COLS, ["備註", "主要用途", "建物型態"], None):
+        plain = read_records(spark, paths, require=require, alias_row=mode)
+        assert rows(read_records(spark, paths, require=require, alias_row=mode, where=where)) == rows(plain.where(where))
+
 
 def test_non_csv_files_in_a_folder_are_ignored(spark, tmp_dir):
     write_city(tmp_dir, "A")
