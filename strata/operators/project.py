@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata import schema
@@ -56,6 +56,37 @@ def cast_columns(df: DataFrame, types: Mapping[str, str] | None = None) -> DataF
     return df.select(*out)
 
 
+def account_for(df: DataFrame, observation: Observation, types: Mapping[str, str] | None = None,
+                tokens: Iterable[str] = schema.NA_TOKENS) -> DataFrame:
+    """``df`` (raw text columns) with a count of what cleaning nulls, observed on the pass that reads it.
+
+    Per column of ``types``: ``missing:<column>`` values that are missing-value tokens and
+    ``failed:<column>`` other texts that do not cast to the declared type; and ``rows``.
+    The counts are there (``observation.get``) once an action has run.
+    """
+    types = schema.TYPE_BY_SOURCE if types is None else types
+    toks, counts = list(tokens), [F.count(F.lit(1)).alias("rows")]
+    for c in df.columns:
+        if c not in types:
+            continue
+        missing = F.col(c).isin(toks)
+        counts.append(F.count_if(missing).alias(f"missing:{c}"))
+        if types[c] != "string":
+            text = F.trim(F.col(c))
+            cast = integral(F.col(c), types[c]) if "int" in types[c] else text.try_cast(types[c])
+            counts.append(F.count_if(F.col(c).isNotNull() & ~missing & cast.isNull()).alias(f"failed:{c}"))
+    return df.observe(observation, *counts)
+
+
+def accounts(spark: SparkSession, observation: Observation, names: Mapping[str, str] | None = None) -> DataFrame:
+    """``field, n_missing, n_failed`` of every column (named by ``names``) that :func:`account_for` observed."""
+    names = schema.ALIAS_BY_SOURCE if names is None else names
+    got = observation.get
+    fields = [k.split(":", 1)[1] for k in got if k.startswith("missing:")]
+    rows = [(names.get(c, c), int(got[f"missing:{c}"]), int(got.get(f"failed:{c}", 0))) for c in fields]
+    return spark.createDataFrame(rows, "field string, n_missing bigint, n_failed bigint")
+
+
 def to_english(df: DataFrame, fields: Iterable[str] | None = None,
                keep: Iterable[str] = ()) -> DataFrame:
     """Select ``keep`` columns, then the record columns renamed to English.

@@ -13,9 +13,9 @@ class ColumnMismatch(ValueError):
     """Sources do not carry the same columns."""
 
 
-def tag(df: DataFrame, value: str, col: str = "city") -> DataFrame:
-    """Add a constant tag column."""
-    return df.withColumn(col, F.lit(value))
+def tag(df: DataFrame, value: str | None, col: str = "city") -> DataFrame:
+    """Add a constant tag column (null for a source without a tag)."""
+    return df.withColumn(col, F.lit(value).cast("string"))
 
 
 def assert_same_columns(frames: Mapping[str, DataFrame] | Iterable[DataFrame],
@@ -75,7 +75,7 @@ def tagged_union(frames: Mapping[str, DataFrame], col: str = "city") -> DataFram
 def source_counts(frames: Mapping[str, DataFrame], tag_col: str = "city") -> DataFrame:
     """``(tag_col, n_expected)``: row count of every source frame, before any union."""
     return union_all(df.agg(F.count(F.lit(1)).alias("n_expected"))
-                     .select(F.lit(t).alias(tag_col), "n_expected") for t, df in frames.items())
+                     .select(F.lit(t).cast("string").alias(tag_col), "n_expected") for t, df in frames.items())
 
 
 def reconcile_counts(df: DataFrame, tag_col: str = "city",
@@ -83,16 +83,43 @@ def reconcile_counts(df: DataFrame, tag_col: str = "city",
     """Per-tag row counts plus a grand total, in one aggregation pass.
 
     Returns ``(tag_col, n_rows)`` rows and one row with a null tag holding the
-    total (``rollup``).  With ``expected`` (``tag_col, n_expected``) the
-    result also has ``n_expected`` and ``ok`` (see :func:`source_counts`).
+    total (``rollup``); rows without a tag have a row of their own, with a null tag
+    too.  With ``expected`` (``tag_col, n_expected``) the result also has
+    ``n_expected`` and ``ok`` (see :func:`source_counts`).
     """
-    counts = df.rollup(tag_col).agg(F.count(F.lit(1)).alias("n_rows"))
+    counts = df.rollup(tag_col).agg(F.count(F.lit(1)).alias("n_rows"), F.grouping(tag_col).alias("_total"))
     if expected is None:
-        return counts
-    exp_total = expected.agg(F.sum("n_expected").alias("n_expected")).withColumn(tag_col, F.lit(None).cast("string"))
-    exp = expected.unionByName(exp_total.select(tag_col, "n_expected"))
-    joined = counts.join(exp, counts[tag_col].eqNullSafe(exp[tag_col]), "full_outer").select(
+        return counts.drop("_total")
+    exp = expected.rollup(tag_col).agg(F.sum("n_expected").alias("n_expected"), F.grouping(tag_col).alias("_total"))
+    joined = counts.join(exp, counts[tag_col].eqNullSafe(exp[tag_col]) & (counts["_total"] == exp["_total"]), "full_outer").select(
         F.coalesce(counts[tag_col], exp[tag_col]).alias(tag_col),
         F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
         F.coalesce("n_expected", F.lit(0)).alias("n_expected"))
     return joined.withColumn("ok", F.col("n_rows") == F.col("n_expected"))
+
+
+def content_sums(df: DataFrame, tag_col: str = "city", columns: Iterable[str] | None = None) -> DataFrame:
+    """``tag_col, n_rows, content``: per tag the number of rows and the sum of their hashes, whatever their order.
+
+    ``content`` is the pair of sums of two 64-bit hashes of the ``columns`` (all but the tag), as
+    text: one lost row and one that came twice leave the count alone but not the sums.
+    """
+    cols = [c for c in df.columns if c != tag_col] if columns is None else list(columns)
+    # nulls leave Spark's hashes as they are, so each column says whether it is null
+    row = [x for c in cols for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
+    sums = [F.sum(F.xxhash64(F.lit(seed), *row).cast("decimal(38,0)")).cast("string") for seed in (1, 2)]
+    return df.groupBy(tag_col).agg(F.count(F.lit(1)).alias("n_rows"), F.concat_ws(":", *sums).alias("content"))
+
+
+def reconcile_contents(df: DataFrame, expected: DataFrame, tag_col: str = "city", columns: Iterable[str] | None = None) -> DataFrame:
+    """``tag_col, n_rows, n_expected, ok``: per tag, whether ``df`` and ``expected`` hold the same bag of rows.
+
+    Rows of a null tag are a group of their own.  One aggregation of each side, summed map-side.
+    """
+    cols = [c for c in df.columns if c != tag_col] if columns is None else list(columns)
+    have = content_sums(df, tag_col, cols)
+    want = content_sums(expected, tag_col, cols).select(
+        F.col(tag_col).alias("_tag"), F.col("n_rows").alias("n_expected"), F.col("content").alias("_content"))
+    return have.join(want, have[tag_col].eqNullSafe(want["_tag"]), "full_outer").select(
+        F.coalesce(tag_col, "_tag").alias(tag_col), F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
+        F.coalesce("n_expected", F.lit(0)).alias("n_expected"), F.col("content").eqNullSafe(F.col("_content")).alias("ok"))
