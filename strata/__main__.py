@@ -14,10 +14,10 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from strata import schema
-from strata.plans.job import PAGE_EVENTS, nest_from_events, split_parts, transform, write_events
+from strata.plans.job import PAGE_EVENTS, necessary, nest_from_events, run, split_parts, transform, write_events
 from strata.sinks.json_lines import write_named_parts, write_parts
 from strata.session import size_for_input
-from strata.sources.records import city_files, list_files, read_tagged
+from strata.sources.records import city_files, list_files, read_tagged, report_foreign
 from strata.sources.zip_members import read_zip_members, tag_by_member
 
 
@@ -56,6 +56,9 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
                          "the lineage), then nest from that table")
     ap.add_argument("--explain", action="store_true",
                     help="print the formatted physical plan of the document before writing")
+    ap.add_argument("--report", action="store_true",
+                    help="print what became of the records: tokens and failed casts per column, events kept and "
+                         "written per city, values left after the filter (folders of CSV files; see plans.job.run)")
     ap.add_argument("--no-sizing", action="store_true",
                     help="keep the session's shuffle and split sizes (default: size them from the input bytes)")
     args = ap.parse_args(argv)
@@ -64,18 +67,32 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
         ap.error("--stream needs --events-dir")
     if args.stream and args.zip:
         ap.error("--stream watches a folder of CSV files; it does not read zip archives")
+    if args.report and (args.stream or args.zip or args.events_dir):
+        ap.error("--report reads a folder of CSV files and keeps its own events table")
     page = None if args.whole_cities else args.max_events_per_line
     spark = SparkSession.builder.appName("strata").getOrCreate()
     if not args.no_sizing:
         total = list_files(spark, [args.input]).agg(F.sum("length")).first()[0] or 0  # metadata only
         size_for_input(spark, total)
+    seed = args.seed if args.seed is not None else (None if args.split == "random" else 42)
+    named = {i: p for i, p in enumerate(args.part_paths.split(","))} if args.part_paths else None
+    if args.report:
+        report: dict = {}
+        written = run(spark, city_files(spark, args.input), args.output, n_fields=args.fields, split=args.split, n_parts=args.parts,
+                      seed=seed, files_per_part=args.files_per_part, alias_row=args.alias_row, multiline=args.multiline,
+                      part_paths=named, report=report, floors_mode=args.floors, combine_copies=args.combine_copies,
+                      max_events_per_line=page)
+        print(json.dumps(written, ensure_ascii=False))
+        print(json.dumps(report, ensure_ascii=False, default=str))
+        return written
     if args.stream:
-        from strata.streaming.arrivals import ingest_arrivals
+        from strata.streaming.arrivals import foreign_files, ingest_arrivals
 
         ingest_arrivals(spark, args.input, args.events_dir, n_fields=args.fields,
                         floors_mode=args.floors, columns=schema.required_columns(args.fields),
                         alias_row=args.alias_row,
                         max_files_per_trigger=args.max_files_per_trigger).awaitTermination()
+        report_foreign(foreign_files(spark, args.input))
         records = None
     elif args.zip:
         names = {schema.CITY_FILE_PATTERN.format(letter=k): v for k, v in schema.CITY_BY_LETTER.items()}
@@ -84,7 +101,7 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
         records = tag_by_member(rows, names)
     else:
         records = read_tagged(spark, city_files(spark, args.input), alias_row=args.alias_row, multiline=args.multiline,
-                              require=schema.required_columns(args.fields))
+                              require=schema.required_columns(args.fields), where=necessary())
     if args.events_dir:
         if records is not None:
             write_events(records, args.events_dir, n_fields=args.fields, floors_mode=args.floors)
@@ -97,10 +114,8 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
                         max_events_per_line=page)
     if args.explain:
         doc.explain("formatted")
-    seed = args.seed if args.seed is not None else (None if args.split == "random" else 42)
     parts = split_parts(doc, args.split, args.parts, seed)
-    if args.part_paths:
-        named = {i: p for i, p in enumerate(args.part_paths.split(","))}
+    if named:
         written = write_named_parts(parts, named, n_files=args.files_per_part)
     else:
         written = write_parts(parts, args.output, files_per_part=args.files_per_part)

@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata import schema
@@ -20,12 +20,14 @@ from strata.functions.dates import roc_to_date
 from strata.functions.numerals import floor_text, floors, floors_pandas_udf, floors_udf
 from strata.operators.inspect import distinct_values, top_n
 from strata.operators.nest import document_json, nest_events, nest_paged
-from strata.operators.split import balanced_split, hash_split, random_split
-from strata.operators.tagging import reconcile_counts, tagged_union
+from strata.operators.project import account_for, accounts
+from strata.operators.split import balanced_split, hash_split, keyed_split
+from strata.operators.tagging import reconcile_contents, reconcile_counts, tagged_union
 from strata.plans import standin
 from strata.plans.job import clean, filter_records, select_events, split_parts, transform
 from strata.session import scratch_path
-from strata.sinks.json_lines import write_parts
+from strata.sinks.json_lines import write_named_parts, write_parts
+from strata.sinks.published import publish_parts, read_published
 from strata.sinks.records_csv import write_records_csv
 from strata.sources.records import CSV_GLOB, list_files, read_tagged
 from strata.sources.zip_members import read_zip_members, tag_by_member
@@ -142,13 +144,15 @@ def q_project_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_distinct_use(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distinct use values left after the filter."""
-    return distinct_values(_kept(spark, sf_dir), schema.COL_USE).withColumnRenamed(schema.COL_USE, "main_use")
+    """Distinct use values of the high buildings whose type contains 'M'."""
+    high = clean(standin.records(spark, sf_dir)).where(F.col(schema.COL_TYPE).contains("M") & (F.col("Floors") >= schema.MIN_FLOORS))
+    return distinct_values(high, schema.COL_USE).withColumnRenamed(schema.COL_USE, "main_use")
 
 
 def q_distinct_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distinct building types left after the filter."""
-    return distinct_values(_kept(spark, sf_dir), schema.COL_TYPE).withColumnRenamed(schema.COL_TYPE, "type")
+    """Distinct building types left after the filter (types that contain 'M')."""
+    kept = filter_records(standin.records(spark, sf_dir), use_value=standin.STANDIN_USE, type_part="M")
+    return distinct_values(kept, schema.COL_TYPE).withColumnRenamed(schema.COL_TYPE, "type")
 
 
 def q_top_floor_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,7 +172,7 @@ def q_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     One source, the least by name, has lost its customers with a negative balance: its count and the total don't match.
     """
     frames = standin.segment_frames(spark, sf_dir)
-    first = min(frames)
+    first = min(f for f in frames if f is not None)
     union = tagged_union(frames | {first: frames[first].where("c_acctbal >= 0")}, col="city")
     # expected from the table itself, not from the frames that made the union
     expected = standin.table(spark, sf_dir, "customer").groupBy(F.col("c_mktsegment").alias("city")).agg(
@@ -176,6 +180,25 @@ def q_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile_counts(union, "city", expected)
 
 
+def q_reconcile_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Union contents per tag against the whole table; the least source has lost its least customer and has its greatest twice."""
+    frames = standin.segment_frames(spark, sf_dir)
+    first = min(f for f in frames if f is not None)
+    ends = frames[first].agg(F.min("c_custkey").alias("lo"), F.max("c_custkey").alias("hi")).first()
+    own = frames[first]
+    swapped = own.where(F.col("c_custkey") != ends["lo"]).unionByName(own.where(F.col("c_custkey") == ends["hi"]))
+    expected = standin.table(spark, sf_dir, "customer").withColumnRenamed("c_mktsegment", "city")
+    return reconcile_contents(tagged_union(frames | {first: swapped}, col="city"), expected)
+
+
+def q_reject_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What cleaning nulls, per column, counted on the pass that writes the kept events (dirty dates, notes with tokens)."""
+    seen = Observation("records")
+    kept = filter_records(account_for(_dirty(spark, sf_dir), seen), use_value=standin.STANDIN_USE, type_part=standin.STANDIN_TYPE_PART)
+    select_events(kept, 28).write.parquet(scratch_path(spark, "accounted"))
+    return accounts(spark, seen)
+
+
 def q_hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reproducible md5 bucket per key."""
     cust = standin.table(spark, sf_dir, "customer").select("c_custkey")
@@ -189,10 +212,12 @@ def q_balanced_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_random_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Seeded random split; the parts, put back together, are the input."""
+    """Seeded Bernoulli split of the keys into three parts with weights."""
     cust = standin.table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    a, b = random_split(cust, (0.5, 0.5), seed=7)
-    return a.unionByName(b)
+    return keyed_split(cust, "c_custkey", RANDOM_WEIGHTS, seed=7)
+
+
+RANDOM_WEIGHTS = (0.5, 0.3, 0.2)
 
 
 def _regions(spark: SparkSession, sf_dir: str) -> list[str]:
@@ -227,12 +252,17 @@ def q_csv_positional(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _all_columns(read_tagged(spark, _city_folders(spark, out), col="city", alias_row="positional"))
 
 
-def q_dirty_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records whose dates hold tokens, blanks and junk, written to files and read back in both alias modes."""
+def _dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stand-in records with dates that are tokens, blank or junk for three orders of seven."""
     kind = F.pmod(F.col("總價元").cast("bigint"), F.lit(7))
     date = F.when(kind == 0, "NA").when(kind == 1, "").when(kind == 2, "108/04/16").otherwise(F.col(schema.COL_DATE))
+    return standin.records(spark, sf_dir).withColumn(schema.COL_DATE, date)
+
+
+def q_dirty_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records whose dates hold tokens, blanks and junk, written to files and read back in both alias modes."""
     out = scratch_path(spark, "dirty")
-    write_records_csv(standin.records(spark, sf_dir).withColumn(schema.COL_DATE, date), out, tag_col="city")
+    write_records_csv(_dirty(spark, sf_dir), out, tag_col="city")
     folders = _city_folders(spark, out)
     frames = [clean(read_tagged(spark, folders, col="city", alias_row=mode)).select(
         F.lit(mode).alias("mode"), "city", F.col("編號").alias("number"), "date") for mode in ("positional", "typed")]
@@ -273,6 +303,31 @@ def q_json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select(F.col("part").cast("bigint").alias("part"), F.col("value").alias("line"))
 
 
+def q_overwrite_named(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts written twice to named paths, one file each, in overwrite mode: only the second result is there."""
+    out = scratch_path(spark, "named")
+    paths = {i: f"{out}/output{i + 1}.json" for i in range(2)}
+    pages = _transform(spark, sf_dir, max_events_per_line=PAGE_EVENTS)
+    for seed in (5, 42):
+        write_named_parts(split_parts(pages, "hash", 2, seed), paths, n_files=1)
+    lines = [spark.read.text(p).select(F.lit(i).cast("bigint").alias("part"), F.col("value").alias("line")) for i, p in paths.items()]
+    files = list_files(spark, [out], "part-*").select(F.regexp_extract("path", "/output([0-9]+)[.]json/", 1).cast("bigint").alias("of"))
+    files = files.groupBy((F.col("of") - 1).alias("of")).agg(F.count(F.lit(1)).alias("n_files"))
+    both = lines[0].unionByName(lines[1])
+    return both.join(files, both["part"] == files["of"]).select("part", "line", "n_files")
+
+
+def q_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A result published twice (one file a part): readers see the second one, whole."""
+    out = scratch_path(spark, "published")
+    pages = _transform(spark, sf_dir, max_events_per_line=PAGE_EVENTS)
+    for seed in (5, 42):
+        publish_parts(split_parts(pages, "hash", 2, seed), out, files_per_part=1)
+    back = read_published(spark, out)
+    files = back.groupBy(F.col("part").alias("of")).agg(F.count_distinct("file").alias("n_files"))
+    return back.join(files, F.col("part") == F.col("of")).select(F.col("part").cast("bigint").alias("part"), F.col("value").alias("line"), "n_files")
+
+
 def q_stream_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records land as per-city CSV files (alias row first); a file stream (availableNow)
     drops each file's alias row by position, cleans, filters and appends events."""
@@ -310,6 +365,8 @@ def queries() -> dict[str, Query]:
         "q_top_floor_texts": q_top_floor_texts,
         "q_tagged_union": q_tagged_union,
         "q_reconcile": q_reconcile,
+        "q_reconcile_contents": q_reconcile_contents,
+        "q_reject_counts": q_reject_counts,
         "q_hash_split": q_hash_split,
         "q_balanced_split": q_balanced_split,
         "q_random_split": q_random_split,
@@ -319,6 +376,8 @@ def queries() -> dict[str, Query]:
         "q_same_columns": q_same_columns,
         "q_zip_members": q_zip_members,
         "q_json_round_trip": q_json_round_trip,
+        "q_overwrite_named": q_overwrite_named,
+        "q_published": q_published,
         "q_stream_arrivals": q_stream_arrivals,
     }
 
@@ -419,6 +478,10 @@ ev AS (SELECT city, date, {full_event} AS e FROM kept),
 slots AS (SELECT city, date, list(e ORDER BY e NULLS FIRST) AS events FROM ev GROUP BY city, date)
 SELECT city, to_json(list({{'date': date, 'events': events}} ORDER BY date DESC NULLS LAST)) AS line
 FROM slots GROUP BY city"""
+    json_lines = f"""
+SELECT CAST(('0x' || substr(md5('42|' || city), 1, 8)) AS BIGINT) % 2 AS part,
+       '{{"city":"' || city || '","page":' || page || ',"time_slots":' || line || '}}' AS line
+FROM ({paged})"""
     return {
         "q_flagship": flagship,
         "q_flagship_full": flagship_full,
@@ -453,25 +516,37 @@ SELECT p_partkey, p_size * 19 AS floors_full, (p_size * 19) % 100 AS floors_comp
         "q_roc_date": f"SELECT {_NUMBER} AS number, CAST(l_shipdate AS DATE) AS date FROM lineitem",
         "q_high_rise": f"WITH {_REC} SELECT {_NUMBER} AS number, city, floors AS Floors FROM kept",
         "q_project_rename": round_trip,
-        "q_distinct_use": f"WITH {_REC} SELECT DISTINCT main_use FROM kept",
-        "q_distinct_type": f"WITH {_REC} SELECT DISTINCT type FROM kept",
+        "q_distinct_use": f"WITH {_REC} SELECT DISTINCT main_use FROM rec WHERE strpos(type, 'M') > 0 AND floors >= 13",
+        "q_distinct_type": f"WITH {_REC} SELECT DISTINCT type FROM rec WHERE main_use = 'R' AND strpos(type, 'M') > 0 AND floors >= 13",
         "q_top_floor_texts": f"""
 WITH {_REC}
 SELECT total_floor FROM (SELECT DISTINCT (SELECT {_FLOOR_TEXT} FROM (SELECT floors AS p_size)) AS total_floor FROM kept)
 ORDER BY total_floor DESC LIMIT 10""",
         "q_tagged_union": """
-SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment AS city FROM customer
-WHERE c_mktsegment IS NOT NULL""",
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment AS city FROM customer""",
         "q_reconcile": """
 WITH t AS (SELECT c_mktsegment, count(*) AS n_expected, count(*) FILTER (
-             c_acctbal >= 0 OR c_mktsegment <> (SELECT min(c_mktsegment) FROM customer)) AS n_rows
-           FROM customer WHERE c_mktsegment IS NOT NULL GROUP BY ROLLUP (c_mktsegment))
+             c_acctbal >= 0 OR c_mktsegment IS DISTINCT FROM (SELECT min(c_mktsegment) FROM customer)) AS n_rows
+           FROM customer GROUP BY ROLLUP (c_mktsegment))
 SELECT c_mktsegment AS city, n_rows, n_expected, n_rows = n_expected AS ok FROM t""",
+        "q_reconcile_contents": """
+SELECT c_mktsegment AS city, count(*) AS n_rows, count(*) AS n_expected,
+       c_mktsegment IS DISTINCT FROM (SELECT min(c_mktsegment) FROM customer) OR count(*) = 1 AS ok
+FROM customer GROUP BY c_mktsegment""",
+        "q_reject_counts": f"""
+WITH {_REC},
+n AS (SELECT count(*) FILTER (l_orderkey % 7 < 2) AS tokens, count(*) FILTER (l_orderkey % 7 = 2) AS junk,
+             count(*) FILTER (l_linenumber % 5 = 2) AS notes FROM rec)
+SELECT field, CASE field WHEN 'transaction_date' THEN tokens WHEN 'note' THEN notes ELSE 0 END AS n_missing,
+       CASE field WHEN 'transaction_date' THEN junk ELSE 0 END AS n_failed
+FROM n, (SELECT unnest([{", ".join(f"'{x}'" for x in schema.FULL_EVENT_FIELDS)}]) AS field)""",
         "q_hash_split": f"SELECT c_custkey, {_MD5_ORDER} % 2 AS part FROM customer",
         "q_balanced_split": f"""
 SELECT c_custkey, CAST(ntile(2) OVER (ORDER BY {_MD5_ORDER}, c_custkey) - 1 AS BIGINT) AS part
 FROM (SELECT DISTINCT c_custkey FROM customer)""",
-        "q_random_split": "SELECT c_custkey, c_name FROM customer",
+        "q_random_split": f"""
+SELECT c_custkey, c_name, CASE WHEN h < {round(2**32 * 0.5)} THEN 0 WHEN h < {round(2**32 * 0.8)} THEN 1 ELSE 2 END::BIGINT AS part
+FROM (SELECT *, {_MD5_ORDER.replace("42|", "7|")} AS h FROM customer)""",
         "q_csv_round_trip": round_trip,
         "q_stream_arrivals": f"WITH {_REC} SELECT city, date, district, type FROM kept",
         "q_zip_members": round_trip,
@@ -483,8 +558,7 @@ FROM rec CROSS JOIN (VALUES ('positional'), ('typed')) AS m(mode)""",
         "q_same_columns": f"""
 WITH {_REC}
 SELECT DISTINCT city, city <> (SELECT min(r_name) FROM region) AS same_columns FROM rec""",
-        "q_json_round_trip": f"""
-SELECT CAST(('0x' || substr(md5('42|' || city), 1, 8)) AS BIGINT) % 2 AS part,
-       '{{"city":"' || city || '","page":' || page || ',"time_slots":' || line || '}}' AS line
-FROM ({paged})""",
+        "q_overwrite_named": f"SELECT *, 1::BIGINT AS n_files FROM ({json_lines})",
+        "q_published": f"SELECT *, 1::BIGINT AS n_files FROM ({json_lines})",
+        "q_json_round_trip": json_lines,
     }

@@ -121,11 +121,12 @@ def roc_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         _txt(date_to_roc(F.col("l_shipdate"))).alias("交易年月日"))
 
 
-def segment_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """One customer frame per segment of the data, without the segment column (it becomes the tag)."""
+def segment_frames(spark: SparkSession, sf_dir: str) -> dict[str | None, DataFrame]:
+    """One customer frame per segment of the data (null: customers without one), the segment column left out (it becomes the tag)."""
     cust = table(spark, sf_dir, "customer")
-    segments = sorted(r[0] for r in cust.select("c_mktsegment").distinct().where("c_mktsegment IS NOT NULL").collect())
-    return {seg: cust.filter(F.col("c_mktsegment") == seg).drop("c_mktsegment") for seg in segments}
+    segments = [r[0] for r in cust.select("c_mktsegment").distinct().collect()]
+    return {seg: cust.where(F.col("c_mktsegment").eqNullSafe(F.lit(seg))).drop("c_mktsegment")
+            for seg in sorted(segments, key=lambda x: (x is None, x))}
 
 
 def _city_csv_writer(records_df: DataFrame, out_dir: str, tag_col: str, as_zip: bool):
