@@ -6,7 +6,7 @@ neither the driver nor any one task ever holds a whole archive:
 1. **List members** - the archive files are listed (metadata only) and each
    executor reads just the central directory of its archives (random access
    at the end of the file), giving one row per matching CSV member.
-2. **Parse members** - the member rows are spread over tasks; each task
+2. **Parse members** - the member rows are dealt to tasks by size; each task
    seeks to its member and stream-parses it with Arrow's CSV reader (quoted
    commas, doubled quotes, line breaks in fields, BOM), batch by batch.
 
@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 
 from strata import schema
 from strata.operators.project import null_tokens
+from strata.operators.rank import row_number_by_range
 from strata.operators.tagging import ColumnMismatch
 from strata.session import default_parallelism
 from strata.sources.paths import open_path
@@ -121,6 +122,18 @@ def report_unwanted(members: DataFrame) -> int:
     return int(row["n"])
 
 
+def dealt_by_size(members: DataFrame, n_tasks: int) -> DataFrame:
+    """The members in ``n_tasks`` partitions of about equal bytes.
+
+    Members are numbered from the largest to the smallest and dealt to the tasks to and
+    fro, so a task's bytes exceed another's by at most the largest member's.
+    """
+    order = [F.col("size").desc(), F.col("archive").asc(), F.col("member").asc()]
+    turn = F.pmod(F.col("_turn"), F.lit(2 * n_tasks))
+    task = F.when(turn < n_tasks, turn).otherwise(2 * n_tasks - 1 - turn).cast("int")
+    return row_number_by_range(members, order, out_col="_turn").repartitionById(n_tasks, task).drop("_turn")
+
+
 def read_zip_members(
     spark: SparkSession,
     archives: Iterable[str] | str,
@@ -145,8 +158,7 @@ def read_zip_members(
     members = zip_member_list(spark, archives, member_pattern, names)
     if names is not None:
         report_unwanted(members)
-    # spread the member rows (one per member) over tasks, a few members per task
-    members = members.where("wanted").repartition(max(1, 2 * default_parallelism(spark)), "archive", "member")
+    members = dealt_by_size(members.where("wanted"), max(1, 2 * default_parallelism(spark)))
     spark_schema = T.StructType(
         [T.StructField(c, T.StringType()) for c in cols]
         + [T.StructField(ARCHIVE_COL, T.StringType()), T.StructField(MEMBER_COL, T.StringType()),

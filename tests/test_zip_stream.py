@@ -1,6 +1,7 @@
 import os
 import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from fixtures import ALIAS, COLS, ROWS, csv_text, write_city
@@ -126,3 +127,17 @@ def test_stream_parser_drops_only_the_first_row_across_chunks(tmp_dir):
     finally:
         pacsv.ReadOptions = original
     assert rows == [r[0] for r in ROWS]  # only the alias row is gone
+
+
+@pytest.mark.parametrize("sizes", [[5000] + [100] * 60, list(range(1, 80)), [7], [0, 0, 0]])
+def test_members_are_dealt_by_size(spark, sizes):
+    """One large and many small members: no task has more than the mean and the largest member."""
+    from strata.sources.zip_members import dealt_by_size
+
+    rows = [("z.zip", f"m{i}", n, True) for i, n in enumerate(sizes)]
+    dealt = dealt_by_size(spark.createDataFrame(rows, "archive string, member string, size bigint, wanted boolean").repartition(3), 8)
+    assert dealt.rdd.getNumPartitions() == 8
+    got = [(r["p"], r["size"]) for r in dealt.selectExpr("spark_partition_id() AS p", "size").collect()]
+    held = [sum(n for p, n in got if p == t) for t in range(8)]
+    assert sorted(n for _, n in got) == sorted(sizes)
+    assert max(held) <= sum(sizes) / 8 + max(sizes) and max(held) - min(held) <= max(sizes)
