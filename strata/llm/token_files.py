@@ -255,7 +255,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def write_ids(documents: DataFrame, folder: str, path: str | None = None) -> None:
     """Encode ``documents`` and write them in this module's format to ``folder``."""
     spark = documents.sparkSession
-    table = written(id_table(documents, path), "ids")
+    table = written(id_table(documents, path), "ids", "zstd")
     counts = sorted((r["id"], r["n"]) for r in count_ids(table).collect())  # at most one row per id of the vocabulary
     ids = np.array([c[0] for c in counts], np.int64)
     bits = code_lengths(np.array([c[1] for c in counts], np.int64))

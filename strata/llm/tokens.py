@@ -9,10 +9,12 @@ from __future__ import annotations
 import base64
 import functools
 import re
+import sys
+from array import array
 
 import numpy as np
 
-REMEMBERED = 400_000  # pieces a task remembers; the first ones met stay
+REMEMBERED = 700_000  # pieces a Python worker remembers; the first ones met stay
 LONGEST_REMEMBERED = 48
 # a run of letters up to a Latin letter that a printable ASCII character other than a letter follows
 _CORE = re.compile(r"[^\W\d_]+(?<=[A-Za-zÀ-ÖØ-öø-įı-ɏ])(?=[!-@\[-`{-~])")
@@ -48,11 +50,12 @@ class WordEncoder(dict):
 
     def __init__(self, path: str, dtype: str = "<u4"):
         super().__init__()
-        self.dtype = dtype
+        self._kind = {"<u2": "H", "<u4": "I"}[dtype]
         self.tok = load_tokenizer(path)
         self._cores: dict[str, bytes] = {}
-        self._special = tuple(t.content for t in self.tok.get_added_tokens_decoder().values())
-        if any(" " in s for s in self._special) or self.tok.encode("a b", add_special_tokens=False).ids != (
+        special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        self._special = re.compile("|".join(map(re.escape, special)) or "(?!)").search
+        if any(" " in s for s in special) or self.tok.encode("a b", add_special_tokens=False).ids != (
                 self.tok.encode("a", add_special_tokens=False).ids + self.tok.encode("b", add_special_tokens=False).ids):
             raise ValueError("this vocabulary does not drop white space")
         # a capital stands for a letter that ends a word; ids ascend in the order of merges
@@ -65,14 +68,20 @@ class WordEncoder(dict):
             self._letters = tiktoken.Encoding("letters", pat_str="[a-z]*[A-Z]", mergeable_ranks=ranks, special_tokens={})
 
     def _ids(self, piece: str) -> bytes:
-        return np.array(self.tok.encode(piece, add_special_tokens=False).ids, self.dtype).tobytes()
+        return self._packed(self.tok.encode(piece, add_special_tokens=False).ids)
+
+    def _packed(self, ids: list[int]) -> bytes:
+        out = array(self._kind, ids)
+        if sys.byteorder == "big":
+            out.byteswap()
+        return out.tobytes()
 
     def _core(self, piece: str) -> bytes:
         key = piece.lower() if piece.isascii() else piece
         got = self._cores.get(key)
         if got is None:
             if self._letters is not None and piece.isascii() and piece.isalpha():
-                got = np.array(self._letters.encode_ordinary(key[:-1] + key[-1].upper()), self.dtype).tobytes()
+                got = self._packed(self._letters.encode_ordinary(key[:-1] + key[-1].upper()))
             else:
                 got = self._ids(piece)
             if len(self._cores) < REMEMBERED and len(key) <= LONGEST_REMEMBERED:
@@ -81,7 +90,7 @@ class WordEncoder(dict):
 
     def __missing__(self, piece: str) -> bytes:
         cut = _CORE.match(piece)
-        if any(s in piece for s in self._special):
+        if self._special(piece):
             got = self._ids(piece)
         elif cut:
             got = self._core(cut[0]) + self._core(piece[cut.end():])
