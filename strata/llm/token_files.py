@@ -107,7 +107,7 @@ class Codes:
     def decoder(self) -> tuple[np.ndarray, np.ndarray]:
         """``id, bits`` by the next ``MAX_BITS`` bits."""
         width = 1 << (MAX_BITS - self.bits)
-        ids, bits = np.zeros(1 << MAX_BITS, np.uint32), np.ones(1 << MAX_BITS, np.int64)
+        ids, bits = np.zeros(1 << MAX_BITS, np.uint32), np.ones(1 << MAX_BITS, np.uint8)  # small tables stay in the cache
         ids[:width.sum()], bits[:width.sum()] = np.repeat(self.ids, width), np.repeat(self.bits, width)
         return ids, bits
 
@@ -151,14 +151,16 @@ def decode_block(payload: bytes, checkpoints: np.ndarray, lengths: np.ndarray, i
     order = np.argsort(-left, kind="stable")  # so that lanes still open stand in front
     at = np.asarray(checkpoints, np.int64)[order]
     open_ = len(left) - np.searchsorted(left[order][::-1], np.arange(STRIDE), side="right")
-    out = np.zeros((len(left), STRIDE), np.uint32)
+    steps = np.zeros((STRIDE, len(left)), np.uint32)
     for step in range(STRIDE):
         n = open_[step]
         if not n:
             break
         key = (window[at[:n] >> 3] << (at[:n] & 7).astype(np.uint32)) >> np.uint32(32 - MAX_BITS)
-        out[order[:n], step] = ids_of[key]
+        steps[step, :n] = ids_of[key]
         at[:n] += bits_of[key]
+    out = np.empty((len(left), STRIDE), np.uint32)
+    out[order] = steps.T
     return out[np.arange(STRIDE) < left[:, None]]
 
 
