@@ -10,20 +10,27 @@ whole string is the chain of these last tokens, read back from its end; a token
 is *stable*, and emitted, as soon as the chains of all prefixes that a future
 token can still start from run through it.
 
-How long that takes is bounded by the merge list: a symbol appended at the right
-can change tokens further left only through a chain of merges of rising rank,
-each of which loses its right part to the one before.  :attr:`Merges.lookahead`
-is the length of the longest such chain in bytes.  The transducer holds the
-symbols of that window and the longest token, however long the text; emission
-itself waits for the chains to agree and so is exact in any case.
+How far back that is, the merge list bounds.  Compare the merging of a text with
+that of the same text and more behind it, merge by merge.  Up to some border both
+have the same tokens.  The border moves left only when, in one of the two, the token
+before it merges with what starts at it; that token, or what it became, then starts
+at the new border, so the next such merge has a right part that begins with it,
+and a higher rank.  :attr:`Merges.lookahead` is the most bytes that such a chain of
+merges of rising rank moves the border.  Tokens of a prefix that end that far before
+its end are *stable*: no continuation changes them.  The transducer emits them,
+checks that the tokens behind them go on from there, and holds the symbols of two
+such windows, however long the text.
 
 Decoding is incremental too: :class:`Decoder` is fed ids and gives text as soon
 as it is certain, either as the tokenizers library's ``decode`` does for this
 vocabulary (tokens joined by spaces) or as running text, where a state machine
 holds back the bytes of an unfinished character.
 
-Texts are read in slices cut at white space, so normalisation holds a slice at
-a time.  Results equal the library's with ``add_special_tokens=False``.
+Texts are read in slices, cut at white space or, where there is none, before a
+character that does not compose with the one before it, so that normalisation,
+pre-tokens and symbols hold a slice at a time.  (A run of combining marks is one
+slice: their order is a matter of the whole run.)  Results equal the library's with
+``add_special_tokens=False``.
 
 Defined results: null counts as empty and has no ids; special tokens' strings
 give their ids, as in the library; equal texts give equal results; repeated
@@ -36,6 +43,7 @@ import codecs
 import functools
 import hashlib
 import json
+import sys
 import unicodedata
 from collections.abc import Iterator
 
@@ -47,14 +55,14 @@ from strata.llm.tokens import tokenizer_path
 
 VOCABULARY = "word_bpe_49k.json"
 # Fixed by the vocabulary file: what counts as white space, its pre-token pattern, its end-of-word mark.
-WHITE = r"\t-\r\x20\x85\xa0  -     　"
+WHITE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PRE_TOKEN = rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{WHITE}\p{{L}}\p{{N}}]+"
+LONGEST_FIXED = 3  # characters of the longest pre-token that is not a run
 END = "</w>"
 
 SLICE = 8192
 REMEMBERED = 300_000
 LONGEST_REMEMBERED = 32
-EMIT_EVERY = 64  # symbols between two looks for stable tokens
 PAIRS_REMEMBERED = 1_000_000
 NEVER = 1 << 60
 
@@ -86,10 +94,10 @@ class Merges:
             self.parts[whole], self.made[whole] = (left, right), r
         self.size = {t: len(s.removesuffix(END)) for s, t in self.vocab.items()}
         self.longest = max(self.size.values())
-        self.lookahead = self._lookahead()
         self._fits: dict[int, bool] = {}
         self._right: dict[int, list[tuple[int, int]]] = {}
         self._left: dict[int, list[tuple[int, int]]] = {}
+        self.lookahead = self._lookahead()
         # tokens that their own string does not encode to are never used
         self.usable: dict[str, int] = {}
         unusable: set[int] = set()
@@ -105,14 +113,21 @@ class Merges:
         self.tails.update(self.usable)
 
     def _lookahead(self) -> int:
-        """Bytes of the longest chain of merges of rising rank, each one's left part the right part of the next."""
-        best: dict[int, int] = {}
-        longest = self.longest
-        for (left, right), _ in sorted(self.rank.items(), key=lambda x: -x[1]):
-            chain = self.size[right] + best.get(left, self.size[left])
-            best[right] = max(best.get(right, 0), chain)
-            longest = max(longest, chain)
-        return longest
+        """Most bytes by which a chain of merges of rising rank moves the border of what two texts share."""
+        farthest: dict[int, int] = {}  # token -> most bytes of a chain whose first right part begins with it
+        waiting: dict[int, list[tuple[int, int]]] = {}
+        most = 0
+        for (left, right), rank in sorted(self.rank.items(), key=lambda x: -x[1]):
+            for token, chain in waiting.pop(rank, ()):  # parts of a right part: there until this rank
+                farthest[token] = max(farthest.get(token, 0), chain)
+            chain = self.size[left] + farthest.get(left, 0)
+            most = max(most, chain)
+            for token, until in self._spine(right, 0):
+                if until == NEVER:
+                    farthest[token] = max(farthest.get(token, 0), chain)
+                else:
+                    waiting.setdefault(until, []).append((token, chain))
+        return most
 
     def _spine(self, token: int, side: int) -> list[tuple[int, int]]:
         """The parts of ``token`` at one edge, outermost first, each with the rank at which it is used up."""
@@ -143,6 +158,13 @@ class Merges:
                     return True
         return False
 
+    @functools.cached_property
+    def bytes(self) -> dict[int, bytes]:
+        """The bytes of every id in running text, a space at each end of a word."""
+        byte = {s: b for b, s in enumerate(byte_symbols())}
+        found = {i: bytes(byte[c] for c in n.removesuffix(END)) + b" " * n.endswith(END) for n, i in self.vocab.items()}
+        return found | {i: n.encode() for n, i in self.special.items()}
+
     def compatible(self, left: int, right: int) -> bool:
         pair = left << 20 | right
         known = self._fits.get(pair)
@@ -184,42 +206,37 @@ class WordTransducer:
                     last[end] = (token, start)
                     break
 
-    def _chain(self, end: int, start: int) -> list[int]:
+    def _chain(self, end: int) -> list[int]:
+        """The tokens from what is emitted to ``end``, which must go on from there."""
         out = []
-        while end > start:
+        while end > self.emitted:
             token, end = self.last[end]
             out.append(token)
+        if end != self.emitted:
+            raise AssertionError("an emitted token was not stable")
         return out[::-1]
 
     def feed(self, symbols: str) -> list[int]:
         """Take more symbols, none of them the word's last; return the tokens that are stable now."""
         out: list[int] = []
-        for at in range(0, len(symbols), EMIT_EVERY):
+        step = self.m.lookahead
+        for at in range(0, len(symbols), step):
             end = self.base + len(self.buffer)
-            piece = symbols[at:at + EMIT_EVERY]
+            piece = symbols[at:at + step]
             self.buffer += piece
             self._extend(end + 1, end + len(piece) + 1, "")
-            if end + len(piece) - self.emitted > self.m.longest:
+            if end + len(piece) - self.emitted > 2 * step:
                 out += self._stable(end + len(piece))
         return out
 
     def _stable(self, end: int) -> list[int]:
-        """Tokens up to the border that the chains of all open prefixes run through."""
-        open_ = sorted({*range(max(self.emitted, end - self.m.longest), end + 1)})
-        while len(open_) > 1:
-            top = open_.pop()
-            before = self.last[top][1]
-            if before < self.emitted:
-                return []
-            if before < open_[0]:
-                open_.insert(0, before)
-            elif before not in open_:
-                open_.append(before)
-                open_.sort()
-        border = open_[0]
+        """The tokens that end at least the lookahead before ``end``."""
+        border = end
+        while border > end - self.m.lookahead:
+            border = self.last[border][1]
         if border <= self.emitted:
             return []
-        out = self._chain(border, self.emitted)
+        out = self._chain(border)
         for p in range(self.emitted, border):
             self.last.pop(p, None)
         self.buffer = self.buffer[border - self.base:]
@@ -231,7 +248,7 @@ class WordTransducer:
         end = self.base + len(self.buffer) + 1
         self.buffer += symbol
         self._extend(end, end + 1, END)
-        return self._chain(end, self.emitted)
+        return self._chain(end)
 
 
 class Encoder(dict):
@@ -245,17 +262,35 @@ class Encoder(dict):
         self._symbols = byte_symbols()
         self._table = str.maketrans({chr(b): s for b, s in enumerate(self._symbols)})
         self._pre = regex.compile(PRE_TOKEN)
+        self._letters, self._others = regex.compile(r"\p{L}*"), regex.compile(rf"[^{WHITE}\p{{L}}\p{{N}}]*")
         self._white = regex.compile(f"[{WHITE}]")
-        self._special = regex.compile("(" + "|".join(regex.escape(s) for s in self.m.special) + ")")
-
-    def _slices(self, text: str) -> Iterator[str]:
-        """The text in order, cut at white space after every ``SLICE`` characters."""
-        start = 0
-        while start < len(text):
-            found = self._white.search(text, start + SLICE)
-            end = found.start() if found else len(text)
-            yield text[start:end]
+        self._special = regex.compile("|".join(regex.escape(s) for s in self.m.special))
+
+    @functools.cached_property
+    def _joining(self) -> set[str]:
+        """Characters that may compose with the one before them."""
+        pairs = (unicodedata.decomposition(chr(c)).split() for c in range(sys.maxunicode + 1))
+        seconds = {chr(int(p[1], 16)) for p in pairs if len(p) == 2 and not p[0].startswith("<")}
+        return seconds | {chr(c) for c in (*range(0x1161, 0x1176), *range(0x11A8, 0x11C3))}
+
+    def _begins(self, char: str) -> bool:
+        """Whether what is before this character has no part in its normal form."""
+        if char.isascii():
+            return True
+        first = unicodedata.normalize("NFD", char)[0]
+        return not unicodedata.combining(first) and first not in self._joining
+
+    def _slices(self, text: str, start: int, stop: int) -> Iterator[tuple[str, bool]]:
+        """``text[start:stop]`` in order, and whether each slice ends at white space or the end."""
+        while stop - start > SLICE:
+            found = self._white.search(text, start + SLICE, min(stop, start + 2 * SLICE))
+            end = found.start() if found else start + SLICE
+            while end < stop and not self._begins(text[end]):
+                end += 1
+            yield text[start:end], found is not None or end == stop
             start = end
+        if start < stop:
+            yield text[start:stop], True
 
     @staticmethod
     def _normal(text: str) -> str:
@@ -265,9 +300,12 @@ class Encoder(dict):
         # letter by letter: the library knows no final sigma
         return "".join(c.lower() for c in text) if "Σ" in text else text.lower()
 
+    def _bytes_of(self, text: str) -> str:
+        return text.encode("utf-8", "replace").decode("latin-1").translate(self._table)
+
     def word(self, pre_token: str) -> list[int]:
         """Ids of one pre-token, by the transducer."""
-        symbols = pre_token.encode("utf-8", "replace").decode("latin-1").translate(self._table)
+        symbols = self._bytes_of(pre_token)
         t = WordTransducer(self.m)
         return t.feed(symbols[:-1]) + t.finish(symbols[-1])
 
@@ -277,14 +315,45 @@ class Encoder(dict):
             self[pre_token] = got
         return got
 
+    def _plain(self, text: str, start: int, stop: int) -> Iterator[list[int]]:
+        """Lists of ids of a stretch without special tokens; a run longer than a slice is fed as it comes."""
+        carry, run = "", None  # characters not settled yet; the rest of an open run
+        word, held = None, ""  # its transducer, and its last symbol so far
+        for part, closed in self._slices(text, start, stop):
+            part = carry + self._normal(part)
+            at, ids, carry = 0, [], ""
+            if run is not None:
+                at = run.match(part).end()
+                symbols = held + self._bytes_of(part[:at])
+                ids, held = word.feed(symbols[:-1]), symbols[-1]
+                if at == len(part) and not closed:
+                    yield ids
+                    continue
+                ids, run = ids + word.finish(held), None
+            if closed:
+                yield ids + [i for w in self._pre.findall(part, at) for i in self[w]]
+                continue
+            for m in self._pre.finditer(part, at):
+                if m.end() < len(part) and m.start() + LONGEST_FIXED <= len(part):
+                    ids += self[m[0]]
+                    continue
+                if m.end() == len(part) and len(m[0]) > max(LONGEST_FIXED, SLICE // 2):
+                    run = self._letters if self._letters.match(m[0]).end() else self._others
+                    symbols, word = self._bytes_of(m[0]), WordTransducer(self.m)
+                    ids, held = ids + word.feed(symbols[:-1]), symbols[-1]
+                else:
+                    carry = part[m.start():]
+                break
+            yield ids
+
     def stream(self, text: str | None) -> Iterator[list[int]]:
         """Lists of ids, in order, a slice's worth at a time."""
-        for part in self._slices(text or ""):
-            for piece in self._special.split(part) if "<|" in part else (part,):
-                if piece in self.m.special:
-                    yield [self.m.special[piece]]
-                elif piece:
-                    yield [i for w in self._pre.findall(self._normal(piece)) for i in self[w]]
+        text, start = text or "", 0
+        for found in self._special.finditer(text) if "<|" in text else ():
+            yield from self._plain(text, start, found.start())
+            yield [self.m.special[found[0]]]
+            start = found.end()
+        yield from self._plain(text, start, len(text))
 
     def encode(self, text: str | None) -> list[int]:
         return [i for ids in self.stream(text) for i in ids]
@@ -309,16 +378,12 @@ class Decoder:
         self._names = merges.names
         self._first = True
         self._utf8 = codecs.getincrementaldecoder("utf-8")("replace")
-        if not spaced:
-            byte = {s: b for b, s in enumerate(byte_symbols())}
-            self._bytes = {i: bytes(byte[c] for c in n.removesuffix(END)) + b" " * n.endswith(END)
-                           for i, n in merges.names.items() if n not in merges.special}
-            self._special = {i: n.encode() for n, i in merges.special.items()}
+        self._bytes = {} if spaced else merges.bytes
 
     def feed(self, ids: list[int]) -> str:
         """The text that these ids make certain."""
         if not self.spaced:
-            return self._utf8.decode(b"".join(self._bytes.get(i) or self._special[i] for i in ids))
+            return self._utf8.decode(b"".join([self._bytes[i] for i in ids]))
         text = " ".join([self._names[i] for i in ids])
         if ids and not self._first:
             text = " " + text
@@ -351,25 +416,35 @@ def transduce(documents: DataFrame, path: str | None = None) -> DataFrame:
 
 
 def round_trip(documents: DataFrame, path: str | None = None) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256``: each slice's ids are decoded and digested as they come."""
+    """Every document encoded and decoded; each slice's ids are decoded and digested as they come.
+
+    ``doc_id, n_tokens, ids_sha256, decoded_sha256`` (tokens joined by spaces), and
+    ``running_chars, running_sha256`` of the running text that the byte machine gives.
+    """
     path = path or tokenizer_path(VOCABULARY)
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, running_chars long, running_sha256 string"
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(path)
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                n, of_ids, of_text, decoder = 0, hashlib.sha256(), hashlib.sha256(), Decoder(encoder.m)
+                n, chars, of_ids, of_text, of_running = 0, 0, hashlib.sha256(), hashlib.sha256(), hashlib.sha256()
+                decoder, machine = Decoder(encoder.m), Decoder(encoder.m, spaced=False)
                 for ids in encoder.stream(text):
                     if ids:
                         of_ids.update((" " * (n > 0) + " ".join(map(str, ids))).encode())
                         of_text.update(decoder.feed(ids).encode())
-                        n += len(ids)
+                        running = machine.feed(ids)
+                        of_running.update(running.encode())
+                        n, chars = n + len(ids), chars + len(running)
                 of_text.update(decoder.finish().encode())
-                rows.append((doc_id, n, of_ids.hexdigest(), of_text.hexdigest()))
-            cols = list(zip(*rows, strict=True)) if rows else [()] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, [pa.int64(), pa.int64(), pa.string(), pa.string()], strict=True)],
-                                             names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+                rest = machine.finish()
+                of_running.update(rest.encode())
+                rows.append((doc_id, n, of_ids.hexdigest(), of_text.hexdigest(), chars + len(rest), of_running.hexdigest()))
+            cols = list(zip(*rows, strict=True)) if rows else [()] * len(kinds)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)],
+                                             names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "running_chars", "running_sha256"])
+
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -74,7 +76,7 @@ def test_running_text_holds_the_pre_tokens(encoder):
 
 
 def test_window_stays_within_the_lookahead(encoder):
-    bound = encoder.m.lookahead + encoder.m.longest + bpe.EMIT_EVERY
+    bound = 2 * encoder.m.lookahead + 1
     rng = random.Random(8)
     for letters in ("a", "ath", "!?=", "abcdefghijklmnopqrstuvwxyz"):
         t = bpe.WordTransducer(encoder.m)
@@ -83,6 +85,53 @@ def test_window_stays_within_the_lookahead(encoder):
             assert len(t.buffer) <= bound and len(t.last) <= bound
 
 
+def test_slices_of_any_size_give_the_same_ids(samples, encoder, monkeypatch):
+    rng = random.Random(9)
+    tok = load_tokenizer(WORD)
+    unspaced = ["".join(rng.choice(letters) for _ in range(2000)) for letters in
+                ("abcthe", "!?.'", "a1'r", "'redvlmst", "\u1100\u1161\u11a8\uac00", "e\u0301\u0327\u0915\u093c", "\u0130\u03a3i\u0307")]
+    unspaced += ["ab" * 300 + "<|endoftext|>" + "!" * 500 + "<|endoftext|>\u0301x", "a\u0301" * 400 + "\u0301" * 300 + "b", "x" + " " * 400 + "y"]
+    expected = [tok.encode(t, add_special_tokens=False).ids for t in samples + unspaced]
+    for size in (1, 7, 16, 100):
+        monkeypatch.setattr(bpe, "SLICE", size)
+        assert [encoder.encode(t) for t in samples + unspaced] == expected
+
+
+def test_memory_does_not_grow_with_a_text_without_spaces(encoder):
+    peaks = []
+    for n in (60_000, 300_000):
+        text = "thecatsa" * (n // 8)
+        sum(map(len, encoder.stream(text[:20_000])))
+        tracemalloc.start()
+        assert sum(map(len, encoder.stream(text))) > 0
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert peaks[1] < 1.2 * peaks[0] + 100_000 and peaks[1] < 4_000_000
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_lookahead_of_small_merge_lists(seed, tmp_path):
+    rng = random.Random(seed)
+    letters = "abc"[:rng.choice([1, 2, 2, 3])]
+    names, merges = [*letters, *(c + bpe.END for c in letters)], []
+    for _ in range(rng.randint(1, 14)):
+        left, right = rng.choice([n for n in names if not n.endswith(bpe.END)]), rng.choice(names)
+        if left + right not in names and len(left + right) < 20:
+            names.append(left + right)
+            merges.append([left, right])
+    path = tmp_path / "merges.json"
+    path.write_text(json.dumps({"model": {"vocab": {n: i for i, n in enumerate(names)}, "merges": merges}, "added_tokens": []}))
+    m = bpe.Merges(str(path))
+    for _ in range(150):
+        text = "".join(rng.choice(letters) for _ in range(rng.randint(1, 80)))
+        cut = rng.randint(1, len(text))
+        ends = [set(np.cumsum([m.size[i] for i in _plain_bpe(m, list(t))]).tolist()) for t in (text[:cut], text)]
+        assert {e for e in ends[0] if e <= cut - m.lookahead} == {e for e in ends[1] if e <= cut - m.lookahead}
+        t = bpe.WordTransducer(m)
+        got = [i for c in text[:-1] for i in t.feed(c)] + t.finish(text[-1])
+        assert got == _plain_bpe(m, [*text[:-1], text[-1] + bpe.END])
+
+
 def _plain_bpe(m, symbols):
     ids = [m.vocab[s] for s in symbols]
     while True:
@@ -112,12 +161,16 @@ def test_round_trip_rows(documents, no_documents, texts, encoder):
     expected = Counter()
     for i, t in texts:
         ids = tok.encode(t or "", add_special_tokens=False).ids
+        special = encoder._special
+        parts = special.splititer(t or ""), special.findall(t or "") + [""]
+        running = "".join("".join(w + " " for w in encoder._pre.findall(encoder._normal(part))) + s for part, s in zip(*parts, strict=True))
         expected[i, len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(),
-                 hashlib.sha256(tok.decode(ids, skip_special_tokens=False).encode()).hexdigest()] += 1
+                 hashlib.sha256(tok.decode(ids, skip_special_tokens=False).encode()).hexdigest(),
+                 len(running), hashlib.sha256(running.encode()).hexdigest()] += 1
     assert Counter(tuple(r) for r in bpe.round_trip(documents).collect()) == expected
     assert bpe.round_trip(no_documents).count() == 0
     rows = bpe.transduce(documents).collect()
-    assert Counter((r["doc_id"], len(r["ids"])) for r in rows) == Counter((i, n) for (i, n, _, _), c in expected.items() for _ in range(c))
+    assert Counter((r["doc_id"], len(r["ids"])) for r in rows) == Counter((e[0], e[1]) for e, c in expected.items() for _ in range(c))
 
 
 # --- packing ----------------------------------------------------------------
