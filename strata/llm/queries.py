@@ -53,8 +53,9 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Token counts of every document before and after its redactions, re-encoding what they touch."""
-    return token_counts.redacted_counts(table(spark, sf_dir, "documents"))
+    """Token counts of every document before and after its redactions, re-encoding what they touch in the kept trees."""
+    trees = written(token_counts.build_trees(table(spark, sf_dir, "documents")), "count-trees", "zstd")
+    return token_counts.redacted_counts(trees)
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

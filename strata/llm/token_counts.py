@@ -1,4 +1,4 @@
-"""Edit-aware token counts: a tree of pre-tokens per document, re-encoded only where edits touch it.
+"""Edit-aware token counts: a kept tree of pre-tokens per document, re-encoded only where edits touch it.
 
 A document's pre-tokens are the leaves of a tree, ``BLOCK`` to a bottom node;
 every node knows the characters and tokens below it.  An edit finds its place by
@@ -8,24 +8,34 @@ text is cut into pre-tokens again until a cut falls on an old one behind the
 edit, after which everything is as before.  Only those pre-tokens are encoded,
 and the sums on the way to the root are updated.
 
+Trees are kept: :func:`build_trees` encodes every text once and gives a table of
+leaves (``doc_id, text, lengths, tokens``), which its caller writes.
+:func:`apply_edits` joins edits to such a table and gives the table after them;
+it restores a tree from its leaves without cutting or encoding the text, so
+every later round encodes what its own edits touch and no more.
+
 Token counts are those of a byte-level vocabulary (``byte_bpe_50k``) for
 ordinary text: special tokens' strings count as text.
 
 Defined results: a null text counts as empty (0 tokens); null or no edits leave a
-document as it is; an edit reaching past the end stops there; edits apply one
-after the other, each to the text that the one before left; repeated rows and
-null ids keep their rows; other columns are not read.
+document as it is; null places count as 0 and null additions as empty; an edit
+reaching past the end stops there; edits apply one after the other (by ``seq``, then
+by their other values where that repeats), each to the text that the one before
+left; edits of an unknown or null id touch nothing; every row of a repeated id gets
+that id's edits; repeated rows and null ids keep their rows; empty tables give
+empty tables; other columns are not read.  A very long text is one row and one tree; all
+edits of one document are one task's work, since each needs the one before.
 """
 
 from __future__ import annotations
 
 import base64
 import functools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import accumulate, pairwise
 
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.tokens import LONGEST_REMEMBERED, REMEMBERED, tokenizer_path
@@ -36,6 +46,9 @@ CONTEXT = 3  # a cut depends on at most two characters behind it ('re, white spa
 #: The edits of the query: what is replaced by what, first match first.
 REDACTIONS = (("mail", r"[\w.+-]+@[\w-]+(?:\.[\w-]+)+", "[MAIL]"), ("address", r"\b\d{1,3}(?:\.\d{1,3}){3}\b", "[ADDRESS]"),
               ("key", r"\b[0-9a-f]{32,}\b", "[KEY]"), ("number", r"\+?\d[\d ()-]{7,}\d", "[NUMBER]"))
+Edit = tuple[int, int, str]  # start, characters removed, what is added
+TREES = "doc_id long, text string, lengths array<int>, tokens array<int>"
+EDITED = TREES + ", n_tokens_before long, n_edits long, n_chars long, n_tokens long, encoded_chars long"
 
 
 class PreTokens(dict):
@@ -74,24 +87,38 @@ def pre_tokens(path: str) -> PreTokens:
 class CountTree:
     """Pre-tokens of one document with sums over a binary tree of blocks."""
 
-    def __init__(self, text: str, pre: PreTokens):
+    def __init__(self, words: list[str], counts: list[int], pre: PreTokens):
         self.pre = pre
         self.encoded_chars = 0
+        self._build(*([some[i:i + BLOCK] for i in range(0, len(some), BLOCK)] or [[]] for some in (words, counts)))
+
+    @classmethod
+    def of_text(cls, text: str, pre: PreTokens) -> CountTree:
+        """The tree of a new text, all of which is encoded."""
         words = pre.cut(text)
-        self._build([words[i:i + BLOCK] for i in range(0, len(words), BLOCK)] or [[]])
+        return cls(words, [pre[w] for w in words], pre)
+
+    @classmethod
+    def of_leaves(cls, text: str, lengths: list[int], tokens: list[int], pre: PreTokens) -> CountTree:
+        """A kept tree; nothing is cut or encoded."""
+        return cls([text[a:b] for a, b in pairwise(accumulate(lengths, initial=0))], tokens, pre)
 
-    def _build(self, blocks: list[list[str]]) -> None:
-        self.blocks = blocks
+    def leaves(self) -> tuple[str, list[int], list[int]]:
+        """``text, lengths, tokens``: what keeps the tree."""
+        return self.text(), [len(w) for b in self.blocks for w in b], [n for b in self.counts for n in b]
+
+    def _build(self, blocks: list[list[str]], counts: list[list[int]]) -> None:
+        self.blocks, self.counts = blocks, counts
         self.half = 1 << max(0, len(blocks) - 1).bit_length()
         self.chars, self.tokens = [0] * (2 * self.half), [0] * (2 * self.half)
-        for i, b in enumerate(blocks):
-            self._sum_block(i, b)
+        for i in range(len(blocks)):
+            self._sum_block(i)
         for node in range(self.half - 1, 0, -1):
             self._sum_node(node)
 
-    def _sum_block(self, i: int, words: list[str]) -> None:
-        self.chars[self.half + i] = sum(map(len, words))
-        self.tokens[self.half + i] = sum(map(self.pre.__getitem__, words))
+    def _sum_block(self, i: int) -> None:
+        self.chars[self.half + i] = sum(map(len, self.blocks[i]))
+        self.tokens[self.half + i] = sum(self.counts[i])
 
     def _sum_node(self, node: int) -> None:
         self.chars[node] = self.chars[2 * node] + self.chars[2 * node + 1]
@@ -184,20 +211,20 @@ class CountTree:
                 continue
             reach += len(self.blocks[block][inside])
             inside += 1
-        tail = self.blocks[block][inside:]
         self.encoded_chars += sum(map(len, new))
         changed = range(first, block + 1)
-        for i in changed:
-            self.blocks[i] = []
-        self.blocks[first] = words[:kept] + new + tail
+        for leaves, middle in ((self.blocks, new), (self.counts, [self.pre[w] for w in new])):
+            whole_block = leaves[first][:kept] + middle + leaves[block][inside:]
+            for i in changed:
+                leaves[i] = []
+            leaves[first] = whole_block
         if len(self.blocks[first]) > 4 * BLOCK:
-            flat = self.blocks[first]
-            self._build([b for b in (*self.blocks[:first], *[flat[i:i + BLOCK] for i in range(0, len(flat), BLOCK)],
-                                     *self.blocks[first + 1:]) if b])
+            self._build(*([b for b in (*leaves[:first], *[leaves[first][i:i + BLOCK] for i in range(0, len(leaves[first]), BLOCK)],
+                                       *leaves[first + 1:]) if b] for leaves in (self.blocks, self.counts)))
             return
         above = set()
         for i in changed:
-            self._sum_block(i, self.blocks[i])
+            self._sum_block(i)
             above.add((self.half + i) // 2)
         while above and 0 not in above:
             for node in above:
@@ -205,53 +232,102 @@ class CountTree:
             above = {node // 2 for node in above}
 
 
-def redactions(text: Column) -> Column:
-    """The edits that blank out personal data and secrets, as ``array<struct<start, removed, added>>``."""
-    @F.pandas_udf("array<struct<start:int,removed:int,added:string>>")
-    def find(texts: pd.Series) -> pd.Series:
-        import regex
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    cols = list(zip(*rows, strict=True)) if rows else [()] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
 
-        pattern = regex.compile("|".join(f"(?P<{name}>{p})" for name, p, _ in REDACTIONS))
-        added = {name: by for name, _, by in REDACTIONS}
 
-        def edits(value: str) -> list[dict]:
-            out, shift = [], 0
-            for m in pattern.finditer(value):
-                by = added[m.lastgroup]
-                out.append({"start": m.start() + shift, "removed": m.end() - m.start(), "added": by})
-                shift += len(by) - (m.end() - m.start())
-            return out
+_LEAVES = [("doc_id", pa.int64()), ("text", pa.string()), ("lengths", pa.list_(pa.int32())), ("tokens", pa.list_(pa.int32()))]
+_SUMS = [(name, pa.int64()) for name in ("n_tokens_before", "n_edits", "n_chars", "n_tokens", "encoded_chars")]
+ROWS = 64  # rows of a batch whose leaves are held at a time
 
-        return texts.map(edits)
 
-    return find(F.coalesce(text, F.lit("")))
+def build_trees(documents: DataFrame, path: str | None = None) -> DataFrame:
+    """The kept tree of every document: ``doc_id, text, lengths, tokens`` (of its pre-tokens, in order)."""
+    path = path or tokenizer_path(VOCABULARY)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pre, schema = pre_tokens(path), pa.schema(_LEAVES)
+        for batch in batches:
+            for start in range(0, batch.num_rows, ROWS):
+                ids, texts = (c.to_pylist() for c in batch.slice(start, ROWS).columns)
+                yield _batch([(i, *CountTree.of_text(t or "", pre).leaves()) for i, t in zip(ids, texts, strict=True)], schema)
 
-def recount(rows: DataFrame, path: str | None = None) -> DataFrame:
-    """Token counts before and after the edits of each row (``doc_id, text, edits``).
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, TREES)
 
-    ``encoded_chars``: characters that the edits made the tree encode again.
-    """
+
+def _edited(trees: DataFrame, edits_of: Callable[[], Callable[[str, list | None], list[Edit]]], path: str | None, keep: bool = True) -> DataFrame:
+    """``trees`` after the edits that ``edits_of()`` finds for a text and its ``edits`` column, with their sums."""
     path = path or tokenizer_path(VOCABULARY)
+    first = 0 if keep else 1
+    schema = pa.schema([_LEAVES[0], *(_LEAVES[1:] if keep else ()), *_SUMS])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pre = pre_tokens(path)
+        pre, edits_for = pre_tokens(path), edits_of()
         for batch in batches:
-            out = []
-            for doc_id, text, edits in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                tree = CountTree(text or "", pre)
-                before = tree.n_tokens
-                for e in edits or []:
-                    tree.edit(e["start"], e["removed"], e["added"] or "")
-                out.append((doc_id, before, len(edits or []), tree.n_chars, tree.n_tokens, tree.encoded_chars))
-            names = ["doc_id", "n_tokens", "n_edits", "edited_chars", "edited_tokens", "encoded_chars"]
-            cols = list(zip(*out, strict=True)) if out else [()] * 6
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=names)
-
-    return rows.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "edits").mapInArrow(
-        run, "doc_id long, n_tokens long, n_edits long, edited_chars long, edited_tokens long, encoded_chars long")
-
-
-def redacted_counts(documents: DataFrame) -> DataFrame:
-    """Token counts of every document before and after its redactions."""
-    return recount(documents.select("doc_id", "text", redactions(F.col("text")).alias("edits")))
+            for start in range(0, batch.num_rows, ROWS):
+                out = []
+                for doc_id, text, lengths, tokens, given in zip(*[c.to_pylist() for c in batch.slice(start, ROWS).columns], strict=True):
+                    edits = edits_for(text, given)
+                    encoded, before = 0, sum(tokens)
+                    chars, after = len(text), before
+                    if edits:
+                        tree = CountTree.of_leaves(text, lengths, tokens, pre)
+                        for e in edits:
+                            tree.edit(*e)
+                        encoded, chars, after = tree.encoded_chars, tree.n_chars, tree.n_tokens
+                        if not first:
+                            text, lengths, tokens = tree.leaves()
+                    out.append((doc_id, *(() if first else (text, lengths, tokens)), before, len(edits), chars, after, encoded))
+                yield _batch(out, schema)
+
+    given = trees if "edits" in trees.columns else trees.withColumn("edits", F.lit(None).cast("array<int>"))
+    columns = EDITED if keep else "doc_id long, " + EDITED.removeprefix(TREES + ", ")
+    return given.select("doc_id", "text", "lengths", "tokens", "edits").mapInArrow(run, columns)
+
+
+def apply_edits(trees: DataFrame, edits: DataFrame, path: str | None = None) -> DataFrame:
+    """A table of trees after ``edits`` (``doc_id, seq, start, removed, added``), with the sums of every document.
+
+    ``n_tokens_before``, ``n_edits``, ``n_chars``, ``n_tokens``, and ``encoded_chars``: the
+    characters that the edits made the tree encode again.  The first four columns are
+    the trees for the next round.
+    """
+    by_document = edits.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("_of")).agg(
+        F.sort_array(F.collect_list(F.struct(
+            "seq", F.coalesce(F.col("start"), F.lit(0)).cast("int").alias("start"),
+            F.coalesce(F.col("removed"), F.lit(0)).cast("int").alias("removed"),
+            F.coalesce(F.col("added"), F.lit("")).alias("added")))).alias("edits"))
+    leaves = trees.select("doc_id", "text", "lengths", "tokens")
+    joined = leaves.join(by_document, F.col("doc_id") == F.col("_of"), "left").drop("_of")
+    return _edited(joined, lambda: lambda _, given: [(e["start"], e["removed"], e["added"]) for e in given or ()], path)
+
+
+def _redactions() -> Callable[[str, list | None], list[Edit]]:
+    """Finds the edits that blank out personal data and secrets in a text."""
+    import regex
+
+    pattern = regex.compile("|".join(f"(?P<{name}>{p})" for name, p, _ in REDACTIONS))
+    added = {name: by for name, _, by in REDACTIONS}
+
+    def find(text: str, _: list | None) -> list[Edit]:
+        out, shift = [], 0
+        for m in pattern.finditer(text):
+            by = added[m.lastgroup]
+            out.append((m.start() + shift, m.end() - m.start(), by))
+            shift += len(by) - (m.end() - m.start())
+        return out
+
+    return find
+
+
+def redacted(trees: DataFrame, path: str | None = None) -> DataFrame:
+    """A table of trees after the redactions of their texts, with sums as :func:`apply_edits` gives them."""
+    return _edited(trees.select("doc_id", "text", "lengths", "tokens"), _redactions, path)
+
+
+def redacted_counts(trees: DataFrame, path: str | None = None) -> DataFrame:
+    """The sums alone: token counts of every document before and after its redactions."""
+    sums = _edited(trees.select("doc_id", "text", "lengths", "tokens"), _redactions, path, keep=False)
+    return sums.select("doc_id", F.col("n_tokens_before").alias("n_tokens"), "n_edits", F.col("n_chars").alias("edited_chars"),
+                       F.col("n_tokens").alias("edited_tokens"), "encoded_chars")

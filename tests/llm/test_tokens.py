@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from strata.llm import bpe_transducer as bpe
 from strata.llm import packing, token_counts, token_files
@@ -308,7 +309,7 @@ def test_edits_equal_a_full_recount(pre):
     touched = size = 0
     for _ in range(250):
         text = "".join(rng.choice(letters) for _ in range(rng.choice([0, 1, 5, 30, 400, 2000])))
-        tree = token_counts.CountTree(text, pre)
+        tree = token_counts.CountTree.of_text(text, pre)
         for _ in range(5):
             start, removed = rng.randrange(0, len(text) + 2), rng.choice([0, 1, 3, 10, 50])
             added = "".join(rng.choice(letters) for _ in range(rng.choice([0, 1, 3, 20, 600])))
@@ -318,6 +319,7 @@ def test_edits_equal_a_full_recount(pre):
             words = pre.cut(text)
             assert [w for b in tree.blocks for w in b] == words and tree.text() == text
             assert tree.n_tokens == sum(len(pre._encode(w)) for w in words) and tree.n_chars == len(text)
+            assert tree.leaves() == (text, list(map(len, words)), [len(pre._encode(w)) for w in words])
             if len(text) > 2000:
                 touched, size = touched + tree.encoded_chars - len(added), size + len(text)
             tree.encoded_chars = 0
@@ -326,7 +328,71 @@ def test_edits_equal_a_full_recount(pre):
 
 def test_redactions_rows(spark, pre):
     rows = [(1, "mail a.b@c.de now"), (2, None), (3, "call +49 171 2345678 or 10.0.0.1"), (None, "nothing"), (3, "x" * 40 + " " + "ab12" * 10)]
-    got = token_counts.redacted_counts(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    trees = token_counts.build_trees(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = token_counts.redacted_counts(trees).collect()
     after = ["mail [MAIL] now", "", "call [NUMBER] or [ADDRESS]", "nothing", "x" * 40 + " [KEY]"]
     expected = Counter((i, len(pre._encode(t or "")), len(pre._encode(a)), len(a)) for (i, t), a in zip(rows, after, strict=True))
     assert Counter((r["doc_id"], r["n_tokens"], r["edited_tokens"], r["edited_chars"]) for r in got) == expected
+    assert Counter((r["doc_id"], r["text"]) for r in token_counts.redacted(trees).collect()) == Counter(
+        (i, a) for (i, _), a in zip(rows, after, strict=True))
+
+
+def test_a_restored_tree_encodes_only_what_edits_touch(pre):
+    rng = random.Random(4)
+    text = " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 9))) for _ in range(20_000))
+    leaves = token_counts.CountTree.of_text(text, pre).leaves()
+
+    class Counting(token_counts.PreTokens):
+        asked = 0
+
+        def __getitem__(self, word):
+            self.asked += len(word)
+            return len(self._encode(word))
+
+        def cut(self, _):
+            raise AssertionError("a kept tree is not cut again")
+
+    counting = Counting(tokenizer_path(token_counts.VOCABULARY))
+    for _ in range(3):  # each round restores the tree that the one before left
+        tree = token_counts.CountTree.of_leaves(*leaves, counting)
+        counting.asked = 0
+        for _ in range(10):
+            at = rng.randrange(len(text))
+            tree.edit(at, 4, "xyz 1")
+            text = text[:at] + "xyz 1" + text[at + 4:]
+        assert tree.n_tokens == len(pre._encode(text)) and tree.text() == text
+        assert counting.asked == tree.encoded_chars < 10 * 60
+        leaves = tree.leaves()
+
+
+def test_edits_join_the_kept_trees(spark, documents, no_documents, texts, pre):
+    trees = token_counts.build_trees(documents)
+    assert Counter((r["doc_id"], r["text"], sum(r["tokens"])) for r in trees.collect()) == Counter(
+        (i, t or "", len(pre._encode(t or ""))) for i, t in texts)
+    rounds = [[(0, 2, 3, 5, "one"), (0, 1, 0, 2, "two 'r"), (50, 0, None, 4, None), (999, 0, 0, 1, "x"), (None, 0, 0, 1, "x"), (30, 0, 7, 9, "new")],
+              [(0, 0, 6, 1, "e"), (40, 0, 20_000, 10**9, " end"), (41, 0, 15_000, 1, " ")]]
+    now = {i: t or "" for i, t in texts}  # ids with one text
+    for edits in rounds:
+        frame = spark.createDataFrame(edits, "doc_id long, seq int, start int, removed int, added string")
+        trees = token_counts.apply_edits(trees, frame.withColumn("text", F.lit("clash")))
+        for i, _, at, gone, new in sorted(edits, key=lambda e: (e[0] or 0, e[1])):
+            if i in now and i is not None:
+                at = min(at or 0, len(now[i]))
+                now[i] = now[i][:at] + (new or "") + now[i][at + gone:]
+        rows = trees.collect()
+        assert len(rows) == len(texts)
+        for r in rows:
+            if r["doc_id"] not in (None, 51):
+                assert (r["text"], r["n_tokens"], r["n_chars"]) == (now[r["doc_id"]], len(pre._encode(r["text"])), len(r["text"]))
+        assert sum(r["encoded_chars"] for r in rows) < 500 * len(edits) + 31_000
+    assert token_counts.apply_edits(token_counts.build_trees(no_documents), frame).count() == 0
+    assert {r["n_edits"] for r in token_counts.apply_edits(trees, frame.limit(0)).collect()} == {0}
+
+
+def test_a_third_of_the_rows_under_one_id(spark, pre):
+    rows = [(7 if k % 3 == 0 else k, f"text {k} a b c") for k in range(300)]
+    trees = token_counts.build_trees(spark.createDataFrame(rows, "doc_id long, text string").repartition(6))
+    edits = spark.createDataFrame([(7, 0, 0, 4, "TEXT")], "doc_id long, seq int, start int, removed int, added string")
+    got = token_counts.apply_edits(trees, edits).collect()
+    assert Counter((r["doc_id"], r["text"]) for r in got) == Counter((i, t.replace("text", "TEXT") if i == 7 else t) for i, t in rows)
+    assert all(r["n_tokens"] == len(pre._encode(r["text"])) for r in got)
