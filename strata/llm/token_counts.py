@@ -34,6 +34,7 @@ import functools
 from collections.abc import Callable, Iterator
 from itertools import accumulate, pairwise
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -239,9 +240,17 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 _LEAVES = [("doc_id", pa.int64()), ("text", pa.string()), ("lengths", pa.list_(pa.int32())), ("tokens", pa.list_(pa.int32()))]
 _SUMS = [(name, pa.int64()) for name in ("n_tokens_before", "n_edits", "n_chars", "n_tokens", "encoded_chars")]
+
 ROWS = 64  # rows of a batch whose leaves are held at a time
 
 
+def _lists(column: pa.ListArray) -> list[np.ndarray]:
+    """The lists of a column without nulls, as arrays over its own memory."""
+    bounds = column.offsets.to_numpy()
+    values = column.values.to_numpy()
+    return [values[a:b] for a, b in pairwise(bounds.tolist())]
+
+
 def build_trees(documents: DataFrame, path: str | None = None) -> DataFrame:
     """The kept tree of every document: ``doc_id, text, lengths, tokens`` (of its pre-tokens, in order)."""
     path = path or tokenizer_path(VOCABULARY)
@@ -250,8 +259,12 @@ def build_trees(documents: DataFrame, path: str | None = None) -> DataFrame:
         pre, schema = pre_tokens(path), pa.schema(_LEAVES)
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS):
-                ids, texts = (c.to_pylist() for c in batch.slice(start, ROWS).columns)
-                yield _batch([(i, *CountTree.of_text(t or "", pre).leaves()) for i, t in zip(ids, texts, strict=True)], schema)
+                out = []
+                for doc_id, text in zip(*(c.to_pylist() for c in batch.slice(start, ROWS).columns), strict=True):
+                    words = pre.cut(text or "")
+                    out.append((doc_id, text or "", np.fromiter(map(len, words), np.int32, len(words)),
+                                np.fromiter(map(pre.__getitem__, words), np.int32, len(words))))
+                yield _batch(out, schema)
 
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, TREES)
 
@@ -259,26 +272,26 @@ def build_trees(documents: DataFrame, path: str | None = None) -> DataFrame:
 def _edited(trees: DataFrame, edits_of: Callable[[], Callable[[str, list | None], list[Edit]]], path: str | None, keep: bool = True) -> DataFrame:
     """``trees`` after the edits that ``edits_of()`` finds for a text and its ``edits`` column, with their sums."""
     path = path or tokenizer_path(VOCABULARY)
-    first = 0 if keep else 1
     schema = pa.schema([_LEAVES[0], *(_LEAVES[1:] if keep else ()), *_SUMS])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pre, edits_for = pre_tokens(path), edits_of()
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS):
-                out = []
-                for doc_id, text, lengths, tokens, given in zip(*[c.to_pylist() for c in batch.slice(start, ROWS).columns], strict=True):
-                    edits = edits_for(text, given)
-                    encoded, before = 0, sum(tokens)
+                out, part = [], batch.slice(start, ROWS)
+                lengths_of, tokens_of = (_lists(c) for c in part.columns[2:4])
+                for row, (doc_id, text, given) in enumerate(zip(*(part.column(k).to_pylist() for k in (0, 1, 4)), strict=True)):
+                    edits, lengths, tokens = edits_for(text, given), lengths_of[row], tokens_of[row]
+                    encoded, before = 0, int(tokens.sum())
                     chars, after = len(text), before
                     if edits:
-                        tree = CountTree.of_leaves(text, lengths, tokens, pre)
+                        tree = CountTree.of_leaves(text, lengths.tolist(), tokens.tolist(), pre)
                         for e in edits:
                             tree.edit(*e)
                         encoded, chars, after = tree.encoded_chars, tree.n_chars, tree.n_tokens
-                        if not first:
+                        if keep:
                             text, lengths, tokens = tree.leaves()
-                    out.append((doc_id, *(() if first else (text, lengths, tokens)), before, len(edits), chars, after, encoded))
+                    out.append((doc_id, *((text, lengths, tokens) if keep else ()), before, len(edits), chars, after, encoded))
                 yield _batch(out, schema)
 
     given = trees if "edits" in trees.columns else trees.withColumn("edits", F.lit(None).cast("array<int>"))
@@ -308,11 +321,12 @@ def _redactions() -> Callable[[str, list | None], list[Edit]]:
     import regex
 
     pattern = regex.compile("|".join(f"(?P<{name}>{p})" for name, p, _ in REDACTIONS))
+    any_of = regex.compile(r"[@\d]|[a-f]{32}").search  # every redaction holds one of these
     added = {name: by for name, _, by in REDACTIONS}
 
     def find(text: str, _: list | None) -> list[Edit]:
         out, shift = [], 0
-        for m in pattern.finditer(text):
+        for m in pattern.finditer(text) if any_of(text) else ():
             by = added[m.lastgroup]
             out.append((m.start() + shift, m.end() - m.start(), by))
             shift += len(by) - (m.end() - m.start())
