@@ -51,7 +51,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.tokens import tokenizer_path
+from strata.llm.tokens import byte_symbols, tokenizer_path
 
 VOCABULARY = "word_bpe_49k.json"
 # Fixed by the vocabulary file: what counts as white space, its pre-token pattern, its end-of-word mark.
@@ -67,13 +67,6 @@ PAIRS_REMEMBERED = 1_000_000
 NEVER = 1 << 60
 
 
-def byte_symbols() -> list[str]:
-    """The printable character that stands for each byte: itself where it is printable Latin-1, else 256 and up."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    other = iter(range(0x100, 0x200))
-    return [chr(b) if b in set(plain) else chr(next(other)) for b in range(256)]
-
-
 class Merges:
     """A merge list: ranks, token parts, compatibility, reachability and lookahead."""
 

@@ -17,7 +17,20 @@ import numpy as np
 REMEMBERED = 700_000  # pieces a Python worker remembers; the first ones met stay
 LONGEST_REMEMBERED = 48
 # a run of letters up to a Latin letter that a printable ASCII character other than a letter follows
-_CORE = re.compile(r"[^\W\d_]+(?<=[A-Za-zÀ-ÖØ-öø-įı-ɏ])(?=[!-@\[-`{-~])")
+_CORE = re.compile(r"[^\W\d_]++(?<=[A-Za-zÀ-ÖØ-öø-įı-ɏ])(?=[!-@\[-`{-~])")
+_LATIN_1 = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch  # one or two bytes each, composed, lower case of the same kind
+
+
+def byte_symbols() -> list[str]:
+    """The printable character that stands for each byte: itself where it is printable Latin-1, else 256 and up."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    other = iter(range(0x100, 0x200))
+    return [chr(b) if b in set(plain) else chr(next(other)) for b in range(256)]
+
+
+def _closed(word: bytes) -> bytes:
+    """A lower-case Latin-1 word whose last byte shows that the word ends: a capital, or 0 to 63 for a second byte."""
+    return word[:-1] + bytes([word[-1] - (32 if word[-1] < 128 else 128)])
 
 
 def tokenizer_path(name: str) -> str:
@@ -40,10 +53,10 @@ def load_tokenizer(path: str):
 class WordEncoder(dict):
     """Packed ids for a vocabulary that drops white space (``word_bpe_49k.json``).
 
-    Such a tokenizer ends a pre-token at every space and after every run of
-    letters, so a text's ids are those of its space-separated pieces in order,
+    Such a tokenizer ends a pre-token at white space and after every run of
+    letters, so a text's ids are those of its pieces between spaces and line ends in order,
     and a piece's ids are those of its leading letters and of the rest.  Pieces
-    recur; their ids are looked up.  New runs of the letters a-z are encoded from the
+    recur; their ids are looked up.  New runs of Latin-1 letters are encoded from the
     ranks of the vocabulary's tokens of such letters, which is faster than the
     library; the library encodes all else that is new.
     """
@@ -55,17 +68,23 @@ class WordEncoder(dict):
         self._cores: dict[str, bytes] = {}
         special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self._special = re.compile("|".join(map(re.escape, special)) or "(?!)").search
-        if any(" " in s for s in special) or self.tok.encode("a b", add_special_tokens=False).ids != (
-                self.tok.encode("a", add_special_tokens=False).ids + self.tok.encode("b", add_special_tokens=False).ids):
+        apart = [*self.tok.encode("a", add_special_tokens=False).ids, *self.tok.encode("b", add_special_tokens=False).ids]
+        if any(set(" \n") & set(s) for s in special) or any(
+                self.tok.encode(f"a{space}b", add_special_tokens=False).ids != apart for space in " \n"):
             raise ValueError("this vocabulary does not drop white space")
-        # a capital stands for a letter that ends a word; ids ascend in the order of merges
+        # ids ascend in the order of merges; the last byte of a token that ends a word is another one
         self._letters = None
-        tokens = {t: i for t, i in self.tok.get_vocab().items() if re.fullmatch("[a-z]+(</w>)?", t)}
-        ranks = {(t[:-5] + t[-5].upper() if t.endswith("</w>") else t).encode(): i for t, i in tokens.items()}
-        if len([r for r in ranks if len(r) == 1]) == 52:
+        byte_of = {symbol: b for b, symbol in enumerate(byte_symbols()) if chr(b) in "abcdefghijklmnopqrstuvwxyz\xc3" or 0x80 <= b < 0xC0}
+        ranks = {}
+        for token, rank in self.tok.get_vocab().items():
+            name = token.removesuffix("</w>")
+            if name and all(c in byte_of for c in name) and (name == token or name[-1] != "\xc3"):
+                raw = bytes(byte_of[c] for c in name)
+                ranks[raw if name == token else _closed(raw)] = rank
+        if len([r for r in ranks if len(r) == 1]) == 26 + 1 + 64 + 26 + 64:
             import tiktoken
 
-            self._letters = tiktoken.Encoding("letters", pat_str="[a-z]*[A-Z]", mergeable_ranks=ranks, special_tokens={})
+            self._letters = tiktoken.Encoding("letters", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={})
 
     def _ids(self, piece: str) -> bytes:
         return self._packed(self.tok.encode(piece, add_special_tokens=False).ids)
@@ -77,32 +96,30 @@ class WordEncoder(dict):
         return out.tobytes()
 
     def _core(self, piece: str) -> bytes:
-        key = piece.lower() if piece.isascii() else piece
+        latin = self._letters is not None and _LATIN_1(piece)
+        key = piece.lower() if latin or piece.isascii() else piece
         got = self._cores.get(key)
         if got is None:
-            if self._letters is not None and piece.isascii() and piece.isalpha():
-                got = self._packed(self._letters.encode_ordinary(key[:-1] + key[-1].upper()))
-            else:
-                got = self._ids(piece)
+            # one piece: the pattern has nothing to cut
+            got = self._packed(self._letters._encode_single_piece(_closed(key.encode()))) if latin else self._ids(piece)
             if len(self._cores) < REMEMBERED and len(key) <= LONGEST_REMEMBERED:
                 self._cores[key] = got
         return got
 
     def __missing__(self, piece: str) -> bytes:
-        cut = _CORE.match(piece)
         if self._special(piece):
             got = self._ids(piece)
-        elif cut:
-            got = self._core(cut[0]) + self._core(piece[cut.end():])
-        else:
+        elif piece.isalpha() or not (cut := _CORE.match(piece)):
             got = self._core(piece)
+        else:
+            got = self._core(cut[0]) + self._core(piece[cut.end():])
         if len(self) < REMEMBERED and len(piece) <= LONGEST_REMEMBERED:
             self[piece] = got
         return got
 
     def encode(self, text: str | None) -> bytes:
         """Packed ids of a whole text (null: empty)."""
-        return b"".join(map(self.__getitem__, text.split(" "))) if text else b""
+        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" "))) if text else b""
 
 
 class ByteEncoder:
