@@ -16,6 +16,9 @@ Defined results:
 * null and empty texts, and texts without words, have no terms: their score is
   the sample's share of label 1;
 * no labelled sample at all: every score is 0.5;
+* the whole of a text is read, however long, as counts of a fixed number of terms;
+* neighbours that tie for the last vote (cosines are compared to five places) vote in the
+  order of the sample: least id first, then label 0, then the least term counts;
 * equal texts get equal scores; repeated rows each get their own result row;
 * columns other than the id and the text are never read by a score, and are
   kept as they are by :func:`with_quality_score`.
@@ -64,7 +67,7 @@ _RUN = re.compile(r"(.)\1+", re.DOTALL)
 
 def word_shape(word: str) -> str:
     """Runs of capitals, small letters and digits as one A, a and 9; other characters once per run."""
-    return _RUN.sub(r"\1", word.translate(_KINDS))[:12]
+    return _RUN.sub(r"\1", word.translate(_KINDS))
 
 
 class Terms(dict):
@@ -85,7 +88,9 @@ class Terms(dict):
         if slot is None:
             if len(self._shapes) >= WORD_CACHE:
                 self._shapes.clear()
-            slot = self._shapes[shape] = self._slot("shape", shape)
+            slot = self._slot("shape", shape)
+            if len(shape) <= 64:
+                self._shapes[shape] = slot
         found = zlib.crc32(word.lower().encode("utf-8", "replace")) % self.n_terms << 16 | slot
         if len(self) >= WORD_CACHE:
             self.clear()
@@ -137,10 +142,12 @@ class KnnModel:
         """Scores of a block of documents: exact cosines with every labelled vector, then votes."""
         if not len(self.labels):
             return np.full(len(counts), 0.5)
-        cosine = np.round(self.embed(counts) @ self.vectors.T, 5)
-        k = min(self.k, cosine.shape[1])
-        near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
-        weight = np.clip(np.take_along_axis(cosine, near, axis=1), 0, None).astype(np.float64) ** 8
+        steps = np.rint((self.embed(counts) @ self.vectors.T) * 1e5).astype(np.int64)
+        n = steps.shape[1]
+        k = min(self.k, n)
+        # no two keys are equal, so ties for the last vote go to the first in the sample
+        near = np.argpartition(np.arange(n) - steps * n, k - 1, axis=1)[:, :k]
+        weight = (np.clip(np.take_along_axis(steps, near, axis=1), 0, None) / 1e5) ** 8
         votes = (weight * self.labels[near]).sum(axis=1)
         total = weight.sum(axis=1)
         smooth = 1e-6

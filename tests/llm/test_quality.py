@@ -106,20 +106,97 @@ def test_sample_takes_a_repeated_id_once(spark):
     assert len(few) == 10 and len({r["_id"] for r in few}) == 10
 
 
+def _first_votes(cosines, k):
+    """Neighbours in the order of their cosines to five places, then of the sample."""
+    return sorted(range(len(cosines)), key=lambda j: (-round(cosines[j] * 1e5), j))[:k]
+
+
 def test_votes_equal_brute_force():
     rng = np.random.default_rng(3)
     counts = rng.poisson(0.4, (60, 40)).astype(np.float32)
+    counts[20:30] = counts[5]  # ties, some of them for the last vote
     model = knn.fit_knn(counts[:40], (rng.random(40) > 0.4).astype(float), n_dims=8, k=5)
     got = model.score(counts)
     points, docs = model.vectors, model.embed(counts)
-    for i, d in enumerate(docs):
-        cosine = [round(float(d @ p), 5) for p in points]
-        near = sorted(range(40), key=lambda j: -cosine[j])[:5]
-        if sorted(cosine)[-6] == sorted(cosine)[-5]:
-            continue  # a tie at the border may go either way
-        w = [max(cosine[j], 0) ** 8 for j in near]
-        expected = (sum(a * model.labels[j] for a, j in zip(w, near, strict=True)) + 1e-6 * model.prior) / (sum(w) + 1e-6)
-        assert abs(got[i] - expected) < 1e-3
+    for d, score in zip(docs, got, strict=True):
+        cosine = points @ d
+        near = _first_votes(cosine, 6)
+        if 0 < cosine[near[4]] - cosine[near[5]] < 2e-5:
+            continue  # rounding may order these two either way
+        w = [max(float(cosine[j]), 0) ** 8 for j in near[:5]]
+        expected = (sum(a * model.labels[j] for a, j in zip(w, near, strict=False)) + 1e-6 * model.prior) / (sum(w) + 1e-6)
+        assert abs(score - expected) < 1e-3
+
+
+def _shape(word):
+    kinds = ["A" if c.isupper() else "a" if c.isalpha() else "9" if c.isdigit() else c for c in word]
+    return "".join(c for i, c in enumerate(kinds) if i == 0 or kinds[i - 1] != c)
+
+
+def _terms(text):
+    """Term counts of a whole text, by plain loops."""
+    def slot(value):
+        return zlib.crc32(value.encode()) % knn.N_TERMS
+
+    words = (text or "").split()
+    row = np.zeros(knn.N_TERMS)
+    if not words:
+        return row
+    plain, shapes = [slot(w.lower()) for w in words], [slot("shape:" + _shape(w)) for w in words]
+    for at in plain + shapes:
+        row[at] += 1
+    for x, y in zip(shapes, shapes[1:], strict=False):
+        row[(x * 31 + y * 17 + 7) % knn.N_TERMS] += 1
+    row[slot("again:word")] += sum(x == y for x, y in zip(plain, plain[1:], strict=False))
+    row[slot(f"share:{8 * max(Counter(plain).values()) // len(words)}")] += len(words) // 8 + 1
+    return row
+
+
+def test_shapes_and_terms_are_of_whole_words():
+    word = "aB" * 20 + "1"
+    assert knn.word_shape(word) == _shape(word) and len(_shape(word)) == 41
+    assert knn.word_shape(word) != knn.word_shape(word[:-1])
+    text = f"Ab1-2 {word} {word[:-1]} the The the 12 ## a1a1a1a1a1a1a1a1 {'x1' * 500}"
+    assert (knn.Terms().counts(text) == _terms(text)).all()
+
+
+def test_classifier_equals_brute_force(spark):
+    """The whole query by plain Python: sample, terms, exact singular vectors, all cosines."""
+    docs, labels = table(spark, "/root/testdata/sf0.01", "documents"), table(spark, "/root/testdata/sf0.01", "labels")
+    texts = dict(docs.select("doc_id", "text").collect())
+    per_class = 30
+    pool = {1: [], 0: []}
+    for r in labels.collect():
+        i = r["doc_id"]
+        if i is not None and r["quality"] in pool and zlib.crc32(str(i).encode()) % 5 and texts.get(i) is not None:
+            h = xxhash.xxh64_intdigest(str(i).encode(), seed=42)
+            pool[r["quality"]].append((h - (1 << 64) if h >= 1 << 63 else h, i))
+    sample = sorted((i, q) for q, found in pool.items() for _, i in sorted(found)[:per_class])
+    assert len(sample) == 2 * per_class
+
+    def unit(m):
+        size = np.linalg.norm(m, axis=1, keepdims=True)
+        return m / np.where(size > 0, size, 1)
+
+    counts = np.stack([_terms(texts[i]) for i, _ in sample])
+    idf = np.log((1 + len(sample)) / (1 + (counts > 0).sum(axis=0))) + 1
+    rows = unit(np.log1p(counts) * idf)
+    basis = np.linalg.svd(rows, full_matrices=False)[2].T
+    vectors, marks = unit(rows @ basis), [q for _, q in sample]
+    border = 0
+    got = knn.classify(docs, labels, per_class=per_class).collect()
+    assert sorted(r["doc_id"] for r in got) == sorted(texts)
+    for r in got:
+        own = unit((np.log1p(_terms(texts[r["doc_id"]])) * idf)[None])
+        cosine = vectors @ unit(own @ basis)[0]
+        near = _first_votes(cosine, knn.NEIGHBOURS + 1)
+        if cosine[near[-2]] - cosine[near[-1]] < 1e-4:
+            border += 1
+            continue  # single precision may order these two either way
+        w = [max(float(cosine[j]), 0) ** 8 for j in near[:-1]]
+        expected = (sum(a * marks[j] for a, j in zip(w, near, strict=False)) + 1e-6 * np.mean(marks)) / (sum(w) + 1e-6)
+        assert abs(r["score"] - expected) < 2e-3
+    assert border < len(got) // 10
 
 
 def test_classifier_held_out_ranking(spark):
