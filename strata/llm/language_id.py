@@ -16,7 +16,8 @@ Defined results: a text that is null or has no letter is ``und`` with score 0,
 and so is every text when nothing could be learned; equal texts get equal
 answers; ties go to the alphabetically first language; repeated rows each get
 their own result.  Only the text is read by a prediction; whether a document
-is held out follows from its id, null ids being learnable and not held out.
+is held out follows from its id; a null id is not held out, and rows with a null
+id, text or language are never learned from.
 """
 
 from __future__ import annotations
@@ -42,6 +43,7 @@ N_LANDMARKS = 160
 RIDGE = 1e-3
 BLOCK = 128
 _LONG = 1 << 16  # characters turned into n-grams at a time
+_SALTS = 16  # tasks that share the rows of one language
 
 
 class _Letters(dict):
@@ -143,18 +145,22 @@ def is_held_out(doc_id: Column) -> Column:
 def learning_sample(documents: DataFrame) -> DataFrame:
     """``text, lang`` of a bounded sample: for each language the documents of least id hash.
 
-    Languages are counted first; the choice is made on distinct ids and languages alone
-    (Spark keeps the first rows of each language map-side), and the chosen ids
-    are broadcast to one scan of the texts.  An id that repeats counts once for each
-    of its languages, with its least text.
+    Languages are counted first; the choice is made on distinct ids and languages alone,
+    first in each task (by Spark), then in ``_SALTS`` parts of each language cut by the id
+    hash, and last among what the parts kept, so that no task gets a whole hot language.
+    The chosen ids are broadcast to one scan of the texts.  An id that repeats counts once
+    for each of its languages, with its least text.
     """
     rows = documents.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull()
                            & ~is_held_out(F.col("doc_id"))).select(
         F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"), F.xxhash64(F.col("doc_id").cast("string")).alias("_order")).distinct()
     n_languages = max(1, rows.select("_lang").distinct().count())
     each = max(1, min(PER_LANGUAGE, MAX_SAMPLE // n_languages))
-    first = Window.partitionBy("_lang").orderBy("_order", "_id")
-    chosen = rows.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= each).orderBy("_order").limit(MAX_SAMPLE)
+    chosen = rows
+    for part in (["_lang", F.pmod("_order", F.lit(_SALTS))], ["_lang"]):
+        place = F.row_number().over(Window.partitionBy(*part).orderBy("_order", "_id"))
+        chosen = chosen.withColumn("_n", place).where(F.col("_n") <= each)
+    chosen = chosen.orderBy("_order", "_id", "_lang").limit(MAX_SAMPLE)
     texts = documents.select(F.col("doc_id").alias("_doc"), F.col("text").alias("_text"), F.col("lang").alias("_own")).where("_text IS NOT NULL")
     return texts.join(F.broadcast(chosen.select("_id", "_lang")),
                       (F.col("_doc") == F.col("_id")) & (F.col("_own") == F.col("_lang"))).groupBy("_id", "_lang").agg(

@@ -11,6 +11,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from strata.llm import chat_format as chat
@@ -81,6 +82,74 @@ def test_language_sample_takes_a_repeated_id_once(spark):
     assert [(r["_id"], r["_text"]) for r in got if r["_lang"] == "de"] == [(learned[1], "de")]
 
 
+def _signed_hash(i):
+    h = xxhash.xxh64_intdigest(str(i).encode(), seed=42)
+    return h - (1 << 64) if h >= 1 << 63 else h
+
+
+def _presence(text):
+    """Numbers of the presence bits of a whole text, by plain loops; None without a letter."""
+    letters = re.sub(" +", " ", " " + "".join(c.lower()[0] if c.isalpha() and c.lower()[0].isalpha() else " " for c in text or "") + " ")
+    if letters == " ":
+        return None
+    found = set()
+    for n in lang.ORDERS:
+        for i in range(len(letters) - n + 1):
+            h = 0
+            for m, c in enumerate(letters[i:i + n], 1):
+                h = (((h * 0x01000193) & 0xFFFFFFFF) ^ ord(c)) * 0x9E3779B1 + m & 0xFFFFFFFF
+            found.add((h ^ h >> 15) % lang.N_BITS)
+    return found
+
+
+def test_languages_equal_brute_force(spark):
+    """The whole query by plain Python: sample, presence sets, kernels, one-versus-rest ridge regression."""
+    docs = table(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text", "lang")
+    rows = docs.collect()
+    sets = {r["doc_id"]: _presence(r["text"]) for r in rows}
+    learnable = [(r["doc_id"], r["lang"]) for r in rows if r["lang"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 3 != 1]
+    names = sorted({x for _, x in learnable})
+    sample = sorted(s for x in names for s in sorted((s for s in learnable if s[1] == x), key=lambda s: _signed_hash(s[0]))[:lang.PER_LANGUAGE])
+    sample = [s for s in sample if sets[s[0]]]
+    turn, seen = [], Counter()
+    for _, x in sample:
+        turn.append((seen[x], names.index(x)))
+        seen[x] += 1
+    chosen = sorted(range(len(sample)), key=lambda k: turn[k])[:lang.N_LANDMARKS]
+    marks = [sets[sample[k][0]] for k in chosen]
+
+    def kernel(x, y):
+        return len(x & y) / (len(x) * len(y)) ** 0.5
+
+    k_nm = np.array([[kernel(sets[i], m) for m in marks] for i, _ in sample])
+    k_mm = np.array([[kernel(x, m) for m in marks] for x in marks])
+    weigh = np.array([1 / seen[x] for _, x in sample])[:, None]
+    target = np.array([[x == y for y in names] for _, x in sample], float)
+    w = np.linalg.lstsq(k_nm.T @ (k_nm * weigh) + lang.RIDGE * k_mm, k_nm.T @ (target * weigh), rcond=None)[0]
+    got = lang.identify(docs).collect()
+    assert sorted(r["doc_id"] for r in got) == sorted(sets)
+    for r in got:
+        if sets[r["doc_id"]] is None:
+            assert (r["lang_pred"], r["score"]) == ("und", 0.0)
+            continue
+        scores = np.array([kernel(sets[r["doc_id"]], m) for m in marks]) @ w
+        assert abs(r["score"] - min(max(scores.max(), 0), 1)) < 5e-3
+        assert scores[names.index(r["lang_pred"])] > scores.max() - 5e-3
+
+
+def test_a_hot_language_is_shared_by_tasks(spark, monkeypatch):
+    learned = [i for i in range(9000) if zlib.crc32(str(i).encode()) % 3 != 1]
+    rows = [(i, f"text {i}", "en" if i % 10 else "de") for i in learned]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(8)
+    got = {(r["_id"], r["_lang"]) for r in lang.learning_sample(docs).collect()}
+    expected = set()
+    for x in ("en", "de"):
+        expected |= {(i, x) for i in sorted((i for i, _, own in rows if own == x), key=_signed_hash)[:lang.PER_LANGUAGE]}
+    assert got == expected
+    monkeypatch.setattr(lang, "_SALTS", 1)
+    assert {(r["_id"], r["_lang"]) for r in lang.learning_sample(docs).collect()} == expected
+
+
 def test_language_defined_results(spark, documents, no_documents, texts):
     rows = lang.identify(documents).collect()
     assert len(rows) == len(texts)
