@@ -40,6 +40,18 @@ def test_word_ids_equal_library(samples):
         assert np.frombuffer(enc.encode(t), "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids
 
 
+def test_latin_words_equal_library():
+    enc, tok = WordEncoder(WORD), load_tokenizer(WORD)
+    assert enc._letters is not None  # words of Latin-1 letters are encoded from ranks
+    rng = random.Random(4)
+    letters = "aeinorst" * 3 + "abcdefghijklmnopqrstuvwxyzABCXYZ" + "àáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿÀÉÜßÑ"
+    words = ["".join(rng.choice(letters) for _ in range(rng.randint(1, 12))) for _ in range(5000)] + list(letters)
+    words += [w.removesuffix("</w>") for w in tok.get_vocab()]
+    joined = [" ".join(words[i:i + 7]) + rng.choice([".\n", ",\n\n", "\n", "."]) + words[i] for i in range(0, len(words), 7)]
+    for t, found in zip(words + joined, tok.encode_batch(words + joined, add_special_tokens=False), strict=True):
+        assert np.frombuffer(enc.encode(t), "<u4").tolist() == found.ids
+
+
 def test_byte_ids_equal_library(samples):
     enc, tok = ByteEncoder(BYTE), load_tokenizer(BYTE)
     for t in samples:
