@@ -130,8 +130,16 @@ def segment_frames(spark: SparkSession, sf_dir: str) -> dict[str | None, DataFra
 
 
 def _city_csv_writer(records_df: DataFrame, out_dir: str, tag_col: str, as_zip: bool):
-    """``mapInArrow`` body writing one task's rows as per-city CSV (zipped or not)."""
+    """``mapInArrow`` body writing one task's rows as per-city CSV (zipped or not).
+
+    Rows go to the file of their city batch by batch, so a task holds one batch
+    however many rows it has.  The files get their names when all are whole.
+    """
+    import contextlib
     import io
+    import os
+    import shutil
+    import tempfile
     import zipfile
 
     import pyarrow as pa
@@ -146,39 +154,41 @@ def _city_csv_writer(records_df: DataFrame, out_dir: str, tag_col: str, as_zip:
     alias = pa.table({c: pa.array([schema.ALIAS_BY_SOURCE.get(c, c)], pa.string()) for c in cols})
     out_schema = pa.schema([("path", pa.string()), ("rows", pa.int64())])
 
-    def csv_bytes(tables) -> bytes:
+    def csv_bytes(rows: pa.Table, head: bool) -> bytes:
         text = io.BytesIO()
-        text.write("\ufeff".encode("utf-8"))
-        pacsv.write_csv(pa.concat_tables([alias] + tables), text)
+        if head:
+            text.write("\ufeff".encode("utf-8"))
+            rows = pa.concat_tables([alias, rows])
+        pacsv.write_csv(rows, text, pacsv.WriteOptions(include_header=head))
         return text.getvalue()
 
     def write(batches):
         pid = TaskContext.get().partitionId()
-        parts: dict[str, list] = {}
         n = 0
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            n += table.num_rows
-            for tag in pc.unique(table.column(tag_col)).to_pylist():
-                rows = table.filter(pc.equal(table.column(tag_col), tag)).select(cols)
-                parts.setdefault(tag, []).append(rows.cast(alias.schema))
-        if not parts:
-            return
-        written = []
-        if as_zip:
-            payload = io.BytesIO()
-            with zipfile.ZipFile(payload, "w", zipfile.ZIP_DEFLATED) as zf:
-                for tag, tables in parts.items():
-                    zf.writestr(f"{tag}.csv", csv_bytes(tables))
-            path = f"{base}/part-{pid:05d}.zip"
-            _write_bytes(path, payload.getvalue())
-            written.append(path)
-        else:
-            for tag, tables in parts.items():
-                path = f"{base}/{tag_col}={tag}/part-{pid:05d}.csv"
-                _write_bytes(path, csv_bytes(tables))
-                written.append(path)
-        yield pa.RecordBatch.from_pylist([{"path": p, "rows": n} for p in written], schema=out_schema)
+        with contextlib.ExitStack() as stack:
+            # members of an archive are written one after the other, so their texts wait in local files
+            folder = stack.enter_context(tempfile.TemporaryDirectory(prefix="strata-zip-")) if as_zip else None
+            parts: dict[str, _Pieces] = {}
+            for batch in batches:
+                table = pa.Table.from_batches([batch])
+                n += table.num_rows
+                for tag in pc.unique(table.column(tag_col)).to_pylist():
+                    rows = table.filter(pc.equal(table.column(tag_col), tag)).select(cols).cast(alias.schema)
+                    head = tag not in parts
+                    if head:
+                        path = os.path.join(folder, str(len(parts))) if as_zip else f"{base}/{tag_col}={tag}/part-{pid:05d}.csv"
+                        parts[tag] = _Pieces(path)
+                    parts[tag].write(csv_bytes(rows, head))
+            written = [part.close() for part in parts.values()]
+            if as_zip and parts:
+                archive = _Pieces(f"{base}/part-{pid:05d}.zip")
+                with archive.stream() as fh, zipfile.ZipFile(fh, "w", zipfile.ZIP_DEFLATED) as zf:
+                    for tag, member in zip(parts, written, strict=True):
+                        with open(member, "rb") as text, zf.open(f"{tag}.csv", "w", force_zip64=True) as to:
+                            shutil.copyfileobj(text, to, 1 << 20)
+                written = [archive.close()]
+        if written:
+            yield pa.RecordBatch.from_pylist([{"path": p, "rows": n} for p in written], schema=out_schema)
 
     return cols, write
 
@@ -216,27 +226,53 @@ def write_city_files(records_df: DataFrame, out_dir: str, *, tag_col: str = "cit
     return out
 
 
-def _write_bytes(path: str, data: bytes) -> None:
-    """Write a whole file from an executor, atomically (local path or pyarrow filesystem URI).
+class _Pieces:
+    """A file that an executor writes piece by piece and that appears whole (local path or pyarrow filesystem URI).
 
-    The bytes go to a name private to this task attempt and are then renamed
-    into place, so a failed or speculative attempt never leaves a partial file.
+    The bytes go to a name private to this task attempt, which :meth:`close` renames
+    into place, so a failed or speculative attempt never leaves a partial file.  A
+    local file is open only while a piece is written, so a task may have many.
     """
-    import os
 
-    from pyspark import TaskContext
+    def __init__(self, path: str):
+        import os
 
-    ctx = TaskContext.get()
-    tmp = f"{path}.attempt-{ctx.taskAttemptId() if ctx else os.getpid()}"
-    if local_path(path) is not None:
-        path, tmp = local_path(path), local_path(tmp)
-        os.makedirs(os.path.dirname(path), exist_ok=True)
-        with open(tmp, "wb") as fh:
-            fh.write(data)
-        os.replace(tmp, path)
-        return
-    filesystem, inner = filesystem_of(path)
-    _, inner_tmp = filesystem_of(tmp)
-    with filesystem.open_output_stream(inner_tmp) as fh:
-        fh.write(data)
-    filesystem.move(inner_tmp, inner)
+        from pyspark import TaskContext
+
+        ctx = TaskContext.get()
+        self.path, self._tmp = path, f"{path}.attempt-{ctx.taskAttemptId() if ctx else os.getpid()}"
+        self._local, self._open, self._begun = local_path(path), None, False
+
+    def stream(self):
+        """The file, open for writing behind what is there."""
+        import os
+
+        if self._local is None:
+            filesystem, inner = filesystem_of(self._tmp)
+            return filesystem.open_output_stream(inner)
+        if not self._begun:
+            os.makedirs(os.path.dirname(self._local), exist_ok=True)
+        mode, self._begun = "ab" if self._begun else "wb", True
+        return open(local_path(self._tmp), mode)
+
+    def write(self, data: bytes) -> None:
+        if self._local is not None:
+            with self.stream() as fh:
+                fh.write(data)
+            return
+        if self._open is None:  # stores do not append: the stream stays open
+            self._open = self.stream()
+        self._open.write(data)
+
+    def close(self) -> str:
+        """Give the file its name; returns it."""
+        import os
+
+        if self._local is not None:
+            os.replace(local_path(self._tmp), self._local)
+            return self.path
+        if self._open is not None:
+            self._open.close()
+        filesystem, inner = filesystem_of(self.path)
+        filesystem.move(filesystem_of(self._tmp)[1], inner)
+        return self.path
