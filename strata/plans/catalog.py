@@ -25,7 +25,7 @@ from strata.operators.split import balanced_split, hash_split, keyed_split
 from strata.operators.tagging import reconcile_contents, reconcile_counts, tagged_union
 from strata.plans import standin
 from strata.plans.job import clean, filter_records, select_events, split_parts, transform
-from strata.session import scratch_path
+from strata.session import scratch_path, settings
 from strata.sinks.json_lines import write_named_parts, write_parts
 from strata.sinks.published import publish_parts, read_published
 from strata.sinks.records_csv import write_records_csv
@@ -237,10 +237,18 @@ def _city_folders(spark: SparkSession, out: str) -> dict[str, str]:
     return {r["folder"]: unquote(r["folder"].rsplit("city=", 1)[1]) for r in rows}
 
 
+def _write_cities(spark: SparkSession, sf_dir: str, records: DataFrame, out: str, **write_args) -> None:
+    """The stand-in records as per-city files.  Neither the join with the parts nor the cities' folders
+    sort the records: the smaller side's partitions are hashed where each is no larger than one of AQE's."""
+    size = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    with settings(spark, {"spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": size}):
+        write_records_csv(records, out, tag_col="city", n_tags=standin.n_cities(spark, sf_dir), **write_args)
+
+
 def q_csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records written as per-city BOM CSV files with alias rows, read back by folder, all 28 columns."""
     out = scratch_path(spark, "csv")
-    write_records_csv(standin.records(spark, sf_dir), out, tag_col="city")
+    _write_cities(spark, sf_dir, standin.records(spark, sf_dir), out)
     return _all_columns(read_tagged(spark, _city_folders(spark, out), col="city"))
 
 
@@ -262,7 +270,7 @@ def _dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_dirty_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records whose dates hold tokens, blanks and junk, written to files and read back in both alias modes."""
     out = scratch_path(spark, "dirty")
-    write_records_csv(_dirty(spark, sf_dir), out, tag_col="city")
+    _write_cities(spark, sf_dir, _dirty(spark, sf_dir), out)
     folders = _city_folders(spark, out)
     frames = [clean(read_tagged(spark, folders, col="city", alias_row=mode)).select(
         F.lit(mode).alias("mode"), "city", F.col("編號").alias("number"), "date") for mode in ("positional", "typed")]
@@ -275,9 +283,10 @@ def q_same_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.sources.records import header_rows
 
     out = scratch_path(spark, "headers")
-    recs, odd = standin.records(spark, sf_dir), _regions(spark, sf_dir)[0]
-    write_records_csv(recs.where(F.col("city") != odd), out, tag_col="city")
-    write_records_csv(recs.where(F.col("city") == odd).drop("備註"), out, tag_col="city", mode="append")
+    odd = _regions(spark, sf_dir)[0]
+    others, one = (standin.records(spark, sf_dir, of=of) for of in (F.col("r_name") != odd, F.col("r_name") == odd))
+    _write_cities(spark, sf_dir, others, out)
+    _write_cities(spark, sf_dir, one.drop("備註"), out, mode="append")
     heads = header_rows(spark, [out])
     # the writer names folders city=<escaped value>
     city = F.regexp_extract(F.col("path"), "/city=([^/]+)/", 1)

@@ -52,13 +52,27 @@ def _note() -> F.Column:
             .when(kind == 2, F.lit("NA")).when(kind == 4, F.concat(F.lit("note "), "p_brand")))
 
 
-def records(spark: SparkSession, sf_dir: str, *, with_city: bool = True) -> DataFrame:
-    """Record rows (all text, source column names) plus ``city`` when asked."""
+def n_cities(spark: SparkSession, sf_dir: str) -> int:
+    """How many city tags the records can have (a null one counts)."""
+    return table(spark, sf_dir, "region").select("r_name").distinct().count()
+
+
+def records(spark: SparkSession, sf_dir: str, *, with_city: bool = True, of: F.Column | None = None) -> DataFrame:
+    """Record rows (all text, source column names) plus ``city`` when asked.
+
+    ``of``: a condition on ``r_name``; rows of other cities go before the large join.
+    """
     li = fact_table(spark, sf_dir)
     part = table(spark, sf_dir, "part")
     supp = table(spark, sf_dir, "supplier")
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
+    if of is not None:
+        region = region.where(of)
+        # semi joins are taken to be as large as their left side, so that a small one is broadcast
+        there = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region").where(of), F.col("n_regionkey") == F.col("r_regionkey"), "left_semi")
+        there = table(spark, sf_dir, "supplier").join(there, F.col("s_nationkey") == F.col("n_nationkey"), "left_semi")
+        li = li.join(there.select(F.col("s_suppkey").alias("_of")), F.col("l_suppkey") == F.col("_of"), "left_semi")
     j = (li.join(part, li.l_partkey == part.p_partkey)
          .join(supp, li.l_suppkey == supp.s_suppkey)
          .join(nation, supp.s_nationkey == nation.n_nationkey)

@@ -200,3 +200,32 @@ def test_named_parts_refuse_to_leave_a_part_out(spark, tmp_dir):
     total = sum(sum(1 for f in os.listdir(p) if f.endswith(".json") for _ in open(os.path.join(p, f)))
                 for p in out.values())
     assert total == 10
+
+
+def test_records_csv_of_few_tags_is_written_without_a_sort(spark, tmp_dir):
+    """The tasks keep a file open for each tag, an alias row first in each; more tags than said are an error."""
+    import csv
+    import glob
+
+    import pytest
+
+    from strata.sinks.records_csv import write_records_csv
+
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    rows = spark.range(30_000, numPartitions=2).selectExpr(
+        "if(id % 5 = 4, null, concat('c', id % 5)) AS city", "cast(id AS string) AS `編號`", "concat('a, \"', id, '\"\nb') AS `備註`")
+    before = spark.conf.get(key)
+    out = write_records_csv(rows, os.path.join(tmp_dir, "few"), n_tags=5)
+    assert spark.conf.get(key) == before
+    files = glob.glob(f"{out}/city=*/*.csv")
+    assert len(files) == 10
+    for path in files:
+        with open(path, encoding="utf-8-sig", newline="") as fh:
+            head, alias, *data = csv.reader(fh)
+        ids = [int(r[0]) for r in data]
+        assert head == ["編號", "備註"] and not alias[0].isdigit() and len(ids) == 3_000
+        assert ids == sorted(ids) and all(r[1] == f'a, "{r[0]}"\nb' for r in data)  # in the rows' order: a sort of texts or by tag gives another
+    sorted_out = write_records_csv(rows, os.path.join(tmp_dir, "sorted"))
+    assert len(glob.glob(f"{sorted_out}/city=*/*.csv")) == 10
+    with pytest.raises(Exception, match="more than the 3 tags"):
+        write_records_csv(rows, os.path.join(tmp_dir, "wrong"), n_tags=3)

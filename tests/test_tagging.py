@@ -91,3 +91,21 @@ def test_size_settings_parse(spark):
             assert broadcast_threshold(df) == expected
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_records_of_one_city_leave_the_others_out_before_the_part_join(spark):
+    """Rows of other cities are dropped by their supplier, so only the city's reach the join with the parts."""
+    from pyspark.sql import functions as F
+
+    from strata.plans import standin
+
+    sf = "/root/testdata/sf0.001"
+    everything = standin.records(spark, sf)
+    city = everything.agg(F.min("city")).first()[0]
+    for of, same in ((F.col("r_name") == city, F.col("city") == city), (F.col("r_name") != city, F.col("city") != city)):
+        some = standin.records(spark, sf, of=of)
+        want = everything.where(same)
+        assert some.count() == want.count() > 0
+        assert some.exceptAll(want).isEmpty() and want.exceptAll(some).isEmpty()
+    plan = some._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("l_partkey") < plan.index("LeftSemi") and plan.count("LeftSemi") >= 2
