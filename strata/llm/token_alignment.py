@@ -156,16 +156,19 @@ class Aligner:
         self._b = PieceEncoder(path_b)
         self.size_a, self.size_b = self._a.n_vocab, self._b.model.get_piece_size()
         self._bytes_b = [self._piece(i) for i in range(self.size_b)]
-        length_a = [0] * self.size_a
+        bytes_a = [b""] * self.size_a
         for i in range(self.size_a):
             try:
-                length_a[i] = len(self._a.decode_single_token_bytes(i))
+                bytes_a[i] = self._a.decode_single_token_bytes(i)
             except KeyError:  # an id that is free
                 pass
-        self._length_a, self._length_b = np.array(length_a), np.array([len(p) for p in self._bytes_b])
+        self._length_a, self._length_b = np.array(list(map(len, bytes_a))), np.array(list(map(len, self._bytes_b)))
+        #: each id's bytes one after the other, and where they start
+        self._flat = {id(n): (np.frombuffer(b"".join(tokens), np.uint8), np.cumsum(n) - n)
+                      for n, tokens in ((self._length_a, bytes_a), (self._length_b, self._bytes_b))}
         names_a, names_b = ([str(i) for i in range(n)] for n in (self.size_a, self.size_b))
         #: a token's text and what follows it: inside a group, at the end of its A side, of its B side
-        self._written = ([f"{n}," for n in names_a] + [f"{n}|" for n in names_a] + [f"{n}," for n in names_b] + [f"{n};" for n in names_b])
+        self._written = np.array([f"{n}," for n in names_a] + [f"{n}|" for n in names_a] + [f"{n}," for n in names_b] + [f"{n};" for n in names_b], "S")
 
     def _piece(self, i: int) -> bytes:
         piece = self._b.model.id_to_piece(i)
@@ -174,10 +177,26 @@ class Aligner:
     def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray] | None]:
         """Ids of both for each text; None where their bytes are not the space and the text."""
         for text, b in zip(texts, self._b.encode(texts), strict=True):
-            whole = b" " + text.encode()
-            a = self._a.encode_ordinary(" " + text) if text else []
-            same = text and b"".join(map(self._bytes_b.__getitem__, b)) == whole and self._a.decode_bytes(a) == whole
-            yield (np.array(a, np.int64), np.array(b, np.int64)) if same else None
+            if not text:
+                yield None
+                continue
+            whole = np.frombuffer(b" " + text.encode(), np.uint8)
+            ids = self._a.encode_to_numpy(" " + text, disallowed_special=()).astype(np.int64), np.array(b, np.int64)
+            same = all(self._spell(x, n, whole) for x, n in zip(ids, (self._length_a, self._length_b), strict=True))
+            yield ids if same else None
+
+    def _spell(self, ids: np.ndarray, length: np.ndarray, whole: np.ndarray) -> bool:
+        """Whether the ids' bytes are the ``whole``."""
+        flat, start = self._flat[id(length)]
+        for at in range(0, max(len(ids), 1), _TOKENS):
+            part = ids[at:at + _TOKENS]
+            n = length[part]
+            total = int(n.sum())
+            found = flat[np.arange(total) + np.repeat(start[part] - (np.cumsum(n) - n), n)]
+            if not np.array_equal(found, whole[:total]):
+                return False
+            whole = whole[total:]
+        return not len(whole)
 
     def digest(self, ids_a: np.ndarray, ids_b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray) -> str:
         """SHA-256 of the groups as text."""
@@ -188,11 +207,11 @@ class Aligner:
         last_b[ends_b - 1] += self.size_b
         codes[np.arange(len(ids_a)) + np.repeat(ends_b - sizes_b, sizes_a)] = last_a
         codes[np.arange(len(ids_b)) + np.repeat(ends_a, sizes_b)] = last_b
-        out, text = hashlib.sha256(), ""
+        out = hashlib.sha256()
         for at in range(0, len(codes), _TOKENS):
-            out.update(text.encode())
-            text = "".join(map(self._written.__getitem__, codes[at:at + _TOKENS].tolist()))
-        out.update(text[:-1].encode())  # without the last separator
+            text = self._written[codes[at:at + _TOKENS]].view(np.uint8)
+            text = text[text != 0]  # without what fills up the shorter ones
+            out.update(text if at + _TOKENS < len(codes) else text[:-1])  # the last separator goes
         return out.hexdigest()
 
     def align(self, ids_a: np.ndarray, ids_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -175,3 +175,17 @@ def test_tally_gives_rows_on_the_way():
             for q, c in zip(quotient.tolist(), key_counts.from_planes(counts, n).tolist(), strict=True):
                 got[q * 7 + of] += c
     assert len(batches) > 2 and got == total
+
+
+def test_ids_spell_a_text_or_not():
+    """The check that ids are a text's bytes, laid out from the table of all tokens, against joined tokens."""
+    both = ta.aligner(tokenizer_path(ta.VOCABULARY_A), tokenizer_path(ta.VOCABULARY_B))
+    long = "día 東京 x " * 20_000  # more tokens than are laid out at a time
+    for text in ("a", "Ünder the  sea\n", long):
+        (a, b), = both.encode([text])
+        whole = np.frombuffer(b" " + text.encode(), np.uint8)
+        assert both._a.decode_bytes(a.tolist()) == b"".join(both._bytes_b[i] for i in b.tolist()) == whole.tobytes()
+        for ids, length in ((a, both._length_a), (b, both._length_b)):
+            assert both._spell(ids, length, whole)
+            assert not both._spell(ids[:-1], length, whole) and not both._spell(ids, length, whole[:-1])
+            assert not both._spell(np.concatenate([ids, ids[-1:]]), length, whole) and not both._spell(ids, length, whole ^ 1)
