@@ -31,7 +31,7 @@ def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
 
 def words_of(text: Column) -> Column:
     """Array of the words of a non-null text, in order (empty for a text without words)."""
-    return F.filter(F.split(text, WORD_SPLIT), lambda w: w != "")
+    return F.array_remove(F.split(text, WORD_SPLIT), "")
 
 
 def id_crc(doc_id: Column) -> Column:

@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
 from strata.llm import quality_classifier as knn
 from strata.llm import quality_rules as rules
@@ -81,6 +82,30 @@ def test_rules_plan_has_no_python(documents, labels):
     assert not re.search("Python|Pandas|Arrow", plan)
 
 
+def test_rules_count_without_a_function_call_per_ngram(documents, labels):
+    plan = rules.count_ngrams(documents, labels)._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan and "xxhash64" in plan
+
+
+def _repeats_found(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = rules.with_rules(docs, np.zeros(rules.N_BUCKETS), docs["doc_id"]).collect()
+    return {r["_k0"]: r["n_repeat_words"] for r in got}
+
+
+def test_windows_with_one_hash_are_compared_by_words(spark, monkeypatch):
+    rows = list(enumerate(["a b c a b c", "a b c d e f a b c", "a b c d e f", "a a a a", "a b", "", "x y x y x z y x y " * 9, None]))
+    expected = {i: _base(t)[4] for i, t in rows}
+    assert _repeats_found(spark, rows) == expected
+    with monkeypatch.context() as m:  # more words than there are places
+        m.setattr(rules, "PLACE_BITS", 2)
+        assert _repeats_found(spark, rows) == expected
+    # every window has the same hash
+    same = rules._window_hashes
+    monkeypatch.setattr(rules, "_window_hashes", lambda pairs: F.transform(same(pairs), lambda h: F.lit(0).cast("bigint")))
+    assert _repeats_found(spark, rows) == expected
+
+
 def test_classifier_defined_results(documents, no_documents, labels, texts):
     rows = knn.classify(documents, labels).collect()
     assert len(rows) == len(texts)
