@@ -32,8 +32,9 @@ from __future__ import annotations
 import functools
 import hashlib
 import re
+from array import array
 from bisect import bisect_left
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from itertools import chain
 
 import numpy as np
@@ -50,7 +51,8 @@ HOT = 1 << 21  # pairs whose counts are broadcast: at most so many, 16 bytes eac
 _LINKS = 1 << 22  # links laid out at a time
 _TOKENS = 1 << 16  # tokens of group text hashed at a time
 _BEYOND = 1 << 62  # greater than any end
-_CUT = re.compile("(?<=[^ ]) ")
+_CUT = re.compile(r"(?<=\S) ")
+_SPACES = re.compile(r"^ |\s ").search
 REMEMBERED, LONGEST_REMEMBERED = 400_000, 48  # words whose pieces a task remembers
 
 
@@ -63,11 +65,13 @@ def common_ends(a: Sequence[int], b: Sequence[int]) -> tuple[list[int], list[int
     of_short, of_long, at, last = [], [], 0, len(long) - 1
     for i, end in enumerate(short):
         if long[at] < end:  # gallop: the end lies behind long[at]
-            low, step = at, 1
-            while low + step < last and long[low + step] < end:
-                low += step
-                step += step
-            at = bisect_left(long, end, low + 1, min(low + step, last))
+            at += 1
+            if long[at] < end:
+                low, step = at, 2
+                while low + step < last and long[low + step] < end:
+                    low += step
+                    step += step
+                at = bisect_left(long, end, low + 1, min(low + step, last))
         if long[at] == end:
             of_short.append(i)
             of_long.append(at)
@@ -105,8 +109,37 @@ def linked(ids_a: np.ndarray, ids_b: np.ndarray, ends_a: np.ndarray, ends_b: np.
     return summed(np.concatenate(keys), np.concatenate(counts))
 
 
-class PieceEncoder(dict):
-    """Ids of a piece model; words recur, so their ids are remembered.
+def words_of_text(text: str) -> list[str]:
+    """The parts of a text between spaces that follow a character other than white space."""
+    return _CUT.split(text) if _SPACES(text) else text.split(" ")
+
+
+class RememberedWords(dict):
+    """Packed ids of words; words recur, so their ids are remembered."""
+
+    def __init__(self, encode_each: Callable[[list[str]], Iterable[list[int]]]):
+        super().__init__()
+        self._encode_each = encode_each
+
+    def ids(self, texts: list[str], cut: list[list[str] | None]) -> list[np.ndarray]:
+        """Ids of each text, by its words or, without any, as a whole; the words that are new are encoded in one call."""
+        met = set(chain.from_iterable(words for words in cut if words))
+        new = [w for w in met if w not in self]
+        if len(self) + len(new) > REMEMBERED:
+            self.clear()
+            new = list(met)
+        self.update(zip(new, (array("i", ids).tobytes() for ids in self._encode_each(new)), strict=True))
+        out = [np.array(*self._encode_each([text]), np.int64) if words is None
+               else np.frombuffer(b"".join(map(self.__getitem__, words)), np.intc).astype(np.int64)
+               for text, words in zip(texts, cut, strict=True)]
+        for word in new:
+            if len(word) > LONGEST_REMEMBERED:
+                del self[word]
+        return out
+
+
+class PieceEncoder:
+    """Ids of a piece model, by word.
 
     Where no piece of the vocabulary has a space behind another character, no merge
     reaches over the end of a word.  So texts are cut where a space follows another
@@ -118,34 +151,21 @@ class PieceEncoder(dict):
     def __init__(self, path: str):
         import sentencepiece
 
-        super().__init__()
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
         self._by_word = "▁" in pieces and not any(re.search("[^▁]▁", p) for p in pieces)
         self._space = [self.model.piece_to_id("▁")]
+        self._words = RememberedWords(lambda words: (ids if word else self._space for word, ids in zip(words, self.model.encode(words, num_threads=1), strict=True)))
 
-    def _words(self, text: str) -> list[str] | None:
-        """The words of a text that is encoded by word."""
-        if not self._by_word or not text or "▁" in text:
-            return None
-        return _CUT.split(text) if "  " in text or text[0] == " " else text.split(" ")
+    def ids(self, texts: list[str], cut: list[list[str]]) -> list[np.ndarray]:
+        """Ids of each text that is not empty."""
+        return self._words.ids(texts, [words if self._by_word and "▁" not in text else None for text, words in zip(texts, cut, strict=True)])
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        """Ids of each text; the words that are new are encoded in one call."""
-        cut = [self._words(t) for t in texts]
-        met = set(chain.from_iterable(words for words in cut if words))
-        new = [w for w in met if w not in self]
-        if len(self) + len(new) > REMEMBERED:
-            self.clear()
-            new = list(met)
-        self.update(zip(new, self.model.encode(new, num_threads=1), strict=True))
-        self[""] = self._space
-        ids = [self.model.encode(text) if words is None else list(chain.from_iterable(map(self.__getitem__, words)))
-               for text, words in zip(texts, cut, strict=True)]
-        for word in new:
-            if len(word) > LONGEST_REMEMBERED:
-                del self[word]
-        return ids
+        """Ids of each text."""
+        held = [text for text in texts if text]
+        found = iter(self.ids(held, [words_of_text(text) for text in held]))
+        return [next(found).tolist() if text else [] for text in texts]
 
 
 class Aligner:
@@ -153,6 +173,8 @@ class Aligner:
 
     def __init__(self, path_a: str, path_b: str):
         self._a = byte_encoder(path_a)._ranks
+        #: every space behind another character begins a pre-token, and it stays with the word that follows
+        self._words_a = RememberedWords(lambda words: (self._a.encode_ordinary(" " + word) for word in words))
         self._b = PieceEncoder(path_b)
         self.size_a, self.size_b = self._a.n_vocab, self._b.model.get_piece_size()
         self._bytes_b = [self._piece(i) for i in range(self.size_b)]
@@ -176,12 +198,15 @@ class Aligner:
 
     def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray] | None]:
         """Ids of both for each text; None where their bytes are not the space and the text."""
-        for text, b in zip(texts, self._b.encode(texts), strict=True):
+        held = [text for text in texts if text]
+        cut = [words_of_text(text) for text in held]
+        found = zip(self._words_a.ids(held, cut), self._b.ids(held, cut), strict=True)
+        for text in texts:
             if not text:
                 yield None
                 continue
             whole = np.frombuffer(b" " + text.encode(), np.uint8)
-            ids = self._a.encode_to_numpy(" " + text, disallowed_special=()).astype(np.int64), np.array(b, np.int64)
+            ids = next(found)
             same = all(self._spell(x, n, whole) for x, n in zip(ids, (self._length_a, self._length_b), strict=True))
             yield ids if same else None
 

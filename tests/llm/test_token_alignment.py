@@ -189,3 +189,17 @@ def test_ids_spell_a_text_or_not():
             assert both._spell(ids, length, whole)
             assert not both._spell(ids[:-1], length, whole) and not both._spell(ids, length, whole[:-1])
             assert not both._spell(np.concatenate([ids, ids[-1:]]), length, whole) and not both._spell(ids, length, whole ^ 1)
+
+
+def test_words_of_a_text_give_its_ids(monkeypatch):
+    both = ta.Aligner(tokenizer_path(ta.VOCABULARY_A), tokenizer_path(ta.VOCABULARY_B))
+    monkeypatch.setattr(ta, "REMEMBERED", 40)  # words are forgotten on the way
+    rng, parts = random.Random(4), ["a", "Bc", " ", "  ", "\n", "\t", "\r\n", " ", "　", "\x1c", "\x85", "'s", " 've", "é", "漢", "23", "!", "▁", "w" * 60]
+    texts = ["".join(rng.choices(parts, k=rng.randint(1, 12))) for _ in range(600)] + [" ", "a ", " a", "a  b", "a\n \n b", "it 's a"]
+    for start in range(0, len(texts), 20):
+        part = texts[start:start + 20]
+        cut = [ta.words_of_text(t) for t in part]
+        assert [" ".join(words) for words in cut] == part
+        assert [x.tolist() for x in both._words_a.ids(part, cut)] == [both._a.encode_ordinary(" " + t) for t in part]
+        assert [x.tolist() for x in both._b.ids(part, cut)] == both._b.model.encode(part)
+    assert len(both._words_a) <= 60 and not any(len(w) > ta.LONGEST_REMEMBERED for w in both._words_a)
